@@ -80,7 +80,7 @@ def decompose(statements: DataFrame, column: str = "createtab_stmt") -> DataFram
     masked, pieces, body = F.col("__masked"), F.col("__pieces"), F.col("__body")
 
     def clause(pattern: str, group: int) -> Column:
-        return F.trim(unmask(F.regexp_extract(masked, pattern, group), pieces))
+        return unmask(F.trim(_one_line(F.regexp_extract(masked, pattern, group))), pieces)
 
     def value(pattern: str, group: int) -> Column:
         return unquote(clause(pattern, group))
@@ -90,14 +90,14 @@ def decompose(statements: DataFrame, column: str = "createtab_stmt") -> DataFram
         F.regexp_replace(F.col(column), "\n", " ").alias("original_ddl"),
         F.lower(F.regexp_extract(masked, _HEAD, 1)).alias("object_type"),
         clause(_HEAD, 2).alias("full_table_name"),
-        _one_line(clause(_COLUMNS, 3)).alias("table_schema"),
+        clause(_COLUMNS, 3).alias("table_schema"),
         clause(_USING, 2).alias("using"),
         clause(_PARTITION_BY, 2).alias("partition_by"),
         clause(_CLUSTER_BY, 2).alias("cluster_by"),
         F.regexp_extract(masked, _BUCKETS, 1).alias("buckets"),
-        _one_line(clause(_PROPERTIES, 2)).alias("table_properties"),
+        clause(_PROPERTIES, 2).alias("table_properties"),
         value(_COMMENT, 2).alias("comment"),
-        _one_line(clause(_OPTIONS, 2)).alias("options"),
+        clause(_OPTIONS, 2).alias("options"),
         value(_LOCATION, 2).alias("location"),
         unmask(F.concat(_template(masked), _one_line(body)), pieces).alias("dynamic_ddl"),
         _pairs(F.regexp_extract(masked, _PROPERTIES, 2), pieces).alias("properties_map"),

@@ -77,21 +77,34 @@ def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def counts(spark: SparkSession, pairs: list[tuple[TableOrFrame, TableOrFrame]]) -> DataFrame:
-    """Row counts of pairs of tables and their difference, as one job."""
-    return _by_pair(
-        [(str(s), _frame(spark, s), _frame(spark, t)) for s, t in pairs], lambda frame: []
-    ).select("name", "source_rows", "target_rows", (F.col("source_rows") - F.col("target_rows")).alias("diff"))
+def counts(
+    spark: SparkSession,
+    pairs: list[tuple[TableOrFrame, TableOrFrame]],
+    names: list[str] | None = None,
+) -> DataFrame:
+    """Row counts of pairs of tables and their difference, as one job.
+
+    A pair is labelled with its source's name unless ``names`` are given.
+    """
+    return _by_pair(_labelled(spark, pairs, names), lambda frame: []).select("name", "source_rows", "target_rows", (F.col("source_rows") - F.col("target_rows")).alias("diff"))
 
 
-def fingerprints(spark: SparkSession, pairs: list[tuple[TableOrFrame, TableOrFrame]]) -> DataFrame:
+def fingerprints(
+    spark: SparkSession,
+    pairs: list[tuple[TableOrFrame, TableOrFrame]],
+    names: list[str] | None = None,
+) -> DataFrame:
     """Counts of pairs of tables and whether their contents agree, as one job."""
     return _by_pair(
-        [(str(s), _frame(spark, s), _frame(spark, t)) for s, t in pairs],
-        lambda frame: fingerprint(row_hash(frame.schema))[1:],
+        _labelled(spark, pairs, names), lambda frame: fingerprint(row_hash(frame.schema))[1:]
     ).select("name", "source_rows", "target_rows", (F.col("source_fp") == F.col("target_fp")).alias("same"))
 
 
+def _labelled(spark: SparkSession, pairs, names: list[str] | None) -> list[tuple[str, DataFrame, DataFrame]]:
+    labels = names or [str(source) for source, _ in pairs]
+    return [(n, _frame(spark, s), _frame(spark, t)) for n, (s, t) in zip(labels, pairs, strict=True)]
+
+
 def _by_pair(pairs: list[tuple[str, DataFrame, DataFrame]], aggregates) -> DataFrame:
     """One row per pair: a global aggregate of each side, stacked, then paired."""
     sides = []
