@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from tablemove.operators import convert, copy, external, validate, views
 from tablemove.operators.outcome import Outcome
 from tablemove.plans import migrate, report
 from tablemove.sources import estate
-from tablemove.sources.inventory import filter_kind, inventory
+from tablemove.sources.inventory import METADATA_THREADS, filter_kind, inventory
 from tablemove.sources.workspace import new_area, new_schema
 from tablemove.streaming import incremental
 
@@ -30,8 +31,13 @@ class Estate:
             f"CREATE SCHEMA {schema_sql(spark, TARGET, self.schema)} "
             f"LOCATION '{new_area(spark, 'dst')}'"
         )
-        for table in tables:
-            external.register(spark, self.source(table), "parquet", f"{sf_dir}/{table}.parquet")
+        with ThreadPoolExecutor(METADATA_THREADS) as pool:
+            list(
+                pool.map(
+                    lambda t: external.register(spark, self.source(t), "parquet", f"{sf_dir}/{t}.parquet"),
+                    tables,
+                )
+            )
 
     def source(self, table: str) -> ObjectName:
         return ObjectName(SOURCE, self.schema, table)

@@ -458,7 +458,7 @@ def markers_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT conv_id, turn, part, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY i) - 1 AS INTEGER) AS pos
-    FROM (SELECT conv_id, turn, unnest(list_transform(string_split(text, ','), x -> regexp_replace(x, '^\\s+|\\s+$', '', 'g'))) AS part,
+    FROM (SELECT conv_id, turn, unnest(list_transform(string_split(text, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g'))) AS part,
                  unnest(range(len(string_split(text, ',')))) AS i FROM conversations)
     WHERE part <> ''
     """
@@ -555,7 +555,7 @@ def validate_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
     WITH c AS ({_ORACLE_CHANGED}), d AS (
-        SELECT COLUMNS(x -> x <> 'w'), sum(w) AS net FROM (
+        SELECT * EXCLUDE (w), sum(w) AS net FROM (
             SELECT *, 1 AS w FROM orders UNION ALL SELECT *, -1 AS w FROM c) GROUP BY ALL HAVING sum(w) <> 0)
     SELECT CAST(sum(greatest(net, 0)) AS BIGINT) AS missing_rows, CAST(sum(greatest(-net, 0)) AS BIGINT) AS extra_rows,
            count(*) FILTER (net < 0) AS distinct_extra, count(*) FILTER (net > 0) AS distinct_missing

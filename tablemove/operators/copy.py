@@ -73,9 +73,16 @@ def drop(spark: SparkSession, name: str | ObjectName) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table_sql(spark, name)}")
 
 
-def rename(spark: SparkSession, old: ObjectName, new: ObjectName) -> None:
+def rename(spark: SparkSession, old: ObjectName, new: ObjectName, partitioned: bool) -> None:
+    """Rename a table and repair it.
+
+    A catalog may keep the old folders as partition locations after a rename. The table
+    then reads empty, and dropping it would delete whatever has taken its old place, so
+    no renamed table may be read or dropped before it is repaired.
+    """
     _, schema = physical_schema(spark, new.catalog, new.schema)
     spark.sql(f"ALTER TABLE {table_sql(spark, old)} RENAME TO {quote(schema)}.{quote(new.name)}")
+    repair(spark, new, partitioned)
 
 
 def replacement_location(location: str) -> str:
@@ -93,17 +100,15 @@ def swap(
     """
     old = target.renamed(unique(f"{target.name}__old"))
     was_partitioned = bool(describe(spark, target)["partition_cols"])
-    rename(spark, target, old)
+    rename(spark, target, old, was_partitioned)
     try:
-        rename(spark, staging, target)
-        repair(spark, target, partitioned)
+        rename(spark, staging, target, partitioned)
         found = spark.table(table_sql(spark, target)).count()
         if found != rows:
-            rename(spark, target, staging)
+            rename(spark, target, staging, partitioned)
             raise AssertionError(f"{target} holds {found} of {rows} rows after the swap")
     except Exception:
-        rename(spark, old, target)
-        repair(spark, target, was_partitioned)
+        rename(spark, old, target, was_partitioned)
         raise
     drop(spark, old)
 

@@ -18,10 +18,12 @@ ORPHAN = "ORPHAN"
 
 def _shape(columns: Column) -> Column:
     """Names and types in order; nullability and comments do not count."""
-    return F.transform(
-        F.array_sort(F.transform(columns, lambda c: F.struct(c["pos"], F.lower(c["name"]), c["type"]))),
-        lambda c: F.concat_ws(" ", c["col2"], c["col3"]),
+    in_order = F.array_sort(
+        F.transform(
+            columns, lambda c: F.struct(c["pos"], F.lower(c["name"]).alias("name"), c["type"].alias("type"))
+        )
     )
+    return F.transform(in_order, lambda c: F.concat_ws(" ", c["name"], c["type"]))
 
 
 def _side(inventory: DataFrame, prefix: str) -> DataFrame:

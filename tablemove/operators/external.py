@@ -148,13 +148,13 @@ def recreate(spark: SparkSession, target: ObjectName, create, partitioned: bool)
     staging = target.renamed(unique(f"{target.name}__staging"))
     old = target.renamed(unique(f"{target.name}__old"))
     statement = create(staging)
-    rename(spark, target, old)
+    was_partitioned = bool(describe(spark, target)["partition_cols"])
+    rename(spark, target, old, was_partitioned)
     try:
-        rename(spark, staging, target)
+        rename(spark, staging, target, partitioned)
     except Exception:
-        rename(spark, old, target)
+        rename(spark, old, target, was_partitioned)
         drop(spark, staging)
         raise
-    repair(spark, target, partitioned)
     drop(spark, old)
     return statement

@@ -27,7 +27,7 @@ from tablemove.functions.paths import (
     strip_slash,
     unescape_spaces,
 )
-from tablemove.operators.lookup import fits_broadcast, lookup_join
+from tablemove.operators.lookup import Lookup, lookup_join, prepare
 
 MOUNTS = T.StructType(
     [T.StructField("mount_point", T.StringType()), T.StructField("source", T.StringType())]
@@ -66,9 +66,7 @@ def usable_mounts(mounts: DataFrame, ignore_sources: tuple[str, ...] = PLATFORM_
     )
 
 
-def longest_prefix(
-    rows: DataFrame, path: str, prefixes: DataFrame, key: str, small: bool | None = None
-) -> DataFrame:
+def longest_prefix(rows: DataFrame, path: str, prefixes: Lookup, key: str) -> DataFrame:
     """Left join each row to the longest segment-aligned prefix of ``path``.
 
     ``prefixes`` has unique ``key`` values; its columns are added, NULL without a
@@ -76,13 +74,12 @@ def longest_prefix(
     joins in a single stage when the prefixes are measured small, else salted
     shuffle joins. The number of depths is bounded by how deep a path can be.
     """
-    added = prefixes.columns
-    sized = prefixes.withColumn("__depth", depth(F.col(key)))
+    added = prefixes.frame.columns
+    sized = prefixes.frame.withColumn("__depth", depth(F.col(key)))
     depths = sorted((r[0] for r in sized.select("__depth").distinct().toLocalIterator()), reverse=True)
     if not depths:
-        return rows.select("*", *[F.lit(None).cast(prefixes.schema[c].dataType).alias(c) for c in added])
-    if small is None:
-        small = fits_broadcast(prefixes)
+        types = prefixes.frame.schema
+        return rows.select("*", *[F.lit(None).cast(types[c].dataType).alias(c) for c in added])
     result = rows
     for level in depths:
         at_level = sized.filter(F.col("__depth") == level).select(
@@ -90,9 +87,8 @@ def longest_prefix(
         )
         result = lookup_join(
             result.withColumn(f"__k{level}", prefix_at(F.col(path), level)),
-            at_level,
+            Lookup(at_level, prefixes.small),
             [f"__k{level}"],
-            small=small,
         ).drop(f"__k{level}")
     best = F.coalesce(*[F.col(f"__m{level}") for level in depths])
     return result.select(*rows.columns, best.alias("__best")).select(
@@ -120,7 +116,7 @@ def resolve(objects: DataFrame, mounts: DataFrame, small: bool | None = None) ->
         F.col("mount_point").alias("__mount_point"), F.col("source").alias("__source")
     )
     located = objects.withColumn("__path", _mounted_path(F.col("location")))
-    joined = longest_prefix(located, "__path", usable, "__mount_point", small)
+    joined = longest_prefix(located, "__path", prepare(usable, small), "__mount_point")
     path, source = F.col("__path"), F.col("__source")
     is_local = path.isNotNull()
     is_table = F.lower("object_type") == "table"
@@ -137,20 +133,16 @@ def resolve(objects: DataFrame, mounts: DataFrame, small: bool | None = None) ->
     )
 
 
-def _with_mount(tables: DataFrame, mounts: DataFrame, small: bool | None) -> DataFrame:
+def _with_mount(tables: DataFrame, usable: DataFrame, small: bool | None) -> DataFrame:
     """Left join tables to the mount they are stored under, by point or by source."""
-    usable = usable_mounts(mounts)
-    sources = usable.groupBy("source").agg(F.min("mount_point").alias("mount_point"))
-    prefixes = (
-        usable.select(F.col("mount_point").alias("__prefix"), "mount_point", "source")
-        .unionByName(sources.select(F.col("source").alias("__prefix"), "mount_point", "source"))
-        .groupBy("__prefix")
-        .agg(F.min(F.struct("mount_point", "source")).alias("__mount"))
+    as_prefix = usable.select(
+        F.explode(F.array("mount_point", "source")).alias("__prefix"), "mount_point", "source"
     )
+    prefixes = as_prefix.groupBy("__prefix").agg(F.min(F.struct("mount_point", "source")).alias("__mount"))
     located = tables.withColumn(
         "__path", F.coalesce(_mounted_path(F.col("location")), F.col("location"))
     )
-    joined = longest_prefix(located, "__path", prefixes, "__prefix", small)
+    joined = longest_prefix(located, "__path", prepare(prefixes, small), "__prefix")
     return joined.select(
         *tables.columns,
         F.col("__mount.mount_point").alias("mount_point"),
@@ -160,30 +152,35 @@ def _with_mount(tables: DataFrame, mounts: DataFrame, small: bool | None) -> Dat
 
 def mounted(tables: DataFrame, mounts: DataFrame, small: bool | None = None) -> DataFrame:
     """Tables stored under any mount, with ``mount_point`` and ``mount_source``."""
-    return _with_mount(tables, mounts, small).filter(F.col("mount_point").isNotNull())
+    return _with_mount(tables, usable_mounts(mounts), small).filter(F.col("mount_point").isNotNull())
+
 
+def _sides(
+    mounts: DataFrame, external_locations: DataFrame, small: bool | None
+) -> tuple[Lookup, Lookup]:
+    """Usable mounts and named urls, both persisted and measured."""
+    named = external_locations.select("name", strip_slash(F.col("url")).alias("url"))
+    return prepare(usable_mounts(mounts), small), prepare(named, small)
 
-def _pairs(usable: DataFrame, external_locations: DataFrame, small: bool | None) -> DataFrame:
+
+def _pairs(usable: Lookup, named: Lookup) -> DataFrame:
     """Distinct sources and urls one of which contains the other, classified."""
-    sources = usable.select("source").distinct()
-    urls = external_locations.select(strip_slash(F.col("url")).alias("url")).distinct()
+    sources, urls = usable.frame.select("source").distinct(), named.frame.select("url").distinct()
     # Location below or equal to a mount: the location's ancestors meet the sources.
     below = lookup_join(
         urls.select("url", F.explode(ancestors(F.col("url"))).alias("source")),
-        sources,
+        Lookup(sources, usable.small),
         ["source"],
         "inner",
-        small,
     )
     # Mount strictly below a location: the source's ancestors meet the urls.
     above = lookup_join(
         sources.select("source", F.explode(ancestors(F.col("source"))).alias("url")).filter(
             F.col("url") != F.col("source")
         ),
-        urls,
+        Lookup(urls, named.small),
         ["url"],
         "inner",
-        small,
     )
     source, url = F.col("source"), F.col("url")
     return (
@@ -204,17 +201,11 @@ def _pairs(usable: DataFrame, external_locations: DataFrame, small: bool | None)
     )
 
 
-def _named(external_locations: DataFrame) -> DataFrame:
-    return external_locations.select("name", strip_slash(F.col("url")).alias("url"))
-
-
-def _per_source(usable: DataFrame, external_locations: DataFrame, small: bool | None) -> DataFrame:
+def _per_source(usable: Lookup, named: Lookup) -> Lookup:
     """Per mount source: number of related locations and, if it is one, which."""
-    names = _named(external_locations).groupBy("url").agg(
-        F.count(F.lit(1)).alias("names"), F.min("name").alias("name")
-    )
-    return (
-        lookup_join(_pairs(usable, external_locations, small), names, ["url"], "inner", small)
+    names = named.frame.groupBy("url").agg(F.count(F.lit(1)).alias("names"), F.min("name").alias("name"))
+    related = (
+        lookup_join(_pairs(usable, named), Lookup(names, named.small), ["url"], "inner")
         .groupBy("source")
         .agg(
             F.sum("names").alias("n_locations"),
@@ -223,6 +214,8 @@ def _per_source(usable: DataFrame, external_locations: DataFrame, small: bool |
             F.min("name").alias("name"),
         )
     )
+    # At most one row per source with one url and one name: bounded by the two sides.
+    return Lookup(related, usable.small and named.small)
 
 
 def coverage(mounts: DataFrame, external_locations: DataFrame, small: bool | None = None) -> DataFrame:
@@ -232,11 +225,9 @@ def coverage(mounts: DataFrame, external_locations: DataFrame, small: bool | Non
     without any related location, NOT_COVERED. ``folder`` is the part of the longer
     path below the shorter one.
     """
-    usable = usable_mounts(mounts)
-    pairs = _pairs(usable, external_locations, small)
-    with_url = lookup_join(usable, pairs, ["source"], "left", small)
-    with_name = lookup_join(with_url, _named(external_locations), ["url"], "left", small)
-    return with_name.select(
+    usable, named = _sides(mounts, external_locations, small)
+    with_url = lookup_join(usable.frame, prepare(_pairs(usable, named), small), ["source"])
+    return lookup_join(with_url, named, ["url"]).select(
         "mount_point",
         "source",
         "name",
@@ -248,9 +239,10 @@ def coverage(mounts: DataFrame, external_locations: DataFrame, small: bool | Non
 
 def ambiguous(mounts: DataFrame, external_locations: DataFrame, small: bool | None = None) -> DataFrame:
     """Mounts related to more than one external location, with their number."""
-    usable = usable_mounts(mounts)
-    many = _per_source(usable, external_locations, small).filter(F.col("n_locations") > 1)
-    return lookup_join(usable, many, ["source"], "inner", small).select(
+    usable, named = _sides(mounts, external_locations, small)
+    related = _per_source(usable, named)
+    many = related.frame.filter(F.col("n_locations") > 1)
+    return lookup_join(usable.frame, Lookup(many, related.small), ["source"], "inner").select(
         "mount_point", "source", "n_locations"
     )
 
@@ -265,15 +257,17 @@ def table_coverage(
     tables without a mount are NOT_COVERED. ``folder_in_path`` says whether the folder
     of the single related location occurs in the table's path.
     """
-    per_source = _per_source(usable_mounts(mounts), external_locations, small).select(
+    usable, named = _sides(mounts, external_locations, small)
+    related = _per_source(usable, named)
+    per_source = related.frame.select(
         F.col("source").alias("mount_source"),
         "n_locations",
         F.col("coverage").alias("__class"),
         F.col("folder").alias("__folder"),
         F.col("name").alias("__name"),
     )
-    placed = _with_mount(tables, mounts, small)
-    joined = lookup_join(placed, per_source, ["mount_source"], "left", small)
+    placed = _with_mount(tables, usable.frame, small)
+    joined = lookup_join(placed, Lookup(per_source, related.small), ["mount_source"])
     many = F.col("n_locations") > 1
     return joined.select(
         *tables.columns,
