@@ -99,7 +99,7 @@ def decompose(statements: DataFrame, column: str = "createtab_stmt") -> DataFram
         value(_COMMENT, 2).alias("comment"),
         clause(_OPTIONS, 2).alias("options"),
         value(_LOCATION, 2).alias("location"),
-        unmask(F.concat(_template(masked), _one_line(body)), pieces).alias("dynamic_ddl"),
+        unmask(F.concat(_template(masked), F.rtrim(_one_line(body))), pieces).alias("dynamic_ddl"),
         _pairs(F.regexp_extract(masked, _PROPERTIES, 2), pieces).alias("properties_map"),
         _pairs(F.regexp_extract(masked, _OPTIONS, 2), pieces).alias("options_map"),
         _name_list(F.regexp_extract(masked, _PARTITION_BY, 2), pieces).alias("partition_cols"),

@@ -212,10 +212,14 @@ def _describe_metadata(
         spark.sql(f"COMMENT ON TABLE {table_sql(spark, name)} IS {literal(comment)}")
 
 
+# Properties the catalog sets itself and refuses in TBLPROPERTIES.
+_RESERVED = {"owner", "provider", "location", "comment", "collation", "external", "is_managed_location"}
+
+
 def own_properties(properties: dict[str, str]) -> dict[str, str]:
-    """Properties to carry over: not the markers of earlier moves, nor layout bookkeeping."""
+    """Properties to carry over: no markers of earlier moves, nothing the catalog sets."""
     prefixes = tuple(f"{p}_" for p in markers.PREFIXES.values()) + ("roll_backed_", "clusteringColumns")
-    return {k: v for k, v in properties.items() if not k.startswith(prefixes)}
+    return {k: v for k, v in properties.items() if k not in _RESERVED and not k.startswith(prefixes)}
 
 
 def ctas(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +14,18 @@ HIVE_SERDES = {
 
 _BUILT_IN = ("parquet", "orc", "json", "csv")
 _NEEDS_JAR = ("delta", "avro")
+_NO_SUCH_SOURCE = ("DATA_SOURCE_NOT_FOUND", "Failed to find data source")
 
-# Options under which a text format gives every value back unchanged.
+# Options under which a text format gives every value back unchanged: NULL differs from
+# the empty text, and blanks, quotes and line breaks are kept.
 LOSSLESS_OPTIONS = {
     "csv": {
         "multiLine": "true",
+        "lineSep": "\n",
+        "quoteAll": "true",
         "escape": '"',
+        "nullValue": "\\N",
+        "emptyValue": "",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -40,10 +45,8 @@ def is_available(spark: SparkSession, fmt: str) -> bool:
         return True
     try:
         spark.read.format(fmt).schema("a INT").load("/nonexistent-path-for-format-lookup")
-    except PySparkException as error:
-        return error.getCondition() not in ("DATA_SOURCE_NOT_FOUND", "_LEGACY_ERROR_TEMP_1184") and (
-            "Failed to find data source" not in str(error)
-        )
+    except Exception as error:  # without a jar the JVM reports a missing class
+        return not any(text in str(error) for text in _NO_SUCH_SOURCE)
     return True
 
 

@@ -1,0 +1,149 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tablemove.operators import validate
+from tablemove.sources.inventory import INVENTORY
+
+NESTED = """
+    SELECT id, CAST(id AS STRING) AS s, CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS n,
+           array(id, NULL) AS a, map('x', id, 'y', NULL) AS m,
+           named_struct('p', id, 'q', map(id, array(1.5D))) AS st, CAST(id AS DECIMAL(20,2)) AS d,
+           TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' AS ts, CAST('x' AS BINARY) AS b, id % 2 = 0 AS flag,
+           array(map('k', id)) AS am
+    FROM range(60)
+"""
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.sql(NESTED)
+
+
+def agree(left, right) -> bool:
+    return validate.take_fingerprint(left) == validate.take_fingerprint(right)
+
+
+def test_order_of_rows_and_columns_does_not_count(table):
+    shuffled = table.repartition(7, "s").select(*reversed(table.columns))
+    assert agree(table, shuffled)
+
+
+def test_map_order_does_not_count(spark):
+    left = spark.sql("SELECT map('a', 1, 'b', 2) AS m")
+    right = spark.sql("SELECT map('b', 2, 'a', 1) AS m")
+    assert agree(left, right)
+    assert validate.diff_summary(left, right).first()["missing_rows"] == 0
+
+
+CHANGES = {
+    "one value": lambda t: t.withColumn("s", F.when(F.col("id") == 5, "x").otherwise(F.col("s"))),
+    "row dropped": lambda t: t.filter("id <> 7"),
+    "row doubled": lambda t: t.unionByName(t.filter("id = 7")),
+    "row exchanged for a copy": lambda t: t.filter("id <> 7").unionByName(t.filter("id = 8")),
+    "null moved": lambda t: t.withColumn("n", F.when(F.col("id") == 3, F.col("id")).otherwise(F.col("n"))),
+    "null in array moved": lambda t: t.withColumn("a", F.reverse("a")),
+    "map value": lambda t: t.withColumn("m", F.map_concat(F.create_map(F.lit("z"), F.col("id")), "m")),
+    "in struct": lambda t: t.withColumn("st", F.col("st").withField("p", F.lit(1).cast("bigint"))),
+    "microsecond": lambda t: t.withColumn("ts", F.expr("ts + INTERVAL 0.000001 SECOND")),
+}
+
+
+@pytest.mark.parametrize("change", CHANGES)
+def test_changes_are_found(spark, table, change):
+    changed = CHANGES[change](table)
+    assert not agree(table, changed)
+    with pytest.raises(AssertionError):
+        validate.assert_equal(spark, table, changed, "fingerprint")
+    with pytest.raises(AssertionError):
+        validate.assert_equal(spark, table, changed, "diff")
+
+
+def test_null_positions_do_not_collide(spark):
+    a = spark.sql("SELECT CAST(NULL AS INT) AS x, 1 AS y")
+    b = spark.sql("SELECT 1 AS x, CAST(NULL AS INT) AS y")
+    assert not agree(a, b)
+    a = spark.sql("SELECT array(1) AS x, array(2) AS y")
+    b = spark.sql("SELECT array(1, 2) AS x, array() AS y")
+    assert not agree(a, b.select("x", F.col("y").cast("array<int>").alias("y")))
+
+
+def test_more_columns_than_one_flag_word(spark):
+    wide = spark.range(3).select(*[F.when(F.col("id") != i % 3, F.col("id")).alias(f"c{i}") for i in range(130)])
+    other = wide.withColumn("c129", F.coalesce("c129", F.lit(0)))
+    assert agree(wide, wide) and not agree(wide, other)
+
+
+def test_empty_tables(spark, table):
+    empty = table.limit(0)
+    assert validate.take_fingerprint(empty) == (0, 0, 0, 0, 0)
+    assert validate.assert_equal(spark, empty, empty, "diff") == (0, 0)
+
+
+def test_levels(spark, table):
+    swapped = table.filter("id <> 7").unionByName(table.filter("id = 8"))
+    assert validate.assert_equal(spark, table, swapped, "count") == (60, 60)
+    with pytest.raises(ValueError):
+        validate.assert_equal(spark, table, table, "nothing")
+
+
+def test_schema_mismatch_is_named(spark):
+    left, right = spark.sql("SELECT 1 AS a, 2 AS b"), spark.sql("SELECT 1L AS a, 2 AS c")
+    with pytest.raises(AssertionError, match="a: int in source, bigint in target"):
+        validate.assert_equal(spark, left, right, "count")
+    assert len(validate.schema_differences(left.schema, right.schema)) == 3
+    with pytest.raises(AssertionError):
+        validate.content_diff(left, right)
+
+
+def test_column_order_and_nullability_are_no_schema_difference(spark):
+    left, right = spark.sql("SELECT 1 AS a, 'x' AS b"), spark.sql("SELECT 'x' AS B, CAST(1 AS INT) AS a")
+    assert validate.schema_differences(left.schema, right.schema) == []
+
+
+def test_content_diff_counts_copies(spark):
+    left = spark.sql("SELECT * FROM VALUES (1), (1), (1), (2), (NULL) AS v(x)")
+    right = spark.sql("SELECT * FROM VALUES (1), (3), (NULL), (NULL) AS v(x)")
+    rows = {r["x"]: (r["n_source"], r["n_target"]) for r in validate.content_diff(left, right).collect()}
+    assert rows == {1: (3, 1), 2: (1, 0), 3: (0, 1), None: (1, 2)}
+    summary = validate.diff_summary(left, right).first()
+    assert tuple(summary) == (3, 2, 2, 2)
+
+
+def test_content_diff_has_one_shuffle(spark, testdata):
+    orders = spark.read.parquet(f"{testdata}/orders.parquet")
+    plan = validate.content_diff(orders, orders)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan
+
+
+def test_fingerprint_shuffles_no_rows(spark, testdata):
+    orders = spark.read.parquet(f"{testdata}/orders.parquet")
+    found = validate.fingerprints(spark, [(orders, orders)], ["o"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange SinglePartition") == 2
+    assert found.first()["same"]
+
+
+def test_bulk_counts(spark, table):
+    found = validate.counts(spark, [(table, table.limit(9)), (table, table)], ["a", "b"]).collect()
+    assert sorted(tuple(r) for r in found) == [("a", 60, 9, 51), ("b", 60, 60, 0)]
+
+
+def test_schema_diff_of_inventories(spark):
+    def columns(*parts):
+        return [
+            {"name": n, "type": t, "nullable": nullable, "comment": None, "pos": i}
+            for i, (n, t, nullable) in enumerate(parts)
+        ]
+
+    def inventory(cols):
+        row = {f.name: None for f in INVENTORY} | {"schema": "s", "name": "t", "columns": cols}
+        return spark.createDataFrame([row], INVENTORY)
+
+    left = inventory(columns(("a", "int", True), ("b", "int", True), ("c", "int", True), ("d", "int", True)))
+    right = inventory(columns(("A", "int", True), ("b", "bigint", True), ("d", "int", True), ("e", "int", True)))
+    found = {r["column"]: r["status"] for r in validate.schema_diff(left, right).collect()}
+    assert found == {"a": "SAME", "b": "TYPE", "c": "MISSING", "d": "ORDER", "e": "EXTRA"}
+    nullable = inventory(columns(("a", "int", False)))
+    found = validate.schema_diff(inventory(columns(("a", "int", True))), nullable).first()
+    assert found["status"] == "NULLABLE"
