@@ -29,7 +29,7 @@ def _canonical(value: Column, data_type: T.DataType) -> Column:
                 _canonical(e["value"], data_type.valueType).alias("value"),
             ),
         )
-        return F.array_sort(entries)
+        return F.sort_array(entries)
     if isinstance(data_type, T.ArrayType) and has_map(data_type):
         return F.transform(value, lambda e: _canonical(e, data_type.elementType))
     if isinstance(data_type, T.StructType) and has_map(data_type):

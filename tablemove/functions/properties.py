@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once for an expression that uses it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_properties(text: Column) -> Column:
     """Map of a property string; ``=`` and ``, `` may occur inside values.
 
@@ -13,18 +18,16 @@ def parse_properties(text: Column) -> Column:
     first value is kept.
     """
     body = F.regexp_replace(F.trim(text), r"^\[|\]$", "")
-    parts = F.filter(F.split(body, r", (?=[^\s,=]+=)"), lambda p: F.contains(p, F.lit("=")))
-    keys = F.transform(parts, lambda p: F.substring_index(p, "=", 1))
-    first = F.filter(
-        parts,
-        lambda p, i: F.array_position(keys, F.substring_index(p, "=", 1)) == i.cast("bigint") + 1,
-    )
-    return F.map_from_entries(
-        F.transform(
-            first,
-            lambda p: F.struct(
-                F.substring_index(p, "=", 1).alias("key"),
-                F.substring(p, F.instr(p, "=") + 1, F.length(p)).alias("value"),
-            ),
-        )
+    pairs = F.transform(
+        F.filter(F.split(body, r", (?=[^\s,=]+=)"), lambda part: F.contains(part, F.lit("="))),
+        lambda part: F.struct(
+            F.substring_index(part, "=", 1).alias("key"),
+            F.substring(part, F.instr(part, "=") + 1, F.length(part)).alias("value"),
+        ),
     )
+
+    def first_of_each_key(entries: Column) -> Column:
+        keys = entries["key"]
+        return F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+
+    return F.map_from_entries(_let(pairs, first_of_each_key))

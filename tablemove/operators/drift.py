@@ -17,13 +17,17 @@ ORPHAN = "ORPHAN"
 
 
 def _shape(columns: Column) -> Column:
-    """Names and types in order; nullability and comments do not count."""
-    in_order = F.array_sort(
+    """Digest of names and types in order; nullability and comments do not count.
+
+    A digest keeps the shuffled rows short however many columns a table has.
+    """
+    in_order = F.sort_array(
         F.transform(
             columns, lambda c: F.struct(c["pos"], F.lower(c["name"]).alias("name"), c["type"].alias("type"))
         )
     )
-    return F.transform(in_order, lambda c: F.concat_ws(" ", c["name"], c["type"]))
+    names_and_types = F.transform(in_order, lambda c: F.struct(c["name"], c["type"]))
+    return F.sha2(F.to_json(names_and_types), 256)
 
 
 def _side(inventory: DataFrame, prefix: str) -> DataFrame:
