@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import TABLES, query, read
+from tablemove.functions import ddl
 from tablemove.functions.names import ObjectName, schema_sql, table_sql
 from tablemove.operators import convert, copy, external, validate, views
 from tablemove.operators.outcome import Outcome
 from tablemove.plans import migrate, report
 from tablemove.sources import estate
-from tablemove.sources.inventory import METADATA_THREADS, filter_kind, inventory
+from tablemove.sources.inventory import METADATA_THREADS, fetch_ddl, filter_kind, inventory
 from tablemove.sources.workspace import new_area, new_schema
 from tablemove.streaming import incremental
 
@@ -93,6 +94,24 @@ def inventory_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).join(_row_counts(here, [here.source(t) for t in TABLES]), "name")
 
 
+@query(
+    _each(
+        "SELECT '{t}' AS name, 'parquet' AS using_format, '{t}.parquet' AS file_name, "
+        "(SELECT count(*) FROM {t}) AS n_rows"
+    )
+)
+def ddl_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE statements fetched from the catalog and decomposed in one projection."""
+    here = Estate(spark, sf_dir, *TABLES)
+    names = [here.source(t) for t in TABLES]
+    clauses = ddl.decompose(fetch_ddl(spark, names)).filter("table_schema <> '' AND object_type = 'table'")
+    return clauses.select(
+        "name",
+        F.col("using").alias("using_format"),
+        F.substring_index("location", "/", -1).alias("file_name"),
+    ).join(_row_counts(here, names), "name")
+
+
 _VIEW_TABLES = ("orders", "lineitem", "events", "documents")
 
 

@@ -13,7 +13,7 @@ from registry import query, read
 from registry.movement import SOURCE, TARGET, Estate, done
 from tablemove.functions import ddl
 from tablemove.functions.names import split_names_column, target_name_column
-from tablemove.functions.paths import between
+from tablemove.functions.paths import PLATFORM_ROOT_SOURCES, between
 from tablemove.functions.properties import parse_properties
 from tablemove.operators import copy, drift, locations, markers, validate, views
 from tablemove.sources.inventory import filter_kind, inventory, with_effective_format
@@ -235,10 +235,11 @@ _PAGE_OBJECTS = """
 """
 
 # Hosts are mounts, except those of blogs; a host's English pages are a mount below it.
+_ROOT = PLATFORM_ROOT_SOURCES[0]
 _PAGE_MOUNTS = """
     SELECT DISTINCT concat('/mnt/', split_part(url, '/', 3)) AS mount_point,
            CASE WHEN split_part(url, '/', 3) LIKE 'm.%' THEN concat('wasbs://c@', split_part(url, '/', 3), '/root')
-                WHEN split_part(url, '/', 3) LIKE 'www.%' THEN 'DatabricksRoot'
+                WHEN split_part(url, '/', 3) LIKE 'www.%' THEN '{root}'
                 ELSE concat('abfss://', split_part(split_part(url, '/', 3), '.', 1), '@acct.host/',
                             split_part(url, '/', 3), '/') END AS source
     FROM {pages} WHERE split_part(url, '/', 3) NOT LIKE 'blog.%'
@@ -246,7 +247,7 @@ _PAGE_MOUNTS = """
     SELECT DISTINCT concat('/mnt/', split_part(url, '/', 3), '/en/') AS mount_point,
            concat('abfss://en@acct.host/', split_part(url, '/', 3)) AS source
     FROM {pages} WHERE split_part(url, '/', 4) = 'en' AND split_part(url, '/', 3) NOT LIKE 'www.%'
-"""
+""".replace("{root}", _ROOT)
 
 # Cloud locations in use: per host one for its root (twice for short hosts), one per language, one parent.
 _PAGE_EXTERNAL = """
@@ -265,7 +266,7 @@ _PAGE_EXTERNAL = """
 _ORACLE_PAGES = f"""
     WITH objects AS ({_PAGE_OBJECTS.replace('{pages}', 'pages')}),
     mounts AS (SELECT rtrim(mount_point, '/') AS mount_point, min(rtrim(source, '/')) AS source
-               FROM ({_PAGE_MOUNTS.replace('{pages}', 'pages')}) WHERE source <> 'DatabricksRoot' GROUP BY 1),
+               FROM ({_PAGE_MOUNTS.replace('{pages}', 'pages')}) WHERE source <> '{_ROOT}' GROUP BY 1),
     ext AS (SELECT name, rtrim(url, '/') AS url FROM ({_PAGE_EXTERNAL.replace('{pages}', 'pages')})),
     placed AS (
         SELECT o.id, any_value(o.object_type) AS object_type, any_value(o.location) AS location,

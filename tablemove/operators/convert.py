@@ -22,6 +22,7 @@ def convert_format(
     table: str | ObjectName,
     to: str = "delta",
     analyze: bool = False,
+    level: str = "fingerprint",
     marker: str = "properties",
     by_at: tuple[str, datetime] | None = None,
 ) -> Outcome:
@@ -50,7 +51,7 @@ def convert_format(
             outcome.statement = f"CONVERT TO DELTA {table_sql(spark, table)} NO STATISTICS"
             spark.sql(outcome.statement)
         else:
-            _rewrite(spark, table, about, to, outcome)
+            _rewrite(spark, table, about, to, level, outcome)
         repair(spark, table, bool(about["partition_cols"]) and to != "delta")
         converted = describe(spark, table)
         if (converted["provider"] or "").lower() != to:
@@ -63,11 +64,13 @@ def convert_format(
     return attempt("convert", table, table, work)
 
 
-def _rewrite(spark: SparkSession, table: ObjectName, about: dict, to: str, outcome: Outcome) -> None:
+def _rewrite(
+    spark: SparkSession, table: ObjectName, about: dict, to: str, level: str, outcome: Outcome
+) -> None:
     external = about["object_type"] == EXTERNAL
 
     def write(name: ObjectName, where: str | None) -> tuple[int, ...]:
-        outcome.statement, wrote = duplicate(spark, table, about, name, where, to)
+        outcome.statement, wrote = duplicate(spark, table, about, name, where, to, level)
         if about["comment"]:
             spark.sql(f"COMMENT ON TABLE {table_sql(spark, name)} IS {literal(about['comment'])}")
         return wrote
@@ -79,4 +82,5 @@ def _rewrite(spark: SparkSession, table: ObjectName, about: dict, to: str, outco
         write,
         spark.table(table_sql(spark, table)),
         bool(about["partition_cols"]),
+        level,
     )

@@ -8,8 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablemove.functions.fingerprint import FINGERPRINT_COLUMNS, fingerprint, row_hash
+from tablemove.functions.fingerprint import FINGERPRINT_COLUMNS, ROWS, fingerprint, row_hash
 from tablemove.functions.names import (
     ObjectName,
     literal,
@@ -21,11 +22,13 @@ from tablemove.functions.names import (
 from tablemove.operators import markers
 from tablemove.operators.outcome import CLONE, COPY, Outcome, attempt
 from tablemove.operators.validate import (
+    LEVELS,
     require_equal,
+    require_no_difference,
     schema_differences,
     take_fingerprint,
 )
-from tablemove.sources.formats import LOSSLESS_OPTIONS, check_writable, effective_format
+from tablemove.sources.formats import check_writable, effective_format, lossless_options
 from tablemove.sources.inventory import VIEW, describe, exists
 from tablemove.sources.workspace import unique
 
@@ -46,20 +49,22 @@ class Layout:
     rebalance: bool = False
 
 
-def measured(frame: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame with its fingerprint taken while it is written.
+def measured(frame: DataFrame, level: str = "fingerprint") -> tuple[DataFrame, Observation]:
+    """The frame with its fingerprint (or row count) taken while it is written.
 
     The observation sits on top of the plan, in the stage that writes, so a task that
     is run again after a lost executor is counted once and the source is read once.
     """
     observation = Observation()
+    if level == "count":
+        return frame.observe(observation, F.count(F.lit(1)).alias(ROWS)), observation
     hashed = frame.withColumn(_HASH, row_hash(frame.schema))
     return hashed.observe(observation, *fingerprint(F.col(_HASH))).drop(_HASH), observation
 
 
 def measured_fingerprint(observation: Observation) -> tuple[int, ...]:
     values = observation.get
-    return tuple(values[c] for c in FINGERPRINT_COLUMNS)
+    return tuple(values[c] for c in FINGERPRINT_COLUMNS if c in values)
 
 
 def repair(spark: SparkSession, name: str | ObjectName, partitioned: bool) -> None:
@@ -120,14 +125,17 @@ def publish(
     write: Callable[[ObjectName, str | None], tuple[int, ...]],
     frame: DataFrame,
     partitioned: bool,
+    level: str = "fingerprint",
 ) -> tuple[bool, int, int]:
     """Write and check a table, then make it visible as ``target``.
 
-    ``write(name, location)`` creates a table and returns the fingerprint of what it
-    wrote. A new target is written in place; an existing one is replaced only after
-    its successor has been read back and found equal.
+    ``write(name, location)`` creates a table and returns the fingerprint (or count) of
+    what it wrote. A new target is written in place; an existing one is replaced only
+    after its successor has been read back and found equal at ``level``.
     Returns whether a table was replaced, and the row counts of both sides.
     """
+    if level not in LEVELS:
+        raise ValueError(f"level must be one of {', '.join(LEVELS)}")
     replacing = exists(spark, target)
     if replacing and describe(spark, target)["object_type"] == VIEW:
         raise ValueError(f"{target} is a view")
@@ -141,8 +149,10 @@ def publish(
         differences = schema_differences(frame.schema, copy.schema)
         if differences:
             raise AssertionError("schemas are not matching: " + "; ".join(differences))
-        read = take_fingerprint(copy)
+        read = (copy.count(),) if level == "count" else take_fingerprint(copy)
         require_equal(wrote, read)
+        if level == "diff":
+            require_no_difference(frame, copy)
         if replacing:
             swap(spark, staged, target, read[0], partitioned)
     except Exception:
@@ -152,13 +162,18 @@ def publish(
 
 
 def save(
-    spark: SparkSession, frame: DataFrame, name: ObjectName, location: str | None, layout: Layout
+    spark: SparkSession,
+    frame: DataFrame,
+    name: ObjectName,
+    location: str | None,
+    layout: Layout,
+    level: str = "fingerprint",
 ) -> tuple[int, ...]:
     """Create a table from a frame; returns the fingerprint of the rows written."""
     if layout.rebalance and layout.partition_by:
         # Few files per partition, and a hot partition is split over several tasks.
         frame = frame.hint("rebalance", *[quote(c) for c in layout.partition_by])
-    counted, observation = measured(frame)
+    counted, observation = measured(frame, level)
     writer = counted.write.format(layout.fmt).options(**layout.options)
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
@@ -176,18 +191,20 @@ def save(
 
 def _layout(
     source: dict,
-    kept: set[str],
-    fmt: str | None,
-    options: dict[str, str] | None,
-    partition_by: list[str] | None,
+    schema: T.StructType,
+    fmt: str | None = None,
+    options: dict[str, str] | None = None,
+    partition_by: list[str] | None = None,
+    rebalance: bool | None = None,
 ) -> Layout:
     """Clauses of a copy: the user's, else the source's as far as its columns remain."""
+    kept = {c.lower() for c in schema.names}
     source_fmt = effective_format(source["provider"], source["serde"]) if source["provider"] else None
     target_fmt = (fmt or source_fmt or "parquet").lower()
     inherited = source["options"] if source_fmt == target_fmt else {}
     layout = Layout(
         fmt=target_fmt,
-        options={**LOSSLESS_OPTIONS.get(target_fmt, {}), **(inherited if options is None else options)},
+        options={**lossless_options(target_fmt, schema), **(inherited if options is None else options)},
     )
     if partition_by:
         layout.partition_by = list(partition_by)
@@ -200,7 +217,8 @@ def _layout(
             layout.bucket_by = source["bucket_cols"]
             layout.sort_by = [c for c in source["sort_cols"] if c.lower() in kept]
     # Files of a source with the same partitions already hold few partitions each.
-    layout.rebalance = layout.partition_by != source["partition_cols"]
+    changed = layout.partition_by != source["partition_cols"]
+    layout.rebalance = changed if rebalance is None else rebalance
     return layout
 
 
@@ -233,6 +251,8 @@ def ctas(
     comment: str | None = None,
     location: str | None = None,
     fmt: str | None = None,
+    rebalance: bool | None = None,
+    level: str = "fingerprint",
     marker: str = "properties",
     by_at: tuple[str, datetime] | None = None,
 ) -> Outcome:
@@ -241,6 +261,10 @@ def ctas(
     ``select`` is a list of SQL expressions (all columns by default). Clauses that are
     not given come from the source. ``location`` makes the target external; a
     replaced external target moves to a new folder beside it.
+
+    Rows are redistributed by the partition columns when these differ from the
+    source's, which is the only shuffle of a copy; ``rebalance`` decides otherwise.
+    ``level`` is the check before the target is visible, as in ``validate``.
     """
     source, target = ObjectName.parse(source), ObjectName.parse(target)
 
@@ -251,19 +275,19 @@ def ctas(
         about = describe(spark, source)
         outcome.source_object_type = about["object_type"]
         frame = spark.table(table_sql(spark, source)).selectExpr(*(select or ["*"]))
-        layout = _layout(about, {c.lower() for c in frame.columns}, fmt, options, partition_by)
+        layout = _layout(about, frame.schema, fmt, options, partition_by, rebalance)
         check_writable(spark, layout.fmt, frame.schema)
         carried = own_properties(about["properties"]) if about["object_type"] != VIEW else {}
 
         def write(name: ObjectName, where: str | None) -> tuple[int, ...]:
-            wrote = save(spark, frame, name, where, layout)
+            wrote = save(spark, frame, name, where, layout, level)
             _describe_metadata(
                 spark, name, {**carried, **(properties or {})}, about["comment"] if comment is None else comment
             )
             return wrote
 
         replaced, outcome.source_rows, outcome.target_rows = publish(
-            spark, target, location, write, frame, bool(layout.partition_by)
+            spark, target, location, write, frame, bool(layout.partition_by), level
         )
         if about["object_type"] != VIEW:
             markers.mark(spark, source, "ctas", str(target), "CTAS", marker, by_at)
@@ -316,6 +340,7 @@ def duplicate(
     name: ObjectName,
     location: str | None,
     fmt: str | None = None,
+    level: str = "fingerprint",
 ) -> tuple[str, tuple[int, ...]]:
     """Create ``name`` like ``source``, if wanted in another format, and fill it.
 
@@ -325,12 +350,12 @@ def duplicate(
     properties = own_properties(about["properties"])
     if session_sql(spark, name) and session_sql(spark, source):
         statement = create_like(spark, source, name, location, properties, fmt)
-        counted, observation = measured(frame)
+        counted, observation = measured(frame, level)
         counted.write.insertInto(table_sql(spark, name))
         return statement, measured_fingerprint(observation)
     # Other catalogs have no CREATE TABLE LIKE; the writer carries the same clauses.
-    layout = _layout(about, {c.lower() for c in frame.columns}, fmt, None, None)
-    wrote = save(spark, frame, name, location, layout)
+    layout = _layout(about, frame.schema, fmt)
+    wrote = save(spark, frame, name, location, layout, level)
     markers.set_properties(spark, name, properties)
     return _ctas_text(source, name, None, layout, location), wrote
 
@@ -340,6 +365,7 @@ def clone(
     source: str | ObjectName,
     target: str | ObjectName,
     location: str | None = None,
+    level: str = "fingerprint",
     marker: str = "properties",
     by_at: tuple[str, datetime] | None = None,
 ) -> Outcome:
@@ -360,7 +386,7 @@ def clone(
             raise ValueError(f"{source} is a view; clone copies tables")
 
         def write(name: ObjectName, where: str | None) -> tuple[int, ...]:
-            outcome.statement, wrote = duplicate(spark, source, about, name, where)
+            outcome.statement, wrote = duplicate(spark, source, about, name, where, level=level)
             return wrote
 
         replaced, outcome.source_rows, outcome.target_rows = publish(
@@ -370,6 +396,7 @@ def clone(
             write,
             spark.table(table_sql(spark, source)),
             bool(about["partition_cols"]),
+            level,
         )
         kind = "External" if location else "Managed"
         markers.mark(spark, source, "clone", str(target), f"{kind} table by clone", marker, by_at)

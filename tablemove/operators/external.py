@@ -92,14 +92,15 @@ def sync(
     mounts: DataFrame | None = None,
     place: tuple[str, str] | None = None,
     marker: str = "properties",
-    level: str = "fingerprint",
+    level: str = "count",
     by_at: tuple[str, datetime] | None = None,
 ) -> Outcome:
     """Make ``target`` an external table over the files of ``source``.
 
     A target that drifted in format or schema is created again if it is external; a
     managed one is an error, as dropping it would delete data. ``place`` is the
-    location and its resolution if a batch has resolved them already.
+    location and its resolution if a batch has resolved them already. Both tables read
+    the same files, so schema and count are compared by default, from file footers.
     """
     source, target = ObjectName.parse(source), ObjectName.parse(target)
 

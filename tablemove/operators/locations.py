@@ -317,7 +317,7 @@ def plan(
         candidates.filter("reason IS NULL").groupBy("name", "url").agg(F.min("__from").alias("__from"))
     )
     per_name = accepted.groupBy("name").agg(F.count(F.lit(1)).alias("__urls"))
-    planned = accepted.join(per_name, "name").select(
+    planned = lookup_join(accepted, prepare(per_name, small), ["name"], "inner").select(
         "name",
         "url",
         "__from",

@@ -203,14 +203,19 @@ def assert_equal(
         first, second = (left.count(),), (right.count(),)
     require_equal(first, second)
     if level == "diff":
-        summary = diff_summary(left, right).first()
-        if summary["missing_rows"] or summary["extra_rows"]:
-            raise AssertionError(
-                f"{summary['missing_rows']} rows are missing and {summary['extra_rows']} are extra"
-            )
+        require_no_difference(left, right)
     return first[0], second[0]
 
 
+def require_no_difference(source: DataFrame, target: DataFrame) -> None:
+    """Exact comparison; raises with the numbers of differing rows."""
+    summary = diff_summary(source, target).first()
+    if summary["missing_rows"] or summary["extra_rows"]:
+        raise AssertionError(
+            f"{summary['missing_rows']} rows are missing and {summary['extra_rows']} are extra"
+        )
+
+
 def require_equal(source: tuple[int, ...], target: tuple[int, ...]) -> None:
     """Compare two fingerprints (or two counts)."""
     if source[0] != target[0]:

@@ -10,7 +10,7 @@ from tablemove.functions.names import ObjectName, schema_sql, table_sql
 from tablemove.operators.outcome import COPY, Outcome, attempt
 from tablemove.operators.views import create_view
 from tablemove.plans.report import run_batch
-from tablemove.sources.formats import LOSSLESS_OPTIONS, check_writable
+from tablemove.sources.formats import check_writable, lossless_options
 from tablemove.sources.inventory import list_objects
 
 SEED_VIEW_ROWS = 100
@@ -29,7 +29,7 @@ def copy_table(
     def work(outcome: Outcome) -> None:
         frame = source if isinstance(source, DataFrame) else spark.table(table_sql(spark, source))
         check_writable(spark, fmt, frame.schema)
-        writer = frame.write.format(fmt).mode("overwrite").options(**LOSSLESS_OPTIONS.get(fmt, {}))
+        writer = frame.write.format(fmt).mode("overwrite").options(**lossless_options(fmt, frame.schema))
         if location:
             writer = writer.option("path", location)
         writer.saveAsTable(table_sql(spark, target))

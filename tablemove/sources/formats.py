@@ -75,6 +75,18 @@ def check_writable(spark: SparkSession, fmt: str, schema: T.StructType) -> None:
         raise ValueError(f"format {fmt} cannot hold columns {', '.join(rejected)}")
 
 
+def lossless_options(fmt: str, schema: T.StructType) -> dict[str, str]:
+    """Options for a new table of a text format.
+
+    Files whose values may hold line breaks cannot be split by a reader, so tables
+    without texts keep to single lines.
+    """
+    options = dict(LOSSLESS_OPTIONS.get(fmt.lower(), {}))
+    if not any(isinstance(f.dataType, (T.StringType, T.CharType, T.VarcharType)) for f in schema):
+        options.pop("multiLine", None)
+    return options
+
+
 def effective_format_column(provider: Column, serde: Column) -> Column:
     """Lower-case format of a table; NULL for a serde that is not supported."""
     serdes = F.create_map(*[F.lit(v) for pair in HIVE_SERDES.items() for v in pair])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
+from itertools import chain, islice
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from tablemove.functions.names import (
     table_sql,
 )
 from tablemove.sources.formats import effective_format_column
+from tablemove.sources.workspace import new_area
 
 COLUMN = T.StructType(
     [
@@ -176,20 +177,44 @@ def inventory(
 ) -> DataFrame:
     """Inventory of one or more schemas; a name that does not exist is an error.
 
-    Describing is one metadata command per object and runs from a thread pool. For
-    estates too large for one command list use :func:`snapshot`.
+    Describing is one metadata command per object and runs from a thread pool. Beyond
+    one chunk of objects the records go to the shared folder, so that the driver holds
+    one chunk at a time; :func:`snapshot` keeps them under a path of one's own.
     """
     schemas = split_names(schemas)
     require(catalog=catalog, schemas=schemas)
-    rows = [
-        record
-        for chunk in _describe_all(spark, _listed(spark, catalog, schemas, names), threads)
-        for record in chunk
-    ]
-    frame = spark.createDataFrame(rows, INVENTORY)
+    frame = _spooled(spark, _describe_all(spark, _listed(spark, catalog, schemas, names), threads))
     return filter_kind(frame, kind) if kind else frame
 
 
+def _spooled(spark: SparkSession, chunks: Iterator[list[dict]]) -> DataFrame:
+    """One chunk as local rows; more of them as Parquet files in the shared folder."""
+    first = next(chunks, [])
+    second = next(chunks, None)
+    frame = spark.createDataFrame(first, INVENTORY)
+    if second is None:
+        return frame
+    path = new_area(spark, "inventory")
+    frame.write.parquet(path)
+    for chunk in chain([second], chunks):
+        spark.createDataFrame(chunk, INVENTORY).write.mode("append").parquet(path)
+    return spark.read.schema(INVENTORY).parquet(path)
+
+
+def fetch_ddl(
+    spark: SparkSession, objects: Iterable[ObjectName], threads: int = METADATA_THREADS
+) -> DataFrame:
+    """CREATE statements of objects: ``catalog, schema, name, createtab_stmt``."""
+
+    def fetch(name: ObjectName) -> tuple[str, str, str, str]:
+        text = spark.sql(f"SHOW CREATE TABLE {table_sql(spark, name)}").first()[0]
+        return name.catalog, name.schema, name.name, text
+
+    with ThreadPoolExecutor(threads) as pool:
+        rows = list(pool.map(fetch, objects))
+    return spark.createDataFrame(rows, "catalog string, schema string, name string, createtab_stmt string")
+
+
 def snapshot(
     spark: SparkSession,
     catalog: str,

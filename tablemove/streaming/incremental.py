@@ -68,14 +68,21 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     )
 
 
-def _record(spark: SparkSession, state: _State, location: str) -> None:
-    list_files(spark, location).write.mode("append").parquet(state.listings)
+def _known(spark: SparkSession, state: _State) -> DataFrame:
+    """Every version of a file that an earlier run may have read."""
+    return spark.read.schema("path string, modificationTime timestamp, length long").parquet(state.listings)
+
+
+def _record(spark: SparkSession, state: _State, location: str, first: bool) -> None:
+    """Add the file versions that are not recorded yet."""
+    current = list_files(spark, location)
+    unseen = current if first else current.join(_known(spark, state), _LISTING, "left_anti")
+    unseen.write.mode("append").parquet(state.listings)
 
 
 def _rewritten(spark: SparkSession, state: _State, location: str) -> bool:
     """True when a file of an earlier run changed or is gone."""
-    known = spark.read.schema("path string, modificationTime timestamp, length long").parquet(state.listings)
-    gone = known.join(list_files(spark, location), _LISTING, "left_anti")
+    gone = _known(spark, state).join(list_files(spark, location), _LISTING, "left_anti")
     return not gone.isEmpty()
 
 
@@ -108,12 +115,12 @@ def clone_append(
             state = _State(root, unique("run"))
         # What may have been read is recorded on both sides of the run: a file that is
         # rewritten meanwhile leaves a version behind that the next run does not find.
-        _record(listing, state, about["location"])
+        _record(listing, state, about["location"], first=full)
         if full:
             kept = {STATE_PROPERTY: state.root, GENERATION_PROPERTY: state.generation}
             create_like(spark, source, target, None, {**own_properties(about["properties"]), **kept})
         _stream(spark, about, fmt, source, target, state)
-        _record(listing, state, about["location"])
+        _record(listing, state, about["location"], first=False)
         spark.sql(f"REFRESH TABLE {table_sql(spark, target)}")
         outcome.description = "all files copied" if full else "new files appended"
         outcome.source_rows, outcome.target_rows = assert_equal(spark, source, target, level)

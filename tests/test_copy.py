@@ -185,8 +185,25 @@ def test_hot_partition_is_split(spark, pair, monkeypatch):
 def test_same_partitions_are_not_shuffled(spark, pair):
     source = pair.make(pair.src("t"), PARTS, "USING parquet PARTITIONED BY (p)")
     about = describe(spark, source)
-    assert not copy._layout(about, {"id", "p", "s"}, None, None, None).rebalance
-    assert copy._layout(about, {"id", "p", "s"}, None, None, ["s"]).rebalance
+    schema = pair.read(source).schema
+    assert not copy._layout(about, schema).rebalance
+    assert copy._layout(about, schema, partition_by=["s"]).rebalance
+    assert not copy._layout(about, schema, partition_by=["s"], rebalance=False).rebalance
+
+
+@pytest.mark.parametrize("level", ["count", "fingerprint", "diff"])
+def test_levels_of_checking(spark, pair, level):
+    source = pair.make(pair.src("t"), PARTS)
+    for step in (copy.ctas, copy.clone):
+        outcome = ok(step(spark, source, pair.dst("t"), level=level))
+        assert (outcome.source_rows, outcome.target_rows) == (90, 90)
+    assert copy.clone(spark, source, pair.dst("u"), level="none").status_code == FAILED
+
+
+def test_csv_without_texts_can_be_split(spark, pair):
+    numbers = pair.make(pair.src("n"), "SELECT id FROM range(5)")
+    ok(copy.ctas(spark, numbers, pair.dst("n"), fmt="csv"))
+    assert "multiLine" not in describe(spark, pair.dst("n"))["options"]
 
 
 def test_clone_keeps_metadata_but_not_the_description(spark, pair):

@@ -3,16 +3,18 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from tablemove.functions.paths import PLATFORM_ROOT_SOURCES
 from tablemove.operators import locations
 from tablemove.operators.lookup import Lookup, fits_broadcast, lookup_join
 
+ROOT = PLATFORM_ROOT_SOURCES[0]
 MOUNTS = [
     ("/mnt/a", "abfss://one@acct.host/root/"),
     ("/mnt/a/b", "abfss://two@acct.host"),
     ("/mnt/ab", "abfss://one@acct.host/other"),
     ("/mnt/old", "wasbs://c@acct.host/x"),
     ("/mnt/s3", "s3a://bucket/x"),
-    ("/mnt/root", "DatabricksRoot"),
+    ("/mnt/root", ROOT),
     ("/mnt/clash", "abfss://one@elsewhere.host/x"),
 ]
 EXTERNAL = [
@@ -88,7 +90,7 @@ def test_mounted(inputs, small):
 def brute_force_pairs():
     for (point, source), (name, url) in itertools.product(MOUNTS, EXTERNAL):
         source, url = source.rstrip("/"), url.rstrip("/")
-        if source == "DatabricksRoot":
+        if source == ROOT:
             continue
         if source == url:
             yield point, name, "EQUAL"
@@ -106,7 +108,7 @@ def test_coverage(inputs, small):
     expected += [
         (point, None, "NOT_COVERED")
         for point, source in MOUNTS
-        if point not in covered and source != "DatabricksRoot"
+        if point not in covered and source != ROOT
     ]
     got = rows(locations.coverage(mounts, external_locations, small), "mount_point", "name", "coverage")
     assert got == sorted(expected, key=repr)
