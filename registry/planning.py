@@ -60,8 +60,9 @@ _COLUMNS_SQL = """
 
 _DRIFT_TARGETS = """
     SELECT l.l_orderkey AS key,
-           CASE min(l_returnflag) WHEN 'A' THEN 'orc' WHEN 'N' THEN 'PARQUET' ELSE 'parquet' END AS provider,
-           CASE max(l_linestatus) WHEN 'O' THEN 'EXTERNAL' ELSE 'MANAGED' END AS object_type,
+           CASE min(ascii(l_returnflag)) WHEN ascii('A') THEN 'orc' WHEN ascii('N') THEN 'PARQUET'
+                ELSE 'parquet' END AS provider,
+           CASE max(ascii(l_linestatus)) WHEN ascii('O') THEN 'EXTERNAL' ELSE 'MANAGED' END AS object_type,
            CASE WHEN sum(l_quantity) > 100 THEN 'decimal(12,2)' ELSE 'decimal(10,2)' END AS v_type
     FROM {lineitem} l GROUP BY l.l_orderkey
 """
@@ -151,6 +152,7 @@ def view_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('v_', o_orderkey) AS name",
         "CASE WHEN o_orderstatus = 'P' THEN 'MANAGED' ELSE 'VIEW' END AS object_type",
         "concat('SELECT * FROM src.sales.o_', o_orderkey) AS view_text",
+        "'src.sales' AS view_namespace",
     )
     target = spark.sql(
         "SELECT 'sales' AS schema, concat('v_', l_orderkey) AS name, 'VIEW' AS object_type, "

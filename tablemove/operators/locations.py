@@ -299,8 +299,9 @@ def plan(
     if mount_point:
         mounts = mounts.filter(strip_slash(F.col("mount_point")) == mount_point.rstrip("/"))
     used = mounted(tables, mounts, small)
-    # Partial aggregation leaves one row per mount before anything is shuffled.
-    sources = used.groupBy("mount_source").agg(F.min("mount_point").alias("mount_point"))
+    # Distinct pairs first: a hash aggregation leaves one row per mount before the shuffle.
+    pairs = used.select("mount_source", "mount_point").distinct()
+    sources = pairs.groupBy("mount_source").agg(F.min("mount_point").alias("mount_point"))
     source = F.concat(F.col("mount_source"), F.lit("/"))
     kind = scheme(F.col("mount_source"))
     container, host = between(source, "//", "@"), between(source, "//", "/")

@@ -34,12 +34,18 @@ def classify(
 ) -> DataFrame:
     """Action per view of two inventories: CREATE, REPLACE, IN_SYNC or ORPHAN.
 
-    Adds ``view_text``, the text the target should have.
+    Adds ``view_text``, the text the target should have, and ``view_namespace``, where
+    unqualified names in it are looked up.
     """
+
+    def moved(column: str) -> Column:
+        return rewritten(F.col(column), source_catalog, target_catalog, folded).alias(column)
+
     wanted = filter_kind(source, "view").select(
         F.lower("schema").alias("schema"),
         F.lower("name").alias("name"),
-        rewritten(F.col("view_text"), source_catalog, target_catalog, folded).alias("view_text"),
+        moved("view_text"),
+        moved("view_namespace"),
         F.lit(True).alias("__wanted"),
     )
     present = filter_kind(target, "view").select(
@@ -53,6 +59,7 @@ def classify(
         "schema",
         "name",
         "view_text",
+        "view_namespace",
         F.when(F.col("__wanted").isNull(), ORPHAN)
         .when(F.col("__present").isNull(), CREATE)
         .when(F.col("view_text").eqNullSafe(F.col("__current")), IN_SYNC)
@@ -70,9 +77,18 @@ def create_view(spark: SparkSession, name: str | ObjectName, text: str) -> str:
 
 
 def apply(
-    spark: SparkSession, source: ObjectName, target: ObjectName, action: str, text: str
+    spark: SparkSession,
+    source: ObjectName,
+    target: ObjectName,
+    action: str,
+    text: str,
+    namespace: str | None = None,
 ) -> Outcome:
-    """Bring one classified view about."""
+    """Bring one classified view about.
+
+    The view is created in a session of its own whose current schema is ``namespace``,
+    so unqualified names never meet the caller's schema or temporary views.
+    """
 
     def work(outcome: Outcome) -> None:
         outcome.source_object_type, outcome.action = "VIEW", action
@@ -82,7 +98,10 @@ def apply(
         folded = not is_registered(spark, source.catalog)
         if source.catalog != target.catalog and _still_names(spark, text, source.catalog, folded):
             raise ValueError(f"{_UNQUALIFIED} {source.catalog}")
-        outcome.statement = create_view(spark, target, text)
+        session = spark.newSession()
+        if namespace:
+            session.sql(f"USE {namespace}")
+        outcome.statement = create_view(session, target, text)
         spark.sql(f"REFRESH TABLE {table_sql(spark, target)}")
         outcome.description = "view created" if action == CREATE else "view replaced, texts differed"
 
@@ -117,6 +136,7 @@ def sync_all(
             ObjectName(target_catalog, target_schema or row["schema"], row["name"]),
             row["action"],
             row["view_text"],
+            row["view_namespace"],
         )
         for row in plan.filter(F.col("action") != ORPHAN).orderBy("schema", "name").toLocalIterator()
     ]

@@ -43,6 +43,7 @@ INVENTORY = T.StructType(
         T.StructField("location", T.StringType()),
         T.StructField("comment", T.StringType()),
         T.StructField("view_text", T.StringType()),
+        T.StructField("view_namespace", T.StringType()),
         T.StructField("partition_cols", T.ArrayType(T.StringType())),
         T.StructField("cluster_cols", T.ArrayType(T.StringType())),
         T.StructField("bucket_cols", T.ArrayType(T.StringType())),
@@ -105,6 +106,7 @@ def describe(spark: SparkSession, name: str | ObjectName) -> dict:
         "location": meta.get("location"),
         "comment": meta.get("comment"),
         "view_text": meta.get("view_text"),
+        "view_namespace": meta.get("view_catalog_and_namespace"),
         "partition_cols": meta.get("partition_columns") or [],
         "cluster_cols": meta.get("clustering_columns") or [],
         "bucket_cols": meta.get("bucket_columns") or [],

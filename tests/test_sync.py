@@ -95,6 +95,23 @@ def test_views_sync(spark, pair, source):
     assert (spark.catalog.currentCatalog(), spark.catalog.currentDatabase()) == current
 
 
+def test_unqualified_names_are_looked_up_in_the_target(spark, pair, source):
+    """They follow the view's own schema, never the caller's schema or temporary views."""
+    ok(copy.ctas(spark, source, pair.dst("t"), select=["id", "'dst' AS side"]))
+    session = spark.newSession()
+    session.sql(f"USE `src__{pair.schema}`")
+    session.sql("CREATE VIEW v AS SELECT count(*) AS n FROM t")
+    session.sql("CREATE VIEW w AS SELECT count(side) AS n FROM (SELECT id AS side FROM t)")
+    spark.range(5).createOrReplaceTempView("t")
+    try:
+        outcomes = migrate.sync_views(spark, "src", pair.schema, "dst")
+    finally:
+        spark.catalog.dropTempView("t")
+    assert [o.status_code for o in outcomes] == [SUCCESS, SUCCESS]
+    copy.drop(spark, source)
+    assert pair.rows(pair.dst("v")) == [(30,)]
+
+
 def test_view_over_a_missing_table_fails_alone(spark, pair, source):
     views.create_view(spark, pair.src("v1"), f"SELECT id FROM {pair.sql(source)}")
     views.create_view(spark, pair.src("v2"), "SELECT 1 AS x")
