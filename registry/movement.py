@@ -181,6 +181,13 @@ def ctas_select_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return here.read(here.target("lineitem"))
 
 
+@query("SELECT * FROM lineitem")
+def ctas_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    here = Estate(spark, sf_dir, "lineitem")
+    done(copy.ctas(spark, here.source("lineitem"), here.target("lineitem"), fmt="orc"))
+    return here.read(here.target("lineitem"))
+
+
 @query("SELECT * FROM part")
 def ctas_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     here = Estate(spark, sf_dir, "part")
@@ -208,6 +215,21 @@ def clone_managed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return here.read(here.target("lineitem"))
 
 
+@query(
+    "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows FROM lineitem"
+)
+def clone_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clone compared with its source row by row."""
+    here = Estate(spark, sf_dir, "lineitem")
+    source, target = here.source("lineitem"), here.target("lineitem")
+    done(copy.clone(spark, source, target, level="count"))
+    differences = validate.diff_summary(here.read(source), here.read(target))
+    rows = _row_counts(here, [target]).withColumn("on", F.lit(1))
+    return rows.join(differences.withColumn("on", F.lit(1)), "on").select(
+        "n_rows", "missing_rows", "extra_rows"
+    )
+
+
 @query(
     "SELECT vec_id, label, CAST(pos AS INTEGER) AS pos, CAST(embedding[pos + 1] AS DOUBLE) AS value "
     "FROM (SELECT *, unnest(range(len(embedding))) AS pos FROM embeddings)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -23,9 +24,13 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tablemove-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_root(application: str) -> str:
+    """One folder per local application, outside of any cluster."""
+    return tempfile.mkdtemp(prefix=f"tablemove-{application}-")
 
 
 def unique(label: str) -> str:
