@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import chain, islice
 
@@ -55,6 +55,10 @@ INVENTORY = T.StructType(
     ]
 )
 
+DDL_TEXTS = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("catalog", "schema", "name", "createtab_stmt")]
+)
+
 VIEW = "VIEW"
 EXTERNAL = "EXTERNAL"
 MANAGED = "MANAGED"
@@ -145,14 +149,14 @@ def exists(spark: SparkSession, name: str | ObjectName) -> bool:
     return spark.catalog.tableExists(table_sql(spark, name))
 
 
-def _describe_all(
-    spark: SparkSession, names: Iterable[ObjectName], threads: int
-) -> Iterator[list[dict]]:
-    """Describe objects in chunks, so that the driver holds one chunk at a time."""
+def _in_chunks(
+    read: Callable[[ObjectName], object], names: Iterable[ObjectName], threads: int
+) -> Iterator[list]:
+    """One metadata command per object, so that the driver holds one chunk at a time."""
     names = iter(names)
     with ThreadPoolExecutor(threads) as pool:
         while chunk := list(islice(names, CHUNK_OBJECTS)):
-            yield list(pool.map(lambda name: describe(spark, name), chunk))
+            yield list(pool.map(read, chunk))
 
 
 def _listed(
@@ -185,22 +189,23 @@ def inventory(
     """
     schemas = split_names(schemas)
     require(catalog=catalog, schemas=schemas)
-    frame = _spooled(spark, _describe_all(spark, _listed(spark, catalog, schemas, names), threads))
+    listed = _listed(spark, catalog, schemas, names)
+    frame = _spooled(spark, _in_chunks(lambda name: describe(spark, name), listed, threads), INVENTORY)
     return filter_kind(frame, kind) if kind else frame
 
 
-def _spooled(spark: SparkSession, chunks: Iterator[list[dict]]) -> DataFrame:
+def _spooled(spark: SparkSession, chunks: Iterator[list], schema: T.StructType) -> DataFrame:
     """One chunk as local rows; more of them as Parquet files in the shared folder."""
     first = next(chunks, [])
     second = next(chunks, None)
-    frame = spark.createDataFrame(first, INVENTORY)
+    frame = spark.createDataFrame(first, schema)
     if second is None:
         return frame
     path = new_area(spark, "inventory")
     frame.write.parquet(path)
     for chunk in chain([second], chunks):
-        spark.createDataFrame(chunk, INVENTORY).write.mode("append").parquet(path)
-    return spark.read.schema(INVENTORY).parquet(path)
+        spark.createDataFrame(chunk, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def fetch_ddl(
@@ -212,9 +217,7 @@ def fetch_ddl(
         text = spark.sql(f"SHOW CREATE TABLE {table_sql(spark, name)}").first()[0]
         return name.catalog, name.schema, name.name, text
 
-    with ThreadPoolExecutor(threads) as pool:
-        rows = list(pool.map(fetch, objects))
-    return spark.createDataFrame(rows, "catalog string, schema string, name string, createtab_stmt string")
+    return _spooled(spark, _in_chunks(fetch, objects, threads), DDL_TEXTS)
 
 
 def snapshot(
@@ -231,7 +234,8 @@ def snapshot(
     schemas = split_names(schemas)
     require(catalog=catalog, schemas=schemas, path=path)
     spark.createDataFrame([], INVENTORY).write.mode("overwrite").parquet(path)
-    for chunk in _describe_all(spark, _listed(spark, catalog, schemas, None), threads):
+    listed = _listed(spark, catalog, schemas, None)
+    for chunk in _in_chunks(lambda name: describe(spark, name), listed, threads):
         spark.createDataFrame(chunk, INVENTORY).write.mode("append").parquet(path)
     return spark.read.schema(INVENTORY).parquet(path)
 

@@ -58,6 +58,10 @@ def test_several_schemas_and_snapshot(spark, estate, monkeypatch):
     both = inv.inventory(spark, "src", [estate.schema, other.schema])
     assert names(both) == ["a", "b", "v", "z"]
     monkeypatch.setattr(inv, "CHUNK_OBJECTS", 2)
+    spooled = inv.inventory(spark, "src", [estate.schema, other.schema])
+    assert names(spooled) == names(both) and spooled.schema == inv.INVENTORY
+    texts = inv.fetch_ddl(spark, [estate.src("a"), estate.src("b"), other.src("z")])
+    assert texts.filter("createtab_stmt LIKE 'CREATE TABLE%'").count() == 3
     kept = inv.snapshot(spark, "src", f"{estate.schema}, {other.schema}", estate.area("inv"))
     assert names(kept) == names(both)
     assert kept.schema == inv.INVENTORY
