@@ -115,6 +115,23 @@ def _still_names(spark: SparkSession, text: str, catalog: str, folded: bool) ->
     return bool(spark.range(1).select(found).first()[0])
 
 
+def references(plan: DataFrame) -> DataFrame:
+    """Which views of a plan name which others: ``schema, name, uses``.
+
+    Words of a text that are names of other views; a word may mean something else, so
+    this orders the work and decides nothing.
+    """
+    words = plan.select(
+        "schema",
+        "name",
+        F.explode(
+            F.array_distinct(F.regexp_extract_all(F.lower("view_text"), F.lit(r"(\w+)"), F.lit(1)))
+        ).alias("uses"),
+    )
+    names = plan.select(F.col("name").alias("uses")).distinct()
+    return words.join(names, "uses", "left_semi").filter(F.col("uses") != F.col("name"))
+
+
 def sync_all(
     spark: SparkSession,
     source: DataFrame,
@@ -125,29 +142,36 @@ def sync_all(
 ) -> list[Outcome]:
     """Sync all views of an inventory, views that others read first.
 
-    A view over another view of the batch can only be created after it, so failed
-    views are tried again as long as a pass creates at least one more.
+    A pass takes the views that name no other view still to do, or all of them if
+    there are none such; failed ones are tried again as long as a pass gets further.
     """
     folded = not is_registered(spark, source_catalog)
     plan = classify(source, target, source_catalog, target_catalog, folded)
-    todo = [
-        (
+    plan = plan.filter(F.col("action") != ORPHAN)
+    uses: dict[tuple[str, str], set[str]] = {}
+    for row in references(plan).toLocalIterator():
+        uses.setdefault((row["schema"], row["name"]), set()).add(row["uses"])
+    todo = {
+        (row["schema"], row["name"]): (
             ObjectName(source_catalog, row["schema"], row["name"]),
             ObjectName(target_catalog, target_schema or row["schema"], row["name"]),
             row["action"],
             row["view_text"],
             row["view_namespace"],
         )
-        for row in plan.filter(F.col("action") != ORPHAN).orderBy("schema", "name").toLocalIterator()
-    ]
+        for row in plan.orderBy("schema", "name").toLocalIterator()
+    }
     done: list[Outcome] = []
     while todo:
-        tried = [(view, apply(spark, *view)) for view in todo]
-        done += [outcome for _, outcome in tried if not outcome.failed]
-        failed = [(view, outcome) for view, outcome in tried if outcome.failed]
-        if len(failed) == len(todo):
-            return done + [outcome for _, outcome in failed]
-        todo = [view for view, _ in failed]
+        waiting = {name for _, name in todo}
+        ready = [key for key in todo if not uses.get(key, set()) & waiting] or list(todo)
+        tried = {key: apply(spark, *todo[key]) for key in ready}
+        succeeded = [key for key, outcome in tried.items() if not outcome.failed]
+        if not succeeded and len(ready) == len(todo):
+            return done + list(tried.values())
+        if not succeeded:
+            # Names were misread or a view is broken: from here on try all that is left.
+            uses.clear()
+        done += [tried[key] for key in succeeded]
+        todo = {key: view for key, view in todo.items() if key not in succeeded}
     return done
-
-

@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,25 @@ def test_table_coverage(inputs, small):
     assert len(found) == len(OBJECTS)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_random_paths_against_brute_force(spark, small):
+    chance = random.Random(7)
+
+    def path(deepest):
+        return "/mnt/" + "/".join(chance.choice("abc") for _ in range(chance.randint(1, deepest)))
+
+    mounts = {path(4): f"abfss://c{i}@h/x{i}" for i in range(25)}
+    objects = [(i, "table", f"dbfs:{path(6)}") for i in range(400)]
+    frame = spark.createDataFrame(objects, "id int, object_type string, location string")
+    resolved = locations.resolve(frame, spark.createDataFrame(list(mounts.items()), locations.MOUNTS), small)
+    got = {r["id"]: r["external_location"] for r in resolved.collect()}
+    for i, _, location in objects:
+        plain = location.removeprefix("dbfs:")
+        above = [m for m in mounts if plain == m or plain.startswith(m + "/")]
+        best = max(above, key=len, default=None)
+        assert got[i] == (mounts[best] + plain[len(best):] if best else None)
+
+
 def tables_on(spark, *points):
     return spark.createDataFrame([(i, f"dbfs:{p}/t") for i, p in enumerate(points)], "id int, location string")
 

@@ -95,6 +95,19 @@ def test_views_sync(spark, pair, source):
     assert (spark.catalog.currentCatalog(), spark.catalog.currentDatabase()) == current
 
 
+def test_views_are_created_in_the_order_of_their_references(spark, pair, source, monkeypatch):
+    ok(external.sync(spark, source, pair.dst("t")))
+    views.create_view(spark, pair.src("z"), f"SELECT id FROM {pair.sql(source)}")
+    views.create_view(spark, pair.src("m"), f"SELECT id FROM {pair.sql(pair.src('z'))}")
+    views.create_view(spark, pair.src("a"), f"SELECT m.id FROM {pair.sql(pair.src('m'))} m JOIN {pair.sql(pair.src('z'))}")
+    tried = []
+    plain = views.apply
+    monkeypatch.setattr(views, "apply", lambda *v: tried.append(v[1].name) or plain(*v))
+    outcomes = migrate.sync_views(spark, "src", pair.schema, "dst")
+    assert [o.status_code for o in outcomes] == [SUCCESS] * 3
+    assert tried == ["z", "m", "a"]
+
+
 def test_unqualified_names_are_looked_up_in_the_target(spark, pair, source):
     """They follow the view's own schema, never the caller's schema or temporary views."""
     ok(copy.ctas(spark, source, pair.dst("t"), select=["id", "'dst' AS side"]))
