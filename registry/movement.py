@@ -16,6 +16,7 @@ from tablemove.operators.outcome import Outcome
 from tablemove.plans import migrate, report
 from tablemove.sources import estate
 from tablemove.sources.inventory import METADATA_THREADS, fetch_ddl, filter_kind, inventory
+from tablemove.sources.schemas import describe_schema
 from tablemove.sources.workspace import new_area, new_schema
 from tablemove.streaming import incremental
 
@@ -354,6 +355,55 @@ def external_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT name, marker, n_rows FROM (VALUES "
+    "('customer', 'upgraded', (SELECT count(*) FROM customer)), "
+    "('part', 'cloned', (SELECT count(*) FROM part)), "
+    "('supplier', 'synced', (SELECT count(*) FROM supplier))) AS v(name, marker, n_rows)"
+)
+def markers_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers that three kinds of moves leave on their sources, and the rows at the target."""
+    tables = ("customer", "part", "supplier")
+    here = Estate(spark, sf_dir, *tables)
+    steps = zip(tables, (copy.ctas, copy.clone, external.sync), strict=True)
+    done(*[step(spark, here.source(t), here.target(t)) for t, step in steps])
+    marks = inventory(spark, SOURCE, here.schema).select(
+        "name",
+        F.explode(
+            F.map_keys(
+                F.map_filter("properties", lambda k, v: k.endswith("_to") & v.startswith(TARGET + "."))
+            )
+        ).alias("key"),
+    )
+    return marks.select("name", F.regexp_replace("key", "_to$", "").alias("marker")).join(
+        _row_counts(here, [here.target(t) for t in tables]), "name"
+    )
+
+
+@query("SELECT true AS in_source_folder, true AS commented, count(*) AS n_rows FROM customer")
+def schema_provision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target schema derived from the source's, created, and filled by a sync."""
+    here = Estate(spark, sf_dir, "customer")
+    fresh = f"{TARGET}_{here.schema}"
+    done(*migrate.sync_external(spark, SOURCE, here.schema, fresh, create_schema=True))
+    source = describe_schema(spark, SOURCE, here.schema).select(
+        "database", F.concat_ws("/", "location", F.lit(here.schema)).alias("wanted")
+    )
+    described = spark.sql(f"DESCRIBE SCHEMA {schema_sql(spark, fresh, here.schema)}")
+    comment = described.filter("info_name = 'Comment'").select(F.lit(here.schema).alias("database"), "info_value")
+    rows = here.read(ObjectName(fresh, here.schema, "customer")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return (
+        source.join(describe_schema(spark, fresh, here.schema), "database")
+        .join(comment, "database")
+        .join(rows.withColumn("database", F.lit(here.schema)), "database")
+        .select(
+            (F.col("location") == F.col("wanted")).alias("in_source_folder"),
+            F.col("info_value").startswith("Migrated from ").alias("commented"),
+            "n_rows",
+        )
+    )
+
+
 @query(
     "SELECT run, action, CASE WHEN action <> 'IN_SYNC' THEN (SELECT count(*) FROM customer) END AS source_rows, "
     "CASE WHEN action <> 'IN_SYNC' THEN (SELECT count(*) FROM customer) END AS target_rows "

@@ -41,6 +41,19 @@ def test_ctas_inherits_clauses(spark, pair):
     assert {"upgraded_by", "upgraded_at", "upgraded_type"} <= set(marks)
 
 
+def test_ctas_inherits_clustering_and_buckets(spark, pair):
+    clustered, bucketed = pair.src("c"), pair.src("b")
+    spark.sql(f"CREATE TABLE {pair.sql(clustered)} (a BIGINT, b STRING) USING parquet CLUSTER BY (a)")
+    spark.sql(f"INSERT INTO {pair.sql(clustered)} SELECT id, 'x' FROM range(9)")
+    pair.make(bucketed, PARTS, "USING parquet CLUSTERED BY (id) SORTED BY (s) INTO 3 BUCKETS")
+    for source in (clustered, bucketed):
+        ok(copy.ctas(spark, source, pair.dst(source.name)))
+        assert_equal(spark, source, pair.dst(source.name), "diff")
+    assert describe(spark, pair.dst("c"))["cluster_cols"] == ["a"]
+    about = describe(spark, pair.dst("b"))
+    assert (about["n_buckets"], about["bucket_cols"], about["sort_cols"]) == (3, ["id"], ["s"])
+
+
 def test_user_clauses_win(spark, pair):
     source = pair.make(pair.src("t"), PARTS, "USING parquet PARTITIONED BY (p) COMMENT 'old'")
     ok(
