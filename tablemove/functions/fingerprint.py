@@ -48,8 +48,10 @@ def has_map(data_type: T.DataType) -> bool:
 
 
 def comparable(field: T.StructField) -> Column:
-    """The column in a form that can be grouped by."""
+    """The column in a form that can be grouped by, and equal only where it is the same."""
     column = F.col(_ref(field.name))
+    if isinstance(field.dataType, T.StringType) and field.dataType.simpleString() != "string":
+        return column.cast("binary")  # a collation may call different texts equal
     if isinstance(field.dataType, T.VariantType):
         return F.to_json(column)
     return _canonical(column, field.dataType)

@@ -86,7 +86,9 @@ def counts(
 
     A pair is labelled with its source's name unless ``names`` are given.
     """
-    return _by_pair(_labelled(spark, pairs, names), lambda frame: []).select("name", "source_rows", "target_rows", (F.col("source_rows") - F.col("target_rows")).alias("diff"))
+    counted = _by_pair(_labelled(spark, pairs, names), lambda frame: [])
+    difference = F.col("source_rows") - F.col("target_rows")
+    return counted.select("name", "source_rows", "target_rows", difference.alias("diff"))
 
 
 def fingerprints(
@@ -95,9 +97,11 @@ def fingerprints(
     names: list[str] | None = None,
 ) -> DataFrame:
     """Counts of pairs of tables and whether their contents agree, as one job."""
-    return _by_pair(
+    taken = _by_pair(
         _labelled(spark, pairs, names), lambda frame: fingerprint(row_hash(frame.schema))[1:]
-    ).select("name", "source_rows", "target_rows", (F.col("source_fp") == F.col("target_fp")).alias("same"))
+    )
+    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("source_fp") == F.col("target_fp"))
+    return taken.select("name", "source_rows", "target_rows", same.alias("same"))
 
 
 def _labelled(spark: SparkSession, pairs, names: list[str] | None) -> list[tuple[str, DataFrame, DataFrame]]:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from itertools import chain, islice
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,7 +126,7 @@ def _columns(spark: SparkSession, name: ObjectName) -> list[dict] | None:
     """Column records; NULL for a view whose tables are gone."""
     try:
         schema = schema_of(spark, name)
-    except AnalysisException:
+    except PySparkException:
         return None
     return [
         {

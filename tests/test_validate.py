@@ -67,6 +67,13 @@ def test_null_positions_do_not_collide(spark):
     assert not agree(a, b.select("x", F.col("y").cast("array<int>").alias("y")))
 
 
+def test_collations_do_not_hide_changes(spark):
+    left = spark.sql("SELECT CAST('abc' AS STRING COLLATE UTF8_LCASE) AS s")
+    right = spark.sql("SELECT CAST('ABC' AS STRING COLLATE UTF8_LCASE) AS s")
+    assert agree(left, left) and not agree(left, right)
+    assert validate.diff_summary(left, right).first()["missing_rows"] == 1
+
+
 def test_more_columns_than_one_flag_word(spark):
     wide = spark.range(3).select(*[F.when(F.col("id") != i % 3, F.col("id")).alias(f"c{i}") for i in range(130)])
     other = wide.withColumn("c129", F.coalesce("c129", F.lit(0)))
