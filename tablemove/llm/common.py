@@ -37,3 +37,12 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     path = new_area(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+#: Up to this many narrow rows are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def narrow(frame: DataFrame) -> DataFrame:
+    """A saved frame of a few numbers a row as a join side: broadcast if its counted rows are few."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame

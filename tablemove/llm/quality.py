@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: Measurements of a text; each is taken once and stored.
 MEASURES = (
@@ -125,10 +126,9 @@ def ledger(documents: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> Data
     carried along; other columns are not read. NULL texts measure as empty ones. A document
     is measured as a whole, and rows are independent, so there is no shuffle.
     """
-    wanted = list(dict.fromkeys((*columns, "text")))
-    source = documents.select(*wanted)
-    carried = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    schema = ", ".join([carried, *(f"{m} bigint" for m in MEASURES)])
+    source = documents.select(*columns, F.col("text").alias("text"))
+    carried = [source.schema[c] for c in columns]
+    schema = StructType([*carried, *(StructField(m, LongType()) for m in MEASURES)])
     measured = source.mapInArrow(_measured(columns), schema)
     bits = [F.when(F.expr(rule.fails), F.lit(1 << rule.bit)).otherwise(F.lit(0)) for rule in RULES]
     failures = bits[0]
@@ -159,5 +159,5 @@ def ablations(rows: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 
 def filter_documents(documents: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """The documents that the policy accepts, with all their columns."""
-    columns = tuple(dict.fromkeys((*documents.columns, "text")))
-    return ledger(documents, columns).filter(accepts(policy)).select(*documents.columns)
+    rows = documents.select("text", F.struct(*documents.columns).alias("row"))
+    return ledger(rows, ("row",)).filter(accepts(policy)).select("row.*")

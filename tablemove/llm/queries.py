@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemove.llm import chat, mixing, quality
+from tablemove.llm import chat, contamination, documents_near, lines, mixing, quality, tokens, urls, warc
 from tablemove.llm.common import table
+from tablemove.sources.workspace import new_area
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,25 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents_near.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    return urls.filter_urls(table(spark, sf_dir, "pages"), labels)
+
+
+@query()
+def op4_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "at", "windows", "of_windows", "same_values")
+
+
 _SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -85,6 +105,44 @@ def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.load())
+
+
+@query(
+    """
+    WITH p AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+    ), d AS (
+        SELECT h, min(page_id) AS first,
+               string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31)::INT + 1, 1), '' ORDER BY j, s DESC)
+                   AS digest
+        FROM (SELECT h, min(page_id) AS page_id, j, s, ('0x' || substr(h, 5 * j::INT + 1, 5))::BIGINT AS v
+              FROM p, (SELECT unnest(range(8)) AS j), (SELECT unnest([15, 10, 5, 0]) AS s)
+              GROUP BY h, j, s)
+        GROUP BY h
+    )
+    SELECT page_id, payload_bytes, digest AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to, true AS verified
+    FROM p JOIN d USING (h)
+    """
+)
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_area(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+@query()
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lines.deduplicated(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 @query(
     rf"""
     WITH sized AS (
