@@ -58,20 +58,25 @@ def _starts(size: Column, length: int) -> Column:
     return F.when(size >= length, F.sequence(F.lit(1), size - (length - 1))).otherwise(none)
 
 
+def _slice(array: Column, start: Column, length: int) -> list[Column]:
+    # Inside a lambda, slice() copies the whole array for each window; get() doesn't.
+    return [F.get(array, start + (j - 1)) for j in range(length)]
+
+
 def _slots(tokens: Column, template: Column, start: Column, length: int) -> Column:
     """The values at the placeholders of a window, in order."""
-    pairs = F.arrays_zip(
-        F.slice(tokens, start, F.lit(length)).alias("value"), F.slice(template, start, F.lit(length)).alias("kind")
-    )
+    values, kinds = _slice(tokens, start, length), _slice(template, start, length)
+    pairs = F.array(*[F.struct(v.alias("value"), k.alias("kind")) for v, k in zip(values, kinds, strict=True)])
     return F.transform(F.filter(pairs, lambda p: p["kind"].isin(_NAME, _NUMBER, _UNIT)), lambda p: F.lower(p["value"]))
 
 
 def _windows(frame: DataFrame, length: int, *keep: str) -> DataFrame:
-    """Rows of ``keep, at, template_words, slots`` for each window of a frame with tokens and template."""
+    """Rows of ``keep, at, words, hash, slots`` for each window of a frame with tokens and template."""
     tokens, template = F.col("tokens"), F.col("template")
     window = lambda start: F.struct(
         start.alias("at"),
-        F.slice(template, start, F.lit(length)).alias("words"),
+        F.array(*_slice(template, start, length)).alias("words"),
+        F.xxhash64(*_slice(template, start, length)).alias("hash"),
         _slots(tokens, template, start, length).alias("slots"),
     )
     return frame.select(*keep, F.inline(F.transform(_starts(F.size("template"), length), window)))
@@ -82,8 +87,10 @@ def _canonical(frame: DataFrame, *keep: str) -> DataFrame:
     return tokens.withColumn("template", template_of(F.col("tokens")))
 
 
-def _hash(words: Column | str, length: int) -> Column:
-    return F.xxhash64(words, F.lit(length))
+def _hashes(template: Column, length: int) -> Column:
+    """Hashes of all windows of a template."""
+    at = _starts(F.size(template), length)
+    return F.transform(at, lambda start: F.xxhash64(*_slice(template, start, length)))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) -> DataFrame:
@@ -118,7 +125,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
             F.col("words").alias("item_window"),
             F.col("slots").alias("item_slots"),
             "length",
-            F.xxhash64("words", "length").alias("hash"),
+            F.col("hash"),
         ),
         "benchmark_windows",
     )
@@ -128,10 +135,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
     hashes = narrow(known.select("hash").distinct())
     hits = None
     for n in lengths:
-        hashed = F.transform(
-            _starts(F.size("template"), n), lambda s, n=n: _hash(F.slice("template", s, F.lit(n)), n)
-        )
-        own = canonical.select("k1", "k2", F.explode(F.array_distinct(hashed)).alias("hash"))
+        own = canonical.select("k1", "k2", F.explode(_hashes(F.col("template"), n)).alias("hash"))
         own = own.join(hashes, "hash", "left_semi").select("k1", "k2")
         hits = own if hits is None else hits.union(own)
     touched = saved(hits.distinct(), "touched_documents")
@@ -140,7 +144,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
     chosen = _canonical(docs.join(touched, ["k1", "k2"], "left_semi"), "doc_id", "k1", "k2")
     found = None
     for n in lengths:
-        own = _windows(chosen, n, "doc_id", "k1", "k2").withColumn("hash", _hash(F.col("words"), n))
+        own = _windows(chosen, n, "doc_id", "k1", "k2")
         own = own.join(known.filter(F.col("length") == n), "hash").filter(F.col("words") == F.col("item_window"))
         found = own if found is None else found.unionByName(own)
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))

@@ -87,10 +87,10 @@ def prob_minhash(items: np.ndarray, weights: np.ndarray, registers: int) -> np.n
     times = np.full(registers, np.inf)
     kept = np.zeros(registers, np.uint64)
     active, scale, now = items, 1.0 / weights, np.zeros(items.size)
-    number = np.uint64(0)
+    number = np.zeros(1, np.uint64)
     while active.size:
-        number += np.uint64(1)
-        draw = mixed(active + number * _ODD)
+        number += _ODD
+        draw = mixed(active + number)
         now = now - scale * np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53)
         place = (mixed(draw + _ODD) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(times, place, now)
