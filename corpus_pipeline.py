@@ -1,10 +1,10 @@
-"""A pipeline over ``documents``, stage by stage, each written and read again."""
+"""A corpus pipeline over ``documents``: each stage is written and read again as the next one's input."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemove.llm import mixing, quality
+from tablemove.llm import contamination, documents_near, lines, mixing, quality
 from tablemove.llm.common import saved, table
 
 
@@ -13,6 +13,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_documents(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One line of each class of similar lines stays; ``n_chars`` follows the text."""
+    return lines.deduplicate(docs, lengths="n_chars")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return documents_near.keep_one(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or with other values, go."""
+    return contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How often, and for how many words, the mix takes each document."""
     return mixing.mix(docs)
@@ -20,11 +35,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("benchmark_leaks", benchmark_leaks),
     ("mix_sources", mix_sources),
 ]
 
+#: Similar lines and documents are classes of a graph, which SQL doesn't express.
+ORACLE_SQL = None
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each over all that its predecessor kept."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)

@@ -181,7 +181,19 @@ def deduplicated(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     return joined.mapInArrow(_rebuilt, schema)
 
 
-def deduplicate(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
-    """The documents with all their columns, and the lines removed from their texts."""
+def deduplicate(documents: DataFrame, fuzzy: Fuzzy = Fuzzy(), lengths: str | None = None) -> DataFrame:
+    """The documents with all their columns, and the lines removed from their texts.
+
+    ``lengths`` names a column that holds the length of the text in characters, if there is one.
+    """
     rows = deduplicated(documents, fuzzy)
-    return rows.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        if name == lengths:
+            own = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col(f"row.`{name}`"))
+            return own.cast(documents.schema[name].dataType).alias(name)
+        return F.col(f"row.`{name}`")
+
+    return rows.select(*[column(name) for name in documents.columns])

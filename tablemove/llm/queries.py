@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemove.llm import chat, contamination, documents_near, lines, mixing, quality, tokens, urls, warc
+import corpus_pipeline
+from tablemove.llm import (
+    chat,
+    contamination,
+    documents_near,
+    lines,
+    mixing,
+    quality,
+    repeats,
+    tokens,
+    urls,
+    warc,
+)
 from tablemove.llm.common import table
 from tablemove.sources.workspace import new_area
 
@@ -29,6 +41,19 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    size = F.octet_length(F.coalesce("row.text", F.lit(""))).cast("long")
+    return found.select(
+        "row.doc_id",
+        size.alias("n_bytes"),
+        (size - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_near.duplicate_classes(table(spark, sf_dir, "documents"))
@@ -215,3 +240,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], given.schema)
     return chat.digest_chats(chat.format_chats(given.unionByName(own)))
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
