@@ -18,7 +18,7 @@ UNITS = (
 )
 #: A capitalised word that doesn't begin a sentence; the mark put before it makes it a name.
 _NAMED = r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})"
-_TOKEN = r"⟨?\p{L}[\p{L}\p{M}]*|\p{N}+(?:[.,:/]\p{N}+)*"
+_TOKEN = r"⟨?\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,:/]\p{N}+)*"
 
 
 @dataclass(frozen=True)
