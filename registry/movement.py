@@ -294,14 +294,13 @@ def convert_to_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return here.read(mine)
 
 
-@query("SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate, l_linestatus FROM lineitem")
+@query("SELECT * FROM lineitem")
 def convert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A partitioned Parquet table converted in place keeps its partitions."""
     here = Estate(spark, sf_dir, "lineitem")
     mine = here.target("lineitem")
-    columns = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate", "l_linestatus"]
     done(
-        copy.ctas(spark, here.source("lineitem"), mine, select=columns, partition_by=["l_linestatus"]),
+        copy.ctas(spark, here.source("lineitem"), mine, partition_by=["l_linestatus"]),
         convert.convert_format(spark, mine, "orc"),
     )
     return here.read(mine)
@@ -496,13 +495,12 @@ def copy_as_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roundtrip(spark, sf_dir, "pages", "orc")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")
+@query("SELECT * FROM lineitem")
 def copy_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buckets and their order are inherited by a copy."""
     here = Estate(spark, sf_dir, "lineitem")
     bucketed = here.source("bucketed")
-    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
-    here.read(here.source("lineitem")).select(*columns).write.bucketBy(8, "l_orderkey").sortBy(
+    here.read(here.source("lineitem")).write.bucketBy(8, "l_orderkey").sortBy(
         "l_orderkey"
     ).saveAsTable(table_sql(spark, bucketed))
     done(copy.ctas(spark, bucketed, here.target("bucketed")))

@@ -573,14 +573,15 @@ def validate_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH c AS ({_ORACLE_CHANGED}), s AS (
         SELECT *, count(*) AS n FROM orders GROUP BY ALL), t AS (SELECT *, count(*) AS n FROM c GROUP BY ALL)
-    SELECT o_orderkey, o_totalprice, coalesce(s.n, 0) AS n_source, coalesce(t.n, 0) AS n_target
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, coalesce(s.n, 0) AS n_source, coalesce(t.n, 0) AS n_target
     FROM s FULL JOIN t USING (o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)
     WHERE coalesce(s.n, 0) <> coalesce(t.n, 0)
     """
 )
 def validate_diff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.content_diff(*_changed(spark, sf_dir)).select(
-        "o_orderkey", "o_totalprice", "n_source", "n_target"
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "n_source",
+        "n_target",
     )
 
 

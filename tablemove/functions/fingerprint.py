@@ -53,7 +53,7 @@ def comparable(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType) and field.dataType.simpleString() != "string":
         return column.cast("binary")  # a collation may call different texts equal
     if isinstance(field.dataType, T.VariantType):
-        return F.to_json(column)
+        return F.struct(*_plain(column, field.dataType))
     return _canonical(column, field.dataType)
 
 
@@ -61,17 +61,47 @@ def _ref(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _value_hash(value: Column, data_type: T.DataType) -> Column:
+    """64-bit hash of a value of any type; NULLs and sizes count at every level.
+
+    Spark's own hash skips NULLs and array bounds, and cannot take maps.
+    """
+    if isinstance(data_type, T.ArrayType):
+        elements = F.transform(value, lambda e: _value_hash(e, data_type.elementType))
+        return F.xxhash64(F.size(value), value.isNull(), elements)
+    if isinstance(data_type, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(_value_hash(e["key"], data_type.keyType), _value_hash(e["value"], data_type.valueType)),
+        )
+        return F.xxhash64(F.size(value), value.isNull(), F.sort_array(entries))
+    if isinstance(data_type, T.StructType):
+        return F.xxhash64(value.isNull(), *[_value_hash(value[f.name], f.dataType) for f in data_type])
+    return F.xxhash64(value.isNull(), *_plain(value, data_type))
+
+
+def _plain(value: Column, data_type: T.DataType) -> list[Column]:
+    """A value that is no array, map or struct, in columns that Spark can hash."""
+    if isinstance(data_type, T.VariantType):
+        # The text of a variant does not tell its types.
+        return [F.schema_of_variant(value), F.to_json(value)]
+    if isinstance(data_type, T.StringType) and data_type.simpleString() != "string":
+        return [value.cast("binary")]
+    return [value]
+
+
 def _hash_inputs(field: T.StructField) -> list[Column]:
     column, data_type = F.col(_ref(field.name)), field.dataType
-    if isinstance(data_type, T.ArrayType) and not isinstance(
-        data_type.elementType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    ):
-        # The hash skips NULL elements and array bounds, so both are hashed as well.
-        nulls = F.transform(column, lambda e: e.isNull()) if data_type.containsNull else F.lit(0)
-        return [F.size(column), column, nulls]
+    if isinstance(data_type, T.ArrayType) and not data_type.containsNull and _is_plain(data_type.elementType):
+        return [F.size(column), column]
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
-        return [F.to_json(F.struct(_canonical(column, data_type).alias("v")))]
-    return [comparable(field)]
+        return [_value_hash(column, data_type)]
+    return _plain(column, data_type)
+
+
+def _is_plain(data_type: T.DataType) -> bool:
+    nested = isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+    return not nested and (not isinstance(data_type, T.StringType) or data_type.simpleString() == "string")
 
 
 def row_hash(schema: T.StructType) -> Column:

@@ -30,7 +30,7 @@ from tablemove.operators.validate import (
 )
 from tablemove.sources.formats import check_writable, effective_format, lossless_options
 from tablemove.sources.inventory import VIEW, describe, exists
-from tablemove.sources.workspace import unique
+from tablemove.sources.workspace import is_empty, remove, unique
 
 _HASH = "__row_hash"
 
@@ -101,23 +101,47 @@ def swap(
     """Put ``staging`` in the place of ``target``; the old table is dropped last.
 
     There is a short moment between the two renames in which ``target`` does not
-    exist. If the result does not hold ``rows`` rows the old table is put back.
+    exist. Whatever step fails, and if the result does not hold ``rows`` rows, both
+    tables go back to where they were.
     """
     old = target.renamed(unique(f"{target.name}__old"))
     was_partitioned = bool(describe(spark, target)["partition_cols"])
-    rename(spark, target, old, was_partitioned)
     try:
+        rename(spark, target, old, was_partitioned)
         rename(spark, staging, target, partitioned)
         found = spark.table(table_sql(spark, target)).count()
         if found != rows:
-            rename(spark, target, staging, partitioned)
             raise AssertionError(f"{target} holds {found} of {rows} rows after the swap")
-    except Exception:
-        rename(spark, old, target, was_partitioned)
+    except Exception as cause:
+        put_back(spark, staging, target, old, partitioned, was_partitioned, cause)
         raise
     drop(spark, old)
 
 
+def put_back(
+    spark: SparkSession,
+    staging: ObjectName,
+    target: ObjectName,
+    old: ObjectName,
+    partitioned: bool,
+    was_partitioned: bool,
+    cause: Exception,
+) -> None:
+    """Undo the renames of a swap as far as they were done; ``cause`` stays the error.
+
+    A rename that failed in its repair has still moved the table, so what is done is
+    read from the catalog.
+    """
+    try:
+        if not exists(spark, old):
+            return
+        if exists(spark, target):
+            rename(spark, target, staging, partitioned)
+        rename(spark, old, target, was_partitioned)
+    except Exception as error:  # the first error is the one to report
+        cause.add_note(f"putting {old} back as {target} failed as well: {error}")
+
+
 def _scan(frame: DataFrame, level: str) -> tuple[int, ...]:
     return (frame.count(),) if level == "count" else take_fingerprint(frame)
 
@@ -146,6 +170,9 @@ def publish(
     staged = target.renamed(unique(f"{target.name}__staging")) if replacing else target
     if replacing and location:
         location = replacement_location(location)
+    elif location and not is_empty(spark, location):
+        # Writing would add to these files, and a failure could not be undone.
+        raise ValueError(f"{location} is not empty")
     try:
         wrote = write(staged, location)
         repair(spark, staged, partitioned and bool(location))
@@ -164,6 +191,9 @@ def publish(
             swap(spark, staged, target, read[0], partitioned)
     except Exception:
         drop(spark, staged)
+        if location:
+            # The folder was empty, so all that is in it is what failed here.
+            remove(spark, location)
         raise
     return replacing, wrote[0], read[0]
 
@@ -239,12 +269,23 @@ def _describe_metadata(
 
 # Properties the catalog sets itself and refuses in TBLPROPERTIES.
 _RESERVED = {"owner", "provider", "location", "comment", "collation", "external", "is_managed_location"}
+# Properties that belong to one table: its layout, and the state of its incremental clone.
+STATE_PROPERTY = "tablemove.incremental.state"
+# Fixed value: what Spark shows in place of a secret.
+_REDACTED = "*********(redacted)"
+_NOT_INHERITED = _RESERVED | {"clusteringColumns", STATE_PROPERTY}
 
 
 def own_properties(properties: dict[str, str]) -> dict[str, str]:
-    """Properties to carry over: no markers of earlier moves, nothing the catalog sets."""
-    prefixes = tuple(f"{p}_" for p in markers.PREFIXES.values()) + ("roll_backed_", "clusteringColumns")
-    return {k: v for k, v in properties.items() if k not in _RESERVED and not k.startswith(prefixes)}
+    """Properties to carry over: no markers of earlier moves, nothing the catalog sets.
+
+    A value that Spark redacts as a secret cannot be read, and isn't replaced by the mask.
+    """
+    return {
+        k: v
+        for k, v in properties.items()
+        if k not in _NOT_INHERITED and k not in markers.KEYS and v != _REDACTED
+    }
 
 
 def ctas(

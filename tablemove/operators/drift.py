@@ -48,8 +48,8 @@ def classify(source: DataFrame, target: DataFrame) -> DataFrame:
     """Action per table of two inventories, matched by schema and name.
 
     CREATE (no target), IN_SYNC, RECREATE (drifted external target), BLOCKED (drifted
-    managed target, or a source format that is not supported), ORPHAN (no source).
-    ``reason`` is FORMAT, SCHEMA, MISSING or UNSUPPORTED.
+    managed target, a source format that is not supported, or columns that are not known),
+    ORPHAN (no source). ``reason`` is FORMAT, SCHEMA, MISSING, UNSUPPORTED or UNKNOWN.
     """
     joined = _side(source, "s").join(_side(target, "t"), ["schema", "name"], "full_outer")
     has_source, has_target = F.col("s").isNotNull(), F.col("t").isNotNull()
@@ -58,6 +58,7 @@ def classify(source: DataFrame, target: DataFrame) -> DataFrame:
         F.when(~has_source | (~has_target & ~unsupported), "MISSING")
         .when(unsupported, "UNSUPPORTED")
         .when(~F.col("s.fmt").eqNullSafe(F.col("t.fmt")), "FORMAT")
+        .when(F.col("s.shape").isNull() | F.col("t.shape").isNull(), "UNKNOWN")
         .when(~F.col("s.shape").eqNullSafe(F.col("t.shape")), "SCHEMA")
     )
     decided = joined.select(
@@ -77,7 +78,7 @@ def classify(source: DataFrame, target: DataFrame) -> DataFrame:
         F.when(~F.col("__has_source"), ORPHAN)
         .when(F.col("reason").isNull(), IN_SYNC)
         .when(F.col("reason") == "MISSING", CREATE)
-        .when(F.col("reason") == "UNSUPPORTED", BLOCKED)
+        .when(F.col("reason").isin("UNSUPPORTED", "UNKNOWN"), BLOCKED)
         .when(F.col("__external"), RECREATE)
         .otherwise(BLOCKED)
         .alias("action"),

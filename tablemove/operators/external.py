@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablemove.functions.names import ObjectName, literal, quote, table_sql
 from tablemove.operators import markers
-from tablemove.operators.copy import drop, rename, repair
+from tablemove.operators.copy import drop, put_back, rename, repair
 from tablemove.operators.drift import BLOCKED, CREATE, IN_SYNC, RECREATE
 from tablemove.operators.locations import NEEDS_DATA_MOVEMENT, UNCHANGED, resolve
 from tablemove.operators.outcome import Outcome, attempt
@@ -69,7 +70,7 @@ def resolve_location(spark: SparkSession, about: dict, mounts: DataFrame | None)
     return row["external_location"], row["resolution"]
 
 
-def _drift(source: dict, target: dict, fmt: str) -> str | None:
+def _drift(source: dict, target: dict, fmt: str, location: str) -> str | None:
     """Why a target has to be created again; None when it is in sync."""
     target_fmt = (target["provider"] or "").lower()
     if not target_fmt:
@@ -78,13 +79,31 @@ def _drift(source: dict, target: dict, fmt: str) -> str | None:
         return f"formats differ (target is {target_fmt}, source is {fmt})"
 
     def shape(about: dict) -> list[tuple[str, str]]:
+        if not about["columns"]:
+            raise ValueError(f"the columns of {about['name']} are not known")
         return [(c["name"].lower(), c["type"]) for c in about["columns"]]
 
+    def layout(about: dict) -> tuple:
+        options = {k.lower(): v for k, v in (about["options"] or {}).items() if k.lower() != "path"}
+        return [c.lower() for c in about["partition_cols"] or []], options
+
     if shape(target) != shape(source):
         return "schemas differ"
+    if _same_place(target["location"]) != _same_place(location):
+        return f"locations differ (target is at {target['location']}, source is at {location})"
+    if layout(target) != layout(source):
+        return "partitioning or options differ"
     return None
 
 
+def _same_place(location: str | None) -> str | None:
+    """A location in one spelling: no trailing slash, ``file:/`` for ``file:///`` and plain paths."""
+    if not location:
+        return location
+    plain = re.sub("^file:/+", "/", location)
+    return plain.rstrip("/") or "/"
+
+
 def sync(
     spark: SparkSession,
     source: str | ObjectName,
@@ -125,7 +144,7 @@ def sync(
             outcome.statement = create(target)
         else:
             current = describe(spark, target)
-            reason = _drift(about, current, fmt)
+            reason = _drift(about, current, fmt, location)
             if reason is None:
                 outcome.action, outcome.description = IN_SYNC, "no action required, tables are in sync"
                 repair(spark, target, bool(partitions) and fmt != "delta")
@@ -150,11 +169,11 @@ def recreate(spark: SparkSession, target: ObjectName, create, partitioned: bool)
     old = target.renamed(unique(f"{target.name}__old"))
     statement = create(staging)
     was_partitioned = bool(describe(spark, target)["partition_cols"])
-    rename(spark, target, old, was_partitioned)
     try:
+        rename(spark, target, old, was_partitioned)
         rename(spark, staging, target, partitioned)
-    except Exception:
-        rename(spark, old, target, was_partitioned)
+    except Exception as cause:
+        put_back(spark, staging, target, old, partitioned, was_partitioned, cause)
         drop(spark, staging)
         raise
     drop(spark, old)

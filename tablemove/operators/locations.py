@@ -54,25 +54,37 @@ _LOCATION_COMMENT = "Created from mount point {mount_point} with mount source {s
 
 
 def usable_mounts(mounts: DataFrame, ignore_sources: tuple[str, ...] = PLATFORM_ROOT_SOURCES) -> DataFrame:
-    """Mounts with normalised slashes, without platform roots, one row per mount point."""
-    kept = mounts.filter(~F.col("source").isin(*ignore_sources))
-    return (
-        kept.select(
-            strip_slash(F.col("mount_point")).alias("mount_point"),
-            strip_slash(F.col("source")).alias("source"),
-        )
-        .groupBy("mount_point")
-        .agg(F.min("source").alias("source"))
+    """Mounts with normalised slashes, without platform roots, one row per mount point.
+
+    Of several sources of one mount point the smallest counts; ``mount_conflicts`` names such points.
+    """
+    return _normalised(mounts, ignore_sources).groupBy("mount_point").agg(F.min("source").alias("source")).filter(
+        F.col("source").isNotNull()
+    )
+
+
+def _normalised(mounts: DataFrame, ignore_sources: tuple[str, ...]) -> DataFrame:
+    kept = mounts.filter(~F.coalesce(F.col("source").isin(*ignore_sources), F.lit(False)))
+    return kept.select(
+        strip_slash(F.col("mount_point")).alias("mount_point"), strip_slash(F.col("source")).alias("source")
+    )
+
+
+def mount_conflicts(mounts: DataFrame, ignore_sources: tuple[str, ...] = PLATFORM_ROOT_SOURCES) -> DataFrame:
+    """Mount points that are listed with several sources, or without any: ``mount_point, sources``."""
+    grouped = _normalised(mounts, ignore_sources).groupBy("mount_point").agg(
+        F.sort_array(F.collect_set("source")).alias("sources")
     )
+    return grouped.filter(F.size("sources") != 1)
 
 
 def longest_prefix(rows: DataFrame, path: str, prefixes: Lookup, key: str) -> DataFrame:
     """Left join each row to the longest segment-aligned prefix of ``path``.
 
     ``prefixes`` has unique ``key`` values; its columns are added, NULL without a
-    match. One equality join per depth that occurs among the prefixes: broadcast
-    joins in a single stage when the prefixes are measured small, else salted
-    shuffle joins. The number of depths is bounded by how deep a path can be.
+    match. When the prefixes are measured small, one broadcast join per depth that occurs
+    among them, in a single stage. Else only the distinct paths are shuffled: cut at all those
+    depths they meet the prefixes in one salted join, and the longest match of each path goes back to its rows.
     """
     added = prefixes.frame.columns
     sized = prefixes.frame.withColumn("__depth", depth(F.col(key)))
@@ -80,6 +92,15 @@ def longest_prefix(rows: DataFrame, path: str, prefixes: Lookup, key: str) -> Da
     if not depths:
         types = prefixes.frame.schema
         return rows.select("*", *[F.lit(None).cast(types[c].dataType).alias(c) for c in added])
+    if not prefixes.small:
+        paths = rows.select(F.col(path).alias("__p")).filter("__p IS NOT NULL").distinct()
+        cuts = F.array(*[F.struct(F.lit(d).alias("d"), prefix_at(F.col("__p"), d).alias("k")) for d in depths])
+        each = paths.select("__p", F.inline(cuts)).filter("k IS NOT NULL")
+        whole = sized.select(F.col(key).alias("k"), F.struct(*added).alias("__m"))
+        found = lookup_join(each, Lookup(whole, False), ["k"], "inner")
+        best = found.groupBy("__p").agg(F.max_by("__m", "d").alias("__best"))
+        joined = rows.join(best, rows[path] == best["__p"], "left")
+        return joined.select(*rows.columns, *[F.col("__best")[c].alias(c) for c in added])
     result = rows
     for level in depths:
         at_level = sized.filter(F.col("__depth") == level).select(
@@ -97,11 +118,14 @@ def longest_prefix(rows: DataFrame, path: str, prefixes: Lookup, key: str) -> Da
 
 
 def _mounted_path(location: Column) -> Column:
-    """A location as a path that mount points are prefixes of."""
+    """A location as a path that mount points are prefixes of; plain paths are such already."""
     return F.when(
-        F.startswith(location, F.lit(LOCAL_STORAGE_SCHEME)),
-        F.substring(location, len(LOCAL_STORAGE_SCHEME) + 1, 1 << 30),
-    )
+        _is_local(location), F.substring(location, len(LOCAL_STORAGE_SCHEME) + 1, 1 << 30)
+    ).when(F.startswith(location, F.lit("/")), location)
+
+
+def _is_local(location: Column) -> Column:
+    return F.startswith(location, F.lit(LOCAL_STORAGE_SCHEME))
 
 
 def resolve(objects: DataFrame, mounts: DataFrame, small: bool | None = None) -> DataFrame:
@@ -118,7 +142,7 @@ def resolve(objects: DataFrame, mounts: DataFrame, small: bool | None = None) ->
     located = objects.withColumn("__path", _mounted_path(F.col("location")))
     joined = longest_prefix(located, "__path", prepare(usable, small), "__mount_point")
     path, source = F.col("__path"), F.col("__source")
-    is_local = path.isNotNull()
+    is_local = _is_local(F.col("location"))
     is_table = F.lower("object_type") == "table"
     moved = unescape_spaces(F.concat(source, remainder(path, F.col("__mount_point"))))
     return joined.select(
@@ -226,15 +250,18 @@ def coverage(mounts: DataFrame, external_locations: DataFrame, small: bool | Non
     path below the shorter one.
     """
     usable, named = _sides(mounts, external_locations, small)
-    with_url = lookup_join(usable.frame, prepare(_pairs(usable, named), small), ["source"])
-    return lookup_join(with_url, named, ["url"]).select(
+    pairs = _pairs(usable, named)
+    # Each pair looks its mount up: a mount with most locations is not one task's work.
+    related = lookup_join(lookup_join(pairs, usable, ["source"], "inner"), named, ["url"], "inner")
+    columns = ["mount_point", "source", "name", "url", "coverage", "folder"]
+    bare = usable.frame.join(pairs.select("source").distinct(), "source", "left_anti").select(
         "mount_point",
         "source",
-        "name",
-        "url",
-        F.coalesce("coverage", F.lit(NOT_COVERED)).alias("coverage"),
-        "folder",
+        *[F.lit(None).cast("string").alias(c) for c in ("name", "url")],
+        F.lit(NOT_COVERED).alias("coverage"),
+        F.lit(None).cast("string").alias("folder"),
     )
+    return related.select(*columns).unionByName(bare)
 
 
 def ambiguous(mounts: DataFrame, external_locations: DataFrame, small: bool | None = None) -> DataFrame:
@@ -293,7 +320,8 @@ def plan(
     """External locations to create: one per container that any table is mounted on.
 
     Rows have ``name, url, comment, status``; ``status`` is PLANNED, REJECTED (a
-    deprecated or unsupported source) or NAME_CONFLICT (one name, several urls).
+    deprecated or unsupported source, or a mount point listed with several) or NAME_CONFLICT
+    (one name, several urls).
     ``mount_point`` restricts the plan to one mount.
     """
     if mount_point:
@@ -328,7 +356,14 @@ def plan(
     rejected = candidates.filter("reason IS NOT NULL").select(
         "name", "url", "__from", F.lit("REJECTED").alias("status"), "reason"
     )
-    return planned.unionByName(rejected).select(
+    conflicts = mount_conflicts(mounts).select(
+        F.lit(None).cast("string").alias("name"),
+        F.lit(None).cast("string").alias("url"),
+        F.struct("mount_point", F.concat_ws(", ", "sources").alias("source")).alias("__from"),
+        F.lit("REJECTED").alias("status"),
+        F.lit("mount point without a single source").alias("reason"),
+    )
+    return planned.unionByName(rejected).unionByName(conflicts).select(
         "name",
         "url",
         _fill(

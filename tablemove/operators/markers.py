@@ -12,6 +12,10 @@ from tablemove.functions.names import ObjectName, literal, require, table_sql
 # Property prefix per operation, and the keys of the two filters.
 PREFIXES = {"ctas": "upgraded", "clone": "cloned", "convert": "converted", "sync": "synced"}
 FILTER_KEYS = {"upgraded": "upgraded_to", "roll_backed": "roll_backed_from"}
+# Every property that a move writes on its source, by its exact key.
+KEYS = frozenset(f"{p}_{part}" for p in PREFIXES.values() for part in ("to", "by", "at", "type")) | {
+    FILTER_KEYS["roll_backed"]
+}
 
 
 def stamp(spark: SparkSession) -> tuple[str, datetime]:

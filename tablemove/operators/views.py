@@ -14,6 +14,7 @@ from tablemove.functions.names import (
 from tablemove.functions.viewtext import mentions, rewrite
 from tablemove.operators.drift import CREATE, IN_SYNC, ORPHAN, REPLACE
 from tablemove.operators.outcome import Outcome, attempt
+from tablemove.plans.report import run_batch, write_report
 from tablemove.sources.inventory import filter_kind
 
 _UNQUALIFIED = "the rewritten text still names the source catalog"
@@ -31,18 +32,21 @@ def classify(
     source_catalog: str,
     target_catalog: str,
     folded: bool = False,
+    target_schema: str = "",
 ) -> DataFrame:
     """Action per view of two inventories: CREATE, REPLACE, IN_SYNC or ORPHAN.
 
-    Adds ``view_text``, the text the target should have, and ``view_namespace``, where
-    unqualified names in it are looked up.
+    Views are matched in ``target_schema``, or in the schema of the source. Adds ``view_text``,
+    the text the target should have, ``view_namespace``, where unqualified names in it are
+    looked up, and ``still_names``, whether it goes on naming the source catalog.
     """
 
     def moved(column: str) -> Column:
         return rewritten(F.col(column), source_catalog, target_catalog, folded).alias(column)
 
     wanted = filter_kind(source, "view").select(
-        F.lower("schema").alias("schema"),
+        F.lower("schema").alias("__schema"),
+        (F.lower(F.lit(target_schema)) if target_schema else F.lower("schema")).alias("schema"),
         F.lower("name").alias("name"),
         moved("view_text"),
         moved("view_namespace"),
@@ -55,8 +59,11 @@ def classify(
         F.lit(True).alias("__present"),
     )
     joined = wanted.join(present, ["schema", "name"], "full_outer")
+    naming = mentions(F.col("view_text"), source_catalog)
+    if folded:
+        naming = naming | mentions(F.col("view_text"), source_catalog, folded=True)
     return joined.select(
-        "schema",
+        F.coalesce("__schema", "schema").alias("schema"),
         "name",
         "view_text",
         "view_namespace",
@@ -65,6 +72,7 @@ def classify(
         .when(F.col("view_text").eqNullSafe(F.col("__current")), IN_SYNC)
         .otherwise(REPLACE)
         .alias("action"),
+        (naming & F.lit(source_catalog != target_catalog)).alias("still_names"),
     )
 
 
@@ -83,6 +91,7 @@ def apply(
     action: str,
     text: str,
     namespace: str | None = None,
+    still_names: bool = False,
 ) -> Outcome:
     """Bring one classified view about.
 
@@ -95,8 +104,7 @@ def apply(
         if action == IN_SYNC:
             outcome.description = "views have the same definition"
             return
-        folded = not is_registered(spark, source.catalog)
-        if source.catalog != target.catalog and _still_names(spark, text, source.catalog, folded):
+        if still_names:
             raise ValueError(f"{_UNQUALIFIED} {source.catalog}")
         session = spark.newSession()
         if namespace:
@@ -108,13 +116,6 @@ def apply(
     return attempt("view_sync", source, target, work)
 
 
-def _still_names(spark: SparkSession, text: str, catalog: str, folded: bool) -> bool:
-    found = mentions(F.lit(text), catalog)
-    if folded:
-        found = found | mentions(F.lit(text), catalog, folded=True)
-    return bool(spark.range(1).select(found).first()[0])
-
-
 def references(plan: DataFrame) -> DataFrame:
     """Which views of a plan name which others: ``schema, name, uses``.
 
@@ -139,39 +140,58 @@ def sync_all(
     source_catalog: str,
     target_catalog: str,
     target_schema: str = "",
+    on_error: str = "continue",
+    report_table: str | None = None,
 ) -> list[Outcome]:
     """Sync all views of an inventory, views that others read first.
 
     A pass takes the views that name no other view still to do, or all of them if
     there are none such; failed ones are tried again as long as a pass gets further.
+    What still fails then is reported, with ``on_error='stop'`` the first such view only.
+    The views of a pass are created from a thread pool, and reported after it.
     """
+    if on_error not in ("stop", "continue"):
+        raise ValueError("on_error is 'stop' or 'continue'")
     folded = not is_registered(spark, source_catalog)
-    plan = classify(source, target, source_catalog, target_catalog, folded)
+    plan = classify(source, target, source_catalog, target_catalog, folded, target_schema)
     plan = plan.filter(F.col("action") != ORPHAN)
     uses: dict[tuple[str, str], set[str]] = {}
-    for row in references(plan).toLocalIterator():
+    for row in references(plan.filter(F.col("action") != IN_SYNC)).toLocalIterator():
         uses.setdefault((row["schema"], row["name"]), set()).add(row["uses"])
     todo = {
         (row["schema"], row["name"]): (
             ObjectName(source_catalog, row["schema"], row["name"]),
             ObjectName(target_catalog, target_schema or row["schema"], row["name"]),
             row["action"],
+            # The text of a view that stays isn't needed.
             row["view_text"],
             row["view_namespace"],
+            bool(row["still_names"]),
         )
-        for row in plan.orderBy("schema", "name").toLocalIterator()
+        for row in plan.withColumn("view_text", F.when(F.col("action") != IN_SYNC, F.col("view_text")))
+        .orderBy("schema", "name")
+        .toLocalIterator()
     }
     done: list[Outcome] = []
+
+    def report(outcomes: list[Outcome]) -> None:
+        done.extend(outcomes)
+        if report_table and outcomes:
+            write_report(spark, outcomes, report_table)
+
     while todo:
         waiting = {name for _, name in todo}
         ready = [key for key in todo if not uses.get(key, set()) & waiting] or list(todo)
-        tried = {key: apply(spark, *todo[key]) for key in ready}
+        steps = (lambda key=key: apply(spark, *todo[key]) for key in ready)
+        tried = dict(zip(ready, run_batch(spark, steps, "continue"), strict=True))
         succeeded = [key for key, outcome in tried.items() if not outcome.failed]
         if not succeeded and len(ready) == len(todo):
-            return done + list(tried.values())
+            failed = list(tried.values())
+            report(failed[:1] if on_error == "stop" else failed)
+            return done
         if not succeeded:
             # Names were misread or a view is broken: from here on try all that is left.
             uses.clear()
-        done += [tried[key] for key in succeeded]
+        report([tried[key] for key in succeeded])
         todo = {key: view for key, view in todo.items() if key not in succeeded}
     return done

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablemove.functions.names import ObjectName, require, split_names, target_of
 from tablemove.operators import convert, copy, external, markers, views
 from tablemove.operators.outcome import Outcome
-from tablemove.plans.report import run_batch, write_report
+from tablemove.plans.report import run_batch
 from tablemove.sources.inventory import filter_kind, inventory, list_objects
 from tablemove.sources.schemas import derive_schemas, describe_schema, ensure_schema
 
@@ -195,15 +195,25 @@ def sync_views(
     mounts: DataFrame | None = None,
     create_schema: bool = False,
     report_table: str | None = None,
+    target_schema: str = "",
+    schema_comment: str = "",
+    schema_location: str = "",
+    on_error: str = "continue",
 ) -> list[Outcome]:
-    """Views of one catalog re-created in another, in either direction."""
+    """Views of one catalog re-created in another, in either direction.
+
+    They go to the schemas of their names, or all to ``target_schema``, which is created with its
+    comment and location if wanted.
+    """
     schemas = split_names(source_schemas)
     require(source_schemas=schemas, target_catalog=target_catalog)
     if create_schema:
-        _derive_targets(spark, source_catalog, schemas, target_catalog, "", mounts, "", "")
+        _derive_targets(
+            spark, source_catalog, schemas, target_catalog, target_schema, mounts,
+            schema_location, schema_comment,
+        )
     source = filter_kind(inventory(spark, source_catalog, schemas, views_wanted), "view")
-    target = filter_kind(inventory(spark, target_catalog, schemas), "view")
-    outcomes = views.sync_all(spark, source, target, source_catalog, target_catalog)
-    if report_table:
-        write_report(spark, outcomes, report_table)
-    return outcomes
+    target = filter_kind(inventory(spark, target_catalog, [target_schema] if target_schema else schemas), "view")
+    return views.sync_all(
+        spark, source, target, source_catalog, target_catalog, target_schema, on_error, report_table
+    )

@@ -13,8 +13,6 @@ from tablemove.plans.report import run_batch
 from tablemove.sources.formats import check_writable, lossless_options
 from tablemove.sources.inventory import list_objects
 
-SEED_VIEW_ROWS = 100
-
 
 def copy_table(
     spark: SparkSession,
@@ -64,9 +62,12 @@ def copy_schema(
     return run_batch(spark, steps, on_error)
 
 
-def make_view(spark: SparkSession, table: str | ObjectName, view: str | ObjectName) -> str:
-    """A view on the first rows of a table."""
-    return create_view(spark, view, f"SELECT * FROM {table_sql(spark, table)} LIMIT {SEED_VIEW_ROWS}")
+def make_view(
+    spark: SparkSession, table: str | ObjectName, view: str | ObjectName, limit: int | None = None
+) -> str:
+    """A view on a table, or on its first ``limit`` rows."""
+    text = f"SELECT * FROM {table_sql(spark, table)}"
+    return create_view(spark, view, text if limit is None else f"{text} LIMIT {limit}")
 
 
 def drop_schemas(spark: SparkSession, catalog: str, schemas: list[str]) -> None:

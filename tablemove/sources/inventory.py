@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 from itertools import chain, islice
 
 from pyspark.errors import PySparkException
@@ -91,14 +92,22 @@ def list_objects(
         listing = listing.join(views, "name", how)
     wanted = split_names(names)
     if wanted:
-        listing = listing.filter(F.col("name").isin(wanted))
+        listing = listing.filter(F.lower("name").isin([w.lower() for w in wanted]))
     return listing.select(F.lit(catalog).alias("catalog"), F.lit(schema).alias("schema"), "name")
 
 
+@lru_cache(maxsize=16)
+def _plain_session(spark: SparkSession) -> SparkSession:
+    """A session in which properties with ``url`` in their keys are shown, so that they can be copied."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.redaction.options.regex", "(?!)")
+    return session
+
+
 def describe(spark: SparkSession, name: str | ObjectName) -> dict:
     """Metadata of one object, with the fields of :data:`INVENTORY`."""
     name = ObjectName.parse(name)
-    text = spark.sql(f"DESCRIBE EXTENDED {table_sql(spark, name)} AS JSON").first()[0]
+    text = _plain_session(spark).sql(f"DESCRIBE EXTENDED {table_sql(spark, name)} AS JSON").first()[0]
     meta = json.loads(text)
     return {
         "catalog": name.catalog,
@@ -251,7 +260,7 @@ def filter_kind(frame: DataFrame, kind: str) -> DataFrame:
 def filter_names(frame: DataFrame, names: str | list[str] | None) -> DataFrame:
     """Keep the named objects; no names means all."""
     wanted = split_names(names)
-    return frame.filter(F.col("name").isin(wanted)) if wanted else frame
+    return frame.filter(F.lower("name").isin([w.lower() for w in wanted])) if wanted else frame
 
 
 def with_effective_format(frame: DataFrame) -> DataFrame:

@@ -49,3 +49,20 @@ def new_schema(spark: SparkSession, catalog: str, label: str) -> str:
     location = f"{shared_root(spark)}/tablemove/{catalog}/{schema}"
     spark.sql(f"CREATE SCHEMA {schema_sql(spark, catalog, schema)} LOCATION {literal(location)}")
     return schema
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def is_empty(spark: SparkSession, path: str) -> bool:
+    """True when nothing is at ``path``, or an empty folder."""
+    system, hadoop = _file_system(spark, path)
+    return not system.exists(hadoop) or not system.listStatusIterator(hadoop).hasNext()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all its files."""
+    system, hadoop = _file_system(spark, path)
+    system.delete(hadoop, True)

@@ -1,50 +1,77 @@
 """Incremental clones: only files that are new since the last run are copied.
 
-The progress is the checkpoint of a Structured Streaming query over the source's
-files, kept in the state folder of the clone, so a stream can go on where the last
-run stopped.
+What a clone has read is a table of file versions in its state folder. A run lists the
+source's files, takes those that the table doesn't hold, appends their rows and adds them
+to the table last. A run that was broken off has begun but never ended, which the
+next one sees and answers with a clone from all files.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablemove.functions.names import ObjectName, table_sql
 from tablemove.operators import markers
-from tablemove.operators.copy import create_like, drop, own_properties
+from tablemove.operators.copy import (
+    STATE_PROPERTY,
+    create_like,
+    measured,
+    measured_fingerprint,
+    own_properties,
+    publish,
+)
 from tablemove.operators.outcome import CLONE, Outcome, attempt
-from tablemove.operators.validate import assert_equal
+from tablemove.operators.validate import LEVELS, require_equal, require_no_difference, take_fingerprint
 from tablemove.sources.formats import effective_format
-from tablemove.sources.inventory import describe, exists
-from tablemove.sources.workspace import shared_root, unique
-
-STATE_PROPERTY = "incremental_state"
-GENERATION_PROPERTY = "incremental_generation"
-MAX_FILES_PER_TRIGGER = 10_000
-# Late files may carry old modification times; none is too old to be copied.
-MAX_FILE_AGE = "36500d"
+from tablemove.sources.inventory import VIEW, describe, exists
+from tablemove.sources.workspace import new_area, remove, shared_root, unique
+
+#: Paths that are handed to a reader at a time.
+FILES_PER_READ = 10_000
 LISTING_TASKS = 1000
 
-_LISTING = ["path", "modificationTime", "length"]
+_VERSION = ["path", "modificationTime", "length"]
+_FILES = "path string, modificationTime timestamp, length long, run string"
 
 
-@dataclass
+@dataclass(frozen=True)
 class _State:
-    """Folders of one generation of a clone."""
+    """Folder of one generation of a clone, of which every rebuild starts a new one."""
+
+    folder: str
+
+    def files(self, spark: SparkSession) -> DataFrame:
+        """Versions of files that ended runs have copied."""
+        return spark.read.schema(_FILES).parquet(f"{self.folder}/files")
+
+    def begin(self, spark: SparkSession, run: str) -> None:
+        self._note(spark, "begun", run)
 
-    root: str
-    generation: str
+    def end(self, spark: SparkSession, run: str, files: DataFrame) -> None:
+        """The commit of a run, one job whose files appear together."""
+        files.select(*_VERSION, F.lit(run).alias("run")).write.mode("append").parquet(f"{self.folder}/files")
 
-    @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/{self.generation}/checkpoint"
+    def broken_off(self, spark: SparkSession) -> bool:
+        begun = spark.read.schema("note string").parquet(f"{self.folder}/begun")
+        ended = self.files(spark).select(F.col("run").alias("note")).distinct()
+        return not begun.join(ended, "note", "left_anti").isEmpty()
 
-    @property
-    def listings(self) -> str:
-        return f"{self.root}/{self.generation}/listings"
+    def own(self, spark: SparkSession, target: ObjectName) -> None:
+        self._note(spark, "owner", str(target))
+
+    def owner(self, spark: SparkSession) -> str:
+        return spark.read.schema("note string").parquet(f"{self.folder}/owner").first()["note"]
+
+    def _note(self, spark: SparkSession, kind: str, text: str) -> None:
+        frame = spark.createDataFrame([(text,)], "note string").coalesce(1)
+        frame.write.mode("append").parquet(f"{self.folder}/{kind}")
 
 
 def _listing_session(spark: SparkSession) -> SparkSession:
@@ -58,32 +85,34 @@ def _listing_session(spark: SparkSession) -> SparkSession:
 def list_files(spark: SparkSession, location: str) -> DataFrame:
     """Path, modification time and size of the data files below a location.
 
-    A distributed listing: contents are not read, as no content column is selected.
+    Contents are not read, as no content column is selected.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(location)
-        .select(*_LISTING)
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
+    return files.select(*_VERSION)
 
 
-def _known(spark: SparkSession, state: _State) -> DataFrame:
-    """Every version of a file that an earlier run may have read."""
-    return spark.read.schema("path string, modificationTime timestamp, length long").parquet(state.listings)
+def _listed(spark: SparkSession, location: str, area: str, label: str) -> DataFrame:
+    """A listing that stays as it is, however often it is read."""
+    session = _listing_session(spark)
+    path = f"{area}/{label}"
+    list_files(session, location).write.parquet(path)
+    return session.read.schema("path string, modificationTime timestamp, length long").parquet(path)
 
 
-def _record(spark: SparkSession, state: _State, location: str, first: bool) -> None:
-    """Add the file versions that are not recorded yet."""
-    current = list_files(spark, location)
-    unseen = current if first else current.join(_known(spark, state), _LISTING, "left_anti")
-    unseen.write.mode("append").parquet(state.listings)
+def _path_chunks(files: DataFrame) -> Iterator[list[str]]:
+    paths = (r["path"] for r in files.select("path").toLocalIterator())
+    while chunk := list(islice(paths, FILES_PER_READ)):
+        yield [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in chunk]
 
 
-def _rewritten(spark: SparkSession, state: _State, location: str) -> bool:
-    """True when a file of an earlier run changed or is gone."""
-    gone = _known(spark, state).join(list_files(spark, location), _LISTING, "left_anti")
-    return not gone.isEmpty()
+def _rows_of(spark: SparkSession, about: dict, fmt: str, table: ObjectName, files: DataFrame) -> DataFrame:
+    """The rows of the given files of a table, in the order of its columns."""
+    schema = spark.table(table_sql(spark, table)).schema
+    options = {k: v for k, v in about["options"].items() if k.lower() != "path"}
+    reader = spark.read.format(fmt).options(**options).option("basePath", about["location"]).schema(schema)
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in schema.names]
+    parts = [reader.load(chunk).select(*columns) for chunk in _path_chunks(files)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def clone_append(
@@ -95,35 +124,38 @@ def clone_append(
 ) -> Outcome:
     """Bring a clone up to date by appending the rows of new source files.
 
-    If a file that was copied before has been rewritten or removed, appending would be
-    wrong, and the clone is built anew from all files. ``level`` is the check of the
-    whole clone after the run. State is kept below ``state_root``.
+    If a file that was copied before has been rewritten or removed, or the last run was
+    broken off, appending would be wrong: the clone is built anew beside the old one and
+    takes its place once it is checked. ``level`` is the check of the rows of this run; rows that
+    fail it are taken back. State is kept below ``state_root`` and belongs to this
+    target alone; a table that carries the state of another one is refused.
     """
     source, target = ObjectName.parse(source), ObjectName.parse(target)
 
     def work(outcome: Outcome) -> None:
+        if level not in LEVELS:
+            raise ValueError(f"level must be one of {', '.join(LEVELS)}")
         spark.catalog.refreshTable(table_sql(spark, source))
         about = describe(spark, source)
         outcome.source_object_type, outcome.action = about["object_type"], CLONE
+        if about["object_type"] == VIEW:
+            raise ValueError(f"{source} is a view; clone copies tables")
         fmt = effective_format(about["provider"], about["serde"])
         state = _current_state(spark, target)
-        listing = _listing_session(spark)
-        full = state is None or _rewritten(listing, state, about["location"])
-        if full:
-            drop(spark, target)
-            root = state_root or f"{shared_root(spark)}/tablemove/clones/{target.schema}/{target.name}"
-            state = _State(root, unique("run"))
-        # What may have been read is recorded on both sides of the run: a file that is
-        # rewritten meanwhile leaves a version behind that the next run does not find.
-        _record(listing, state, about["location"], first=full)
-        if full:
-            kept = {STATE_PROPERTY: state.root, GENERATION_PROPERTY: state.generation}
-            create_like(spark, source, target, None, {**own_properties(about["properties"]), **kept})
-        _stream(spark, about, fmt, source, target, state)
-        _record(listing, state, about["location"], first=False)
+        area = new_area(spark, "clone_run")
+        try:
+            current = _listed(spark, about["location"], area, "source")
+            if state is None or state.broken_off(spark) or _rewritten(spark, state, current):
+                root = state_root or f"{shared_root(spark)}/tablemove/clones/{target.schema}/{target.name}"
+                rows = _rebuild(spark, source, about, fmt, target, _State(f"{root}/{unique('run')}"), current, level)
+                outcome.description = "all files copied"
+            else:
+                rows = _append(spark, source, about, fmt, target, state, current, area, level)
+                outcome.description = "new files appended"
+        finally:
+            remove(spark, area)
         spark.sql(f"REFRESH TABLE {table_sql(spark, target)}")
-        outcome.description = "all files copied" if full else "new files appended"
-        outcome.source_rows, outcome.target_rows = assert_equal(spark, source, target, level)
+        outcome.source_rows, outcome.target_rows = rows
         markers.mark(spark, source, "clone", str(target), "incremental clone")
 
     return attempt("clone", source, target, work)
@@ -132,32 +164,91 @@ def clone_append(
 def _current_state(spark: SparkSession, target: ObjectName) -> _State | None:
     if not exists(spark, target):
         return None
-    properties = describe(spark, target)["properties"]
-    if STATE_PROPERTY not in properties:
+    folder = describe(spark, target)["properties"].get(STATE_PROPERTY)
+    if folder is None:
         raise ValueError(f"{target} exists and is not an incremental clone")
-    return _State(properties[STATE_PROPERTY], properties[GENERATION_PROPERTY])
-
-
-def _stream(
-    spark: SparkSession, about: dict, fmt: str, source: ObjectName, target: ObjectName, state: _State
-) -> None:
-    """Run the file stream over everything that is there now, then stop."""
-    schema = spark.table(table_sql(spark, source)).schema
-    rows = (
-        spark.readStream.format(fmt)
-        .options(**about["options"])
-        .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .schema(schema)
-        .load(about["location"])
-        .select(*[F.col("`" + c.replace("`", "``") + "`") for c in schema.names])
-    )
-    writer = (
-        rows.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", state.checkpoint)
-        .trigger(availableNow=True)
-    )
-    if about["partition_cols"]:
-        writer = writer.partitionBy(*about["partition_cols"])
-    writer.toTable(table_sql(spark, target)).awaitTermination()
+    state = _State(folder)
+    if (owner := state.owner(spark)) != str(target):
+        raise ValueError(f"{target} carries the state of {owner}")
+    return state
+
+
+def _rewritten(spark: SparkSession, state: _State, current: DataFrame) -> bool:
+    """True when a file of an earlier run changed or is gone."""
+    known = state.files(current.sparkSession)
+    return not known.join(current, _VERSION, "left_anti").isEmpty()
+
+
+def _rebuild(
+    spark: SparkSession,
+    source: ObjectName,
+    about: dict,
+    fmt: str,
+    target: ObjectName,
+    state: _State,
+    current: DataFrame,
+    level: str,
+) -> tuple[int, int]:
+    """A clone from all listed files, whose state is complete before it is visible."""
+    frame = _rows_of(spark, about, fmt, source, current)
+    run = unique("run")
+    state.own(spark, target)
+    state.begin(spark, run)
+    state.end(current.sparkSession, run, current)
+
+    def write(name: ObjectName, where: str | None) -> tuple[int, ...]:
+        properties = {**own_properties(about["properties"]), STATE_PROPERTY: state.folder}
+        create_like(spark, source, name, None, properties)
+        counted, observation = measured(frame, level)
+        counted.write.insertInto(table_sql(spark, name))
+        return measured_fingerprint(observation)
+
+    try:
+        _, wrote, read = publish(spark, target, None, write, frame, bool(about["partition_cols"]), level)
+    except Exception:
+        remove(spark, state.folder)
+        raise
+    return wrote, read
+
+
+def _append(
+    spark: SparkSession,
+    source: ObjectName,
+    about: dict,
+    fmt: str,
+    target: ObjectName,
+    state: _State,
+    current: DataFrame,
+    area: str,
+    level: str,
+) -> tuple[int, int]:
+    """Append the rows of new files and compare them with what the target's new files hold."""
+    fresh = current.join(state.files(current.sparkSession), _VERSION, "left_anti")
+    if fresh.isEmpty():
+        return 0, 0
+    copied = describe(spark, target)
+    before = _listed(spark, copied["location"], area, "target_before")
+    run = unique("run")
+    state.begin(spark, run)
+    frame = _rows_of(spark, about, fmt, source, fresh)
+    counted, observation = measured(frame, level)
+    counted.write.insertInto(table_sql(spark, target))
+    wrote = measured_fingerprint(observation)
+    added = _listed(spark, copied["location"], area, "target_after").join(before, _VERSION, "left_anti")
+    written = _rows_of(spark, copied, copied["provider"].lower(), target, added)
+    try:
+        read = (written.count(),) if level == "count" else take_fingerprint(written)
+        if wrote != read:
+            # The observation is not trusted alone to refuse a copy: ask the source.
+            wrote = (frame.count(),) if level == "count" else take_fingerprint(frame)
+        require_equal(wrote, read)
+        if level == "diff":
+            require_no_difference(frame, written)
+    except Exception:
+        for chunk in _path_chunks(added):
+            for path in chunk:
+                remove(spark, re.sub(r"\\(.)", r"\1", path))
+        spark.sql(f"REFRESH TABLE {table_sql(spark, target)}")
+        raise  # the run stays broken off, so the next one copies all files
+    state.end(current.sparkSession, run, fresh)
+    return wrote[0], read[0]

@@ -150,6 +150,65 @@ def test_a_failed_swap_puts_the_old_target_back(spark, pair):
     assert pair.read(old).count() == 90
 
 
+@pytest.mark.parametrize("step", range(4))
+def test_every_failing_step_of_a_swap_is_undone(spark, pair, monkeypatch, step):
+    old = pair.make(pair.dst("t"), PARTS, "USING parquet PARTITIONED BY (p)")
+    staging = pair.make(pair.dst("t2"), PARTS + " WHERE id < 30", "USING parquet PARTITIONED BY (p)")
+    calls = []
+
+    def failing(name):
+        plain = getattr(copy, name)
+
+        def run(*arguments):
+            calls.append(name)
+            if len(calls) - 1 == step:
+                raise RuntimeError(f"planted in {name}")
+            return plain(*arguments)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        # The steps of a swap: rename, its repair, rename, its repair. The count after them has its own test.
+        patch.setattr(copy, "rename", failing("rename"))
+        patch.setattr(copy, "repair", failing("repair"))
+        if step == 4:
+            patch.setattr(copy, "rename", copy.rename)
+        with pytest.raises((RuntimeError, AssertionError), match="planted|holds 30"):
+            copy.swap(spark, staging, old, 31, True)
+    assert pair.read(old).count() == 90 and pair.read(staging).count() == 30
+    copy.swap(spark, staging, old, 30, True)
+    assert pair.read(old).count() == 30 and not exists(spark, staging)
+
+
+def test_a_failed_external_copy_can_be_repeated(spark, pair, monkeypatch):
+    source, location = pair.make(pair.src("t"), PARTS), pair.area("t")
+
+    def differ(*_):
+        raise AssertionError("contents are not matching")
+
+    for run in (copy.ctas, copy.clone):
+        target = pair.dst(run.__name__)
+        with monkeypatch.context() as patch:
+            patch.setattr(copy, "require_equal", differ)
+            assert run(spark, source, target, location=f"{location}/{target.name}").status_code == FAILED
+        assert ok(run(spark, source, target, location=f"{location}/{target.name}")).target_rows == 90
+    other = copy.clone(spark, source, pair.dst("other"), location=f"{location}/clone")
+    assert other.status_code == FAILED and "is not empty" in other.description
+    assert pair.read(pair.dst("clone")).count() == 90
+
+
+def test_only_exact_markers_are_left_behind(spark, pair):
+    source = pair.make(pair.src("t"), PARTS)
+    mine = {"synced_hourly": "1", "cloned_from_team": "2", "upgraded_schema_version": "3", "mine": "4"}
+    copy.markers.set_properties(spark, source, mine)
+    ok(copy.ctas(spark, source, pair.dst("a")))
+    ok(copy.clone(spark, pair.src("t"), pair.dst("b")))
+    for name in ("a", "b"):
+        properties = describe(spark, pair.dst(name))["properties"]
+        assert mine.items() <= properties.items()
+        assert not copy.markers.KEYS & properties.keys()
+
+
 def test_dropping_the_old_version_leaves_the_new_files(spark, pair):
     source = pair.make(pair.src("t"), PARTS)
     for _ in range(3):

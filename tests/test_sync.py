@@ -1,5 +1,7 @@
 """External tables, views, incremental clones, batches and seeding."""
 
+from pathlib import Path
+
 import pytest
 
 from tablemove.functions.names import table_sql
@@ -108,6 +110,32 @@ def test_views_are_created_in_the_order_of_their_references(spark, pair, source,
     assert tried == ["z", "m", "a"]
 
 
+def test_views_into_another_schema_settle(spark, pair, source):
+    ok(external.sync(spark, source, pair.dst("t")))
+    views.create_view(spark, pair.src("v"), f"SELECT id FROM {pair.sql(source)}")
+    run = lambda **more: migrate.sync_views(
+        spark, "src", pair.schema, "dst", create_schema=True, target_schema=f"{pair.schema}_v", schema_comment="views", **more
+    )
+    assert [(o.action, o.status_code) for o in run()] == [("CREATE", SUCCESS)]
+    assert [(o.action, o.status_code) for o in run()] == [("IN_SYNC", SUCCESS)]
+    assert spark.table(f"`dst__{pair.schema}_v`.v").count() == 30
+    views.create_view(spark, pair.src("x"), f"SELECT id FROM {pair.sql(source)}")
+    copy.drop(spark, pair.dst("t"))
+    spark.sql(f"DROP VIEW `dst__{pair.schema}_v`.v")
+    assert [o.status_code for o in run(on_error="stop")] == [FAILED]
+    assert [o.status_code for o in run()] == [FAILED] * 2
+
+
+def test_sync_sees_another_location(spark, pair, source):
+    other = pair.area("other")
+    spark.sql(PARTS + " WHERE id < 3").write.partitionBy("p").parquet(other)
+    external.register(spark, pair.dst("t"), "parquet", other, pair.read(source).schema, ["p"])
+    assert pair.read(pair.dst("t")).count() == 3
+    outcome = ok(external.sync(spark, source, pair.dst("t")))
+    assert (outcome.action, pair.read(pair.dst("t")).count()) == ("RECREATE", 30)
+    assert ok(external.sync(spark, source, pair.dst("t"))).action == "IN_SYNC"
+
+
 def test_unqualified_names_are_looked_up_in_the_target(spark, pair, source):
     """They follow the view's own schema, never the caller's schema or temporary views."""
     ok(copy.ctas(spark, source, pair.dst("t"), select=["id", "'dst' AS side"]))
@@ -161,18 +189,62 @@ def test_incremental_clone(spark, pair, arriving):
     assert run().description == "new files appended"
 
 
-def test_incremental_clone_goes_on_after_a_crash(spark, pair, arriving, monkeypatch):
-    def crash(*_):
-        raise RuntimeError("driver lost")
+def crash(*_, **__):
+    raise RuntimeError("driver lost")
 
+
+def test_incremental_clone_goes_on_after_a_crash(spark, pair, arriving, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "publish", crash)
+        assert incremental.clone_append(spark, pair.src("e"), pair.dst("e")).status_code == FAILED
+    assert ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e"))).target_rows == 30
+    write(spark, "SELECT id, 9 AS p FROM range(100, 105)", arriving)
+    repaired(spark, pair)
     with monkeypatch.context() as patch:
-        patch.setattr(incremental, "_stream", crash)
+        # Lost between writing the rows and recording their files.
+        patch.setattr(incremental, "measured_fingerprint", crash)
         assert incremental.clone_append(spark, pair.src("e"), pair.dst("e")).status_code == FAILED
     outcome = ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
-    assert outcome.target_rows == 30
+    assert (outcome.description, outcome.target_rows) == ("all files copied", 35)
     assert_equal(spark, pair.src("e"), pair.dst("e"), "diff")
 
 
+def test_rows_that_fail_their_check_are_taken_back(spark, pair, arriving, monkeypatch):
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
+    write(spark, "SELECT id, 9 AS p FROM range(100, 105)", arriving)
+    repaired(spark, pair)
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "require_equal", crash)
+        assert incremental.clone_append(spark, pair.src("e"), pair.dst("e")).status_code == FAILED
+    assert pair.read(pair.dst("e")).count() == 30
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e"), level="diff"))
+    assert_equal(spark, pair.src("e"), pair.dst("e"), "diff")
+
+
+def test_failed_rebuild_keeps_the_clone(spark, pair, arriving):
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
+    kept = pair.rows(pair.dst("e"))
+    first, *others = sorted(Path(arriving.removeprefix("file:")).rglob("*.parquet"))
+    first.unlink()
+    others[0].write_bytes(b"PAR1 broken PAR1")
+    assert incremental.clone_append(spark, pair.src("e"), pair.dst("e")).status_code == FAILED
+    assert pair.rows(pair.dst("e")) == kept
+
+
+def test_clone_of_an_incremental_clone_has_no_part_in_its_state(spark, pair, arriving):
+    c1, c2 = pair.dst("c1"), pair.dst("c2")
+    ok(incremental.clone_append(spark, pair.src("e"), c1))
+    ok(copy.clone(spark, c1, c2))
+    write(spark, "SELECT id, 9 AS p FROM range(100, 105)", arriving)
+    repaired(spark, pair)
+    assert incremental.clone_append(spark, pair.src("e"), c2).status_code == FAILED
+    assert ok(incremental.clone_append(spark, pair.src("e"), c1)).description == "new files appended"
+    assert (pair.read(c1).count(), pair.read(c2).count()) == (35, 30)
+    state = describe(spark, c1)["properties"][copy.STATE_PROPERTY]
+    spark.sql(f"ALTER TABLE {pair.sql(c2)} SET TBLPROPERTIES ('{copy.STATE_PROPERTY}' = '{state}')")
+    assert "carries the state of" in incremental.clone_append(spark, pair.src("e"), c2).description
+
+
 def test_incremental_clone_does_not_touch_other_tables(spark, pair, arriving):
     pair.make(pair.dst("e"), "SELECT 1 AS x")
     outcome = incremental.clone_append(spark, pair.src("e"), pair.dst("e"))

@@ -154,3 +154,30 @@ def test_schema_diff_of_inventories(spark):
     nullable = inventory(columns(("a", "int", False)))
     found = validate.schema_diff(inventory(columns(("a", "int", True))), nullable).first()
     assert found["status"] == "NULLABLE"
+
+
+_T = "TIMESTAMP'2024-01-01 00:00:00.12345{}'"
+ONE_UNIT = {
+    "timestamp in a struct": ("named_struct('t', " + _T.format(6) + ")", "named_struct('t', " + _T.format(7) + ")"),
+    "timestamp_ntz in a map": ("map('k', TIMESTAMP_NTZ'2024-01-01 00:00:00.123456')", "map('k', TIMESTAMP_NTZ'2024-01-01 00:00:00.123999')"),
+    "timestamp in an array of arrays": ("array(array(" + _T.format(6) + "))", "array(array(" + _T.format(7) + "))"),
+    "interval in a struct": ("named_struct('i', INTERVAL '1.000001' SECOND)", "named_struct('i', INTERVAL '1.000002' SECOND)"),
+    "months in an array": ("array(array(INTERVAL '1' MONTH))", "array(array(INTERVAL '2' MONTH))"),
+    "NULL in a struct": ("named_struct('a', 1, 'b', CAST(NULL AS INT))", "named_struct('a', CAST(NULL AS INT), 'b', 1)"),
+    "NULL struct": ("CAST(NULL AS STRUCT<a: INT>)", "named_struct('a', CAST(NULL AS INT))"),
+    "NULL and empty array": ("array(CAST(NULL AS ARRAY<INT>))", "array(CAST(array() AS ARRAY<INT>))"),
+    "NULL in an array": ("array(array(1, NULL))", "array(array(NULL, 1))"),
+    "bounds of arrays": ("array(array(1, 2), array(3))", "array(array(1), array(2, 3))"),
+    "NULL in a map": ("map('a', CAST(NULL AS INT), 'b', 1)", "map('a', 1, 'b', CAST(NULL AS INT))"),
+    "double in a map": ("map(1, 0.1D)", "map(1, 0.10000000000000002D)"),
+    "variant": ("parse_json('1')", "parse_json('\"1\"')"),
+    "variant in an array": ("array(parse_json('{\"a\": 1}'))", "array(parse_json('{\"a\": 2}'))"),
+    "type in a variant": ("to_variant_object(named_struct('a', 1.0D))", "to_variant_object(named_struct('a', 1.0BD))"),
+}
+
+
+@pytest.mark.parametrize("case", ONE_UNIT)
+def test_fingerprint_sees_one_unit_at_every_level(spark, case):
+    left, right = (spark.sql(f"SELECT 1 AS id, {value} AS v") for value in ONE_UNIT[case])
+    assert left.schema["v"].dataType.simpleString() == right.schema["v"].dataType.simpleString()
+    assert agree(left, left) and not agree(left, right)
