@@ -19,10 +19,10 @@ def _sources(
 ) -> Iterator[ObjectName]:
     """Tables (not views) to work on; no names means all tables of the schemas."""
     wanted = split_names(tables)
-    missing = set(wanted)
+    missing = {name.lower() for name in wanted}
     for schema in split_names(schemas):
         for row in list_objects(spark, catalog, schema, wanted, "table").orderBy("name").toLocalIterator():
-            missing.discard(row["name"])
+            missing.discard(row["name"].lower())
             yield ObjectName(catalog, schema, row["name"])
     if missing:
         raise ValueError(f"not found in {catalog}: {', '.join(sorted(missing))}")
@@ -85,6 +85,8 @@ def clone_schema(
     schema_location: str = "",
     on_error: str = "stop",
     report_table: str | None = None,
+    level: str = "fingerprint",
+    marker: str = "properties",
 ) -> list[Outcome]:
     """Clones of tables, managed or (one table with a location) external."""
     require(source_schema=source_schema, target_catalog=target_catalog)
@@ -98,6 +100,8 @@ def clone_schema(
             s,
             target_of(s, target_catalog, target_schema, target_table),
             location=location or None,
+            level=level,
+            marker=marker,
             by_at=by_at,
         )
         for s in _sources(spark, source_catalog, source_schema, tables)
@@ -114,12 +118,14 @@ def convert_schema(
     analyze: bool = False,
     on_error: str = "stop",
     report_table: str | None = None,
+    level: str = "fingerprint",
+    marker: str = "properties",
 ) -> list[Outcome]:
     """In-place format conversion of tables."""
     require(schema=schema)
     by_at = markers.stamp(spark)
     steps = (
-        lambda s=s: convert.convert_format(spark, s, to, analyze, by_at=by_at)
+        lambda s=s: convert.convert_format(spark, s, to, analyze, level, marker, by_at)
         for s in _sources(spark, catalog, schema, tables)
     )
     return run_batch(spark, steps, on_error, report_table=report_table)
@@ -160,6 +166,8 @@ def sync_external(
     schema_location: str = "",
     on_error: str = "stop",
     report_table: str | None = None,
+    level: str = "count",
+    marker: str = "properties",
 ) -> list[Outcome]:
     """External tables over the files of others, in either direction between catalogs."""
     schemas = split_names(source_schemas)
@@ -178,9 +186,8 @@ def sync_external(
     def step(row):
         source = ObjectName(row["catalog"], row["schema"], row["name"])
         target = target_of(source, target_catalog, target_schema, target_table)
-        return lambda: external.sync(
-            spark, source, target, place=(row["external_location"], row["resolution"]), by_at=by_at
-        )
+        place = (row["external_location"], row["resolution"])
+        return lambda: external.sync(spark, source, target, None, place, marker, level, by_at)
 
     steps = (step(row) for row in located.toLocalIterator())
     return run_batch(spark, steps, on_error, report_table=report_table)

@@ -205,12 +205,12 @@ def inventory(
 
 def _spooled(spark: SparkSession, chunks: Iterator[list], schema: T.StructType) -> DataFrame:
     """One chunk as local rows; more of them as Parquet files in the shared folder."""
+    path = new_area(spark, "inventory")  # a cluster without a shared folder is refused at any size
     first = next(chunks, [])
     second = next(chunks, None)
     frame = spark.createDataFrame(first, schema)
     if second is None:
         return frame
-    path = new_area(spark, "inventory")
     frame.write.parquet(path)
     for chunk in chain([second], chunks):
         spark.createDataFrame(chunk, schema).write.mode("append").parquet(path)

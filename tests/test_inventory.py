@@ -190,3 +190,25 @@ def test_schema_on_local_storage_gets_the_default_location(spark):
     )
     assert derive_schemas(local, "new").first()["target_location"] is None
     assert derive_schemas(slashed, "new").select(F.col("target_location")).first()[0] == "abfss://c@h/x/s"
+
+
+@pytest.mark.parametrize("objects", [999, 1000, 1001])
+def test_inventories_of_any_size_need_the_shared_folder_on_a_cluster(spark, monkeypatch, objects):
+    chunk = inv.CHUNK_OBJECTS
+    rows = [("c", "s", f"t{i}", "x") for i in range(objects)]
+    chunks = [rows[i : i + chunk] for i in range(0, objects, chunk)]
+    found = inv._spooled(spark, iter(chunks), inv.DDL_TEXTS)
+    assert sorted(r["name"] for r in found.collect()) == sorted(r[2] for r in rows)
+
+    def refuse(*_):
+        raise ValueError("set spark.checkpoint.dir")
+
+    monkeypatch.setattr(inv, "new_area", refuse)
+    with pytest.raises(ValueError, match="checkpoint"):
+        inv._spooled(spark, iter(chunks), inv.DDL_TEXTS)
+
+
+def test_names_are_found_in_any_case(spark, pair):
+    pair.make(pair.src("orders"), "SELECT 1 AS x")
+    listed = inv.list_objects(spark, "src", pair.schema, "Orders, NONE")
+    assert [r["name"] for r in listed.collect()] == ["orders"]

@@ -219,3 +219,33 @@ def test_fits_broadcast(spark):
     assert fits_broadcast(side)
     assert not fits_broadcast(side, max_rows=99)
     assert not fits_broadcast(side, max_bytes=50_000)
+
+
+@SIZES
+def test_plain_mount_paths(spark, small):
+    objects = spark.createDataFrame(
+        [(1, "table", "/mnt/a/x"), (2, "table", "/user/y")], "id long, object_type string, location string"
+    )
+    mounts = spark.createDataFrame([("/mnt/a", "abfss://c@h")], locations.MOUNTS)
+    found = locations.resolve(objects, mounts, small)
+    got = {r["id"]: (r["external_location"], r["resolution"]) for r in found.collect()}
+    assert got == {1: ("abfss://c@h/x", "RESOLVED"), 2: ("/user/y", "UNCHANGED")}
+
+
+def test_conflicting_mounts_are_reported(spark):
+    listed = [("/mnt/a", "abfss://c@s1"), ("/mnt/a/", "abfss://c@s2"), ("/mnt/b", None), ("/mnt/c", "abfss://c@s3")]
+    mounts = spark.createDataFrame(listed, locations.MOUNTS)
+    found = {r["mount_point"]: list(r["sources"]) for r in locations.mount_conflicts(mounts).collect()}
+    assert found == {"/mnt/a": ["abfss://c@s1", "abfss://c@s2"], "/mnt/b": []}
+    tables = spark.createDataFrame([(1, "table", "dbfs:/mnt/c/t")], "id long, object_type string, location string")
+    planned = {(r["status"], r["reason"]) for r in locations.plan(tables, mounts, "p").collect()}
+    assert planned == {("PLANNED", None), ("REJECTED", "mount point without a single source")}
+
+
+def test_a_hot_mount_is_split(spark):
+    """Urls below one mount, with sides that are not broadcast, don't end in one task."""
+    mounts = spark.createDataFrame([("/mnt/a", "abfss://c@h/a"), ("/mnt/b", "abfss://c@h/b")], locations.MOUNTS)
+    urls = spark.range(4000).selectExpr("cast(id as string) AS name", "concat('abfss://c@h/a/', id) AS url")
+    found = locations.coverage(mounts, urls, small=False)
+    assert found.select("mount_point", "coverage").distinct().count() == 2
+    assert found.filter("coverage = 'LOCATION_UNDER_MOUNT'").count() == 4000
