@@ -24,7 +24,9 @@ _PLACE = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: Distinct segments of an anchor that are ordered together, those whose windows are counted
 #: together, windows that are ordered in one call, and digests a task remembers.
-SALT_SEGMENTS, BUCKET_SEGMENTS, CALL_WINDOWS, MEMO = 500, 5000, 60_000, 200_000
+SALT_SEGMENTS, BUCKET_SEGMENTS, CALL_WINDOWS, MEMO = 500, 100, 60_000, 200_000
+#: Window digests in a row, so that a batch of rows stays small.
+PACKED_WINDOWS = 256
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -203,7 +205,9 @@ def _order(length: int):
             turn = np.lexsort((bucket, anchor))
             cuts = np.flatnonzero((np.diff(anchor[turn]) != 0) | (np.diff(bucket[turn]) != 0)) + 1
             for part in np.split(turn, cuts):
-                rows.append((int(anchor[part[0]]), None, None, None, int(bucket[part[0]]), packed[part].tobytes()))
+                own = int(anchor[part[0]]), None, None, None, int(bucket[part[0]])
+                for i in range(0, part.size, PACKED_WINDOWS):
+                    rows.append((*own, packed[part[i : i + PACKED_WINDOWS]].tobytes()))
         return rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
