@@ -16,8 +16,9 @@ from tablemove.llm.documents_near import mixed
 from tablemove.llm.suffixes import equal_windows
 
 LENGTH = 400
-#: Bytes of the strings that anchors are chosen among.
-GRAM = 40
+#: Bytes of the strings that anchors are chosen among. Longer ones are shared less often by texts that
+#: only have a line in common, but make more anchors.
+GRAM = 128
 #: Window starts of a long text that are looked at together; positions fit in 20 bits.
 _BLOCK = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
@@ -42,22 +43,23 @@ def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     up, down = _power_table(data.size)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: data.size])])
-    count = data.size - GRAM + 1
-    return mixed((sums[GRAM:] - sums[:count]) * down[:count])
+    count = data.size - gram + 1
+    return mixed((sums[gram:] - sums[:count]) * down[:count])
 
 
 def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For all windows of ``length`` bytes: runs ``(begin, anchor, hash)`` that share an anchor.
 
-    A window's anchor is the leftmost of its strings of ``GRAM`` bytes with the smallest hash, so equal
+    A window's anchor is the leftmost of its strings of some bytes with the smallest hash, so equal
     windows have theirs at the same place, and a window can only be repeated where its anchor
     is. The last run ends with the last window. ``data`` holds one window at least.
     """
-    hashes = _gram_hashes(data)
-    width = length - GRAM + 1
+    gram = min(GRAM, length // 2)
+    hashes = _gram_hashes(data, gram)
+    width = length - gram + 1
     keyed = (hashes & ~_PLACE) | np.arange(hashes.size, dtype=np.uint64)
     rows = -(-hashes.size // width)
     table = np.full(rows * width, np.iinfo(np.uint64).max, np.uint64)
@@ -290,13 +292,14 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     pieces = pieces.join(mixed_anchors, own).repartition("h", "salt").sortWithinPartitions("h", "salt")
     ordered = saved(pieces.mapInArrow(_order(length), _ORDERED), "ordered_windows")
     passed = ordered.filter("bucket IS NOT NULL").select("h", "bucket", "packed")
-    passed = passed.repartition("h", "bucket").sortWithinPartitions("h", "bucket").mapInArrow(_meet, _ORDERED)
+    passed = passed.repartition("h", "bucket").sortWithinPartitions("h", "bucket")
+    passed = passed.mapInArrow(_meet, _ORDERED)
     partly = ordered.filter("bucket IS NULL").unionByName(passed).select(*own, "runs")
 
-    places = segments.select(*own, "k1", "k2", "begin", "windows")
-    whole = places.join(counts.filter("copies > 1"), own, "left_semi")
-    whole = whole.select("k1", "k2", "begin", F.array(F.lit(0), "windows").alias("runs"))
-    return whole.unionByName(places.join(partly, own).select("k1", "k2", "begin", "runs"))
+    # Runs that occur twice as a whole repeat in all their windows, others in those that were found.
+    whole = counts.filter("copies > 1").select(*own, F.lit(None).cast("array<int>").alias("runs"))
+    places = segments.select(*own, "k1", "k2", "begin", "windows").join(whole.unionByName(partly), own)
+    return places.select("k1", "k2", "begin", F.coalesce("runs", F.array(F.lit(0), "windows")).alias("runs"))
 
 
 def covered(found: list[dict], length: int) -> list[tuple[int, int]]:
