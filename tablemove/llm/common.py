@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablemove.sources.workspace import new_area
 
@@ -46,3 +51,16 @@ BROADCAST_ROWS = 1_000_000
 def narrow(frame: DataFrame) -> DataFrame:
     """A saved frame of a few numbers a row as a join side: broadcast if its counted rows are few."""
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
+def in_arrow(frame: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` whose workers find this package, as it is imported here, on their path.
+
+    Executors of a cluster need it installed or sent along, as any Python package.
+    """
+    environment = frame.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, known)))
+    return frame.mapInArrow(run, schema)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemove.llm.common import narrow, saved, text_of
+from tablemove.llm.common import in_arrow, narrow, saved, text_of
 from tablemove.llm.near import Similarity, near_classes
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -140,7 +140,7 @@ def _identified(documents: DataFrame, *keep: str) -> DataFrame:
 
 def classes(documents: DataFrame, near: Near = Near()) -> DataFrame:
     """``node, root`` for ids of texts that are close to another text; ids are ``xxhash64`` of the text."""
-    bands = _identified(documents).mapInArrow(_bands(near), "band long, id long")
+    bands = in_arrow(_identified(documents), _bands(near), "band long, id long")
 
     def texts(ids: DataFrame) -> DataFrame:
         found = _identified(documents).join(narrow(ids), "id", "left_semi")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablemove.llm.common import saved
+from tablemove.llm.common import in_arrow, saved
 from tablemove.llm.components import components
 
 #: Sizes of the two sides of a block, when a bucket is compared in blocks.
@@ -57,7 +57,7 @@ class Similarity:
 
 
 def _links(frame: DataFrame, run: Callable) -> DataFrame:
-    return frame.mapInArrow(run, "a long, b long")
+    return in_arrow(frame, run, "a long, b long")
 
 
 def _made(pairs: list[tuple[int, int]]) -> pa.RecordBatch:

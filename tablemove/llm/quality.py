@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tablemove.llm.common import in_arrow
+
 #: Measurements of a text; each is taken once and stored.
 MEASURES = (
     "n_words",
@@ -129,7 +131,7 @@ def ledger(documents: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> Data
     source = documents.select(*columns, F.col("text").alias("text"))
     carried = [source.schema[c] for c in columns]
     schema = StructType([*carried, *(StructField(m, LongType()) for m in MEASURES)])
-    measured = source.mapInArrow(_measured(columns), schema)
+    measured = in_arrow(source, _measured(columns), schema)
     bits = [F.when(F.expr(rule.fails), F.lit(1 << rule.bit)).otherwise(F.lit(0)) for rule in RULES]
     failures = bits[0]
     for bit in bits[1:]:

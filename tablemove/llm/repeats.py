@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tablemove.llm.common import document_key, saved, text_of
+from tablemove.llm.common import document_key, in_arrow, saved, text_of
 from tablemove.llm.documents_near import mixed
 from tablemove.llm.suffixes import equal_windows
 
@@ -271,12 +271,12 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     different runs is dealt to several tasks, which pass the digest of each distinct window on.
     """
     texts = documents.select(*document_key("doc_id", "text"), text_of().alias("text"))
-    rows = texts.mapInArrow(_anchor_rows(length), "h long, n long, k1 long, k2 long")
+    rows = in_arrow(texts, _anchor_rows(length), "h long, n long, k1 long, k2 long")
     rows = saved(rows, "anchors")
     shared = rows.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
     shared = rows.join(shared, "h", "left_semi").select("k1", "k2", "h").distinct()
     shared = shared.groupBy("k1", "k2").agg(F.collect_list("h").alias("shared"))
-    segments = saved(texts.join(shared, ["k1", "k2"]).mapInArrow(_segment_rows(length), _SEGMENTS), "segments")
+    segments = saved(in_arrow(texts.join(shared, ["k1", "k2"]), _segment_rows(length), _SEGMENTS), "segments")
 
     own = ["h", "g1", "g2"]
     counts = saved(segments.groupBy(*own).agg(F.count("*").alias("copies")), "segment_counts")
@@ -290,10 +290,10 @@ def repeated_starts(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     pieces = segments.filter("data IS NOT NULL").select(*own, "windows", "anchor", "data").dropDuplicates(own)
     pieces = pieces.join(mixed_anchors, own).repartition("h", "salt").sortWithinPartitions("h", "salt")
-    ordered = saved(pieces.mapInArrow(_order(length), _ORDERED), "ordered_windows")
+    ordered = saved(in_arrow(pieces, _order(length), _ORDERED), "ordered_windows")
     passed = ordered.filter("bucket IS NOT NULL").select("h", "bucket", "packed")
     passed = passed.repartition("h", "bucket").sortWithinPartitions("h", "bucket")
-    passed = passed.mapInArrow(_meet, _ORDERED)
+    passed = in_arrow(passed, _meet, _ORDERED)
     partly = ordered.filter("bucket IS NULL").unionByName(passed).select(*own, "runs")
 
     # Runs that occur twice as a whole repeat in all their windows, others in those that were found.
@@ -349,4 +349,4 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
             columns = [batch.column("row"), pa.array(spans, kind), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "spans", "kept"])
 
-    return rows.mapInArrow(run, schema)
+    return in_arrow(rows, run, schema)

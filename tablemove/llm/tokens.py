@@ -12,6 +12,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tablemove.llm.common import in_arrow
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: How far an unknown character scores below the worst piece, as unigram tokenizers have it.
@@ -144,6 +146,5 @@ def count_tokens(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_chars bigint, n_tokens bigint, score double"
-    )
+    schema = f"doc_id {kind}, n_chars bigint, n_tokens bigint, score double"
+    return in_arrow(documents.select("doc_id", "text"), run, schema)
