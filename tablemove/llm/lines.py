@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tablemove.llm.common import WORD, document_key, narrow, saved, text_of
+from tablemove.llm.common import document_key, in_arrow, narrow, saved, text_of
 from tablemove.llm.documents_near import MEMO, mixed
 from tablemove.llm.near import Similarity, near_classes
 
@@ -75,7 +75,7 @@ def line_bands(texts: list[str], fuzzy: Fuzzy) -> np.ndarray:
 
 def _line(text: Column) -> Column:
     """A line as it is compared: its words with one space between them."""
-    return F.array_join(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), " ")
+    return F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     of which each two neighbours share ``percent`` of their distinct shingles. Of a
     class, the occurrence with the smallest ``doc_id`` stays, then the smallest key and place.
     """
-    bands = documents.select(text_of().alias("text")).mapInArrow(_bands(fuzzy), "band long, id long")
+    bands = in_arrow(documents.select(text_of().alias("text")), _bands(fuzzy), "band long, id long")
 
     def texts(ids: DataFrame) -> DataFrame:
         found = occurrences(documents).select("id", F.col("line").alias("text")).join(narrow(ids), "id", "left_semi")
@@ -178,7 +178,7 @@ def deduplicated(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
             StructField("n_removed", LongType()),
         ]
     )
-    return joined.mapInArrow(_rebuilt, schema)
+    return in_arrow(joined, _rebuilt, schema)
 
 
 def deduplicate(documents: DataFrame, fuzzy: Fuzzy = Fuzzy(), lengths: str | None = None) -> DataFrame:
