@@ -18,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablemove.llm.common import in_arrow
+
 #: Blocks above this many bytes are segmented, payloads above the second number are chunked.
 SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4 * 1024
@@ -29,7 +31,7 @@ _DATE = "1970-01-01T00:00:00Z"
 _END = b"\r\n\r\n"
 _PARSED = (
     "record string, segment long, page_id long, record_type string, refers_to long, "
-    "stated_bytes long, stated_digest string, total long, block binary"
+    "stated_bytes long, stated_digest string, total long, block binary, verified boolean"
 )
 _PAGES = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, verified boolean"
@@ -145,7 +147,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     records = joined.select(F.col("page_id").cast("long"), "url", "html", refers.cast("long").alias("refers_to"))
     (
-        records.mapInArrow(_write, "value string")
+        in_arrow(records, _write, "value string")
         .write.option("lineSep", "\r\n")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
@@ -176,7 +178,8 @@ def _number(text: str | None) -> int | None:
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _PARSED.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    numbers = [pa.int64()] * 2
+    kinds = [pa.string(), *numbers, pa.string(), *numbers, pa.string(), pa.int64(), pa.binary(), pa.bool_()]
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [[]] * len(names)
@@ -186,22 +189,25 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for content in batch.column("content"):
             rows, size = [], 0
             for fields, block in parse(gzip.decompress(content.as_py())):
-                rows.append(
-                    (
-                        fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]),
-                        int(fields.get("WARC-Segment-Number", 1)),
-                        _number(fields.get("X-Page-ID")),
-                        fields["WARC-Type"],
-                        _number(fields.get("X-Refers-To-Page-ID")),
-                        _number(fields.get("X-Payload-Length")),
-                        fields.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
-                        # A record that isn't segmented is as long as its block.
-                        len(block)
-                        if "WARC-Segment-Number" not in fields
-                        else _number(fields.get("WARC-Segment-Total-Length")),
-                        block,
-                    )
-                )
+                row = {
+                    "record": fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]),
+                    "segment": int(fields.get("WARC-Segment-Number", 1)),
+                    "page_id": _number(fields.get("X-Page-ID")),
+                    "record_type": fields["WARC-Type"],
+                    "refers_to": _number(fields.get("X-Refers-To-Page-ID")),
+                    "stated_bytes": _number(fields.get("X-Payload-Length")),
+                    "stated_digest": fields.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
+                    "total": _number(fields.get("WARC-Segment-Total-Length")),
+                    "block": block,
+                    "verified": None,
+                }
+                if "WARC-Segment-Number" not in fields:
+                    # Whole as it is: only segments have to travel with their blocks.
+                    page = _finish([row | {"total": len(block)}])
+                    row |= {"stated_bytes": page["payload_bytes"], "stated_digest": page["payload_digest"]}
+                    row |= {"block": None, "verified": page["verified"]}
+                    block = b""
+                rows.append(tuple(row[n] for n in names))
                 size += len(block)
                 if size > 8 << 20:
                     yield made(rows)
@@ -232,8 +238,9 @@ def _finish(rows: list[dict]) -> dict:
     """The page of the segments of one record, in order."""
     head = rows[0]
     page = {"page_id": head["page_id"], "record_type": head["record_type"], "refers_to": head["refers_to"]}
-    if head["record_type"] == "revisit":
-        return page | {"payload_bytes": head["stated_bytes"], "payload_digest": head["stated_digest"], "verified": True}
+    if head["verified"] is not None or head["record_type"] == "revisit":
+        stated = {"payload_bytes": head["stated_bytes"], "payload_digest": head["stated_digest"]}
+        return page | stated | {"verified": head["verified"] is not False}
     block = b"".join(r["block"] for r in rows)
     whole = [r["segment"] for r in rows] == list(range(1, len(rows) + 1)) and rows[-1]["total"] == len(block)
     try:
@@ -276,10 +283,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per page in the archives: the contract's columns and ``verified``.
 
     Continuation records are brought to their origin by a shuffle on its identifier, and put
-    together in the order of their numbers. ``verified`` is false where a segment is missing,
+    together in the order of their numbers; records that aren't segmented are read where they are. ``verified`` is false where a segment is missing,
     the total length or the digest differs, or the framing is broken; a broken frame gives
     no payload. The rows of one record are held together, as its payload is one value.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
-    segments = files.mapInArrow(_parse, _PARSED)
-    return segments.repartition("record").sortWithinPartitions("record", "segment").mapInArrow(_assemble, _PAGES)
+    segments = in_arrow(files, _parse, _PARSED)
+    return in_arrow(segments.repartition("record").sortWithinPartitions("record", "segment"), _assemble, _PAGES)
