@@ -21,6 +21,8 @@ from tablemove.llm.components import components
 
 #: Sizes of the two sides of a block, when a bucket is compared in blocks.
 MEMBER_BLOCK, STRAGGLER_BLOCK = 200, 50
+#: Shingle hashes that a task remembers.
+FEATURE_HASHES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -56,6 +58,26 @@ class Similarity:
         return (common > 0) & (100 * common >= self.percent * union)
 
 
+class _Known:
+    """Features of the texts that a task has met lately, by id; holds a bounded number of hashes."""
+
+    def __init__(self, similarity: Similarity):
+        self.of = similarity.features
+        self.kept: dict[int, np.ndarray] = {}
+        self.held = 0
+
+    def __call__(self, node: int, text: pa.Scalar) -> np.ndarray:
+        found = self.kept.get(node)
+        if found is None:
+            found = self.of(text.as_py())
+            self.held += found.size
+            if self.held > FEATURE_HASHES:
+                self.kept.clear()
+                self.held = found.size
+            self.kept[node] = found
+        return found
+
+
 def _links(frame: DataFrame, run: Callable) -> DataFrame:
     return in_arrow(frame, run, "a long, b long")
 
@@ -67,16 +89,14 @@ def _made(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _verify_pairs(similarity: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_text, last = None, None
+        known = _Known(similarity)
         for batch in batches:
             pairs = []
-            a, b, text_a, text_b = (batch.column(c) for c in ("a", "b", "text_a", "text_b"))
-            for i in range(batch.num_rows):
-                text = text_b[i].as_py()
-                if text != last_text:
-                    last_text, last = text, similarity.features(text)
-                if similarity.close(similarity.features(text_a[i].as_py()), last):
-                    pairs.append((a[i].as_py(), b[i].as_py()))
+            nodes = [batch.column(c).to_pylist() for c in ("a", "b")]
+            texts = [batch.column(c) for c in ("text_a", "text_b")]
+            for i, (a, b) in enumerate(zip(*nodes, strict=True)):
+                if similarity.close(known(a, texts[0][i]), known(b, texts[1][i])):
+                    pairs.append((a, b))
             yield _made(pairs)
 
     return run
@@ -85,11 +105,8 @@ def _verify_pairs(similarity: Similarity):
 def _verify_blocks(similarity: Similarity):
     """Rows come sorted by block; a block is small, and only one is held."""
 
-    def linked(rows: list[tuple]) -> list[tuple[int, int]]:
-        features = {}
-        for _, node, _, _, text in rows:
-            if node not in features:
-                features[node] = similarity.features(text)
+    def linked(rows: list[tuple], known: _Known) -> list[tuple[int, int]]:
+        features = {node: known(node, text) for _, node, _, _, text in rows}
         stragglers = [(n, c) for _, n, c, is_straggler, _ in rows if is_straggler]
         members = [(n, c) for _, n, c, is_straggler, _ in rows if not is_straggler]
         if not stragglers or not members:
@@ -100,17 +117,17 @@ def _verify_blocks(similarity: Similarity):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        known = _Known(similarity)
         for batch in batches:
             pairs: list[tuple[int, int]] = []
-            columns = [batch.column(c) for c in ("block", "id", "class", "straggler", "text")]
-            for i in range(batch.num_rows):
-                row = tuple(c[i].as_py() for c in columns)
+            columns = [batch.column(c).to_pylist() for c in ("block", "id", "class", "straggler")]
+            for row in zip(*columns, batch.column("text"), strict=True):
                 if held and held[0][0] != row[0]:
-                    pairs += linked(held)
+                    pairs += linked(held, known)
                     held = []
                 held.append(row)
             yield _made(pairs)
-        yield _made(linked(held) if held else [])
+        yield _made(linked(held, known) if held else [])
 
     return run
 
