@@ -108,6 +108,8 @@ def template_tree(paths: DataFrame, purity: Purity = Purity()) -> DataFrame:
             .withColumn("template", F.concat("template", "label"))
             .drop("segment", "label")
         )
+        # Each level reads the one before it several times: without a cut, plans double.
+        tree = saved(tree, "url_level")
     tail = F.when(F.size("segments") > purity.levels, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
     return tree.withColumn("template", tail).drop("segments")
 
@@ -147,7 +149,7 @@ def filter_urls(
         .groupBy("host", "path")
         .agg(F.count("*").alias("n"), zero("labelled"), zero("bad"))
     )
-    tree = saved(template_tree(saved(paths, "url_paths"), purity), "url_tree")
+    tree = template_tree(saved(paths, "url_paths"), purity)
     judged = judged_templates(tree, purity).select("host", "template", "purity")
     verdicts = tree.join(judged, ["host", "template"]).select(
         "host", "path", "template", F.when(F.col("purity") < 1 - purity.limit, "block").otherwise("allow").alias("own")
