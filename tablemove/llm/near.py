@@ -112,8 +112,21 @@ def _verify_blocks(similarity: Similarity):
         if not stragglers or not members:
             return []
         close = similarity.close_pairs([features[n] for n, _ in stragglers], [features[n] for n, _ in members])
-        pairs = zip(*np.nonzero(close), strict=True)
-        return [(stragglers[i][0], members[j][0]) for i, j in pairs if stragglers[i][1] != members[j][1]]
+        # Of the links in a block, those that join what isn't joined yet tell as much as all.
+        parent = {c: c for _, c in (*stragglers, *members)}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        pairs = []
+        for i, j in zip(*np.nonzero(close), strict=True):
+            one, other = root(stragglers[i][1]), root(members[j][1])
+            if one != other:
+                parent[one] = other
+                pairs.append((stragglers[i][0], members[j][0]))
+        return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
