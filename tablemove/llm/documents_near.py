@@ -30,7 +30,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Near:
-    """``bands`` of ``rows`` registers: at Jaccard 0.8, all but about 0.0002 of the pairs share a band."""
+    """``bands`` of ``rows`` registers: at Jaccard 0.8 of the distinct shingles, all but about 0.0002 of
+    the pairs share a band, however often a shingle is repeated."""
 
     words: int = 5
     percent: int = 80
@@ -109,6 +110,19 @@ def band_hashes(kept: np.ndarray, near: Near) -> np.ndarray:
     return mixed(total).view(np.int64)
 
 
+def text_bands(hashes: np.ndarray, near: Near) -> np.ndarray:
+    """Bands of a text's shingles by equal weights, and by one and the logarithm of their counts.
+
+    Links are defined on distinct shingles, so that equal weights decide which pairs are surely looked
+    at. Without repetitions both are the same; then there is one set of bands, which meets both.
+    """
+    items, counts = np.unique(hashes, return_counts=True)
+    weights = [np.ones(items.size)]
+    if counts.max() > 1:
+        weights.append(1.0 + np.log(counts))
+    return np.concatenate([band_hashes(prob_minhash(items, w, near.registers), near) for w in weights])
+
+
 def _bands(near: Near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(near.words), set()
@@ -125,9 +139,9 @@ def _bands(near: Near):
                 hashes = shingler.hashes(texts[i].as_py())
                 if not hashes.size:
                     continue
-                items, counts = np.unique(hashes, return_counts=True)
-                out_bands.append(band_hashes(prob_minhash(items, 1.0 + np.log(counts), near.registers), near))
-                out_ids.append(np.full(near.bands, node, np.int64))
+                found = text_bands(hashes, near)
+                out_bands.append(found)
+                out_ids.append(np.full(found.size, node, np.int64))
             columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in (out_bands, out_ids)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["band", "id"])
 
@@ -153,8 +167,8 @@ def duplicate_classes(documents: DataFrame, near: Near = Near()) -> DataFrame:
     """Per row: ``doc_id, class_id, class_size``, the class being its smallest ``doc_id``.
 
     Documents are in one class if their texts are equal, or linked by a chain of texts of which
-    each two neighbours share ``percent`` of their distinct shingles of ``words`` words. Weights (one and the
-    logarithm of a shingle's count) only steer which pairs are looked at. NULL is the
+    each two neighbours share ``percent`` of their distinct shingles of ``words`` words. Weights (all one, and
+    one and the logarithm of a shingle's count) only steer which pairs are looked at. NULL is the
     empty text; texts without words are close to nothing but equal ones; NULL ids are larger
     than others; repeated rows are documents of their own.
     """

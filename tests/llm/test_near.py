@@ -66,6 +66,19 @@ def test_document_classes(spark, monkeypatch, block):
     assert got == expected_classes(rows)
 
 
+def test_repeated_footers(spark):
+    # 100 distinct shingles, and the same with 20 more that are held up to 1,000 times.
+    rows = []
+    for i in range(12):
+        text, footer = prose(500 + i, 104, 10**6), prose(600 + i, 16, 10**6)
+        rows += [(2 * i, text), (2 * i + 1, f"{text} " + " ".join([footer] * (50, 1000)[i % 2]))]
+    expected = expected_classes(rows)
+    assert {size for *_, size in expected} == {2}
+    got = sorted((tuple(r) for r in duplicate_classes(documents(spark, rows)).collect()), key=str)
+    assert got == expected
+    assert sorted(r["doc_id"] for r in keep_one(documents(spark, rows)).collect()) == list(range(0, 24, 2))
+
+
 def test_keep_one(spark):
     rows = sample()
     given = documents(spark, rows)
