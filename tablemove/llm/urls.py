@@ -41,15 +41,17 @@ class Purity:
     """Parameters of the template tree.
 
     ``levels`` path segments are told apart, the rest of a longer path is one tail. A segment
-    stays literal below its parent if at least ``min_share`` of the parent's pages have it.
-    Literal branches whose share of bad labels is within ``z`` standard errors of their
-    parent's are merged. A template is blocked if its share of bad labels, smoothed by
+    with at least ``min_share`` of its parent's pages stays literal below it unless its share of bad
+    labels is within ``z`` standard errors of the parent's. A rarer one stays literal if
+    its labels would be that far from the parent's by chance with a probability of ``risk`` at most,
+    for all segments of the parent together. A template is blocked if its share of bad labels, smoothed by
     ``prior`` pages of the host's and the host's by as many of the whole table's, is above ``limit``.
     """
 
     levels: int = 4
     min_share: float = 0.02
     z: float = 1.96
+    risk: float = 0.05
     prior: float = 5.0
     limit: float = 0.5
 
@@ -77,12 +79,22 @@ def _shape(segment: Column) -> Column:
     return F.regexp_replace(hexes, "[0-9]+", "{n}")
 
 
+def _told_apart(purity: Purity) -> Column:
+    """Whether a rare segment's labels differ from its parent's: Chernoff's bound, over all segments."""
+    rate, own = (F.col(b) / F.greatest(F.col(n), F.lit(1)) for b, n in (("p_bad", "p_labelled"), ("bad", "labelled")))
+
+    def part(share: Column, of: Column) -> Column:
+        return F.when(share > 0, share * F.log(share / of)).otherwise(0.0)
+
+    surprise = F.col("labelled") * (part(own, rate) + part(1 - own, 1 - rate))
+    return (F.col("labelled") > 0) & (surprise >= F.log(2 * F.col("segments_of") / purity.risk))
+
+
 def template_tree(paths: DataFrame, purity: Purity = Purity()) -> DataFrame:
     """Templates for rows of ``host, path, n, labelled, bad``, one per distinct path.
 
-    Level by level, segments below the same host and template are counted; rare ones become
-    the wildcard ``*``, and literal ones that the labels don't tell from their parent are
-    merged into ``~``. All statistics are sums over (host, template, segment), added up
+    Level by level, segments below the same host and template are counted; those that the labels
+    don't tell from their parent are merged, rare ones into the wildcard ``*``, others into ``~``. All statistics are sums over (host, template, segment), added up
     before the shuffle, so that a hot host is never in one task; the join back has hot keys
     only on its large side, which adaptive execution splits.
     """
@@ -92,13 +104,16 @@ def template_tree(paths: DataFrame, purity: Purity = Purity()) -> DataFrame:
     for level in range(purity.levels):
         at = tree.withColumn("segment", F.coalesce(_shape(F.get("segments", F.lit(level))), F.lit("")))
         child = at.groupBy("host", "template", "segment").agg(*sums)
-        parent = child.groupBy("host", "template").agg(*[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "bad")])
+        parent = child.groupBy("host", "template").agg(
+            F.count("*").alias("segments_of"), *[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "bad")]
+        )
         rate = F.col("p_bad") / F.greatest(F.col("p_labelled"), F.lit(1))
         error = F.sqrt(rate * (1 - rate) / F.greatest(F.col("labelled"), F.lit(1)))
         similar = F.abs(F.col("bad") - rate * F.col("labelled")) <= purity.z * error * F.col("labelled")
         label = (
             F.when(F.col("segment") == "", "")
-            .when(F.col("n") < purity.min_share * F.col("p_n"), "/*")
+            .when((F.col("n") < purity.min_share * F.col("p_n")) & ~_told_apart(purity), "/*")
+            .when(F.col("n") < purity.min_share * F.col("p_n"), F.concat(F.lit("/"), F.col("segment")))
             .when(similar, "/~")
             .otherwise(F.concat(F.lit("/"), F.col("segment")))
         )

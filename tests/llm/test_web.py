@@ -60,6 +60,27 @@ def test_impure_templates_are_blocked(spark):
     assert urls.filter_urls(pages, given.limit(0)).filter("verdict = 'block'").count() == 0
 
 
+def judged(spark, paths, labelled):
+    """Verdict and template by path; ``labelled`` tells whether a path is bad, or None."""
+    pages = spark.createDataFrame([(i, f"https://h.example.com{p}", *"cccc") for i, p in enumerate(paths)], f"page_id long, url string, {CLASH}")
+    labels = spark.createDataFrame([(i, labelled(p)) for i, p in enumerate(paths)], "page_id long, bad boolean")
+    return {r["path"]: (r["verdict"], r["template"]) for r in urls.filter_urls(pages, labels).collect()}
+
+
+def test_small_sections_with_labels_stay(spark):
+    names = [f"{a}{b}" for a in "qrstuvwxyz" for b in "klmnop"]  # 60 sections of 1.67% each
+    paths = [f"/{name}/{word}" for name in names for word in ("one", "two", *(f"v{c}" for c in "abcdefghijklmnopqr"))]
+    got = judged(spark, paths, lambda p: p.startswith("/qk/"))
+    for path, (verdict, _) in got.items():
+        assert verdict == ("block" if path.startswith("/qk/") else "allow"), path
+
+
+def test_single_labels_make_no_templates(spark):
+    paths = [f"/{a}{b}{c}" for a in "qrstuvwxyz" for b in "klmnopqrst" for c in "ghijk"]
+    got = judged(spark, paths, lambda p: p.endswith("g") and p[1] == "q")  # 10 of 500
+    assert {t for _, t in got.values()} == {"/*"}
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, *"cccc") for r in rows], f"page_id long, url string, html string, {CLASH}")
 
