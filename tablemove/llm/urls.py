@@ -40,7 +40,8 @@ RULES = (
 class Purity:
     """Parameters of the template tree.
 
-    ``levels`` path segments are told apart, the rest of a longer path is one tail. A segment
+    ``levels`` path segments are told apart in any case; below them, those of templates with labels of
+    both kinds, to any depth. What is longer below a template without is one tail. A segment
     with at least ``min_share`` of its parent's pages stays literal below it unless its share of bad
     labels is within ``z`` standard errors of the parent's. A rarer one stays literal if
     its labels would be that far from the parent's by chance with a probability of ``risk`` at most,
@@ -94,39 +95,60 @@ def template_tree(paths: DataFrame, purity: Purity = Purity()) -> DataFrame:
     """Templates for rows of ``host, path, n, labelled, bad``, one per distinct path.
 
     Level by level, segments below the same host and template are counted; those that the labels
-    don't tell from their parent are merged, rare ones into the wildcard ``*``, others into ``~``. All statistics are sums over (host, template, segment), added up
-    before the shuffle, so that a hot host is never in one task; the join back has hot keys
-    only on its large side, which adaptive execution splits.
+    don't tell from their parent are merged, rare ones into the wildcard ``*``, others into ``~``.
+    All statistics are sums over (host, template, segment), added up before the shuffle, so that
+    a hot host is never in one task; the join back has hot keys only on its large side, which
+    adaptive execution splits.
     """
     pieces = F.filter(F.split("path", "/"), lambda s: s != "")
     tree = paths.withColumn("segments", pieces).withColumn("template", F.lit(""))
-    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-    for level in range(purity.levels):
-        at = tree.withColumn("segment", F.coalesce(_shape(F.get("segments", F.lit(level))), F.lit("")))
-        child = at.groupBy("host", "template", "segment").agg(*sums)
-        parent = child.groupBy("host", "template").agg(
-            F.count("*").alias("segments_of"), *[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "bad")]
-        )
-        rate = F.col("p_bad") / F.greatest(F.col("p_labelled"), F.lit(1))
-        error = F.sqrt(rate * (1 - rate) / F.greatest(F.col("labelled"), F.lit(1)))
-        similar = F.abs(F.col("bad") - rate * F.col("labelled")) <= purity.z * error * F.col("labelled")
-        label = (
-            F.when(F.col("segment") == "", "")
-            .when((F.col("n") < purity.min_share * F.col("p_n")) & ~_told_apart(purity), "/*")
-            .when(F.col("n") < purity.min_share * F.col("p_n"), F.concat(F.lit("/"), F.col("segment")))
-            .when(similar, "/~")
-            .otherwise(F.concat(F.lit("/"), F.col("segment")))
-        )
-        names = child.join(parent, ["host", "template"]).select("host", "template", "segment", label.alias("label"))
-        tree = (
-            at.join(names, ["host", "template", "segment"])
-            .withColumn("template", F.concat("template", "label"))
-            .drop("segment", "label")
-        )
+    longest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
+    level, settled = 0, []
+    while level < longest:
+        if level >= purity.levels:
+            further = F.size("segments") > level
+            sums = [F.sum(c).alias(c) for c in ("labelled", "bad")]
+            nodes = tree.filter(further).groupBy("host", "template").agg(F.count("*").alias("paths"), *sums)
+            # The labels of one path can't be split, nor can those that are all alike.
+            mixed = saved(nodes.filter("paths > 1 AND bad > 0 AND bad < labelled").select("host", "template"), "url_nodes")
+            rest = tree.join(mixed, ["host", "template"], "left_anti")
+            tail = F.when(further, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
+            settled.append(rest.withColumn("template", tail))
+            tree = tree.join(mixed, ["host", "template"], "left_semi")
+            if mixed.isEmpty():
+                break
         # Each level reads the one before it several times: without a cut, plans double.
-        tree = saved(tree, "url_level")
-    tail = F.when(F.size("segments") > purity.levels, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return tree.withColumn("template", tail).drop("segments")
+        tree = saved(_with_level(tree, level, purity), "url_level")
+        level += 1
+    for part in settled:
+        tree = tree.unionByName(part)
+    return tree.drop("segments")
+
+
+def _with_level(tree: DataFrame, level: int, purity: Purity) -> DataFrame:
+    """The tree with one more segment in its templates."""
+    sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
+    at = tree.withColumn("segment", F.coalesce(_shape(F.get("segments", F.lit(level))), F.lit("")))
+    child = at.groupBy("host", "template", "segment").agg(*sums)
+    parent = child.groupBy("host", "template").agg(
+        F.count("*").alias("segments_of"), *[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "bad")]
+    )
+    rate = F.col("p_bad") / F.greatest(F.col("p_labelled"), F.lit(1))
+    error = F.sqrt(rate * (1 - rate) / F.greatest(F.col("labelled"), F.lit(1)))
+    similar = F.abs(F.col("bad") - rate * F.col("labelled")) <= purity.z * error * F.col("labelled")
+    label = (
+        F.when(F.col("segment") == "", "")
+        .when((F.col("n") < purity.min_share * F.col("p_n")) & ~_told_apart(purity), "/*")
+        .when(F.col("n") < purity.min_share * F.col("p_n"), F.concat(F.lit("/"), F.col("segment")))
+        .when(similar, "/~")
+        .otherwise(F.concat(F.lit("/"), F.col("segment")))
+    )
+    names = child.join(parent, ["host", "template"]).select("host", "template", "segment", label.alias("label"))
+    return (
+        at.join(names, ["host", "template", "segment"])
+        .withColumn("template", F.concat("template", "label"))
+        .drop("segment", "label")
+    )
 
 
 def judged_templates(tree: DataFrame, purity: Purity = Purity()) -> DataFrame:

@@ -75,6 +75,18 @@ def test_small_sections_with_labels_stay(spark):
         assert verdict == ("block" if path.startswith("/qk/") else "allow"), path
 
 
+def test_deep_branches_are_told_apart(spark):
+    letters = "abcdefghijklmnopqrst"
+    deep = "/a/b/c/d/e/f"
+    paths = [f"{deep}/{kind}/{x}" for kind in ("casino", "news", "sport") for x in letters]
+    paths += [f"/good/b/c/d/{x}/{y}" for x in letters for y in "klm"] + ["/", "/a", deep, "/a/b/c/d/e"]
+    got = judged(spark, paths, lambda p: "/casino/" in p)
+    assert len(got) == len(paths)
+    for path, (verdict, template) in got.items():
+        assert verdict == ("block" if "/casino/" in path else "allow"), (path, template)
+        assert template.endswith("/**") or not path.startswith("/good/"), (path, template)
+
+
 def test_single_labels_make_no_templates(spark):
     paths = [f"/{a}{b}{c}" for a in "qrstuvwxyz" for b in "klmnopqrst" for c in "ghijk"]
     got = judged(spark, paths, lambda p: p.endswith("g") and p[1] == "q")  # 10 of 500
