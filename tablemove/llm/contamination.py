@@ -16,8 +16,12 @@ UNITS = (
     *("inch", "inches", "feet", "miles", "pounds", "ounces", "dollars", "euros", "cents", "percent"),
     *("seconds", "minutes", "hours", "days", "weeks", "months", "years", "meters", "metres", "kilometers", "liters"),
 )
+_SPACE = r"[\s\x{85}\p{Z}]+"
 #: A capitalised word that doesn't begin a sentence; the mark put before it makes it a name.
-_NAMED = r"(?<=[\p{L}\p{N},;] )(?=\p{Lu}\p{Ll})"
+_NAMED = r"(?<=[\p{L}\p{N},;] [\p{Ps}\p{Pi}\"'`]{0,3})(?=\p{Lu}\p{Ll})"
+_CAPITALISED = r"^⟨?\p{Lu}\p{Ll}"
+#: Readings of a text: no names, those that don't begin a sentence, all capitalised words.
+PLAIN, INNER, EVERY = READINGS = ("plain", "inner", "every")
 _TOKEN = r"⟨?\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,:/]\p{N}+)*"
 
 
@@ -33,25 +37,32 @@ class Match:
 
 
 def tokens_of(text: Column) -> Column:
-    """Words and numbers of a text; names carry a mark."""
-    return F.regexp_extract_all(F.regexp_replace(text, _NAMED, "⟨"), F.lit(_TOKEN), F.lit(0))
+    """Words and numbers of a text; names that don't begin a sentence carry a mark."""
+    spaced = F.regexp_replace(text, _SPACE, " ")
+    return F.regexp_extract_all(F.regexp_replace(spaced, _NAMED, "⟨"), F.lit(_TOKEN), F.lit(0))
 
 
 def template_of(tokens: Column) -> Column:
-    """Tokens with names, numbers and units behind numbers as placeholders, others in lower case."""
+    """Tokens with numbers and units behind numbers as placeholders, others in lower case."""
 
     def canonical(token: Column, at: Column) -> Column:
-        is_unit = F.lower(token).isin(*UNITS) & F.coalesce(F.get(tokens, at - 1).rlike(r"^\p{N}"), F.lit(False))
-        return (
-            F.when(token.startswith("⟨"), _NAME)
-            .when(token.rlike(r"^\p{N}"), _NUMBER)
-            .when(is_unit, _UNIT)
-            .otherwise(F.lower(token))
-        )
+        word = F.lower(F.ltrim(token, F.lit("⟨")))
+        is_unit = word.isin(*UNITS) & F.coalesce(F.get(tokens, at - 1).rlike(r"^\p{N}"), F.lit(False))
+        return F.when(token.rlike(r"^\p{N}"), _NUMBER).when(is_unit, _UNIT).otherwise(word)
 
     return F.transform(tokens, canonical)
 
 
+def _named(tokens: Column, plain: Column, every: bool) -> Column:
+    """A template with the marked, or all capitalised, words as placeholders too."""
+
+    def canonical(token: Column, word: Column) -> Column:
+        is_name = (token != word) & token.rlike(_CAPITALISED) if every else token.startswith("⟨")
+        return F.when(is_name, _NAME).otherwise(word)
+
+    return F.zip_with(tokens, plain, canonical)
+
+
 def _starts(size: Column, length: int) -> Column:
     """Starts of all windows; none in shorter texts."""
     none = F.array().cast("array<int>")
@@ -67,7 +78,7 @@ def _slots(tokens: Column, template: Column, start: Column, length: int) -> Colu
     """The values at the placeholders of a window, in order."""
     values, kinds = _slice(tokens, start, length), _slice(template, start, length)
     pairs = F.array(*[F.struct(v.alias("value"), k.alias("kind")) for v, k in zip(values, kinds, strict=True)])
-    return F.transform(F.filter(pairs, lambda p: p["kind"].isin(_NAME, _NUMBER, _UNIT)), lambda p: F.lower(p["value"]))
+    return F.transform(F.filter(pairs, lambda p: p["kind"].isin(_NAME, _NUMBER, _UNIT)), lambda p: F.lower(F.ltrim(p["value"], F.lit("⟨"))))
 
 
 def _windows(frame: DataFrame, length: int, *keep: str) -> DataFrame:
@@ -83,8 +94,28 @@ def _windows(frame: DataFrame, length: int, *keep: str) -> DataFrame:
 
 
 def _canonical(frame: DataFrame, *keep: str) -> DataFrame:
+    """``keep, tokens`` and a template for each reading."""
     tokens = frame.select(*keep, tokens_of(text_of()).alias("tokens"))
-    return tokens.withColumn("template", template_of(F.col("tokens")))
+    plain = tokens.withColumn(PLAIN, template_of(F.col("tokens")))
+    return plain.select("*", *[_named(F.col("tokens"), F.col(PLAIN), r == EVERY).alias(r) for r in (INNER, EVERY)])
+
+
+def _readings(canonical: DataFrame, *keep: str) -> DataFrame:
+    """``keep, tokens, reading, template``, a row for each reading."""
+    each = F.array(*[F.struct(F.lit(r).alias("reading"), F.col(r).alias("template")) for r in READINGS])
+    return canonical.select(*keep, "tokens", F.inline(each))
+
+
+def _item_readings(canonical: DataFrame) -> DataFrame:
+    """Readings of the items; one with names adds nothing to an item without.
+
+    Where all words but numbers would be names, nothing is left to tell the item by.
+    """
+    rows = _readings(canonical, "item_id", PLAIN)
+    literal = F.exists("template", lambda w: ~w.isin(_NAME, _NUMBER, _UNIT))
+    named = F.col("template") != F.col(PLAIN)
+    wanted = F.when(F.col("reading") == EVERY, named & literal).when(F.col("reading") == INNER, named).otherwise(True)
+    return rows.filter(wanted & (F.size("template") > 0)).drop(PLAIN)
 
 
 def _hashes(template: Column, length: int) -> Column:
@@ -93,10 +124,22 @@ def _hashes(template: Column, length: int) -> Column:
     return F.transform(at, lambda start: F.xxhash64(*_slice(template, start, length)))
 
 
+def _all_hashes(length: int) -> Column:
+    """Distinct hashes of the windows of all readings of a document."""
+    none = F.array().cast("array<bigint>")
+    plain = _hashes(F.col(PLAIN), length)
+    # A reading that is the same as a plainer one has the same windows.
+    others = [F.when(F.col(r) != F.col(PLAIN), _hashes(F.col(r), length)).otherwise(none) for r in (INNER, EVERY)]
+    return F.array_distinct(F.concat(plain, *others))
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) -> DataFrame:
     """``doc_id, k1, k2, item_id, at, windows, of_windows, same_values`` for each item a document holds.
 
-    Numbers, names and units become typed placeholders. Windows of a document meet equal
+    Numbers, names and units become typed placeholders. A text is read three times: without names,
+    with the capitalised words that don't begin a sentence as names, and with all
+    capitalised words as names; an item is found if one reading of it is. White space counts as one
+    space. Windows of a document meet equal
     template windows of the benchmark by an equality join; those in the same alignment (equal
     distance of their starts) have to cover ``least_words`` words, or the whole of a shorter item, and
     every value of the item has to stand for one value of the document throughout.
@@ -107,12 +150,12 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
     item count once. Extra columns are ignored.
     """
     docs = documents.select("doc_id", "text").select("doc_id", "text", *document_key("doc_id", "text"))
-    items = _canonical(benchmark.select("item_id", "text").distinct(), "item_id").filter(F.size("template") > 0)
+    items = _item_readings(_canonical(benchmark.select("item_id", "text").distinct(), "item_id"))
     items = items.withColumn("length", F.least(F.size("template"), F.lit(match.window)))
     lengths = sorted(r["length"] for r in items.select("length").distinct().collect())  # at most match.window
-    parts = [_windows(items.filter(F.col("length") == n), n, "item_id", "template") for n in lengths]
+    parts = [_windows(items.filter(F.col("length") == n), n, "item_id", "reading", "template") for n in lengths]
     if not parts:
-        parts = [_windows(items, match.window, "item_id", "template")]
+        parts = [_windows(items, match.window, "item_id", "reading", "template")]
         lengths = [match.window]
     known = parts[0].withColumn("length", F.lit(lengths[0]))
     for part, n in zip(parts[1:], lengths[1:], strict=True):
@@ -120,6 +163,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
     known = saved(
         known.select(
             "item_id",
+            "reading",
             F.size("template").alias("item_words"),
             F.col("at").alias("item_at"),
             F.col("words").alias("item_window"),
@@ -135,25 +179,31 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
     hashes = narrow(known.select("hash").distinct())
     hits = None
     for n in lengths:
-        own = canonical.select("k1", "k2", F.explode(_hashes(F.col("template"), n)).alias("hash"))
+        own = canonical.select("k1", "k2", F.explode(_all_hashes(n)).alias("hash"))
         own = own.join(hashes, "hash", "left_semi").select("k1", "k2")
         hits = own if hits is None else hits.union(own)
     touched = saved(hits.distinct(), "touched_documents")
 
     # Then the windows of those documents, with their words and values.
-    chosen = _canonical(docs.join(touched, ["k1", "k2"], "left_semi"), "doc_id", "k1", "k2")
+    keys = ("doc_id", "k1", "k2")
+    chosen = _readings(_canonical(docs.join(touched, ["k1", "k2"], "left_semi"), *keys), *keys)
     found = None
     for n in lengths:
-        own = _windows(chosen, n, "doc_id", "k1", "k2")
-        own = own.join(known.filter(F.col("length") == n), "hash").filter(F.col("words") == F.col("item_window"))
+        own = _windows(chosen, n, *keys, "reading")
+        own = own.join(known.filter(F.col("length") == n), ["reading", "hash"]).filter(F.col("words") == F.col("item_window"))
         found = own if found is None else found.unionByName(own)
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
+    # What stands for a value where names are known also has to hold where they aren't.
+    inner = F.array(F.lit(INNER), F.lit(PLAIN))
+    judged = F.explode(F.when(F.col("reading") == INNER, inner).otherwise(F.array("reading"))).alias("judged")
+    own = F.col("reading") == F.col("judged")
     aligned = (
-        found.withColumn("shift", F.col("at") - F.col("item_at"))
-        .groupBy("doc_id", "k1", "k2", "item_id", "shift", "item_words", "length")
+        found.select("*", judged)
+        .withColumn("shift", F.col("at") - F.col("item_at"))
+        .groupBy(*keys, "item_id", "shift", "item_words", "length", "judged")
         .agg(
-            F.count_distinct("item_at").alias("windows"),
-            F.min("at").alias("at"),
+            F.count_distinct(F.when(own, F.col("item_at"))).alias("windows"),
+            F.min(F.when(own, F.col("at"))).alias("at"),
             # As long as the item, not as the document: one alignment has each window once.
             F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values"),
         )

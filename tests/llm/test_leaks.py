@@ -35,6 +35,26 @@ def test_leaks(spark):
     assert got == sorted(expected, key=str)
 
 
+def test_wrapped_folded_and_renamed_copies(spark):
+    short = "Tom has 5 apples and buys 7 more from Ann at the shop"
+    renamed = short.replace("Tom", "Kim").replace("Ann", "Sue").replace("5", "3")
+    long = (
+        "Every morning Tom and Ann walk with Bob past Lee and Kim until Joe meets Sue near Rome while "
+        "Max waits with Eve for Ida and Leo beside Oslo"
+    )
+    copies = {
+        1: short.replace(" Ann", "\nAnn"), 2: short.replace(" Ann", "  Ann"), 3: short.replace(" Ann", "\tAnn"),
+        4: short.replace("Ann", '"Ann"'), 5: short.replace("Ann", "(Ann)"), 6: short.lower(), 7: short.upper(),
+        8: f"so {short}", 9: renamed, 10: f"Well. {renamed}", 11: f"so {renamed}", 12: short.replace(" ", "\u00a0"),
+    }
+    items = bench(spark, [(1, short), (2, long), (3, "Yes"), (4, "Yes 5"), (5, "here we were asked to sit by Ann")])
+    rows = [*copies.items(), (20, long.replace(" ", "\n")), (21, long.lower()), (30, prose(70, 60) + " No. Bob 7 No")]
+    rows.append((31, "here we were asked to sit by: Sue"))
+    got = {(r["doc_id"], r["item_id"], r["same_values"]) for r in leaks(documents(spark, rows), items).collect()}
+    expected = {(d, 1, d not in (9, 10, 11)) for d in copies} | {(20, 2, True), (21, 2, True), (31, 5, False)}
+    assert got == expected
+
+
 def test_decontaminate(spark):
     docs, items = sample(spark)
     clean = decontaminate(docs, items)
