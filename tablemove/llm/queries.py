@@ -13,6 +13,7 @@ from tablemove.llm import (
     contamination,
     documents_near,
     lines,
+    merkle,
     mixing,
     quality,
     repeats,
@@ -242,6 +243,92 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(given.unionByName(own)))
 
 
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of a short ASCII text in SQL, bit by bit."""
+    bits = (
+        f"flatten(list_transform(string_split({text}, ''), "
+        "lambda c: list_transform(range(8), lambda b: ((ascii(c) >> b::INT) & 1)::BIGINT)))"
+    )
+    step = "(c >> 1) ^ (((c ^ b) & 1) * 3988292384)"
+    return f"xor(list_reduce({bits}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)".replace(
+        step, "xor(c >> 1, (xor(c, b) & 1) * 3988292384)"
+    )
+
+
+def _sql_field(column: str) -> str:
+    value = f"({column})::VARCHAR"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+
+def _sql_merkle(depth: int = 8) -> str:
+    """The tree level by level, for up to 16 to the power ``depth`` rows in a source, and as many sources."""
+    fields = [_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaves = [f"sha256({' || '.join([*fields, _sql_field(t)])})" for t in ("text", "low")]
+    parts = [
+        f"""
+    WITH t AS (
+        SELECT *, CASE WHEN {_sql_crc32("doc_id::VARCHAR")} % 5 = 0 THEN {lowered} ELSE text END AS low
+        FROM documents
+    ), l AS (
+        SELECT doc_id, source AS g, {leaves[0]} AS leaf, {leaves[1]} AS now FROM t
+    ), a0 AS (
+        SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l
+    ), n0 AS (
+        SELECT g, i, leaf AS d, count(*) OVER (PARTITION BY g) AS n FROM a0
+    ), f0 AS (
+        SELECT doc_id, g, leaf, now, '' AS proof, i FROM a0
+    )"""
+    ]
+
+    def level(k: int, nodes: str, folds: str) -> list[str]:
+        up = f"""{nodes}{k + 1} AS (
+        SELECT g, i // 16 AS i, any_value((n + 15) // 16) AS n,
+               CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d
+        FROM {nodes}{k} GROUP BY g, i // 16
+    )"""
+        runs = f"""r_{nodes}{k} AS (
+        SELECT g, i, string_agg(d, '' ORDER BY i) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+               string_agg(d, '' ORDER BY i) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after
+        FROM {nodes}{k} WHERE n > 1 WINDOW w AS (PARTITION BY g, i // 16 ORDER BY i)
+    )"""
+        fold = f"""{folds}{k + 1} AS (
+        SELECT f.* REPLACE (
+            CASE WHEN r.i IS NULL THEN now ELSE sha256(coalesce(before, '') || now || coalesce(after, '')) END AS now,
+            proof || coalesce(before, '') || coalesce(after, '') AS proof, f.i // 16 AS i)
+        FROM {folds}{k} f LEFT JOIN r_{nodes}{k} r ON f.g IS NOT DISTINCT FROM r.g AND f.i = r.i
+    )"""
+        return [up, runs, fold]
+
+    for k in range(depth):
+        parts += level(k, "n", "f")
+    parts.append(
+        f"""s AS (
+        SELECT g AS source, d, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i FROM n{depth}
+    ), m0 AS (
+        SELECT 0 AS g, i, d, count(*) OVER () AS n FROM s
+    ), h0 AS (
+        SELECT f.doc_id, 0 AS g, s.d AS subroot, leaf, now, proof, s.i
+        FROM f{depth} f JOIN s ON f.g IS NOT DISTINCT FROM s.source
+    )"""
+    )
+    for k in range(depth):
+        parts += level(k, "m", "h")
+    return (
+        ", ".join(parts)
+        + f"""
+    SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = d AS verified
+    FROM h{depth}, m{depth}
+    """
+    )
+
+
+@query(_sql_merkle())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return merkle.manifest(documents, merkle.every_fifth_lowered()).folded()
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
