@@ -11,6 +11,7 @@ import corpus_pipeline
 from tablemove.llm import (
     chat,
     contamination,
+    credentials,
     documents_near,
     lines,
     merkle,
@@ -329,6 +330,22 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents, merkle.every_fifth_lowered()).folded()
 
 
+@query()
+def op13_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = credentials.scan(documents, credentials.train(documents))
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    of_kind = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    return found.select(
+        "row.doc_id",
+        *[F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in credentials.KINDS],
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"].isin(*credentials.KINDS))), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
