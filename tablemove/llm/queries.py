@@ -16,6 +16,7 @@ from tablemove.llm import (
     lines,
     merkle,
     mixing,
+    prefixes,
     quality,
     repeats,
     tokens,
@@ -256,6 +257,49 @@ def _sql_crc32(text: str) -> str:
     )
 
 
+@query(
+    rf"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), o AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, h) AS p FROM t
+    ), c AS (
+        SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, {_sql_crc32("conv_id::VARCHAR")} % 9 AS taken FROM o
+    ), r AS (
+        SELECT c.conv_id, 0 AS part, p, h, text FROM c JOIN o ON o.conv_id = c.base AND p <= taken
+        UNION ALL
+        SELECT c.conv_id, 1 AS part, p, h, text FROM c JOIN o ON o.conv_id = c.conv_id AND p > taken
+    ), k AS (
+        SELECT conv_id, strlen(text) AS bytes, row_number() OVER w AS depth, count(*) OVER (PARTITION BY conv_id) AS n,
+               string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS key
+        FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+        UNION ALL
+        SELECT conv_id, 0, 0, (SELECT count(*) FROM r WHERE r.conv_id = c.conv_id), '' FROM c
+    ), g AS (
+        SELECT key, depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+               left(key, greatest(64 * (depth - 1), 0)) AS parent,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = n), '')) AS ends_sha256
+        FROM k GROUP BY key, depth
+    ), f AS (
+        SELECT parent, count(*) AS n FROM g WHERE depth > 0 GROUP BY parent
+    ), b AS (
+        SELECT left(key, 64 * unnest(range(depth + 1))::INT) AS key, (f.n IS NULL)::INT AS leaf, (n_convs - 1) * bytes AS saved
+        FROM g LEFT JOIN f ON f.parent = g.key
+    ), s AS (
+        SELECT key, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM b GROUP BY key
+    )
+    SELECT g.conv_id, g.depth, CASE WHEN g.depth > 0 THEN u.conv_id END AS parent_conv_id, g.n_convs,
+           coalesce(f.n, 0) AS n_children, n_leaves, saved_tokens, g.ends_sha256
+    FROM g JOIN s USING (key) LEFT JOIN f ON f.parent = g.key JOIN g u ON u.key = g.parent
+    """
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixes.turns_of(table(spark, sf_dir, "conversations"))
+    return prefixes.trie(prefixes.branched(turns)).expanded()
+
+
 def _sql_field(column: str) -> str:
     value = f"({column})::VARCHAR"
     return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
