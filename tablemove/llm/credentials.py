@@ -6,7 +6,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, partial
+from functools import partial
 from zlib import crc32
 
 import numpy as np
@@ -43,6 +43,7 @@ MEMO = 200_000
 #: Tokens before and after a token that its score depends on.
 LEFT, RIGHT = 3, 1
 _EDGE = "\x00"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
@@ -73,60 +74,50 @@ def _bucket(value: float, bounds: tuple[float, ...]) -> int:
     return sum(value >= b for b in bounds)
 
 
-def shape(token: str) -> list[str]:
-    """What a token looks like: its length, kinds of characters, how they mix, and how many differ."""
-    size = len(token)
-    if size == 1 and not token.isalnum():
-        return [f"sign {token}", "one sign"]
-    ascii_only = token.isascii()
-    kinds = "".join(
-        name
-        for name, has in (
-            ("a", any("a" <= c <= "z" for c in token)),
-            ("A", any("A" <= c <= "Z" for c in token)),
-            ("0", any("0" <= c <= "9" for c in token)),
-            ("_", "_" in token),
-            (".", "." in token),
-            ("/", "/" in token),
-            ("+", "+" in token or "-" in token),
-            ("é", not ascii_only),
-        )
-        if has
-    )
-    length = _bucket(size, (2, 3, 6, 8, 12, 16, 20, 32, 48))
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False))
-    cases = sum(a.islower() != b.islower() for a, b in zip(token, token[1:], strict=False) if a.isalpha() and b.isalpha())
-    differ = len(set(token))
-    result = [
-        f"length {length}",
-        f"kinds {kinds}",
-        f"kinds {kinds} {length}",
-        f"turns {_bucket(turns, (1, 2, 4, 8))} {length}",
-        f"cases {_bucket(cases, (1, 2, 4, 8))}",
-        f"differ {_bucket(differ / size, (0.25, 0.5, 0.75))} {length}",
-    ]
-    if size >= 8 and turns and all(c in "0123456789abcdef" for c in token):
-        result.append(f"hex {length}")
-    return result
-
+_LENGTHS = [_bucket(n, (2, 3, 6, 8, 12, 16, 20, 32, 48)) for n in range(49)]
+_KINDS = [("a", frozenset(_LETTERS)), ("A", frozenset(_LETTERS.upper())), ("0", frozenset("0123456789"))]
+_KINDS += [(c[0], frozenset(c)) for c in ("_", ".", "/", "+-")]
+_HEX_DIGITS = frozenset("0123456789abcdef")
 
-def word(token: str) -> list[str]:
-    """A token as its neighbours see it: itself if short, and the letters it is made of."""
-    lowered = token.lower() if len(token) <= 32 else ""
-    result = [f"kind {'sign' if not token.isalnum() and len(token) == 1 else 'digits' if token.isdigit() else 'word'}"]
-    if len(token) <= 2:
-        result.append(f"is {token}")
-    parts = _PARTS.findall(lowered)
-    result += [f"part {p}" for p in parts if len(p) > 2]
-    return result
 
+def signature(token: str, known: frozenset[str] | None = None) -> tuple:
+    """All that the features of a token are made of, so that few signatures stand for many tokens.
 
-@lru_cache(maxsize=10_000)
-def views(token: str) -> list[list[str]]:
+    Its length, kinds of characters, how they mix, how many differ, itself if it is short, and the words of
+    letters in it, of which only the ``known`` ones count if given.
+    """
+    size = len(token)
+    if size == 1 and not token.isalnum():
+        return (token,)
+    letters = set(token)
+    kinds = "".join(name for name, of in _KINDS if not letters.isdisjoint(of))
+    turns = cases = 0
+    if "0" in kinds and kinds != "0":
+        turns = _bucket(sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:], strict=False)), (1, 2, 4, 8))
+    if not token.islower() and not token.isdigit():
+        pairs = zip(token, token[1:], strict=False)
+        cases = _bucket(sum(a.islower() != b.islower() for a, b in pairs if a.isalpha() and b.isalpha()), (1, 2, 4, 8))
+    if not token.isascii():
+        kinds += "é"
+    length = _LENGTHS[min(size, 48)]
+    parts = [p for p in _PARTS.findall(token.lower()) if len(p) > 2] if size <= 32 else []
+    if known is not None and parts:
+        parts = [p for p in parts if p in known]
+    is_hex = size >= 8 and turns > 0 and letters <= _HEX_DIGITS
+    return (length, kinds, turns, cases, min(4 * len(letters) // size, 3), is_hex, token if size <= 2 else "", *parts)
+
+
+def views(signed: tuple) -> list[list[str]]:
     """Features of a token for itself, for the three after it, and for the one before it."""
-    seen = word(token)
+    if len(signed) == 1:
+        seen, own = ["kind sign", f"is {signed[0]}"], [f"sign {signed[0]}", "one sign"]
+    else:
+        length, kinds, turns, cases, differ, is_hex, short, *parts = signed
+        seen = [f"kind {'digits' if kinds == '0' else 'word'}", *([f"is {short}"] if short else []), *[f"part {p}" for p in parts]]
+        own = [f"length {length}", f"kinds {kinds}", f"kinds {kinds} {length}", f"turns {turns} {length}", f"cases {cases}"]
+        own += [f"differ {differ} {length}", *([f"hex {length}"] if is_hex else [])]
     return [
-        ["own", *shape(token), *[f"own {f}" for f in seen]],
+        ["own", *own, *[f"own {f}" for f in seen]],
         *[[f"{-d} {f}" for f in seen] for d in range(1, LEFT + 1)],
         [f"+1 {f}" for f in seen],
     ]
@@ -150,22 +141,31 @@ class Tagger:
     def __init__(self, field: Field):
         self.field = field
         self.margins = field.margins()
+        self.known = frozenset(f.rsplit(" ", 1)[1] for f in field.weights if " part " in f)
         self.memo: dict[str, int] = {}
+        self.signed: dict[tuple, int] = {}
         self.scores = np.empty((1024, LEFT + RIGHT + 1, 3))
 
     def _numbers(self, tokens: list[str]) -> np.ndarray:
-        memo = self.memo
+        memo, signed = self.memo, self.signed
+        if len(memo) > MEMO:
+            memo.clear()
+        if len(signed) > MEMO:
+            memo.clear()
+            signed.clear()
         for token in set(tokens).difference(memo):
-            at = memo[token] = len(memo)
-            if at == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
-            self.scores[at] = [self.field.score(v) for v in views(token)]
+            mark = signature(token, self.known)
+            at = signed.get(mark)
+            if at is None:
+                at = signed[mark] = len(signed)
+                if at == len(self.scores):
+                    self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
+                self.scores[at] = [self.field.score(v) for v in views(mark)]
+            memo[token] = at
         return np.array(list(map(memo.__getitem__, tokens)), np.int64)
 
     def _scores(self, tokens: list[str], file: np.ndarray) -> np.ndarray:
         """Scores of all tokens but the first three and the last, which are only neighbours."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
         numbers = self._numbers(tokens)
         count = numbers.size - LEFT - RIGHT
         result = np.broadcast_to(file, (count, 3)).copy()
@@ -256,7 +256,6 @@ _NAMES = (
 ).split()
 _PLAIN_NAMES = "name title count size version page date color width user email path url host port mode level lang id".split()
 _PLAIN_VALUES = "large small true false none default main 2024 1.2.3 10:30 12345678 8080 localhost utf 100% v2".split()
-_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def made_lines(count: int, seed: int) -> list[tuple[list[str], list[int]]]:
@@ -306,7 +305,7 @@ def made_lines(count: int, seed: int) -> list[tuple[list[str], list[int]]]:
 
 
 def _features(before: list[str], tokens: list[str], file: list[str]) -> list[list[str]]:
-    seen = [views(t) for t in [_EDGE] * (LEFT - len(before)) + before + tokens + [_EDGE]]
+    seen = [views(signature(t)) for t in [_EDGE] * (LEFT - len(before)) + before + tokens + [_EDGE]]
     return [
         [*seen[i][0], *(f for d in range(1, LEFT + 1) for f in seen[i - d][d]), *seen[i + 1][-1], *file]
         for i in range(LEFT, LEFT + len(tokens))

@@ -8,7 +8,7 @@ import pytest
 from helpers import documents, prose
 
 from tablemove.llm import credentials, crf
-from tablemove.llm.credentials import Tagger, base_spans, file_features, made_lines, views
+from tablemove.llm.credentials import Tagger, base_spans, file_features, made_lines, signature, views
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +48,7 @@ def whole_chain(field, text, lang, hits):
     padded = ["\x00"] * 3 + tokens + ["\x00"]
     file = field.score(file_features(text, lang, hits))
     rows = [
-        file + sum(field.score(views(padded[i - d])[d]) for d in range(4)) + field.score(views(padded[i + 1])[-1])
+        file + sum(field.score(views(signature(padded[i - d]))[d]) for d in range(4)) + field.score(views(signature(padded[i + 1]))[-1])
         for i in range(3, 3 + len(tokens))
     ]
     found, previous = [], crf.O
