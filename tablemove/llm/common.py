@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablemove.sources.workspace import new_area
+from tablemove.sources.workspace import new_area, remove
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 #: ``bytes.split()`` without arguments separates at exactly these bytes.
@@ -36,10 +37,33 @@ def document_key(*columns: str) -> list[Column]:
     return [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(7), *reversed(parts)).alias("k2")]
 
 
-def saved(frame: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read again: the plan starts anew and survives lost executors."""
+#: Folders written inside each open ``scratch``, the innermost last.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``saved`` writes inside is removed at the end, but for a result saved with ``outlives``."""
+    areas: list[str] = []
+    _OPEN.append(areas)
+    try:
+        yield
+    finally:
+        _OPEN.remove(areas)
+        for area in areas:
+            remove(spark, area)
+
+
+def saved(frame: DataFrame, label: str, outlives: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: the plan starts anew and survives lost executors.
+
+    The files go with the innermost open ``scratch``; if they have to outlive it, with the one around it.
+    """
     spark = frame.sparkSession
     path = new_area(spark, label)
+    scopes = _OPEN[:-1] if outlives else _OPEN
+    if scopes:
+        scopes[-1].append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -9,7 +9,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemove.llm.common import in_arrow, narrow, saved, text_of
@@ -72,8 +72,9 @@ class Shingler:
         return mixed(total)
 
 
-def features(text: str, words: int) -> np.ndarray:
-    return np.unique(Shingler(words).hashes(text))
+def features(texts: list[str], words: int) -> list[np.ndarray]:
+    shingler = Shingler(words)
+    return [shingler.hashes(t) for t in texts]
 
 
 def prob_minhash(items: np.ndarray, weights: np.ndarray, registers: int) -> np.ndarray:
@@ -127,10 +128,9 @@ def _bands(near: Near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(near.words), set()
         for batch in batches:
-            ids, texts = batch.column("id").to_numpy(zero_copy_only=False), batch.column("text")
-            out_ids, out_bands = [], []
-            for i in range(batch.num_rows):
-                node = int(ids[i])
+            texts = batch.column("text")
+            out_ids, out_bands = [], [np.empty(0, np.int64)]
+            for i, node in enumerate(batch.column("id").to_pylist()):
                 if node in seen:  # copies inside a task need no second signature
                     continue
                 if len(seen) >= MEMO:
@@ -141,20 +141,25 @@ def _bands(near: Near):
                     continue
                 found = text_bands(hashes, near)
                 out_bands.append(found)
-                out_ids.append(np.full(found.size, node, np.int64))
-            columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in (out_bands, out_ids)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["band", "id"])
+                out_ids += [node] * found.size
+            columns = [pa.array(np.concatenate(out_bands)), pa.array(out_ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
 
     return run
 
 
-def _identified(documents: DataFrame, *keep: str) -> DataFrame:
-    return documents.select(*keep, F.xxhash64(text_of()).alias("id"), text_of().alias("text"))
+def _text_id() -> Column:
+    """128 bits of a text."""
+    return F.unhex(F.md5(text_of().cast("binary"))).alias("id")
+
+
+def _identified(documents: DataFrame) -> DataFrame:
+    return documents.select(_text_id(), text_of().alias("text"))
 
 
 def classes(documents: DataFrame, near: Near = Near()) -> DataFrame:
-    """``node, root`` for ids of texts that are close to another text; ids are ``xxhash64`` of the text."""
-    bands = in_arrow(_identified(documents), _bands(near), "band long, id long")
+    """``node, root`` for ids of texts that are close to another text; ids are 128 bits of the text."""
+    bands = in_arrow(_identified(documents), _bands(near), "bucket long, id binary")
 
     def texts(ids: DataFrame) -> DataFrame:
         found = _identified(documents).join(narrow(ids), "id", "left_semi")
@@ -173,7 +178,7 @@ def duplicate_classes(documents: DataFrame, near: Near = Near()) -> DataFrame:
     than others; repeated rows are documents of their own.
     """
     found = classes(documents, near).withColumnRenamed("node", "id")
-    named = documents.select("doc_id", F.xxhash64(text_of()).alias("id")).join(found, "id", "left")
+    named = documents.select("doc_id", _text_id()).join(found, "id", "left")
     named = saved(named.select("doc_id", F.coalesce("root", "id").alias("root")), "document_classes")
     sizes = named.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     return named.join(sizes, "root").select("doc_id", "class_id", "class_size")
@@ -185,11 +190,11 @@ def keep_one(documents: DataFrame, near: Near = Near()) -> DataFrame:
     Only narrow rows are compared; of rows that repeat a document one is kept.
     """
     found = classes(documents, near).withColumnRenamed("node", "id")
-    named = documents.select("doc_id", F.xxhash64(text_of()).alias("id")).distinct().join(found, "id", "left")
+    named = documents.select("doc_id", _text_id()).distinct().join(found, "id", "left")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
     best = named.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min(order).alias("best"))
     best = best.select(F.col("best.doc_id").alias("best_doc"), F.col("best.id").alias("best_id"))
-    rows = documents.select("doc_id", F.xxhash64(text_of()).alias("id"), F.struct(*documents.columns).alias("row"))
+    rows = documents.select("doc_id", _text_id(), F.struct(*documents.columns).alias("row"))
     rows = rows.join(best, (F.col("id") == F.col("best_id")) & F.col("doc_id").eqNullSafe(F.col("best_doc")), "left_semi")
     first = rows.groupBy("id", "doc_id").agg(F.any_value("row").alias("row"))
     return first.select("row.*")

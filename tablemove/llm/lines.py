@@ -11,17 +11,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from tablemove.llm.common import document_key, in_arrow, narrow, saved, text_of
+from tablemove.llm.common import document_key, in_arrow, narrow, saved, scratch, text_of
 from tablemove.llm.documents_near import MEMO, mixed
 from tablemove.llm.near import Similarity, near_classes
+from tablemove.llm.numbering import numbered
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are hashed at a time.
 _CHUNK = 1 << 18
-#: ``xxhash64`` of Spark is XXH64 of the UTF-8 bytes with this seed.
-_SPARK_SEED = 42
+_KINDS = {"long": LongType(), "binary": BinaryType(), "string": StringType()}
 
 
 @dataclass(frozen=True)
@@ -34,9 +34,21 @@ class Fuzzy:
     rows: int = 3
 
 
-def shingles(text: str, chars: int) -> np.ndarray:
-    """Hashes of the distinct shingles, sorted; a shorter line is one shingle."""
-    return np.unique(_rolled([text], chars)[0])
+def shingles(texts: list[str], chars: int) -> list[np.ndarray]:
+    """Hashes of the shingles of each line; a shorter line is one shingle."""
+    found, part, size = [], [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size > _CHUNK:
+            found += np.split(*_split_at(part, chars))
+            part, size = [], 0
+    return found + (np.split(*_split_at(part, chars)) if part else [])
+
+
+def _split_at(texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
+    values, starts = _rolled(texts, chars)
+    return values, starts[1:]
 
 
 def _rolled(texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,48 +85,73 @@ def line_bands(texts: list[str], fuzzy: Fuzzy) -> np.ndarray:
     return result
 
 
-def _line(text: Column) -> Column:
-    """A line as it is compared: its words with one space between them."""
-    return F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines with a word of each text: where they are and 128 bits of them.
+
+    Lines are compared by their words with one space between them; ``line`` has this once for all
+    copies that a task meets, as far as it remembers them.
+    """
+    seen: set[bytes] = set()
+    names = ["doc_id", "k1", "k2", "at", "id", "line"]
+
+    def made(rows: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch:
+        of, at, ids, lines = zip(*rows, strict=True) if rows else ([], [], [], [])
+        keys = [batch.column(c).take(pa.array(of, pa.int64())) for c in names[:3]]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(at, pa.int64()), pa.array(ids, pa.binary()), pa.array(lines, pa.string())], names)
+
+    for batch in batches:
+        rows, size = [], 0
+        for of, value in enumerate(batch.column("text")):
+            for at, raw in enumerate(value.as_py().encode().split(b"\n")):
+                line = b" ".join(raw.split())
+                if not line:
+                    continue
+                node = xxhash.xxh3_128_digest(line)
+                if node in seen:
+                    rows.append((of, at, node, None))
+                    continue
+                if len(seen) >= MEMO:
+                    seen.clear()
+                seen.add(node)
+                rows.append((of, at, node, line.decode()))
+                size += len(line)
+                if size > 16 * _CHUNK:
+                    yield made(rows, batch)
+                    rows, size = [], 0
+        yield made(rows, batch)
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
-    """``doc_id, k1, k2, at, id, line`` for every line with a word; ``at`` counts all lines from 0."""
-    keyed = documents.select("doc_id", *document_key("doc_id", "text"), F.split(text_of(), "\n").alias("lines"))
-    each = keyed.select("doc_id", "k1", "k2", F.posexplode("lines").alias("at", "raw"))
-    each = each.select("doc_id", "k1", "k2", "at", _line(F.col("raw")).alias("line")).filter("line <> ''")
-    return each.withColumn("id", F.xxhash64("line"))
+    """``doc_id, k1, k2, at, id, line`` for every line with a word; ``at`` counts all lines from 0.
+
+    Of lines with one ``id`` at least one has its ``line``.
+    """
+    keyed = documents.select("doc_id", *document_key("doc_id", "text"), text_of().alias("text"))
+    kinds = {"k1": "long", "k2": "long", "at": "long", "id": "binary", "line": "string"}
+    own = documents.schema["doc_id"]
+    schema = StructType([own, *[StructField(n, _KINDS[k]) for n, k in kinds.items()]])
+    return in_arrow(keyed, _cut, schema)
 
 
 def _bands(fuzzy: Fuzzy):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-
-        def made(ids: list[int], texts: list[str]) -> pa.RecordBatch:
-            bands = line_bands(texts, fuzzy).ravel() if texts else np.empty(0, np.int64)
-            nodes = np.repeat(np.array(ids, np.uint64).view(np.int64), fuzzy.bands)
-            return pa.RecordBatch.from_arrays([pa.array(bands), pa.array(nodes)], ["band", "id"])
-
-        for batch in batches:
-            ids, texts, size = [], [], 0
-            for value in batch.column("text"):
-                for raw in value.as_py().encode().split(b"\n"):
-                    line = b" ".join(raw.split())
-                    if not line:
-                        continue
-                    node = xxhash.xxh64_intdigest(line, seed=_SPARK_SEED)
-                    if node in seen:  # copies inside a task need no second signature
-                        continue
-                    if len(seen) >= MEMO:
-                        seen.clear()
-                    seen.add(node)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                part = whole.slice(at, 1000)
+                ids, texts, size = [], [], 0
+                for node, line in zip(part.column("id").to_pylist(), part.column("line"), strict=True):
                     ids.append(node)
-                    texts.append(line.decode())
-                    size += len(line)
+                    texts.append(line.as_py())
+                    size += len(texts[-1])
                     if size > _CHUNK:
                         yield made(ids, texts)
                         ids, texts, size = [], [], 0
-            yield made(ids, texts)
+                yield made(ids, texts)
+
+    def made(ids: list[bytes], texts: list[str]) -> pa.RecordBatch:
+        bands = line_bands(texts, fuzzy).ravel() if texts else np.empty(0, np.int64)
+        nodes = [node for node in ids for _ in range(fuzzy.bands)]
+        return pa.RecordBatch.from_arrays([pa.array(bands), pa.array(nodes, pa.binary())], ["bucket", "id"])
 
     return run
 
@@ -126,50 +163,69 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     of which each two neighbours share ``percent`` of their distinct shingles. Of a
     class, the occurrence with the smallest ``doc_id`` stays, then the smallest key and place.
     """
-    bands = in_arrow(documents.select(text_of().alias("text")), _bands(fuzzy), "band long, id long")
-
-    def texts(ids: DataFrame) -> DataFrame:
-        found = occurrences(documents).select("id", F.col("line").alias("text")).join(narrow(ids), "id", "left_semi")
-        return found.groupBy("id").agg(F.any_value("text").alias("text"))
-
-    similarity = Similarity(partial(shingles, chars=fuzzy.chars), fuzzy.percent)
-    classes = saved(near_classes(bands, texts, similarity), "line_classes").withColumnRenamed("node", "id")
-    places = occurrences(documents).select("doc_id", "k1", "k2", "at", "id")
-    named = places.join(narrow(classes), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    named = saved(named.drop("id"), "line_places")
-    # Most lines are alone; how many there are is counted on numbers only.
-    shared = named.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
-    several = saved(named.join(narrow(saved(shared, "shared_lines")), "root", "left_semi"), "shared_places")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "at").alias("place")
-    keep = several.groupBy("root").agg(F.min(order).alias("keep"))
-    keep = keep.select("root", F.col("keep.k1").alias("keep_1"), F.col("keep.k2").alias("keep_2"), F.col("keep.at").alias("keep_at"))
-    kept = (F.col("k1") == F.col("keep_1")) & (F.col("k2") == F.col("keep_2")) & (F.col("at") == F.col("keep_at"))
-    return several.join(keep, "root").filter(~kept).select("k1", "k2", "at").distinct()
+    with scratch(documents.sparkSession):
+        cut = saved(occurrences(documents), "lines")
+        written = cut.filter("line IS NOT NULL").select("id", "line")
+        bands = in_arrow(written, _bands(fuzzy), "bucket long, id binary")
+
+        def texts(ids: DataFrame) -> DataFrame:
+            found = written.join(narrow(ids), "id", "left_semi")
+            return found.groupBy("id").agg(F.any_value("line").alias("text"))
+
+        similarity = Similarity(partial(shingles, chars=fuzzy.chars), fuzzy.percent)
+        classes = near_classes(bands, texts, similarity).withColumnRenamed("node", "id")
+        named = cut.drop("line").join(narrow(classes), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        # Most lines are alone; how many there are is counted first.
+        shared = named.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
+        several = saved(named.drop("id").join(narrow(saved(shared, "shared_lines")), "root", "left_semi"), "shared_places")
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "at").alias("place")
+        keep = several.groupBy("root").agg(F.min(order).alias("keep"))
+        keep = keep.select("root", F.col("keep.k1").alias("keep_1"), F.col("keep.k2").alias("keep_2"), F.col("keep.at").alias("keep_at"))
+        kept = (F.col("k1") == F.col("keep_1")) & (F.col("k2") == F.col("keep_2")) & (F.col("at") == F.col("keep_at"))
+        gone = several.join(narrow(saved(keep, "kept_places")), "root").filter(~kept).select("k1", "k2", "at").distinct()
+        return saved(gone, "gone_lines", outlives=True)
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, counts = [], []
-        for text, gone in zip(batch.column("text"), batch.column("gone"), strict=True):
-            drop = set(gone.as_py() or ())
-            lines = None if text.as_py() is None else text.as_py().split("\n")
-            counts.append(0 if lines is None else sum(bool(line.encode().split()) for line in lines))
-            texts.append(text.as_py() if not drop else "\n".join(x for i, x in enumerate(lines) if i not in drop))
-        gone = pa.array([len(g.as_py() or ()) for g in batch.column("gone")], pa.int64())
-        columns = [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), gone]
+        texts, counts, removed = [], [], []
+        for text, gone, copy in zip(batch.column("text"), batch.column("gone"), batch.column("copy").to_pylist(), strict=True):
+            text, drop = text.as_py(), set(gone.as_py() or ())
+            lines = [] if text is None else text.split("\n")
+            worded = [i for i, line in enumerate(lines) if line.encode().split()]
+            if copy:
+                drop = set(worded)
+            counts.append(len(worded))
+            removed.append(len(drop))
+            texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
+        columns = [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["row", "text", "n_lines", "n_removed"])
 
 
+def _numbered_copies(rows: DataFrame) -> DataFrame:
+    """Adds ``copy``, which counts the rows with one key from 0; only rows that repeat a key are moved for it."""
+    keys = ["k1", "k2"]
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
+    repeated = saved(repeated, "repeated_documents")
+    if repeated.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    repeated = narrow(repeated)
+    group = F.concat_ws(":", *keys)
+    again = rows.join(repeated, keys, "left_semi").withColumn("grp", group)
+    again = numbered(again, [], "repeated_documents").withColumnRenamed("at", "copy").drop("grp", "of")
+    return rows.join(repeated, keys, "left_anti").withColumn("copy", F.lit(0).cast("long")).unionByName(again)
+
+
 def deduplicated(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """``row`` (all columns of a document), ``text`` without the lines to remove, ``n_lines, n_removed``.
 
     Every document stays, if need be with an empty text. Lines without words and NULL
-    texts are left as they are. Rows that agree in ``doc_id`` and text count as one document, so that
-    each of them is left the same lines. Lines are those that line feeds separate.
+    texts are left as they are. Of rows that agree in ``doc_id`` and text only one keeps lines with words,
+    so that one line of each class stays. Lines are those that line feeds separate.
     """
     gone = removals(documents, fuzzy).groupBy("k1", "k2").agg(F.collect_list("at").alias("gone"))
-    rows = documents.select(*document_key("doc_id", "text"), "text", F.struct(*documents.columns).alias("row"))
-    joined = rows.join(gone, ["k1", "k2"], "left").select("row", "text", "gone")
+    rows = documents.select(*document_key("doc_id", "text"), "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    joined = _numbered_copies(rows).join(gone, ["k1", "k2"], "left").select("row", "text", "gone", "copy")
     schema = StructType(
         [
             joined.schema["row"],

@@ -1,9 +1,12 @@
 """From bands to classes: verified links inside buckets, and their components.
 
-Items are distinct texts with a 64-bit id. Each bucket first compares its members with
-its smallest one. What that leaves apart is compared in blocks, so that no two texts in a
-bucket with enough in common end up in different classes, and no pairs are ever written but
-those that are linked.
+Items are distinct texts with a 128-bit id. Each bucket first compares its members with
+its smallest one. Members of buckets that still span several classes are dealt anew, by shingles:
+of two texts that are close, the rarest shingles of each have one in common, as many of them as leave
+too few others. Each of these smaller buckets is compared with its smallest member again, and
+what that leaves apart is compared in blocks. So no two texts in a bucket with
+enough in common end up in different classes, and no pairs are ever written but those to be compared
+with a smallest member, and those that are linked.
 """
 
 from __future__ import annotations
@@ -16,88 +19,89 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablemove.llm.common import in_arrow, saved
+from tablemove.llm.common import in_arrow, narrow, saved, scratch
 from tablemove.llm.components import components
 
 #: Sizes of the two sides of a block, when a bucket is compared in blocks.
 MEMBER_BLOCK, STRAGGLER_BLOCK = 200, 50
-#: Shingle hashes that a task remembers.
-FEATURE_HASHES = 4_000_000
+#: Shingles that a task remembers.
+FEATURES = 1_000_000
+#: Texts of more shingles than this are compared as sorted arrays, others as sets.
+SET_SIZE = 2048
+#: Numbers by which shingles are ordered from rare to frequent; any order would do.
+SLOTS = 1 << 16
+
+Features = frozenset | np.ndarray
 
 
 @dataclass(frozen=True)
 class Similarity:
-    """``features`` gives the sorted distinct hashes of a text's shingles; links need ``percent`` of Jaccard."""
+    """``features`` gives the hashes of the shingles of each of some texts; links need ``percent`` of Jaccard."""
 
-    features: Callable[[str], np.ndarray]
+    features: Callable[[list[str]], list[np.ndarray]]
     percent: int = 80
 
-    def close(self, x: np.ndarray, y: np.ndarray) -> bool:
-        small, large = sorted((x.size, y.size))
-        if not small or 100 * small < self.percent * large:
+    def prepared(self, texts: list[str]) -> list[Features]:
+        return [frozenset(f.tolist()) if f.size <= SET_SIZE else np.unique(f) for f in self.features(texts)]
+
+    def fits(self, x: int, y: int) -> bool:
+        """Whether texts of so many distinct shingles can be close."""
+        return 0 < min(x, y) and 100 * min(x, y) >= self.percent * max(x, y)
+
+    def close(self, x: Features, y: Features) -> bool:
+        if not self.fits(len(x), len(y)):
             return False
-        common = np.intersect1d(x, y, assume_unique=True).size
-        return 100 * common >= self.percent * (small + large - common)
-
-    def close_pairs(self, xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
-        """Which of ``xs`` are close to which of ``ys``, as a table of booleans."""
-        sizes_x, sizes_y = (np.array([v.size for v in vs], np.int64) for vs in (xs, ys))
-        flat_x, flat_y = np.concatenate(xs), np.concatenate(ys)
-        own_x, own_y = np.repeat(np.arange(len(xs)), sizes_x), np.repeat(np.arange(len(ys)), sizes_y)
-        order = np.argsort(flat_x, kind="stable")
-        flat_x, own_x = flat_x[order], own_x[order]
-        low, high = np.searchsorted(flat_x, flat_y, "left"), np.searchsorted(flat_x, flat_y, "right")
-        common = np.zeros((len(xs), len(ys)), np.int64)
-        found = high - low
-        # One step for each further text of ``xs`` that holds the same shingle.
-        step = 0
-        while (more := np.flatnonzero(found > step)).size:
-            np.add.at(common, (own_x[low[more] + step], own_y[more]), 1)
-            step += 1
-        union = sizes_x[:, None] + sizes_y[None, :] - common
-        return (common > 0) & (100 * common >= self.percent * union)
+        if isinstance(x, frozenset) and isinstance(y, frozenset):
+            common = len(x & y)
+        else:
+            x, y = (np.array(sorted(v), np.uint64) if isinstance(v, frozenset) else v for v in (x, y))
+            common = np.intersect1d(x, y, assume_unique=True).size
+        return 100 * common >= self.percent * (len(x) + len(y) - common)
+
+    def needed(self, size: int) -> int:
+        """Of how many shingles, in an order that all texts share, a close text has to have one among its own."""
+        return size - -(-self.percent * size // 100) + 1
 
 
 class _Known:
-    """Features of the texts that a task has met lately, by id; holds a bounded number of hashes."""
+    """Features of the texts that a task has met lately, by id; holds a bounded number of them."""
 
     def __init__(self, similarity: Similarity):
-        self.of = similarity.features
-        self.kept: dict[int, np.ndarray] = {}
+        self.similarity = similarity
+        self.kept: dict[bytes, Features] = {}
         self.held = 0
 
-    def __call__(self, node: int, text: pa.Scalar) -> np.ndarray:
-        found = self.kept.get(node)
-        if found is None:
-            found = self.of(text.as_py())
-            self.held += found.size
-            if self.held > FEATURE_HASHES:
-                self.kept.clear()
-                self.held = found.size
-            self.kept[node] = found
-        return found
+    def of(self, ids: list[bytes], texts: pa.Array) -> list[Features]:
+        if self.held > FEATURES:
+            self.kept.clear()
+            self.held = 0
+        new = {node: i for i, node in enumerate(ids) if node not in self.kept}
+        found = self.similarity.prepared(texts.take(pa.array(new.values(), pa.int64())).to_pylist()) if new else []
+        for node, features in zip(new, found, strict=True):
+            self.kept[node] = features
+            self.held += len(features)
+        return [self.kept[node] for node in ids]
 
 
 def _links(frame: DataFrame, run: Callable) -> DataFrame:
-    return in_arrow(frame, run, "a long, b long")
+    return in_arrow(frame, run, "a binary, b binary")
 
 
-def _made(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+def _made(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     columns = list(zip(*pairs, strict=True)) or [[], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["a", "b"])
 
 
 def _verify_pairs(similarity: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(similarity)
-        for batch in batches:
-            pairs = []
-            nodes = [batch.column(c).to_pylist() for c in ("a", "b")]
-            texts = [batch.column(c) for c in ("text_a", "text_b")]
-            for i, (a, b) in enumerate(zip(*nodes, strict=True)):
-                if similarity.close(known(a, texts[0][i]), known(b, texts[1][i])):
-                    pairs.append((a, b))
-            yield _made(pairs)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                ids = [batch.column(c).to_pylist() for c in ("a", "b")]
+                sides = [known.of(nodes, batch.column(c)) for nodes, c in zip(ids, ("text_a", "text_b"), strict=True)]
+                rows = zip(*ids, *sides, strict=True)
+                yield _made([(a, b) for a, b, x, y in rows if similarity.close(x, y)])
 
     return run
 
@@ -105,59 +109,130 @@ def _verify_pairs(similarity: Similarity):
 def _verify_blocks(similarity: Similarity):
     """Rows come sorted by block; a block is small, and only one is held."""
 
-    def linked(rows: list[tuple], known: _Known) -> list[tuple[int, int]]:
-        features = {node: known(node, text) for _, node, _, _, text in rows}
-        stragglers = [(n, c) for _, n, c, is_straggler, _ in rows if is_straggler]
-        members = [(n, c) for _, n, c, is_straggler, _ in rows if not is_straggler]
-        if not stragglers or not members:
-            return []
-        close = similarity.close_pairs([features[n] for n, _ in stragglers], [features[n] for n, _ in members])
+    def linked(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
         # Of the links in a block, those that join what isn't joined yet tell as much as all.
-        parent = {c: c for _, c in (*stragglers, *members)}
+        parent = {row[2]: row[2] for row in rows}
 
-        def root(c: int) -> int:
+        def root(c: bytes) -> bytes:
             while parent[c] != c:
                 parent[c] = c = parent[parent[c]]
             return c
 
         pairs = []
-        for i, j in zip(*np.nonzero(close), strict=True):
-            one, other = root(stragglers[i][1]), root(members[j][1])
-            if one != other:
-                parent[one] = other
-                pairs.append((stragglers[i][0], members[j][0]))
+        members = sorted(((len(f), node, of, f) for _, node, of, is_straggler, f in rows if not is_straggler), key=lambda m: m[:2])
+        for _, node, of, is_straggler, features in rows:
+            if not is_straggler:
+                continue
+            for size, other, other_of, other_features in members:
+                if similarity.fits(size, len(features)) and (one := root(of)) != (two := root(other_of)):
+                    if similarity.close(features, other_features):
+                        parent[one] = two
+                        pairs.append((node, other))
         return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         known = _Known(similarity)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                pairs: list[tuple[bytes, bytes]] = []
+                columns = [batch.column(c).to_pylist() for c in ("block", "id", "class", "straggler")]
+                for row in zip(*columns, known.of(columns[1], batch.column("text")), strict=True):
+                    if held and held[0][0] != row[0]:
+                        pairs += linked(held)
+                        held = []
+                    held.append(row)
+                yield _made(pairs)
+        yield _made(linked(held) if held else [])
+
+    return run
+
+
+def _slots(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(48)).astype(np.int64) & (SLOTS - 1)
+
+
+def _counted(similarity: Similarity):
+    """How many shingles fall to each slot, for a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for features in similarity.features(batch.column("text").to_pylist()):
+                total += np.bincount(_slots(np.unique(features)), minlength=SLOTS)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], ["slot", "n"])
+
+    return run
+
+
+def _rarest(similarity: Similarity, often: np.ndarray):
+    """The rarest shingles of each text, as buckets: as many as a close text has to have one of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs: list[tuple[int, int]] = []
-            columns = [batch.column(c).to_pylist() for c in ("block", "id", "class", "straggler")]
-            for row in zip(*columns, batch.column("text"), strict=True):
-                if held and held[0][0] != row[0]:
-                    pairs += linked(held, known)
-                    held = []
-                held.append(row)
-            yield _made(pairs)
-        yield _made(linked(held, known) if held else [])
+            ids, buckets = [], [np.empty(0, np.uint64)]
+            for node, features in zip(batch.column("id").to_pylist(), similarity.features(batch.column("text").to_pylist()), strict=True):
+                distinct = np.unique(features)
+                order = np.lexsort((distinct, often[_slots(distinct)]))
+                first = distinct[order[: similarity.needed(distinct.size)]]
+                ids += [node] * first.size
+                buckets.append(first)
+            columns = [pa.array(np.concatenate(buckets).view(np.int64)), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
 
     return run
 
 
+def _shared(rows: DataFrame, label: str) -> DataFrame:
+    """``bucket, id, low`` for the buckets that several ids share, ``low`` being the smallest."""
+    bucket = Window.partitionBy("bucket")
+    members = rows.select("bucket", "id", F.min("id").over(bucket).alias("low"), F.max("id").over(bucket).alias("high"))
+    return saved(members.filter("low < high").select("bucket", "id", "low").distinct(), label)
+
+
+def _named(members: DataFrame, classes: DataFrame) -> DataFrame:
+    named = members.join(narrow(classes.withColumnRenamed("node", "id")), "id", "left")
+    return named.withColumn("class", F.coalesce("root", "id"))
+
+
+def _pivoted(members: DataFrame, known: DataFrame, classes: DataFrame | None, similarity: Similarity) -> DataFrame:
+    """Links of members with the smallest ones of their buckets, where sizes allow one and none is known."""
+    pairs = members.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
+    for end in "ab":
+        sizes = known.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"))
+        pairs = pairs.join(narrow(sizes), end)
+        if classes is not None:
+            named = classes.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+            pairs = pairs.join(narrow(named), end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    fits = 100 * F.least("n_a", "n_b") >= similarity.percent * F.greatest("n_a", "n_b")
+    pairs = pairs.filter(fits if classes is None else fits & (F.col("root_a") != F.col("root_b"))).select("a", "b")
+    sides = [known.select(F.col("id").alias(e), F.col("text").alias(f"text_{e}")) for e in "ab"]
+    return saved(_links(pairs.join(sides[0], "a").join(sides[1], "b"), _verify_pairs(similarity)), "links")
+
+
+def _apart(members: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    """The texts in buckets of more than two members that span classes."""
+    named = _named(members, classes)
+    spans = named.groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"))
+    buckets = narrow(saved(spans.filter("n > 2 AND classes > 1").select("bucket"), "apart_buckets"))
+    ids = saved(members.join(buckets, "bucket", "left_semi").select("id").distinct(), "apart_ids")
+    return saved(known.select("id", "text").join(narrow(ids), "id", "left_semi"), "apart_texts")
+
+
 def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
     """``block, id, class, straggler``: for buckets that span classes, who is to be compared with whom.
 
     Members outside a bucket's largest class are its stragglers; each of them meets
     every member in one block, and blocks have a bounded size. Buckets of the same members count once.
     """
-    named = members.join(classes.withColumnRenamed("node", "id"), "id", "left")
-    named = named.select("band", "id", F.coalesce("root", "id").alias("class"))
-    groups = named.groupBy("band", "class").agg(
+    named = _named(members, classes).select("bucket", "id", "class")
+    groups = named.groupBy("bucket", "class").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("x2")
     )
     buckets = (
-        groups.groupBy("band")
+        groups.groupBy("bucket")
         .agg(
             F.sum("n").alias("n"),
             F.max(F.struct("n", "class")).alias("most"),
@@ -167,46 +242,58 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
         )
         .filter("classes > 1 AND n > 2")
         .groupBy("x1", "x2", "n", "most")
-        .agg(F.min("band").alias("band"))
+        .agg(F.min("bucket").alias("bucket"))
         .select(
-            "band",
+            "bucket",
             F.col("most.class").alias("largest"),
             F.ceil(F.col("n") / MEMBER_BLOCK).alias("blocks"),
             F.ceil((F.col("n") - F.col("most.n")) / STRAGGLER_BLOCK).alias("straggler_blocks"),
         )
     )
-    rows = named.join(buckets, "band")
+    rows = named.join(narrow(saved(buckets, "block_buckets")), "bucket")
     part = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks))
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     as_member = rows.select("*", part("blocks").alias("m"), every("straggler_blocks").alias("s"), F.lit(False).alias("straggler"))
     outside = rows.filter(F.col("class") != F.col("largest"))
     as_straggler = outside.select("*", every("blocks").alias("m"), part("straggler_blocks").alias("s"), F.lit(True).alias("straggler"))
     both = as_member.unionByName(as_straggler)
-    return both.select(F.concat_ws(":", "band", "m", "s").alias("block"), "id", "class", "straggler")
+    return both.select(F.concat_ws(":", "bucket", "m", "s").alias("block"), "id", "class", "straggler")
+
+
+def _sized(similarity: Similarity):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [len(f) for f in similarity.prepared(batch.column("text").to_pylist())]
+            columns = [batch.column("id"), batch.column("text"), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text", "n"])
+
+    return run
 
 
 def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity: Similarity) -> DataFrame:
     """``node, root`` for the items that are close to another one; all others are alone.
 
-    ``bands`` has ``band, id``, one row per band of an item; repeated rows are harmless.
+    ``bands`` has ``bucket, id``, one row per band of an item; repeated rows are harmless.
     ``texts`` gets a frame of ids and gives their ``id, text``.
     """
-    bucket = Window.partitionBy("band")
-    members = (
-        bands.select("band", "id", F.min("id").over(bucket).alias("low"), F.max("id").over(bucket).alias("high"))
-        .filter("low < high")
-        .select("band", "id", "low")
-        .distinct()
-    )
-    members = saved(members, "bucket_members")
-    # The smallest member is in the table too, so these are all ids there are.
-    known = saved(texts(saved(members.select("id").distinct(), "bucket_ids")), "bucket_texts")
-
-    pairs = members.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    sides = [known.select(F.col("id").alias(e), F.col("text").alias(f"text_{e}")) for e in "ab"]
-    first = saved(_links(pairs.join(sides[0], "a").join(sides[1], "b"), _verify_pairs(similarity)), "links")
-
-    blocks = saved(_unresolved(members, components(first)), "blocks")
-    blocks = blocks.join(known, "id").repartition("block").sortWithinPartitions("block")
-    second = saved(_links(blocks, _verify_blocks(similarity)), "links")
-    return components(first.unionByName(second))
+    with scratch(bands.sparkSession):
+        members = _shared(bands, "bucket_members")
+        # The smallest member is in the table too, so these are all ids there are.
+        wanted = texts(saved(members.select("id").distinct(), "bucket_ids"))
+        known = saved(in_arrow(wanted, _sized(similarity), "id binary, text string, n long"), "bucket_texts")
+        first = _pivoted(members, known, None, similarity)
+        classes = components(first)
+
+        apart = _apart(members, classes, known)
+        counts = in_arrow(apart, _counted(similarity), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        often = np.zeros(SLOTS, np.int64)
+        for row in counts.collect():  # at most SLOTS rows
+            often[row["slot"]] = row["n"]
+        members = _shared(in_arrow(apart, _rarest(similarity, often), "bucket long, id binary"), "shingle_members")
+        second = _pivoted(members, known, classes, similarity)
+        found = first.unionByName(second)
+
+        blocks = saved(_unresolved(members, components(found)), "blocks")
+        blocks = blocks.join(apart, "id").repartition("block").sortWithinPartitions("block")
+        third = saved(_links(blocks, _verify_blocks(similarity)), "links")
+        return saved(components(found.unionByName(third)), "classes", outlives=True)
