@@ -1,10 +1,10 @@
 """From bands to classes: verified links inside buckets, and their components.
 
 Items are distinct texts with a 128-bit id. Each bucket first compares its members with
-its smallest one. Members of buckets that still span several classes are dealt anew, by shingles:
+its smallest one. Members of large buckets that still span several classes are dealt anew, by shingles:
 of two texts that are close, the rarest shingles of each have one in common, as many of them as leave
 too few others. Each of these smaller buckets is compared with its smallest member again, and
-what that leaves apart is compared in blocks. So no two texts in a bucket with
+what small buckets of either kind leave apart is compared in blocks. So no two texts in a bucket with
 enough in common end up in different classes, and no pairs are ever written but those to be compared
 with a smallest member, and those that are linked.
 """
@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablemove.llm.common import in_arrow, narrow, saved, scratch
@@ -24,39 +25,53 @@ from tablemove.llm.components import components
 
 #: Sizes of the two sides of a block, when a bucket is compared in blocks.
 MEMBER_BLOCK, STRAGGLER_BLOCK = 200, 50
-#: Shingles that a task remembers.
-FEATURES = 1_000_000
-#: Texts of more shingles than this are compared as sorted arrays, others as sets.
-SET_SIZE = 2048
+#: Shingle hashes that a task remembers.
+FEATURE_HASHES = 4_000_000
+#: Words of 64 bits in the sketch of a text's shingles.
+SKETCH = 16
 #: Numbers by which shingles are ordered from rare to frequent; any order would do.
 SLOTS = 1 << 16
-
-Features = frozenset | np.ndarray
+#: Up to this many sketches are broadcast.
+BROADCAST_SKETCHES = 150_000
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Similarity:
-    """``features`` gives the hashes of the shingles of each of some texts; links need ``percent`` of Jaccard."""
+    """``features`` gives the hashes of the shingles of each of some texts; links need ``percent`` of Jaccard.
+
+    A sketch has a bit for each shingle, by its hash. Bits that only one of two texts has tell how many shingles,
+    at least, the other one doesn't have, so that most pairs are refused without a look at their texts, and
+    none that is close is.
+    """
 
     features: Callable[[list[str]], list[np.ndarray]]
     percent: int = 80
 
-    def prepared(self, texts: list[str]) -> list[Features]:
-        return [frozenset(f.tolist()) if f.size <= SET_SIZE else np.unique(f) for f in self.features(texts)]
-
-    def fits(self, x: int, y: int) -> bool:
-        """Whether texts of so many distinct shingles can be close."""
-        return 0 < min(x, y) and 100 * min(x, y) >= self.percent * max(x, y)
+    def distinct(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.unique(f) for f in self.features(texts)]
 
-    def close(self, x: Features, y: Features) -> bool:
-        if not self.fits(len(x), len(y)):
+    def close(self, x: np.ndarray, y: np.ndarray) -> bool:
+        small, large = sorted((x.size, y.size))
+        if not small or 100 * small < self.percent * large:
             return False
-        if isinstance(x, frozenset) and isinstance(y, frozenset):
-            common = len(x & y)
-        else:
-            x, y = (np.array(sorted(v), np.uint64) if isinstance(v, frozenset) else v for v in (x, y))
-            common = np.intersect1d(x, y, assume_unique=True).size
-        return 100 * common >= self.percent * (len(x) + len(y) - common)
+        common = np.intersect1d(x, y, assume_unique=True).size
+        return 100 * common >= self.percent * (small + large - common)
+
+    def possible(self, sizes: np.ndarray, bits: np.ndarray, size: int, own: np.ndarray) -> np.ndarray:
+        """Which of some texts may be close to one, by sizes and sketches."""
+        most = np.minimum(sizes - np.bitwise_count(bits & ~own).sum(1), size - np.bitwise_count(own & ~bits).sum(1))
+        return (most > 0) & (100 * most >= self.percent * (sizes + size - most))
+
+    def possible_pair(self) -> Column:
+        """The same for ``n_a, bits_a`` and ``n_b, bits_b``."""
+
+        def missing(x: str, y: str) -> Column:
+            words = [F.bit_count(F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i))))) for i in range(SKETCH)]
+            return reduce(lambda p, q: p + q, words)
+
+        most = F.least(F.col("n_a") - missing("bits_a", "bits_b"), F.col("n_b") - missing("bits_b", "bits_a"))
+        return (most > 0) & (100 * most >= self.percent * (F.col("n_a") + F.col("n_b") - most))
 
     def needed(self, size: int) -> int:
         """Of how many shingles, in an order that all texts share, a close text has to have one among its own."""
@@ -64,23 +79,23 @@ class Similarity:
 
 
 class _Known:
-    """Features of the texts that a task has met lately, by id; holds a bounded number of them."""
+    """Features of the texts that a task has met lately, by id; holds a bounded number of hashes."""
 
     def __init__(self, similarity: Similarity):
         self.similarity = similarity
-        self.kept: dict[bytes, Features] = {}
+        self.kept: dict[bytes, np.ndarray] = {}
         self.held = 0
 
-    def of(self, ids: list[bytes], texts: pa.Array) -> list[Features]:
-        if self.held > FEATURES:
-            self.kept.clear()
-            self.held = 0
-        new = {node: i for i, node in enumerate(ids) if node not in self.kept}
-        found = self.similarity.prepared(texts.take(pa.array(new.values(), pa.int64())).to_pylist()) if new else []
-        for node, features in zip(new, found, strict=True):
-            self.kept[node] = features
-            self.held += len(features)
-        return [self.kept[node] for node in ids]
+    def __call__(self, node: bytes, text: pa.Scalar) -> np.ndarray:
+        found = self.kept.get(node)
+        if found is None:
+            found = self.similarity.distinct([text.as_py()])[0]
+            self.held += found.size
+            if self.held > FEATURE_HASHES:
+                self.kept.clear()
+                self.held = found.size
+            self.kept[node] = found
+        return found
 
 
 def _links(frame: DataFrame, run: Callable) -> DataFrame:
@@ -95,13 +110,9 @@ def _made(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 def _verify_pairs(similarity: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(similarity)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids = [batch.column(c).to_pylist() for c in ("a", "b")]
-                sides = [known.of(nodes, batch.column(c)) for nodes, c in zip(ids, ("text_a", "text_b"), strict=True)]
-                rows = zip(*ids, *sides, strict=True)
-                yield _made([(a, b) for a, b, x, y in rows if similarity.close(x, y)])
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b")), *(batch.column(c) for c in ("text_a", "text_b")), strict=True)
+            yield _made([(a, b) for a, b, x, y in rows if similarity.close(known(a, x), known(b, y))])
 
     return run
 
@@ -109,7 +120,7 @@ def _verify_pairs(similarity: Similarity):
 def _verify_blocks(similarity: Similarity):
     """Rows come sorted by block; a block is small, and only one is held."""
 
-    def linked(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+    def linked(rows: list[tuple], known: _Known) -> list[tuple[bytes, bytes]]:
         # Of the links in a block, those that join what isn't joined yet tell as much as all.
         parent = {row[2]: row[2] for row in rows}
 
@@ -119,32 +130,33 @@ def _verify_blocks(similarity: Similarity):
             return c
 
         pairs = []
-        members = sorted(((len(f), node, of, f) for _, node, of, is_straggler, f in rows if not is_straggler), key=lambda m: m[:2])
-        for _, node, of, is_straggler, features in rows:
+        members = [row for row in rows if not row[3]]
+        sizes = np.array([row[4] for row in members], np.int64)
+        bits = np.array([row[5] for row in members], np.int64).view(np.uint64).reshape(-1, SKETCH)
+        for _, node, of, is_straggler, size, own, text in rows:
             if not is_straggler:
                 continue
-            for size, other, other_of, other_features in members:
-                if similarity.fits(size, len(features)) and (one := root(of)) != (two := root(other_of)):
-                    if similarity.close(features, other_features):
-                        parent[one] = two
-                        pairs.append((node, other))
+            for i in np.flatnonzero(similarity.possible(sizes, bits, size, np.array(own, np.int64).view(np.uint64))).tolist():
+                _, other, other_of, *_, other_text = members[i]
+                one, two = root(of), root(other_of)
+                if one != two and similarity.close(known(node, text), known(other, other_text)):
+                    parent[one] = two
+                    pairs.append((node, other))
         return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         known = _Known(similarity)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                pairs: list[tuple[bytes, bytes]] = []
-                columns = [batch.column(c).to_pylist() for c in ("block", "id", "class", "straggler")]
-                for row in zip(*columns, known.of(columns[1], batch.column("text")), strict=True):
-                    if held and held[0][0] != row[0]:
-                        pairs += linked(held)
-                        held = []
-                    held.append(row)
-                yield _made(pairs)
-        yield _made(linked(held) if held else [])
+        for batch in batches:
+            pairs: list[tuple[bytes, bytes]] = []
+            columns = [batch.column(c).to_pylist() for c in ("block", "id", "class", "straggler", "n", "bits")]
+            for row in zip(*columns, batch.column("text"), strict=True):
+                if held and held[0][0] != row[0]:
+                    pairs += linked(held, known)
+                    held = []
+                held.append(row)
+            yield _made(pairs)
+        yield _made(linked(held, known) if held else [])
 
     return run
 
@@ -168,17 +180,19 @@ def _counted(similarity: Similarity):
 
 
 def _rarest(similarity: Similarity, often: np.ndarray):
-    """The rarest shingles of each text, as buckets: as many as a close text has to have one of."""
+    """The rarest shingles of each text, inside its bucket: as many as a close text has to have one of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, buckets = [], [np.empty(0, np.uint64)]
-            for node, features in zip(batch.column("id").to_pylist(), similarity.features(batch.column("text").to_pylist()), strict=True):
+            within = batch.column("bucket").to_numpy().view(np.uint64)
+            texts = similarity.features(batch.column("text").to_pylist())
+            for bucket, node, features in zip(within, batch.column("id").to_pylist(), texts, strict=True):
                 distinct = np.unique(features)
                 order = np.lexsort((distinct, often[_slots(distinct)]))
                 first = distinct[order[: similarity.needed(distinct.size)]]
                 ids += [node] * first.size
-                buckets.append(first)
+                buckets.append((first ^ bucket) * _ODD)
             columns = [pa.array(np.concatenate(buckets).view(np.int64)), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
 
@@ -198,27 +212,26 @@ def _named(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _pivoted(members: DataFrame, known: DataFrame, classes: DataFrame | None, similarity: Similarity) -> DataFrame:
-    """Links of members with the smallest ones of their buckets, where sizes allow one and none is known."""
+    """Links of members with the smallest ones of their buckets, where sketches allow one and none is known."""
     pairs = members.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    for end in "ab":
-        sizes = known.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"))
-        pairs = pairs.join(narrow(sizes), end)
-        if classes is not None:
+    if classes is not None:
+        for end in "ab":
             named = classes.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
             pairs = pairs.join(narrow(named), end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
-    fits = 100 * F.least("n_a", "n_b") >= similarity.percent * F.greatest("n_a", "n_b")
-    pairs = pairs.filter(fits if classes is None else fits & (F.col("root_a") != F.col("root_b"))).select("a", "b")
+        pairs = pairs.filter("root_a <> root_b").select("a", "b")
+    few = known.count() <= BROADCAST_SKETCHES
+    for end in "ab":
+        sketches = known.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+        pairs = pairs.join(F.broadcast(sketches) if few else sketches, end)
+    possible = saved(pairs.filter(similarity.possible_pair()).select("a", "b"), "possible_pairs")
     sides = [known.select(F.col("id").alias(e), F.col("text").alias(f"text_{e}")) for e in "ab"]
-    return saved(_links(pairs.join(sides[0], "a").join(sides[1], "b"), _verify_pairs(similarity)), "links")
+    return saved(_links(possible.join(sides[0], "a").join(sides[1], "b"), _verify_pairs(similarity)), "links")
 
 
-def _apart(members: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
-    """The texts in buckets of more than two members that span classes."""
-    named = _named(members, classes)
-    spans = named.groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"))
-    buckets = narrow(saved(spans.filter("n > 2 AND classes > 1").select("bucket"), "apart_buckets"))
-    ids = saved(members.join(buckets, "bucket", "left_semi").select("id").distinct(), "apart_ids")
-    return saved(known.select("id", "text").join(narrow(ids), "id", "left_semi"), "apart_texts")
+def _apart(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """``bucket, n`` of the buckets of more than two members that span classes."""
+    spans = _named(members, classes).groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"))
+    return saved(spans.filter("n > 2 AND classes > 1").select("bucket", "n"), "apart_buckets")
 
 
 def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -260,12 +273,19 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select(F.concat_ws(":", "bucket", "m", "s").alias("block"), "id", "class", "straggler")
 
 
-def _sized(similarity: Similarity):
+def _sketched(similarity: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(f) for f in similarity.prepared(batch.column("text").to_pylist())]
-            columns = [batch.column("id"), batch.column("text"), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text", "n"])
+            sizes, bits = [], [np.empty(0, np.int64)]
+            for features in similarity.features(batch.column("text").to_pylist()):
+                distinct = np.unique(features)
+                table = np.zeros(64 * SKETCH, bool)
+                table[(distinct % np.uint64(64 * SKETCH)).astype(np.int64)] = True
+                sizes.append(distinct.size)
+                bits.append(np.packbits(table).view(np.int64))
+            words = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bits)), SKETCH).cast(pa.list_(pa.int64()))
+            columns = [batch.column("id"), batch.column("text"), pa.array(sizes, pa.int64()), words]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text", "n", "bits"])
 
     return run
 
@@ -280,20 +300,26 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
         members = _shared(bands, "bucket_members")
         # The smallest member is in the table too, so these are all ids there are.
         wanted = texts(saved(members.select("id").distinct(), "bucket_ids"))
-        known = saved(in_arrow(wanted, _sized(similarity), "id binary, text string, n long"), "bucket_texts")
+        known = saved(in_arrow(wanted, _sketched(similarity), "id binary, text string, n long, bits array<long>"), "bucket_texts")
         first = _pivoted(members, known, None, similarity)
         classes = components(first)
 
-        apart = _apart(members, classes, known)
-        counts = in_arrow(apart, _counted(similarity), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-        often = np.zeros(SLOTS, np.int64)
-        for row in counts.collect():  # at most SLOTS rows
-            often[row["slot"]] = row["n"]
-        members = _shared(in_arrow(apart, _rarest(similarity, often), "bucket long, id binary"), "shingle_members")
-        second = _pivoted(members, known, classes, similarity)
-        found = first.unionByName(second)
-
-        blocks = saved(_unresolved(members, components(found)), "blocks")
-        blocks = blocks.join(apart, "id").repartition("block").sortWithinPartitions("block")
+        apart = _apart(members, classes)
+        rest = members.join(narrow(apart.filter(F.col("n") <= MEMBER_BLOCK)), "bucket", "left_semi").select("bucket", "id")
+        crowded = apart.filter(F.col("n") > MEMBER_BLOCK)
+        if not crowded.isEmpty():
+            inside = members.join(narrow(crowded), "bucket", "left_semi").select("bucket", "id").join(known, "id")
+            counts = in_arrow(inside.select("text"), _counted(similarity), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+            often = np.zeros(SLOTS, np.int64)
+            for row in counts.collect():  # at most SLOTS rows
+                often[row["slot"]] = row["n"]
+            dealt = in_arrow(inside.select("bucket", "id", "text"), _rarest(similarity, often), "bucket long, id binary")
+            smaller = _shared(dealt, "shingle_members")
+            first = first.unionByName(_pivoted(smaller, known, classes, similarity))
+            classes = components(first)
+            rest = rest.unionByName(smaller.select("bucket", "id"))
+
+        blocks = saved(_unresolved(rest, classes), "blocks")
+        blocks = blocks.join(known, "id").repartition("block").sortWithinPartitions("block")
         third = saved(_links(blocks, _verify_blocks(similarity)), "links")
-        return saved(components(found.unionByName(third)), "classes", outlives=True)
+        return saved(components(first.unionByName(third)), "classes", outlives=True)

@@ -130,15 +130,39 @@ def test_rarest_shingles_are_enough():
         x = rng.sample(range(2**40), rng.randint(1, 60))
         y = x[: rng.randint(len(x) // 2, len(x))] + rng.sample(range(2**40), rng.randint(0, 12))
         texts = [" ".join(str(v << 24) for v in t) for t in (x, y)]
-        batch = pa.RecordBatch.from_arrays([pa.array([b"x", b"y"]), pa.array(texts)], ["id", "text"])
+        batch = pa.RecordBatch.from_arrays([pa.array([b"x", b"y"]), pa.array(texts), pa.array([5, 5])], ["id", "text", "bucket"])
         made = next(near._rarest(similarity, often)(iter([batch])))
         of = {b"x": set(), b"y": set()}
         for bucket, node in zip(*(made.column(c).to_pylist() for c in ("bucket", "id")), strict=True):
             of[node].add(bucket)
-        if similarity.close(*similarity.prepared(texts)):
+        if similarity.close(*similarity.distinct(texts)):
             assert of[b"x"] & of[b"y"]
 
 
+def test_sketches_refuse_no_close_pair(spark):
+    rng = random.Random(8)
+    similarity = near.Similarity(lambda texts: [np.array([int(w) for w in t.split()], np.uint64) for t in texts])
+    texts = []
+    for _ in range(60):
+        x = rng.sample(range(2**40), rng.randint(1, 3000) if rng.random() < 0.2 else rng.randint(1, 40))
+        texts += [" ".join(map(str, x)), " ".join(map(str, x[: rng.randint(len(x) // 2, len(x))] + rng.sample(range(2**40), len(x) // 10)))]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"%03d" % i for i in range(len(texts))]), pa.array(texts)], ["id", "text"])
+    made = next(near._sketched(similarity)(iter([batch])))
+    bits = np.array(made.column("bits").to_pylist(), np.int64).view(np.uint64)
+    sizes, distinct = np.array(made.column("n").to_pylist()), similarity.distinct(texts)
+    frame = spark.createDataFrame(pa.Table.from_batches([made]).select(["id", "n", "bits"]))
+    left, right = (frame.select(*[F.col(c).alias(f"{c}_{e}") for c in frame.columns]) for e in "ab")
+    by_spark = {(bytes(r["id_a"]), bytes(r["id_b"])) for r in left.crossJoin(right).filter(similarity.possible_pair()).collect()}
+    refused = 0
+    for i in range(len(texts)):
+        possible = similarity.possible(sizes, bits, int(sizes[i]), bits[i])
+        for j in range(len(texts)):
+            assert possible[j] == ((b"%03d" % i, b"%03d" % j) in by_spark)
+            assert possible[j] or not similarity.close(distinct[i], distinct[j])
+            refused += not possible[j]
+    assert refused > 0.9 * len(texts) * (len(texts) - 4)
+
+
 def test_many_like_texts_that_are_not_close(spark):
     """A bucket of texts that share most shingles, but too few, makes no pairs of them all."""
     common, rng = prose(1, 60, 10**6).split(), random.Random(3)
