@@ -13,12 +13,13 @@ from tablemove.operators import convert, copy, external, locations, validate, vi
 from tablemove.plans import migrate
 from tablemove.sources import estate
 from tablemove.sources.inventory import describe, inventory, list_objects
+from tablemove.sources.workspace import remove
 from tablemove.streaming import incremental
 
 
 @query("SELECT * FROM events WHERE event_type <> 'click' OR event_type IS NULL")
 def clone_incremental_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that were copied are rewritten: the clone is built anew and holds what they hold now."""
+    """Files that were copied are all rewritten: the clone holds what they hold now."""
     here = Estate(spark, sf_dir)
     events, location = read(spark, sf_dir, "events"), here.area("events")
     source, target = here.source("events"), here.target("events")
@@ -29,11 +30,71 @@ def clone_incremental_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept.write.mode("overwrite").parquet(location)
     outcome = incremental.clone_append(spark, source, target, level="diff")
     done(outcome)
-    if outcome.description != "all files copied":
+    if outcome.description != "changed files replaced":
         raise RuntimeError(f"rewritten files were not noticed: {outcome.description}")
     return here.read(target)
 
 
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, false AS touched FROM lineitem WHERE l_returnflag = 'A'
+    UNION ALL
+    SELECT l_orderkey, l_linenumber, l_quantity + 1, l_returnflag, true FROM lineitem WHERE l_returnflag = 'N'
+    """
+)
+def clone_incremental_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the source's files some are rewritten, some removed, most left: the clone's other files stay as they are."""
+    here = Estate(spark, sf_dir)
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"]
+    lines, location = read(spark, sf_dir, "lineitem").select(*columns), here.area("lineitem")
+    source, target = here.source("lineitem"), here.target("lineitem")
+    lines.repartition("l_returnflag").write.partitionBy("l_returnflag").parquet(location)
+    external.register(spark, source, "parquet", location, lines.schema, ["l_returnflag"])
+    done(incremental.clone_append(spark, source, target))
+    file = F.col("_metadata.file_path").alias("file")
+    before = here.read(target).select(file).distinct()
+    seen = here.area("before")
+    before.write.parquet(seen)
+    before = spark.read.parquet(seen)
+    changed = lines.filter("l_returnflag = 'N'").withColumn("l_quantity", (F.col("l_quantity") + 1).cast(lines.schema["l_quantity"].dataType))
+    changed.drop("l_returnflag").write.mode("overwrite").parquet(f"{location}/l_returnflag=N")
+    remove(spark, f"{location}/l_returnflag=R")
+    outcome = incremental.clone_append(spark, source, target, level="diff")
+    done(outcome)
+    if outcome.description != "changed files replaced":
+        raise RuntimeError(f"rewritten files were not noticed: {outcome.description}")
+    rows = here.read(target).select(*columns, file)
+    return rows.join(before.withColumn("old", F.lit(True)), "file", "left").select(*columns, F.col("old").isNull().alias("touched"))
+
+
+@query(
+    """
+    SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS value, event_type <> 'purchase' AS old
+    FROM events WHERE event_type IS NOT NULL
+    """
+)
+def clone_incremental_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that the source gets later arrives with the files that have it; older rows have NULL."""
+    here = Estate(spark, sf_dir)
+    events = read(spark, sf_dir, "events").filter("event_type IS NOT NULL").select("event_id", "event_type", "value")
+    source, target = here.source("events"), here.target("events")
+    early = events.filter("event_type <> 'purchase'").drop("value")
+    early.write.saveAsTable(table_sql(spark, source))
+    done(incremental.clone_append(spark, source, target))
+    old = here.read(target).select(F.col("_metadata.file_path").alias("file")).distinct()
+    seen = here.area("old")
+    old.write.parquet(seen)
+    old = spark.read.parquet(seen).withColumn("old", F.lit(True))
+    spark.sql(f"ALTER TABLE {table_sql(spark, source)} ADD COLUMNS (value {events.schema['value'].dataType.simpleString()})")
+    events.filter("event_type = 'purchase'").write.mode("append").saveAsTable(table_sql(spark, source))
+    outcome = incremental.clone_append(spark, source, target, level="diff")
+    done(outcome)
+    if outcome.description != "new files appended":
+        raise RuntimeError(f"a new column led to a rebuild: {outcome.description}")
+    rows = here.read(target).select("*", F.col("_metadata.file_path").alias("file")).join(old, "file", "left")
+    return rows.select("event_id", "event_type", "value", F.coalesce("old", F.lit(False)).alias("old"))
+
+
 @query(
     "SELECT 'first' AS clone, * FROM events UNION ALL "
     "SELECT 'second', * FROM events WHERE event_type IN ('click', 'view')"
@@ -59,14 +120,14 @@ def clone_of_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT n_name AS comment, n_name || '_1' AS synced_hourly, CAST(n_nationkey AS VARCHAR) AS cloned_from_team,
            (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_rows, true AS bucketed
-    FROM nation WHERE n_nationkey < 3
+    FROM nation
     """
 )
 def ctas_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments, properties that look like markers, and buckets arrive with a copy."""
     here = Estate(spark, sf_dir, "customer")
     result = None
-    for row in read(spark, sf_dir, "nation").filter("n_nationkey < 3").collect():
+    for row in read(spark, sf_dir, "nation").collect():
         name = f"customer_{row['n_nationkey']}"
         own = here.source(name)
         rows = here.read(here.source("customer")).filter(F.col("c_nationkey") == row["n_nationkey"])

@@ -62,6 +62,42 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     return not system.exists(hadoop) or not system.listStatusIterator(hadoop).hasNext()
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it doesn't exist."""
+    system, hadoop = _file_system(spark, path)
+    if not system.exists(hadoop):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(hadoop)]
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file within its file system; the folder it goes to is made."""
+    system, hadoop = _file_system(spark, old)
+    place = spark._jvm.org.apache.hadoop.fs.Path(new)
+    system.mkdirs(place.getParent())
+    if not system.rename(hadoop, place):
+        raise OSError(f"{old} could not be moved to {new}")
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with a text."""
+    system, hadoop = _file_system(spark, path)
+    stream = system.create(hadoop)
+    try:
+        stream.writeUTF(text)
+    finally:
+        stream.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    system, hadoop = _file_system(spark, path)
+    stream = system.open(hadoop)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with all its files."""
     system, hadoop = _file_system(spark, path)

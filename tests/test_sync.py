@@ -185,7 +185,7 @@ def test_incremental_clone(spark, pair, arriving):
     assert (run().description, pair.read(pair.dst("e")).count()) == ("new files appended", 35)
     write(spark, "SELECT id, 1 AS p FROM range(3)", arriving, "overwrite")
     repaired(spark, pair)
-    assert (run().description, pair.read(pair.dst("e")).count()) == ("all files copied", 3)
+    assert (run().description, pair.read(pair.dst("e")).count()) == ("changed files replaced", 3)
     assert run().description == "new files appended"
 
 
@@ -205,10 +205,93 @@ def test_incremental_clone_goes_on_after_a_crash(spark, pair, arriving, monkeypa
         patch.setattr(incremental, "measured_fingerprint", crash)
         assert incremental.clone_append(spark, pair.src("e"), pair.dst("e")).status_code == FAILED
     outcome = ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
-    assert (outcome.description, outcome.target_rows) == ("all files copied", 35)
+    assert (outcome.description, outcome.target_rows) == ("new files appended", 5)
     assert_equal(spark, pair.src("e"), pair.dst("e"), "diff")
 
 
+@pytest.mark.parametrize("step", ["_move_in", "_delete", "_mapped"])
+def test_incremental_clone_puts_back_what_a_lost_run_left(spark, pair, arriving, monkeypatch, step):
+    """Lost after some files moved in, before or after old ones went, and before the map was written."""
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
+    write(spark, "SELECT id, 9 AS p FROM range(100, 105)", arriving)
+    first, *_ = sorted(Path(arriving.removeprefix("file:")).rglob("p=1/*.parquet"))
+    first.unlink()
+    repaired(spark, pair)
+    whole = getattr(incremental, step)
+
+    def halfway(*arguments):
+        whole(*arguments)
+        crash()
+
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, step, halfway)
+        assert incremental.clone_append(spark, pair.src("e"), pair.dst("e")).status_code == FAILED
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
+    assert_equal(spark, pair.src("e"), pair.dst("e"), "diff")
+    assert ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e"))).target_rows == 0
+
+
+def files_of(spark, name):
+    location = describe(spark, name)["location"].removeprefix("file:")
+    return {str(f): f.stat().st_mtime_ns for f in Path(location).rglob("*.parquet") if "_run_" not in str(f.parent)}
+
+
+def test_only_files_of_changed_source_files_are_replaced(spark, pair):
+    location = pair.area("many")
+    for i in range(12):
+        spark.range(100 * i, 100 * i + 50 + i).write.mode("append").parquet(location)
+    external.register(spark, pair.src("m"), "parquet", location, spark.read.parquet(location).schema)
+    run = lambda: ok(incremental.clone_append(spark, pair.src("m"), pair.dst("m"), level="diff"))
+    run()
+    before = files_of(spark, pair.dst("m"))
+    stray = Path(next(iter(before))).parent / "of-another-writer.parquet"
+    own = sorted(f for f in Path(location.removeprefix("file:")).glob("*.parquet") if f.stat().st_size)
+    spark.range(7000, 7003).coalesce(1).write.parquet(f"{location}_one")
+    new = next(Path(f"{location}_one".removeprefix("file:")).glob("*.parquet"))
+    own[0].write_bytes(new.read_bytes())
+    (own[0].parent / f".{own[0].name}.crc").unlink()
+    own[1].unlink()
+    stray.write_bytes(own[2].read_bytes())
+    outcome = run()
+    assert (outcome.description, outcome.target_rows) == ("changed files replaced", 3)
+    after = files_of(spark, pair.dst("m"))
+    untouched = {f for f in before if after.get(f) == before[f]}
+    assert len(before) - len(untouched) <= 2 and str(stray) in after
+    stray.unlink()
+    spark.catalog.refreshTable(pair.sql(pair.dst("m")))
+    assert_equal(spark, pair.src("m"), pair.dst("m"), "diff")
+
+
+@pytest.mark.parametrize("clauses", ["USING parquet", "USING parquet PARTITIONED BY (p)", "USING orc", "USING csv"])
+def test_new_columns_arrive_without_a_rebuild(spark, pair, clauses):
+    src, dst = pair.src("w"), pair.dst("w")
+    pair.make(src, "SELECT id, id % 2 AS p FROM range(10)", clauses)
+    ok(incremental.clone_append(spark, src, dst))
+    before = {f: t for f, t in files_of(spark, dst).items()}
+    spark.sql(f"ALTER TABLE {pair.sql(src)} ADD COLUMNS (note STRING)")
+    spark.sql(f"INSERT INTO {pair.sql(src)} (id, note, p) VALUES (100, 'new', 1)")
+    outcome = ok(incremental.clone_append(spark, src, dst))
+    assert (outcome.description, outcome.target_rows) == ("new files appended", 1)
+    assert before.items() <= files_of(spark, dst).items()
+    rows = {r["id"]: r["note"] for r in pair.read(dst).collect()}
+    assert len(rows) == 11 and rows[100] == "new" and rows[3] is None
+    assert_equal(spark, src, dst, "diff")
+    spark.sql(f"DROP TABLE {pair.sql(src)}")
+    pair.make(src, "SELECT CAST(id AS STRING) AS id, id % 2 AS p FROM range(5)", clauses)
+    assert ok(incremental.clone_append(spark, src, dst)).description == "all files copied"
+    assert_equal(spark, src, dst, "diff")
+
+
+def test_buckets_and_strange_names_of_an_incremental_clone(spark, pair):
+    src, dst = pair.src("b"), pair.dst("b")
+    pair.make(src, "SELECT id, concat('a +%', id % 3) AS p FROM range(60)", "USING parquet PARTITIONED BY (p) CLUSTERED BY (id) INTO 3 BUCKETS")
+    ok(incremental.clone_append(spark, src, dst, level="diff"))
+    spark.sql(f"INSERT INTO {pair.sql(src)} VALUES (1000, 'a +%1'), (1001, 'é/x')")
+    assert ok(incremental.clone_append(spark, src, dst, level="diff")).target_rows == 2
+    assert_equal(spark, src, dst, "diff")
+    assert pair.read(dst).filter("id = 17").count() == 1  # read by bucket
+
+
 def test_rows_that_fail_their_check_are_taken_back(spark, pair, arriving, monkeypatch):
     ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
     write(spark, "SELECT id, 9 AS p FROM range(100, 105)", arriving)
