@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -52,6 +53,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _OPEN.remove(areas)
         for area in areas:
             remove(spark, area)
+        release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It does so once the driver's JVM finds that nothing refers to them, which with a large heap may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def saved(frame: DataFrame, label: str, outlives: bool = False) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablemove.llm.common import in_arrow, narrow, saved, scratch
+from tablemove.llm.common import in_arrow, narrow, release, saved, scratch
 from tablemove.llm.components import components
 
 #: Sizes of the two sides of a block, when a bucket is compared in blocks.
@@ -299,11 +299,13 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
     with scratch(bands.sparkSession):
         members = _shared(bands, "bucket_members")
         # The smallest member is in the table too, so these are all ids there are.
+        release(bands.sparkSession)
         wanted = texts(saved(members.select("id").distinct(), "bucket_ids"))
         known = saved(in_arrow(wanted, _sketched(similarity), "id binary, text string, n long, bits array<long>"), "bucket_texts")
         first = _pivoted(members, known, None, similarity)
         classes = components(first)
 
+        release(bands.sparkSession)
         apart = _apart(members, classes)
         rest = members.join(narrow(apart.filter(F.col("n") <= MEMBER_BLOCK)), "bucket", "left_semi").select("bucket", "id")
         crowded = apart.filter(F.col("n") > MEMBER_BLOCK)
@@ -320,6 +322,7 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
             rest = rest.unionByName(smaller.select("bucket", "id"))
 
         blocks = saved(_unresolved(rest, classes), "blocks")
+        release(bands.sparkSession)
         blocks = blocks.join(known, "id").repartition("block").sortWithinPartitions("block")
         third = saved(_links(blocks, _verify_blocks(similarity)), "links")
         return saved(components(first.unionByName(third)), "classes", outlives=True)

@@ -54,6 +54,8 @@ def op1_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (size - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is kept, with U+FFFD where a removed run has cut a character.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
