@@ -22,6 +22,8 @@ _NAMED = r"(?<=[\p{L}\p{N},;] [\p{Ps}\p{Pi}\"'`]{0,3})(?=\p{Lu}\p{Ll})"
 _CAPITALISED = r"^⟨?\p{Lu}\p{Ll}"
 #: Readings of a text: no names, those that don't begin a sentence, all capitalised words.
 PLAIN, INNER, EVERY = READINGS = ("plain", "inner", "every")
+#: Up to this many different words of a benchmark, texts without a run of them are put aside first.
+VOCABULARY = 50_000
 _TOKEN = r"⟨?\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,:/]\p{N}+)*"
 
 
@@ -133,6 +135,34 @@ def _all_hashes(length: int) -> Column:
     return F.array_distinct(F.concat(plain, *others))
 
 
+def _with_known_words(documents: DataFrame, items: DataFrame, length: int) -> DataFrame:
+    """The documents with ``length`` words in a row that a window of the items may have.
+
+    In whatever reading, a word of a document is in a window only as itself, or as a number, name or unit. All
+    words that may be one of these count if the items have any. Others can't match, so that no
+    leak is lost; where the benchmark has too many words to hold them, all documents stay.
+    """
+    words = items.select(F.explode("template").alias("word")).distinct()
+    held = [r["word"] for r in words.limit(VOCABULARY + 1).collect()]
+    if len(held) > VOCABULARY:
+        return documents
+    # The names' marks and white space change no word, so that the plain text will do.
+    token = F.regexp_extract_all(text_of(), F.lit(_TOKEN), F.lit(0))
+    plain = {*held, *(UNITS if _UNIT in held else ())}
+
+    def known(t: Column) -> Column:
+        if _NAME in held:
+            named = F.when(t.rlike(r"^(?:⟨|\p{Lu}\p{Ll})"), "y")
+        else:
+            named = F.when(F.lit(False), "y")
+        if _NUMBER in held:
+            named = named.when(t.rlike(r"^\p{N}"), "y")
+        return named.when(F.lower(F.ltrim(t, F.lit("⟨"))).isin(*plain), "y").otherwise("n")
+
+    runs = F.array_join(F.transform(token, known), "")
+    return documents.filter(runs.contains("y" * length))
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) -> DataFrame:
     """``doc_id, k1, k2, item_id, at, windows, of_windows, same_values`` for each item a document holds.
 
@@ -174,7 +204,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
         "benchmark_windows",
     )
 
-    # First only hashes: which documents have a window in common with the benchmark at all?
+    # First only words, then only hashes: which documents have a window in common with the benchmark at all?
+    docs = saved(_with_known_words(docs, items, lengths[0]), "documents_with_words")
     canonical = _canonical(docs, "k1", "k2")
     hashes = narrow(known.select("hash").distinct())
     hits = None

@@ -1,8 +1,12 @@
 """Leaks of benchmark items, verbatim and with other values."""
 
+import random
+
+import regex
 from helpers import documents, prose
 
-from tablemove.llm.contamination import decontaminate, leaks
+from tablemove.llm import contamination
+from tablemove.llm.contamination import UNITS, decontaminate, leaks
 
 ITEM = (
     "A train leaves Paris at 10:30 and travels 120 km at a speed of 60 km while another train leaves "
@@ -55,6 +59,87 @@ def test_wrapped_folded_and_renamed_copies(spark):
     assert got == expected
 
 
+def readings_of(text):
+    """The tokens and templates of a text, read word by word."""
+    spaced = regex.sub(r"[\s\x85\p{Z}]+", " ", text or "")
+    found = list(regex.finditer(r"\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,:/]\p{N}+)*", spaced))
+    tokens = [m.group() for m in found]
+    inner = [bool(regex.search(r"[\p{L}\p{N},;] [\p{Ps}\p{Pi}\"'`]{0,3}$", spaced[: m.start()])) for m in found]
+    plain = []
+    for i, t in enumerate(tokens):
+        number_before = i > 0 and tokens[i - 1][0].isnumeric()
+        plain.append("#" if t[0].isnumeric() else "u" if t.lower() in UNITS and number_before else f"w{t.lower()}")
+    capital = [bool(regex.match(r"\p{Lu}\p{Ll}", t)) for t in tokens]
+    every = ["n" if c else p for c, p in zip(capital, plain, strict=True)]
+    some = ["n" if c and i else p for c, i, p in zip(capital, inner, plain, strict=True)]
+    return tokens, {"plain": plain, "inner": some, "every": every}
+
+
+def expected_leaks(docs, items):
+    """All alignments of all readings of all pairs, slot by slot."""
+    found = set()
+    for doc_id, text in docs:
+        tokens, read = readings_of(text)
+        for item_id, item in items:
+            own, item_read = readings_of(item)
+            for name, template in item_read.items():
+                literal = any(w[0] == "w" for w in template)
+                if not template or (name != "plain" and template == item_read["plain"]) or (name == "every" and not literal):
+                    continue
+                n = min(8, len(template))
+                least = min(len(template) - n + 1, max(1, 13 - n + 1))
+                for shift in range(-len(template), len(tokens)):
+                    at = [
+                        i for i in range(len(template) - n + 1)
+                        if 0 <= i + shift and i + shift + n <= len(tokens)
+                        and template[i : i + n] == read[name][i + shift : i + shift + n]
+                    ]
+                    pairs = set()
+                    for i in at:
+                        for j in range(i, i + n):
+                            if template[j][0] != "w":
+                                pairs.add((own[j].lower(), tokens[j + shift].lower()))
+                    if name == "inner":
+                        # Read without names, the same windows have to be one to one as well, where they match.
+                        plain = item_read["plain"]
+                        for i in range(len(plain) - n + 1):
+                            if 0 <= i + shift and i + shift + n <= len(tokens) and plain[i : i + n] == read["plain"][i + shift : i + shift + n]:
+                                pairs |= {(own[j].lower(), tokens[j + shift].lower()) for j in range(i, i + n) if plain[j][0] != "w"}
+                    if len(at) >= least and len({a for a, _ in pairs}) == len(pairs):
+                        found.add((doc_id, item_id))
+    return found
+
+
+def test_against_all_alignments(spark):
+    rng = random.Random(12)
+    words = ["apples", "went", "home", "the", "Tom", "Ann", "Rome", "5", "3.5", "12", "km", "hours", "buys", "and", "(Kim", '"Lee"', "Yes,", "end.", "no;"]
+
+    def text(most):
+        return rng.choice([" ", "  ", "\n"]).join(rng.choice(words) for _ in range(rng.randint(0, most)))
+
+    items = [(i, text(rng.choice([3, 9, 20, 30]))) for i in range(14)]
+    docs = []
+    for i in range(120):
+        item = rng.choice(items)[1].split()
+        part = item[rng.randint(0, 3) :] if rng.random() < 0.4 else item
+        changed = {w: rng.choice(words) for w in set(part)} if rng.random() < 0.5 else {}
+        kept = [changed.get(w, w) if w[0].isupper() or w[0].isdigit() else w for w in part]
+        if rng.random() < 0.2:
+            kept = [w.lower() for w in kept]
+        docs.append((i, f"{text(15)} {' '.join(kept)} {text(15)}"))
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(documents(spark, docs), bench(spark, items)).collect()}
+    expected = expected_leaks(docs, items)
+    assert len(expected) > 30 and got == expected
+
+
+def test_put_aside_texts_lose_no_leak(spark, monkeypatch):
+    docs, items = sample(spark)
+    found = [sorted(map(str, leaks(docs, items).collect()))]
+    monkeypatch.setattr(contamination, "VOCABULARY", 3)
+    found.append(sorted(map(str, leaks(docs, items).collect())))
+    assert found[0] == found[1]
+
+
 def test_decontaminate(spark):
     docs, items = sample(spark)
     clean = decontaminate(docs, items)
