@@ -41,7 +41,7 @@ class Purity:
     """Parameters of the template tree.
 
     ``levels`` path segments are told apart in any case; below them, those of templates with labels of
-    both kinds, to any depth. What is longer below a template without is one tail. A segment
+    both kinds, to any depth. Numbers stay literal as rare segments do, against all of their shape. What is longer below a template without is one tail. A segment
     with at least ``min_share`` of its parent's pages stays literal below it unless its share of bad
     labels is within ``z`` standard errors of the parent's. A rarer one stays literal if
     its labels would be that far from the parent's by chance with a probability of ``risk`` at most,
@@ -80,59 +80,83 @@ def _shape(segment: Column) -> Column:
     return F.regexp_replace(hexes, "[0-9]+", "{n}")
 
 
-def _told_apart(purity: Purity) -> Column:
-    """Whether a rare segment's labels differ from its parent's: Chernoff's bound, over all segments."""
-    rate, own = (F.col(b) / F.greatest(F.col(n), F.lit(1)) for b, n in (("p_bad", "p_labelled"), ("bad", "labelled")))
+def _told_apart(purity: Purity, among: str = "p") -> Column:
+    """Whether a segment's labels differ from those it is one of: Chernoff's bound, over all segments."""
+    pairs = ((f"{among}_bad", f"{among}_labelled"), ("bad", "labelled"))
+    rate, own = (F.col(b) / F.greatest(F.col(n), F.lit(1)) for b, n in pairs)
 
     def part(share: Column, of: Column) -> Column:
         return F.when(share > 0, share * F.log(share / of)).otherwise(0.0)
 
     surprise = F.col("labelled") * (part(own, rate) + part(1 - own, 1 - rate))
-    return (F.col("labelled") > 0) & (surprise >= F.log(2 * F.col("segments_of") / purity.risk))
+    return (F.col("labelled") > 0) & (surprise >= F.log(2 * F.col(f"{among}_segments") / purity.risk))
 
 
 def template_tree(paths: DataFrame, purity: Purity = Purity()) -> DataFrame:
     """Templates for rows of ``host, path, n, labelled, bad``, one per distinct path.
 
     Level by level, segments below the same host and template are counted; those that the labels
-    don't tell from their parent are merged, rare ones into the wildcard ``*``, others into ``~``.
+    don't tell from their parent are merged, rare ones into the wildcard ``*``, others into ``~``. Numbers in a segment
+    are typed wildcards unless its labels tell it from the others of its shape.
+    Below the levels that all templates have, a round goes on at the next segment in which the paths of a template differ,
+    so that rounds follow branchings and not depths.
     All statistics are sums over (host, template, segment), added up before the shuffle, so that
     a hot host is never in one task; the join back has hot keys only on its large side, which
     adaptive execution splits.
     """
     pieces = F.filter(F.split("path", "/"), lambda s: s != "")
-    tree = paths.withColumn("segments", pieces).withColumn("template", F.lit(""))
-    longest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    level, settled = 0, []
-    while level < longest:
-        if level >= purity.levels:
-            further = F.size("segments") > level
-            sums = [F.sum(c).alias(c) for c in ("labelled", "bad")]
-            nodes = tree.filter(further).groupBy("host", "template").agg(F.count("*").alias("paths"), *sums)
-            # The labels of one path can't be split, nor can those that are all alike.
-            mixed = saved(nodes.filter("paths > 1 AND bad > 0 AND bad < labelled").select("host", "template"), "url_nodes")
-            rest = tree.join(mixed, ["host", "template"], "left_anti")
-            tail = F.when(further, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-            settled.append(rest.withColumn("template", tail))
-            tree = tree.join(mixed, ["host", "template"], "left_semi")
-            if mixed.isEmpty():
-                break
-        # Each level reads the one before it several times: without a cut, plans double.
-        tree = saved(_with_level(tree, level, purity), "url_level")
-        level += 1
-    for part in settled:
+    tree = paths.withColumn("segments", pieces).withColumn("template", F.lit("")).withColumn("level", F.lit(0))
+    settled = []
+    # Each round reads the one before it several times: without a cut, plans double.
+    for _ in range(min(purity.levels, tree.agg(F.max(F.size("segments"))).first()[0] or 0)):
+        tree = saved(_with_level(tree, purity), "url_level")
+    while True:
+        further = F.size("segments") > F.col("level")
+        rest = F.slice("segments", F.col("level") + 1, F.greatest(F.size("segments") - F.col("level"), F.lit(0)))
+        sums = [F.sum(F.when(further, F.col(c)).otherwise(0)).alias(c) for c in ("labelled", "bad")]
+        nodes = tree.groupBy("host", "template").agg(
+            F.count(F.when(further, 1)).alias("paths"), F.min(rest).alias("low"), F.max(rest).alias("high"), *sums
+        )
+        # The labels of one path can't be split, nor can those that are all alike.
+        mixed = nodes.filter("paths > 1 AND bad > 0 AND bad < labelled")
+        # What the smallest and the largest path share, all between them do.
+        apart = F.expr("array_position(zip_with(low, high, (a, b) -> a <=> b), false)")
+        shared = F.when(apart > 0, apart - 1).otherwise(F.least(F.size("low"), F.size("high"))).cast("int")
+        mixed = saved(mixed.select("host", "template", shared.alias("shared")), "url_nodes")
+        left = tree.join(mixed, ["host", "template"], "left_anti")
+        tail = F.when(further, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
+        settled.append(left.withColumn("template", tail))
+        if mixed.isEmpty():
+            break
+        tree = tree.join(mixed, ["host", "template"])
+        along = F.concat("template", F.repeat(F.lit("/~"), F.col("shared")))
+        tree = tree.withColumn("template", along).withColumn("level", F.col("level") + F.col("shared")).drop("shared")
+        tree = saved(_with_level(tree, purity), "url_level")
+    tree = settled[0]
+    for part in settled[1:]:
         tree = tree.unionByName(part)
-    return tree.drop("segments")
+    return tree.drop("segments", "level")
 
 
-def _with_level(tree: DataFrame, level: int, purity: Purity) -> DataFrame:
+def _with_level(tree: DataFrame, purity: Purity) -> DataFrame:
     """The tree with one more segment in its templates."""
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
-    at = tree.withColumn("segment", F.coalesce(_shape(F.get("segments", F.lit(level))), F.lit("")))
-    child = at.groupBy("host", "template", "segment").agg(*sums)
-    parent = child.groupBy("host", "template").agg(
-        F.count("*").alias("segments_of"), *[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "bad")]
-    )
+
+    def summed(prefix: str) -> list[Column]:
+        return [F.count("*").alias(f"{prefix}_segments"), *[F.sum(c).alias(f"{prefix}_{c}") for c in ("n", "labelled", "bad")]]
+
+    node = ["host", "template"]
+    raw = F.coalesce(F.get("segments", F.col("level")), F.lit(""))
+    at = tree.withColumn("raw", raw)
+    each = at.groupBy(*node, "raw").agg(*sums).withColumn("shape", _shape(F.col("raw")))
+    # Without a number a segment is its shape; of one with numbers, the labels decide.
+    shapes = each.filter("raw <> shape").groupBy(*node, "shape").agg(*summed("s"))
+    each = each.join(shapes, [*node, "shape"], "left")
+    literal = (F.col("raw") == F.col("shape")) | _told_apart(purity, "s")
+    each = each.withColumn("segment", F.when(literal, F.col("raw")).otherwise(F.col("shape")))
+    each = saved(each.select(*node, "raw", "segment", "n", "labelled", "bad"), "url_segments")
+    child = each.groupBy(*node, "segment").agg(*sums)
+    parent = child.groupBy(*node).agg(*summed("p"))
     rate = F.col("p_bad") / F.greatest(F.col("p_labelled"), F.lit(1))
     error = F.sqrt(rate * (1 - rate) / F.greatest(F.col("labelled"), F.lit(1)))
     similar = F.abs(F.col("bad") - rate * F.col("labelled")) <= purity.z * error * F.col("labelled")
@@ -143,11 +167,13 @@ def _with_level(tree: DataFrame, level: int, purity: Purity) -> DataFrame:
         .when(similar, "/~")
         .otherwise(F.concat(F.lit("/"), F.col("segment")))
     )
-    names = child.join(parent, ["host", "template"]).select("host", "template", "segment", label.alias("label"))
+    names = child.join(parent, node).select(*node, "segment", label.alias("label"))
+    names = each.join(names, [*node, "segment"]).select(*node, "raw", "label")
     return (
-        at.join(names, ["host", "template", "segment"])
+        at.join(names, [*node, "raw"])
         .withColumn("template", F.concat("template", "label"))
-        .drop("segment", "label")
+        .withColumn("level", F.col("level") + 1)
+        .drop("raw", "label")
     )
 
 
@@ -186,7 +212,7 @@ def filter_urls(
         .groupBy("host", "path")
         .agg(F.count("*").alias("n"), zero("labelled"), zero("bad"))
     )
-    tree = template_tree(saved(paths, "url_paths"), purity)
+    tree = saved(template_tree(saved(paths, "url_paths"), purity), "url_templates")
     judged = judged_templates(tree, purity).select("host", "template", "purity")
     verdicts = tree.join(judged, ["host", "template"]).select(
         "host", "path", "template", F.when(F.col("purity") < 1 - purity.limit, "block").otherwise("allow").alias("own")
