@@ -188,15 +188,22 @@ def validate_fingerprint_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SYNCED = ("customer", "nation", "orders", "part", "region", "supplier")
+_SYNCED = {
+    "customer": "c_custkey",
+    "nation": "n_nationkey",
+    "orders": "o_orderkey * o_custkey",
+    "part": "p_partkey * p_size",
+    "region": "r_regionkey",
+    "supplier": "s_suppkey * s_nationkey",
+}
 
 
 @query(
     " UNION ALL ".join(
         f"SELECT run, '{t}' AS name, CASE WHEN run = 1 THEN 'CREATE' "
         f"WHEN run = 3 AND '{t}' = 'orders' THEN 'RECREATE' ELSE 'IN_SYNC' END AS action, "
-        f"(SELECT count(*) FROM {t}) AS n_rows FROM range(1, 5) AS r(run)"
-        for t in _SYNCED
+        f"(SELECT count(*) FROM {t}) AS n_rows, (SELECT sum({k})::BIGINT FROM {t}) AS content FROM range(1, 5) AS r(run)"
+        for t, k in _SYNCED.items()
     )
 )
 def sync_external_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,10 +222,39 @@ def sync_external_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs += [(run, ObjectName.parse(o.target_full_name).name, o.action) for o in outcomes]
     actions = spark.createDataFrame(runs, "run bigint, name string, action string")
     counts = None
-    for t in _SYNCED:
-        counted = here.read(here.target(t)).agg(F.count("*").alias("n_rows")).withColumn("name", F.lit(t))
+    for t, key in _SYNCED.items():
+        counted = here.read(here.target(t)).agg(F.count("*").alias("n_rows"), F.expr(f"sum({key})").alias("content"))
+        counted = counted.withColumn("name", F.lit(t))
         counts = counted if counts is None else counts.unionByName(counted)
-    return actions.join(counts, "name").select("run", "name", "action", "n_rows")
+    return actions.join(counts, "name").select("run", "name", "action", "n_rows", "content")
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, 1 AS n_added, 1 AS n_dropped
+    FROM lineitem WHERE l_returnflag IN ('N', 'R')
+    """
+)
+def external_repair_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition came, one went, one stayed: only the first two cost a command, and a run in sync none."""
+    here = Estate(spark, sf_dir)
+    columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"]
+    lines, location = read(spark, sf_dir, "lineitem").select(*columns), here.area("lineitem")
+
+    def arrive(*flags):
+        lines.filter(F.col("l_returnflag").isin(*flags)).write.mode("append").partitionBy("l_returnflag").parquet(location)
+
+    arrive("A", "N")
+    source, target = here.source("lineitem"), here.target("lineitem")
+    external.register(spark, source, "parquet", location, lines.schema, ["l_returnflag"])
+    done(external.sync(spark, source, target))
+    arrive("R")
+    remove(spark, f"{location}/l_returnflag=A")
+    added, dropped = external.repair_difference(spark, source, location)
+    done(external.sync(spark, source, target))
+    if external.repair_difference(spark, target, location) != (0, 0):
+        raise RuntimeError("partitions were repaired that were in sync")
+    return here.read(target).select(*columns, F.lit(added).alias("n_added"), F.lit(dropped).alias("n_dropped"))
 
 
 @query(

@@ -142,7 +142,7 @@ def inventory_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def inventory_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     here = Estate(spark, sf_dir, *TABLES)
-    listed = inventory(spark, SOURCE, here.schema, "orders,  lineitem ,", "table")
+    listed = inventory(spark, SOURCE, here.schema, "ORDERS,  LineItem ,", "table")
     return listed.select("name", F.size("columns").alias("n_columns")).join(
         _row_counts(here, [here.source(t) for t in ("orders", "lineitem")]), "name"
     )

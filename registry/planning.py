@@ -63,7 +63,10 @@ _DRIFT_TARGETS = """
            CASE min(ascii(l_returnflag)) WHEN ascii('A') THEN 'orc' WHEN ascii('N') THEN 'PARQUET'
                 ELSE 'parquet' END AS provider,
            CASE max(ascii(l_linestatus)) WHEN ascii('O') THEN 'EXTERNAL' ELSE 'MANAGED' END AS object_type,
-           CASE WHEN sum(l_quantity) > 100 THEN 'decimal(12,2)' ELSE 'decimal(10,2)' END AS v_type
+           CASE WHEN sum(l_quantity) > 100 THEN 'decimal(12,2)' ELSE 'decimal(10,2)' END AS v_type,
+           concat(CASE WHEN min(l_linenumber) = max(l_linenumber) THEN 's3://old/' ELSE 's3://new/' END,
+                  CAST(l.l_orderkey AS VARCHAR(20)), '/') AS location,
+           CASE WHEN max(l_linenumber) = 3 THEN 'ts' ELSE 'DAY' END AS part
     FROM {lineitem} l GROUP BY l.l_orderkey
 """
 
@@ -81,12 +84,13 @@ _DRIFT_TARGETS = """
     ), j AS (
         SELECT coalesce(s.schema, t.schema) AS schema, concat('t_', coalesce(s.key, t.key)) AS name,
                s.key IS NOT NULL AS has_s, t.key IS NOT NULL AS has_t, s.fmt AS s_fmt,
-               lower(t.provider) AS t_fmt, t.object_type, t.v_type
+               lower(t.provider) AS t_fmt, t.object_type, t.v_type, t.location, t.part
         FROM (SELECT * FROM s WHERE o_orderstatus <> 'P') s FULL JOIN t2 t ON s.key = t.key
     ), r AS (
         SELECT *, CASE WHEN NOT has_s THEN 'MISSING' WHEN s_fmt IS NULL THEN 'UNSUPPORTED'
                        WHEN NOT has_t THEN 'MISSING' WHEN s_fmt <> t_fmt THEN 'FORMAT'
-                       WHEN v_type <> 'decimal(10,2)' THEN 'SCHEMA' END AS reason
+                       WHEN v_type <> 'decimal(10,2)' THEN 'SCHEMA' WHEN location LIKE 's3://old/%' THEN 'LOCATION'
+                       WHEN part = 'ts' THEN 'LAYOUT' END AS reason
         FROM j
     )
     SELECT schema, name, s_fmt AS source_format, t_fmt AS target_format, reason,
@@ -99,15 +103,18 @@ _DRIFT_TARGETS = """
 def drift_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
     source = spark.sql(_ORDER_OBJECTS, orders=orders).selectExpr(
-        "*", _COLUMNS_SQL.format(v_type="'decimal(10,2)'") + " AS columns"
+        "*",
+        "concat('s3://new/', substr(name, 3)) AS location",
+        "array('day') AS partition_cols",
+        _COLUMNS_SQL.format(v_type="'decimal(10,2)'") + " AS columns",
     )
     target = spark.sql(
         "SELECT lower(substr(o.o_orderpriority, 3)) AS schema, concat('t_', t.key) AS name, t.object_type, "
-        "t.provider, CAST(NULL AS STRING) AS serde, t.v_type FROM {targets} t JOIN {orders} o "
+        "t.provider, CAST(NULL AS STRING) AS serde, t.v_type, t.location, array(t.part) AS partition_cols FROM {targets} t JOIN {orders} o "
         "ON o.o_orderkey = t.key",
         targets=spark.sql(_DRIFT_TARGETS, lineitem=lineitem),
         orders=orders,
-    ).selectExpr("schema", "name", "object_type", "provider", "serde", _COLUMNS_SQL.format(v_type="v_type") + " AS columns")
+    ).selectExpr("schema", "name", "object_type", "provider", "serde", "location", "partition_cols", _COLUMNS_SQL.format(v_type="v_type") + " AS columns")
     return drift.classify(source, target)
 
 
@@ -585,6 +592,37 @@ def validate_diff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ORACLE_SHIFTED = """
+    SELECT * REPLACE (CASE WHEN l_orderkey = (SELECT min(l_orderkey) FROM lineitem) THEN l_quantity + 1 ELSE l_quantity END
+                      AS l_quantity)
+    FROM lineitem WHERE l_orderkey < (SELECT max(l_orderkey) FROM lineitem)
+"""
+
+
+@query(
+    f"""
+    WITH c AS ({_ORACLE_SHIFTED}), u AS (
+        SELECT *, 1 AS s, 0 AS t FROM lineitem UNION ALL SELECT *, 0, 1 FROM c
+    )
+    SELECT l_orderkey, l_linenumber, l_quantity, sum(s)::BIGINT AS n_source, sum(t)::BIGINT AS n_target, true AS few_moved
+    FROM u GROUP BY ALL HAVING sum(s) <> sum(t)
+    """.replace("GROUP BY ALL", "GROUP BY " + ", ".join(
+        f"l_{c}" for c in ("orderkey", "partkey", "suppkey", "linenumber", "quantity", "extendedprice", "discount", "tax",
+                           "returnflag", "linestatus", "shipdate")))
+)
+def validate_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where two large tables differ in few rows, only the rows of few buckets are compared one by one."""
+    lines = read(spark, sf_dir, "lineitem")
+    least, most = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    quantity = F.when(F.col("l_orderkey") == least, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    changed = lines.filter(F.col("l_orderkey") < most).withColumn("l_quantity", quantity)
+    buckets = validate.bucket_differences(lines, changed, ["l_orderkey"])
+    moved = buckets.agg(F.coalesce(F.sum("n_source"), F.lit(0))).first()[0]
+    rows = validate.localized_diff(lines, changed, ["l_orderkey"])
+    few = F.lit(100 * moved < lines.count())
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity", "n_source", "n_target", few.alias("few_moved"))
+
+
 @query(
     """
     SELECT 'lineitem' AS name, column_name AS "column",

@@ -179,7 +179,7 @@ def publish(
         copy = spark.table(table_sql(spark, staged))
         differences = schema_differences(frame.schema, copy.schema)
         if differences:
-            raise AssertionError("schemas are not matching: " + "; ".join(differences))
+            raise AssertionError("the schemas differ: " + "; ".join(differences))
         read = _scan(copy, level)
         if wrote != read:
             # The observation is not trusted alone to refuse a copy: ask the source.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 from datetime import datetime
+from itertools import islice
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +15,13 @@ from pyspark.sql import types as T
 from tablemove.functions.names import ObjectName, literal, quote, table_sql
 from tablemove.operators import markers
 from tablemove.operators.copy import drop, put_back, rename, repair
-from tablemove.operators.drift import BLOCKED, CREATE, IN_SYNC, RECREATE
+from tablemove.operators.drift import BLOCKED, CREATE, IN_SYNC, RECREATE, classify
 from tablemove.operators.locations import NEEDS_DATA_MOVEMENT, UNCHANGED, resolve
 from tablemove.operators.outcome import Outcome, attempt
 from tablemove.operators.validate import assert_equal
-from tablemove.sources.formats import effective_format, is_available
-from tablemove.sources.inventory import EXTERNAL, INVENTORY, VIEW, describe, exists
-from tablemove.sources.workspace import unique
+from tablemove.sources.formats import is_available
+from tablemove.sources.inventory import INVENTORY, VIEW, describe, exists
+from tablemove.sources.workspace import is_missing, unique
 
 
 def register(
@@ -70,38 +73,27 @@ def resolve_location(spark: SparkSession, about: dict, mounts: DataFrame | None)
     return row["external_location"], row["resolution"]
 
 
-def _drift(source: dict, target: dict, fmt: str, location: str) -> str | None:
-    """Why a target has to be created again; None when it is in sync."""
-    target_fmt = (target["provider"] or "").lower()
-    if not target_fmt:
-        raise ValueError("the target has no provider")
-    if target_fmt != fmt:
-        return f"formats differ (target is {target_fmt}, source is {fmt})"
+#: Why a target is not in sync, by the reasons of ``drift.classify``.
+_WHY = {
+    "FORMAT": "formats differ (target is {target_format}, source is {source_format})",
+    "SCHEMA": "schemas differ",
+    "LOCATION": "locations differ (source is at {external_location})",
+    "LAYOUT": "partitioning or options differ",
+    "UNKNOWN": "the columns of one side are not known",
+    "UNSUPPORTED": "the format of the source is not supported",
+    "VIEW": "a view is in its place",
+}
+#: What a plan carries along for each source table.
+PLAN = ("object_type", "partition_cols", "external_location", "resolution")
 
-    def shape(about: dict) -> list[tuple[str, str]]:
-        if not about["columns"]:
-            raise ValueError(f"the columns of {about['name']} are not known")
-        return [(c["name"].lower(), c["type"]) for c in about["columns"]]
 
-    def layout(about: dict) -> tuple:
-        options = {k.lower(): v for k, v in (about["options"] or {}).items() if k.lower() != "path"}
-        return [c.lower() for c in about["partition_cols"] or []], options
-
-    if shape(target) != shape(source):
-        return "schemas differ"
-    if _same_place(target["location"]) != _same_place(location):
-        return f"locations differ (target is at {target['location']}, source is at {location})"
-    if layout(target) != layout(source):
-        return "partitioning or options differ"
-    return None
-
-
-def _same_place(location: str | None) -> str | None:
-    """A location in one spelling: no trailing slash, ``file:/`` for ``file:///`` and plain paths."""
-    if not location:
-        return location
-    plain = re.sub("^file:/+", "/", location)
-    return plain.rstrip("/") or "/"
+def _planned(spark: SparkSession, source: dict, target: dict | None, place: tuple[str | None, str]) -> dict:
+    """The plan for a single table, by the same join as for a batch."""
+    named = {**source, "schema": "s", "name": "t"}
+    left = spark.createDataFrame([named], INVENTORY)
+    left = left.withColumn("external_location", F.lit(place[0]).cast("string")).withColumn("resolution", F.lit(place[1]))
+    right = spark.createDataFrame([{**target, "schema": "s", "name": "t"}] if target else [], INVENTORY)
+    return classify(left, right, PLAN).first().asDict()
 
 
 def sync(
@@ -113,45 +105,53 @@ def sync(
     marker: str = "properties",
     level: str = "count",
     by_at: tuple[str, datetime] | None = None,
+    plan: dict | None = None,
 ) -> Outcome:
     """Make ``target`` an external table over the files of ``source``.
 
-    A target that drifted in format or schema is created again if it is external; a
-    managed one is an error, as dropping it would delete data. ``place`` is the
-    location and its resolution if a batch has resolved them already. Both tables read
+    A target that drifted is created again if it is external; a managed one is an error, as dropping it
+    would delete data. ``place`` is the location and its resolution if they are known already. ``plan`` is
+    the row of :func:`drift.classify` if a batch has planned; a table in sync then costs no
+    command, but for partitions that came or went. Both tables read
     the same files, so schema and count are compared by default, from file footers.
     """
     source, target = ObjectName.parse(source), ObjectName.parse(target)
 
     def work(outcome: Outcome) -> None:
-        spark.catalog.refreshTable(table_sql(spark, source))
-        about = describe(spark, source)
-        outcome.source_object_type = about["object_type"]
-        if about["object_type"] == VIEW:
-            raise ValueError(f"{source} is a view; views have their own sync")
-        location, resolution = place or resolve_location(spark, about, mounts)
-        if not location or resolution == NEEDS_DATA_MOVEMENT:
-            raise ValueError(f"{about['location']} is on local storage; it needs data movement")
-        fmt = effective_format(about["provider"], about["serde"])
+        todo = plan
+        if todo is None:
+            spark.catalog.refreshTable(table_sql(spark, source))
+            about = describe(spark, source)
+            outcome.source_object_type = about["object_type"]
+            if about["object_type"] == VIEW:
+                raise ValueError(f"{source} is a view; views have their own sync")
+            current = describe(spark, target) if exists(spark, target) else None
+            todo = _planned(spark, about, current, place or resolve_location(spark, about, mounts))
+        outcome.source_object_type = todo["object_type"]
+        location, fmt = todo["external_location"], todo["source_format"]
+        if not location or todo["resolution"] == NEEDS_DATA_MOVEMENT:
+            raise ValueError(f"{source} is on local storage; it needs data movement")
+        partitions, reason = todo["partition_cols"], _WHY.get(todo["reason"], "").format(**todo)
+        if todo["action"] == BLOCKED:
+            outcome.action = BLOCKED
+            raise ValueError(f"{reason}; {target} is left as it is")
+        if todo["action"] == IN_SYNC:
+            outcome.action, outcome.description = IN_SYNC, "no action required, tables are in sync"
+            if partitions and fmt != "delta":
+                repair_difference(spark, target, location)
+            return
+        if plan is not None:
+            spark.catalog.refreshTable(table_sql(spark, source))
+            about = describe(spark, source)
         schema = spark.table(table_sql(spark, source)).schema
-        partitions = about["partition_cols"]
 
         def create(name: ObjectName) -> str:
             return register(spark, name, fmt, location, schema, partitions, about["options"])
 
-        if not exists(spark, target):
+        if todo["action"] == CREATE:
             outcome.action, outcome.description = CREATE, f"{fmt} table created"
             outcome.statement = create(target)
         else:
-            current = describe(spark, target)
-            reason = _drift(about, current, fmt, location)
-            if reason is None:
-                outcome.action, outcome.description = IN_SYNC, "no action required, tables are in sync"
-                repair(spark, target, bool(partitions) and fmt != "delta")
-                return
-            if current["object_type"] != EXTERNAL:
-                outcome.action = BLOCKED
-                raise ValueError(f"{reason}, and {target} is not an external table")
             outcome.action, outcome.description = RECREATE, f"table created again: {reason}"
             outcome.statement = recreate(spark, target, create, bool(partitions))
         outcome.source_rows, outcome.target_rows = assert_equal(spark, source, target, level)
@@ -160,6 +160,64 @@ def sync(
     return attempt("sync", source, target, work)
 
 
+#: Partitions that one command adds or drops.
+PARTITIONS_PER_COMMAND = 200
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_difference(spark: SparkSession, name: str | ObjectName, location: str) -> DataFrame:
+    """``partition, change``: folders with files that the catalog lacks (ADD), and partitions without files (DROP).
+
+    The folders are listed by tasks; what is equal on both sides never reaches the driver.
+    """
+    base = re.sub("^file:/+", "file:/", location if ":" in location else f"file:{location}").rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location).select("path")
+    inside = F.expr(f"substring(regexp_replace(path, '^file:/+', 'file:/'), {len(base) + 2})")
+    folder = F.regexp_extract(inside, "^((?:[^/=]+=[^/]*/)+)", 1)
+    found = files.select(F.rtrim(folder, F.lit("/")).alias("partition")).filter("partition <> ''").distinct()
+    known = spark.sql(f"SHOW PARTITIONS {table_sql(spark, name)}").select("partition")
+    both = found.withColumn("f", F.lit(1)).join(known.withColumn("k", F.lit(1)), "partition", "full_outer")
+    change = F.when(F.col("k").isNull(), "ADD").when(F.col("f").isNull(), "DROP")
+    return both.select("partition", change.alias("change")).filter("change IS NOT NULL")
+
+
+def _partition_sql(partition: str) -> str:
+    """``p=1/q=a%20b`` as a clause; names of folders are escaped."""
+    pairs = (part.split("=", 1) for part in partition.split("/"))
+    return "PARTITION (" + ", ".join(f"{quote(unquote(k))} = {literal(unquote(v))}" for k, v in pairs) + ")"
+
+
+def repair_difference(spark: SparkSession, name: str | ObjectName, location: str) -> tuple[int, int]:
+    """Add the partitions that came to an external table and drop those that went; returns how many.
+
+    Partitions that stayed cost no command. One elsewhere than below the table's folder is never dropped, nor
+    one whose folder is there without files.
+    """
+    table, done = table_sql(spark, name), {"ADD": 0, "DROP": 0}
+    rows = ((r["change"], r["partition"]) for r in partition_difference(spark, name, location).toLocalIterator())
+    while chunk := list(islice(rows, PARTITIONS_PER_COMMAND)):
+        if any(_NO_VALUE in partition for _, partition in chunk):
+            # A value of NULL can't be written in a clause.
+            repair(spark, name, True)
+        named = [(c, p) for c, p in chunk if _NO_VALUE not in p]
+        added = [_partition_sql(p) for c, p in named if c == "ADD"]
+        gone = [_partition_sql(p) for c, p in named if c == "DROP" and _is_gone(spark, name, location, p)]
+        if added:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+        if gone:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(gone)}")
+        done["ADD"] += len(added)
+        done["DROP"] += len(gone)
+    spark.sql(f"REFRESH TABLE {table}")
+    return done["ADD"], done["DROP"]
+
+
+def _is_gone(spark: SparkSession, name: str | ObjectName, location: str, partition: str) -> bool:
+    text = spark.sql(f"DESCRIBE EXTENDED {table_sql(spark, name)} {_partition_sql(partition)} AS JSON").first()[0]
+    place, base = (re.sub("^file:/+", "/", p).rstrip("/") for p in (json.loads(text).get("location") or "", location))
+    return place.startswith(f"{base}/") and is_missing(spark, place if base == location.rstrip("/") else f"file:{place}")
+
+
 def recreate(spark: SparkSession, target: ObjectName, create, partitioned: bool) -> str:
     """Replace an external definition; the new one exists before the old one goes.
 

@@ -16,6 +16,7 @@ from tablemove.functions.fingerprint import (
     row_hash,
 )
 from tablemove.functions.names import ObjectName, table_sql
+from tablemove.sources.workspace import new_area
 
 LEVELS = ("count", "fingerprint", "diff")
 
@@ -77,16 +78,20 @@ def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+#: Pairs of tables whose aggregates are stacked in one plan.
+PAIRS_PER_JOB = 50
+
+
 def counts(
     spark: SparkSession,
     pairs: list[tuple[TableOrFrame, TableOrFrame]],
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Row counts of pairs of tables and their difference, as one job.
+    """Row counts of pairs of tables and their difference, some pairs a job.
 
     A pair is labelled with its source's name unless ``names`` are given.
     """
-    counted = _by_pair(_labelled(spark, pairs, names), lambda frame: [])
+    counted = _by_pair(spark, _labelled(pairs, names), lambda frame: [])
     difference = F.col("source_rows") - F.col("target_rows")
     return counted.select("name", "source_rows", "target_rows", difference.alias("diff"))
 
@@ -96,24 +101,35 @@ def fingerprints(
     pairs: list[tuple[TableOrFrame, TableOrFrame]],
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Counts of pairs of tables and whether their contents agree, as one job."""
-    taken = _by_pair(
-        _labelled(spark, pairs, names), lambda frame: fingerprint(row_hash(frame.schema))[1:]
-    )
+    """Counts of pairs of tables and whether their contents agree, some pairs a job."""
+    taken = _by_pair(spark, _labelled(pairs, names), lambda frame: fingerprint(row_hash(frame.schema))[1:])
     same = (F.col("source_rows") == F.col("target_rows")) & (F.col("source_fp") == F.col("target_fp"))
     return taken.select("name", "source_rows", "target_rows", same.alias("same"))
 
 
-def _labelled(spark: SparkSession, pairs, names: list[str] | None) -> list[tuple[str, DataFrame, DataFrame]]:
+def _labelled(pairs, names: list[str] | None) -> list[tuple[str, TableOrFrame, TableOrFrame]]:
     labels = names or [str(source) for source, _ in pairs]
-    return [(n, _frame(spark, s), _frame(spark, t)) for n, (s, t) in zip(labels, pairs, strict=True)]
+    return [(n, s, t) for n, (s, t) in zip(labels, pairs, strict=True)]
+
+
+def _by_pair(spark: SparkSession, pairs: list[tuple[str, TableOrFrame, TableOrFrame]], aggregates) -> DataFrame:
+    """One row per pair. Many pairs are taken in groups, whose rows go to one table: no plan grows with them all."""
+    groups = range(0, len(pairs), PAIRS_PER_JOB)
+    if len(groups) <= 1:
+        return _stacked(spark, pairs, 0, aggregates)
+    path = new_area(spark, "pairs")
+    for start in groups:
+        part = _stacked(spark, pairs[start : start + PAIRS_PER_JOB], start, aggregates)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(part.schema).parquet(path)
 
 
-def _by_pair(pairs: list[tuple[str, DataFrame, DataFrame]], aggregates) -> DataFrame:
-    """One row per pair: a global aggregate of each side, stacked, then paired."""
+def _stacked(spark: SparkSession, pairs: list[tuple[str, TableOrFrame, TableOrFrame]], start: int, aggregates) -> DataFrame:
+    """A global aggregate of each side of some pairs, stacked, then paired."""
     sides = []
-    for position, (name, source, target) in enumerate(pairs):
-        for label, frame in (("source", source), ("target", target)):
+    for position, (name, source, target) in enumerate(pairs, start):
+        for label, table in (("source", source), ("target", target)):
+            frame = _frame(spark, table)
             values = aggregates(frame)
             sides.append(
                 frame.agg(F.count(F.lit(1)).alias(ROWS), *values).select(
@@ -154,7 +170,7 @@ def content_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     """
     differences = schema_differences(source.schema, target.schema)
     if differences:
-        raise AssertionError("schemas differ: " + "; ".join(differences))
+        raise AssertionError("the schemas differ: " + "; ".join(differences))
     names = source.columns
 
     def side(frame: DataFrame, is_source: int) -> DataFrame:
@@ -175,6 +191,64 @@ def content_diff(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+#: Bits of the key hash by which buckets of rows are told apart, level by level.
+BUCKET_BITS = (12, 8)
+
+
+def _bucketed(frame: DataFrame, keys: list[str] | None, bits: int) -> DataFrame:
+    """The frame with ``__bucket``, the first bits of the hash of a row's key."""
+    wanted = {k.lower() for k in keys or frame.columns}
+    fields = [f for f in frame.schema if f.name.lower() in wanted]
+    if len(fields) < len(wanted):
+        raise ValueError(f"not all of {', '.join(sorted(wanted))} are columns")
+    return frame.withColumn("__bucket", F.shiftrightunsigned(row_hash(T.StructType(fields)), 64 - bits))
+
+
+def bucket_differences(
+    source: DataFrame, target: DataFrame, keys: list[str] | None = None, bits: tuple[int, ...] = BUCKET_BITS
+) -> DataFrame:
+    """``bucket, n_source, n_target``: where two tables differ, by the hash of ``keys`` (all columns if none are given).
+
+    Fingerprints are taken of buckets, then of the smaller ones inside those that differ, and so on. Each
+    level is a scan of both sides with partial aggregation; what is shuffled, and what the next level is
+    joined with, is a row for each bucket and at most two to the power of all ``bits``.
+    """
+    if differences := schema_differences(source.schema, target.schema):
+        raise AssertionError("the schemas differ: " + "; ".join(differences))
+    found, total = None, 0
+    for more in bits:
+        sides = []
+        for label, frame in (("source", source), ("target", target)):
+            hashed = _bucketed(frame, keys, total + more).select("__bucket", row_hash(frame.schema).alias("__hash"))
+            if found is not None:
+                above = F.broadcast(found.select(F.col("bucket").alias("__above")))
+                hashed = hashed.join(above, F.shiftright("__bucket", more) == F.col("__above"), "left_semi")
+            names = [f"{label}_{c}" for c in FINGERPRINT_COLUMNS]
+            taken = [value.alias(name) for value, name in zip(fingerprint(F.col("__hash")), names, strict=True)]
+            sides.append(hashed.groupBy(F.col("__bucket").alias("bucket")).agg(*taken))
+        both = sides[0].join(sides[1], "bucket", "full_outer")
+        same = reduce(lambda a, b: a & b, [F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in FINGERPRINT_COLUMNS])
+        number = lambda side: F.coalesce(f"{side}_{ROWS}", F.lit(0)).cast("bigint").alias(f"n_{side}")
+        path = new_area(source.sparkSession, "bucket_differences")
+        differing = both.filter(~same).select("bucket", number("source"), number("target"))
+        differing.write.parquet(path)
+        found, total = source.sparkSession.read.schema(differing.schema).parquet(path), total + more
+    return found
+
+
+def localized_diff(
+    source: DataFrame, target: DataFrame, keys: list[str] | None = None, bits: tuple[int, ...] = BUCKET_BITS
+) -> DataFrame:
+    """The exact difference, as of :func:`content_diff`, of only the buckets whose fingerprints differ.
+
+    Two large tables that differ in few rows are scanned, but only the rows of a few buckets are shuffled.
+    With ``keys``, a row and its changed version are in one bucket.
+    """
+    buckets = F.broadcast(bucket_differences(source, target, keys, bits).select(F.col("bucket").alias("__bucket")))
+    sides = [_bucketed(f, keys, sum(bits)).join(buckets, "__bucket", "left_semi").drop("__bucket") for f in (source, target)]
+    return content_diff(*sides)
+
+
 def diff_summary(source: DataFrame, target: DataFrame) -> DataFrame:
     """Numbers of missing and extra rows, copies counted: one row."""
     net = F.col("n_source") - F.col("n_target")
@@ -200,7 +274,7 @@ def assert_equal(
     left, right = _frame(spark, source), _frame(spark, target)
     differences = schema_differences(left.schema, right.schema)
     if differences:
-        raise AssertionError("schemas are not matching: " + "; ".join(differences))
+        raise AssertionError("the schemas differ: " + "; ".join(differences))
     if level == "fingerprint":
         first, second = take_fingerprint(left), take_fingerprint(right)
     else:
@@ -224,7 +298,7 @@ def require_equal(source: tuple[int, ...], target: tuple[int, ...]) -> None:
     """Compare two fingerprints (or two counts)."""
     if source[0] != target[0]:
         raise AssertionError(
-            f"data volumes are not matching: {source[0]} rows in source, {target[0]} in target"
+            f"numbers of rows differ: {source[0]} rows in source, {target[0]} in target"
         )
     if source != target:
-        raise AssertionError(f"contents are not matching in {source[0]} rows")
+        raise AssertionError(f"contents differ in {source[0]} rows")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablemove.functions.names import ObjectName, require, split_names, target_of
+from tablemove.functions.names import ObjectName, require, schema_sql, split_names, target_of
 from tablemove.operators import convert, copy, external, markers, views
+from tablemove.operators.drift import ORPHAN, classify
 from tablemove.operators.outcome import Outcome
 from tablemove.plans.report import run_batch
-from tablemove.sources.inventory import filter_kind, inventory, list_objects
+from tablemove.sources.inventory import INVENTORY, filter_kind, inventory, list_objects
 from tablemove.sources.schemas import derive_schemas, describe_schema, ensure_schema
 
 
@@ -169,7 +171,11 @@ def sync_external(
     level: str = "count",
     marker: str = "properties",
 ) -> list[Outcome]:
-    """External tables over the files of others, in either direction between catalogs."""
+    """External tables over the files of others, in either direction between catalogs.
+
+    What to do is decided for the whole batch by one join of the two inventories; only tables to create, or to
+    create again, then cost commands.
+    """
     schemas = split_names(source_schemas)
     require(source_schemas=schemas, target_catalog=target_catalog)
     _check_single(split_names(tables), target_table=target_table)
@@ -181,15 +187,28 @@ def sync_external(
     by_at = markers.stamp(spark)
     listed = inventory(spark, source_catalog, schemas, tables, "table")
     # Locations of the whole batch are resolved by one join.
-    located = external.resolved_locations(listed, mounts).orderBy("schema", "name")
+    places = external.resolved_locations(listed, mounts).select("schema", "name", "external_location", "resolution")
+    source = listed.join(places, ["schema", "name"]).withColumns(
+        {
+            "source_name": F.struct("schema", "name"),
+            "schema": F.lit(target_schema) if target_schema else F.col("schema"),
+            "name": F.lit(target_table) if target_table else F.col("name"),
+        }
+    )
+    there = [s for s in ([target_schema] if target_schema else schemas)
+             if spark.catalog.databaseExists(schema_sql(spark, target_catalog, s))]
+    names = [target_table] if target_table else tables
+    target = (
+        inventory(spark, target_catalog, there, names, missing_ok=True) if there else spark.createDataFrame([], INVENTORY)
+    )
+    plan = classify(source, target, (*external.PLAN, "source_name")).filter(F.col("action") != ORPHAN)
 
     def step(row):
-        source = ObjectName(row["catalog"], row["schema"], row["name"])
+        source = ObjectName(source_catalog, row["source_name"]["schema"], row["source_name"]["name"])
         target = target_of(source, target_catalog, target_schema, target_table)
-        place = (row["external_location"], row["resolution"])
-        return lambda: external.sync(spark, source, target, None, place, marker, level, by_at)
+        return lambda: external.sync(spark, source, target, None, None, marker, level, by_at, row.asDict())
 
-    steps = (step(row) for row in located.toLocalIterator())
+    steps = (step(row) for row in plan.orderBy("source_name").toLocalIterator())
     return run_batch(spark, steps, on_error, report_table=report_table)
 
 

@@ -169,16 +169,16 @@ def _in_chunks(
 
 
 def _listed(
-    spark: SparkSession, catalog: str, schemas: list[str], names: str | list[str] | None
+    spark: SparkSession, catalog: str, schemas: list[str], names: str | list[str] | None, missing_ok: bool = False
 ) -> Iterator[ObjectName]:
     wanted = split_names(names)
     found = set()
     for schema in schemas:
         for row in list_objects(spark, catalog, schema, wanted).toLocalIterator():
-            found.add(row["name"])
+            found.add(row["name"].lower())
             yield ObjectName(catalog, schema, row["name"])
-    missing = [name for name in wanted if name not in found]
-    if missing:
+    missing = [name for name in wanted if name.lower() not in found]
+    if missing and not missing_ok:
         raise ValueError(f"not found in {catalog}: {', '.join(missing)}")
 
 
@@ -189,8 +189,9 @@ def inventory(
     names: str | list[str] | None = None,
     kind: str | None = None,
     threads: int = METADATA_THREADS,
+    missing_ok: bool = False,
 ) -> DataFrame:
-    """Inventory of one or more schemas; a name that does not exist is an error.
+    """Inventory of one or more schemas; a name that does not exist is an error unless ``missing_ok``.
 
     Describing is one metadata command per object and runs from a thread pool. Beyond
     one chunk of objects the records go to the shared folder, so that the driver holds
@@ -198,7 +199,7 @@ def inventory(
     """
     schemas = split_names(schemas)
     require(catalog=catalog, schemas=schemas)
-    listed = _listed(spark, catalog, schemas, names)
+    listed = _listed(spark, catalog, schemas, names, missing_ok)
     frame = _spooled(spark, _in_chunks(lambda name: describe(spark, name), listed, threads), INVENTORY)
     return filter_kind(frame, kind) if kind else frame
 

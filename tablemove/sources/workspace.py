@@ -62,6 +62,12 @@ def is_empty(spark: SparkSession, path: str) -> bool:
     return not system.exists(hadoop) or not system.listStatusIterator(hadoop).hasNext()
 
 
+def is_missing(spark: SparkSession, path: str) -> bool:
+    """True when nothing is at ``path``."""
+    system, hadoop = _file_system(spark, path)
+    return not system.exists(hadoop)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of what a folder holds; none if it doesn't exist."""
     system, hadoop = _file_system(spark, path)

@@ -127,8 +127,19 @@ def test_drift(spark):
         record("managed"),
         record("unsupported", provider="hive", serde="other"),
         record("a_view", object_type="VIEW"),
+        record("moved") | {"location": "file:/a/moved/"},
+        record("here") | {"location": "file:///a/here"},
+        record("parts") | {"partition_cols": ["P"], "options": {"path": "x"}},
+        record("same_parts") | {"partition_cols": ["P"], "options": {"path": "x", "Sep": ","}},
+        record("hidden"),
     ]
     target = [
+        record("moved") | {"location": "file:/b/moved"},
+        record("here") | {"location": "/a/here/"},
+        record("parts") | {"partition_cols": []},
+        record("same_parts") | {"partition_cols": ["p"], "options": {"sep": ","}},
+        record("hidden", object_type="VIEW", provider=None),
+        record("own_view", object_type="VIEW", provider=None),
         record("same"),
         record("format", provider="orc"),
         record("case", provider="PARQUET"),
@@ -148,6 +159,11 @@ def test_drift(spark):
         "managed": ("BLOCKED", "FORMAT"),
         "unsupported": ("BLOCKED", "UNSUPPORTED"),
         "orphan": ("ORPHAN", "MISSING"),
+        "moved": ("RECREATE", "LOCATION"),
+        "here": ("IN_SYNC", None),
+        "parts": ("RECREATE", "LAYOUT"),
+        "same_parts": ("IN_SYNC", None),
+        "hidden": ("BLOCKED", "VIEW"),
     }
 
 

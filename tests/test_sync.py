@@ -1,5 +1,6 @@
 """External tables, views, incremental clones, batches and seeding."""
 
+import shutil
 from pathlib import Path
 
 import pytest
@@ -42,6 +43,44 @@ def test_new_partitions_are_found_by_the_next_sync(spark, pair, source):
     assert pair.read(pair.dst("t")).count() == 31
 
 
+def test_repair_of_the_difference(spark, pair):
+    """Names that need escapes, NULL, an empty folder and a partition elsewhere; a run in sync issues nothing."""
+    location = pair.area("r")
+    name = pair.make(pair.src("r"), "SELECT id, 'a %/+' || id % 2 AS p, id % 3 AS q FROM range(12)",
+                     f"USING parquet PARTITIONED BY (p, q) LOCATION '{location}'")
+    assert external.repair_difference(spark, name, location) == (0, 0)
+    folder = Path(location.removeprefix("file:"))
+    shutil.rmtree(next(folder.glob("p=*0/q=1")))
+    for file in next(folder.glob("p=*1/q=2")).iterdir():
+        file.unlink()  # the folder stays, and so does its partition
+    spark.range(3).selectExpr("id", "'é=1' AS p", "7 AS q").write.mode("append").partitionBy("p", "q").parquet(location)
+    elsewhere = pair.area("elsewhere")
+    spark.range(2).write.parquet(elsewhere)
+    spark.sql(f"ALTER TABLE {pair.sql(name)} ADD PARTITION (p = 'far', q = 1) LOCATION '{elsewhere}'")
+    assert external.repair_difference(spark, name, location) == (1, 1)
+    assert external.repair_difference(spark, name, location) == (0, 0)
+    rows = pair.read(name)
+    assert rows.filter("p = 'é=1' AND q = 7").count() == 3 and rows.filter("p = 'far'").count() == 2
+    spark.sql("SELECT 1L AS id, CAST(NULL AS STRING) AS p, 1 AS q").write.mode("append").partitionBy("p", "q").parquet(location)
+    external.repair_difference(spark, name, location)
+    assert pair.read(name).filter("p IS NULL").count() == 1
+
+
+def test_batch_sync_decides_by_one_plan(spark, pair, source, monkeypatch):
+    other = pair.make(pair.src("o"), "SELECT 1 AS x", f"USING parquet LOCATION '{pair.area('o')}'")
+    run = lambda **k: {o.target_full_name.rsplit(".", 1)[1]: o for o in migrate.sync_external(spark, "src", pair.schema, "dst", **k)}
+    assert {o.action for o in run().values()} == {"CREATE"}
+    with monkeypatch.context() as patch:
+        # Tables in sync are described by the inventories alone.
+        patch.setattr(external, "describe", lambda *_: 1 / 0)
+        assert {o.action for o in run(tables="O, T").values()} == {"IN_SYNC"}
+    copy.drop(spark, pair.dst("o"))
+    views.create_view(spark, pair.dst("o"), "SELECT 1 AS x")
+    found = run(on_error="continue")
+    assert (found["o"].action, found["o"].status_code, found["t"].action) == ("BLOCKED", FAILED, "IN_SYNC")
+    assert pair.rows(other) == [(1,)]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_drifted_external_target_is_created_again(spark, pair, source, fmt):
     schema = "id BIGINT" if fmt == "parquet" else "id BIGINT, p INT"

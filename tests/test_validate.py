@@ -181,3 +181,28 @@ def test_fingerprint_sees_one_unit_at_every_level(spark, case):
     left, right = (spark.sql(f"SELECT 1 AS id, {value} AS v") for value in ONE_UNIT[case])
     assert left.schema["v"].dataType.simpleString() == right.schema["v"].dataType.simpleString()
     assert agree(left, left) and not agree(left, right)
+
+
+def test_localized_difference(spark):
+    left = spark.range(20_000).selectExpr("id", "id % 7 AS v", "CAST(NULL AS STRING) AS s")
+    right = left.filter("id <> 5").withColumn("v", F.when(F.col("id") == 9, 100).otherwise(F.col("v")))
+    right = right.unionByName(left.filter("id = 11")).unionByName(spark.sql("SELECT 30000L AS id, 1L AS v, 'x' AS s"))
+    for keys in (["ID"], None):
+        whole = sorted(map(str, validate.content_diff(left, right).collect()))
+        assert sorted(map(str, validate.localized_diff(left, right, keys).collect())) == whole and len(whole) == 5
+        buckets = validate.bucket_differences(left, right, keys).collect()
+        assert 4 <= len(buckets) <= 5 and sum(b["n_source"] for b in buckets) < 20
+    assert validate.bucket_differences(left, left).count() == 0 and validate.localized_diff(left, left).count() == 0
+    assert validate.localized_diff(left, left.limit(0), ["id"]).count() == 20_000
+    with pytest.raises(ValueError):
+        validate.bucket_differences(left, right, ["nosuch"])
+
+
+def test_many_pairs_are_taken_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(validate, "PAIRS_PER_JOB", 3)
+    pairs = [(spark.range(i), spark.range(i + i % 2)) for i in range(10)]
+    names = [f"t{i}" for i in range(10)]
+    counted = {r["name"]: (r["source_rows"], r["target_rows"], r["diff"]) for r in validate.counts(spark, pairs, names).collect()}
+    assert counted == {f"t{i}": (i, i + i % 2, -(i % 2)) for i in range(10)}
+    same = {r["name"]: r["same"] for r in validate.fingerprints(spark, pairs, names).collect()}
+    assert same == {f"t{i}": i % 2 == 0 for i in range(10)}
