@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -42,27 +41,27 @@ def document_key(*columns: str) -> list[Column]:
 _OPEN: list[list[str]] = []
 
 
+#: Whether Spark deletes the shuffle files of a query when it has ended, and not when the driver collects garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """What ``saved`` writes inside is removed at the end, but for a result saved with ``outlives``."""
+    """What ``saved`` writes inside is removed at the end, but for a result saved with ``outlives``.
+
+    All steps inside are written and read again, so that shuffle files are of no use after the step that made them.
+    """
     areas: list[str] = []
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
     _OPEN.append(areas)
     try:
         yield
     finally:
         _OPEN.remove(areas)
+        spark.conf.set(_CLEAN_UP, before)
         for area in areas:
             remove(spark, area)
-        release(spark)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now.
-
-    It does so once the driver's JVM finds that nothing refers to them, which with a large heap may be long after.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
 
 
 def saved(frame: DataFrame, label: str, outlives: bool = False) -> DataFrame:
