@@ -70,3 +70,20 @@ def test_stages(spark, tmp_path):
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, whole.collect())) == sorted(map(str, seen["mix_sources"].values()))
     assert whole.agg(F.sum("taken")).first()[0] > 0
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """NULLs in all columns, repeated rows, a very long text and clashing names; then no rows at all."""
+    extra = ("row", "root", "id", "k1", "bucket", "template", "size", "copy", "grp", "at", "of")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra)
+    texts = [prose(i, 150, 3000) for i in range(6)] + [prose(50, 40_000, 9000)]
+    rows = [(i, t, None, None if i % 2 else "s", None, *extra) for i, t in enumerate(texts)]
+    rows += [rows[2], rows[2], (None, texts[3], "en", "s", 1, *extra), (None, None, None, None, None, *extra), (9, "", "", "", 0, *extra)]
+    spark.createDataFrame([(1, None), (2, ""), (None, prose(99, 30, 9))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, given in (("some", rows), ("none", [])):
+        docs = spark.createDataFrame(given, schema)
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.read.parquet(f"{tmp_path}/benchmark.parquet").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        got = [(r["doc_id"], r["size"]) for r in corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()]
+        # Of equal documents one stays, that with an id.
+        assert sorted(got) == ([(i, len(t.split())) for i, t in enumerate(texts)] if given else [])
