@@ -25,6 +25,8 @@ from tablemove.llm.components import components
 
 #: Sizes of the two sides of a block, when a bucket is compared in blocks.
 MEMBER_BLOCK, STRAGGLER_BLOCK = 200, 50
+#: Buckets of more members are dealt anew by shingles; below, that would make more rows than blocks do.
+CROWDED = 4000
 #: Shingle hashes that a task remembers.
 FEATURE_HASHES = 4_000_000
 #: Words of 64 bits in the sketch of a text's shingles.
@@ -305,8 +307,8 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
         classes = components(first)
 
         apart = _apart(members, classes)
-        rest = members.join(narrow(apart.filter(F.col("n") <= MEMBER_BLOCK)), "bucket", "left_semi").select("bucket", "id")
-        crowded = apart.filter(F.col("n") > MEMBER_BLOCK)
+        rest = members.join(narrow(apart.filter(F.col("n") <= CROWDED)), "bucket", "left_semi").select("bucket", "id")
+        crowded = apart.filter(F.col("n") > CROWDED)
         if not crowded.isEmpty():
             inside = members.join(narrow(crowded), "bucket", "left_semi").select("bucket", "id").join(known, "id")
             counts = in_arrow(inside.select("text"), _counted(similarity), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))

@@ -62,6 +62,7 @@ def expected_classes(rows):
 def test_document_classes(spark, monkeypatch, block):
     monkeypatch.setattr(near, "MEMBER_BLOCK", block)
     monkeypatch.setattr(near, "STRAGGLER_BLOCK", max(2, block // 4))
+    monkeypatch.setattr(near, "CROWDED", block)
     rows = sample()
     got = sorted((tuple(r) for r in duplicate_classes(documents(spark, rows)).collect()), key=str)
     assert got == expected_classes(rows)
