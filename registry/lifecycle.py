@@ -14,7 +14,7 @@ from tablemove.plans import migrate
 from tablemove.sources import estate
 from tablemove.sources.inventory import describe, inventory, list_objects
 from tablemove.sources.workspace import remove
-from tablemove.streaming import incremental
+from tablemove.streaming import incremental, resume
 
 
 @query("SELECT * FROM events WHERE event_type <> 'click' OR event_type IS NULL")
@@ -67,6 +67,38 @@ def clone_incremental_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(before.withColumn("old", F.lit(True)), "file", "left").select(*columns, F.col("old").isNull().alias("touched"))
 
 
+@query("SELECT * FROM events")
+def stream_continued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream reads a part of the source, stops, and goes on with the clone: every row once."""
+    here = Estate(spark, sf_dir)
+    events, location = read(spark, sf_dir, "events"), here.area("events")
+    source, target = here.source("events"), here.target("events")
+    sink, before, after = here.area("sink"), here.area("checkpoint"), here.area("checkpoint")
+
+    def arrive(*types):
+        rows = events.filter(F.coalesce("event_type", F.lit("error")).isin(*types))
+        rows.repartition(3).write.mode("append").parquet(location)
+
+    def stream(folder: str, checkpoint: str) -> None:
+        rows = spark.readStream.schema(events.schema).parquet(folder)
+        writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start(sink).awaitTermination()
+
+    arrive("click", "view")
+    external.register(spark, source, "parquet", location, events.schema)
+    done(incremental.clone_append(spark, source, target))
+    stream(location, before)
+    arrive("purchase")
+    done(incremental.clone_append(spark, source, target))
+    resume.continue_on_clone(spark, target, before, after)
+    folder = describe(spark, target)["location"]
+    stream(folder, after)
+    arrive("signup", "error")
+    done(incremental.clone_append(spark, source, target))
+    stream(folder, after)
+    return spark.read.parquet(sink)
+
+
 @query(
     """
     SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS value, event_type <> 'purchase' AS old

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -85,6 +86,26 @@ def move(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"{old} could not be moved to {new}")
 
 
+def copy_tree(spark: SparkSession, old: str, new: str) -> None:
+    """Copy a small folder with all its files."""
+    (from_system, source), (to_system, place) = _file_system(spark, old), _file_system(spark, new)
+    to_system.mkdirs(place.getParent())
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        from_system, source, to_system, place, False, spark._jsc.hadoopConfiguration()
+    )
+
+
+def write_lines(spark: SparkSession, path: str, lines: Iterable[str]) -> None:
+    """A text file of lines, the last of which has no end, as they come."""
+    system, hadoop = _file_system(spark, path)
+    stream = system.create(hadoop)
+    try:
+        for i, line in enumerate(lines):
+            stream.write(bytearray((f"\n{line}" if i else line).encode()))
+    finally:
+        stream.close()
+
+
 def write_note(spark: SparkSession, path: str, text: str) -> None:
     """A small file with a text."""
     system, hadoop = _file_system(spark, path)

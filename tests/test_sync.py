@@ -13,7 +13,7 @@ from tablemove.operators.validate import assert_equal
 from tablemove.plans import migrate, report
 from tablemove.sources import estate
 from tablemove.sources.inventory import describe, exists, inventory
-from tablemove.streaming import incremental
+from tablemove.streaming import incremental, resume
 
 PARTS = "SELECT id, CAST(id % 3 AS INT) AS p FROM range(30)"
 
@@ -301,6 +301,32 @@ def test_only_files_of_changed_source_files_are_replaced(spark, pair):
     assert_equal(spark, pair.src("m"), pair.dst("m"), "diff")
 
 
+def test_stream_goes_on_with_the_clone(spark, pair, arriving):
+    """Partition names with escapes, a removed file, and files the stream had seen before and after the clone."""
+    write(spark, "SELECT id, 5 AS p FROM range(500, 503)", arriving)
+    repaired(spark, pair)
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
+    schema, sink, before, after = spark.read.parquet(arriving).schema, *(pair.area(x) for x in ("sink", "a", "b"))
+
+    def stream(folder, checkpoint):
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(folder)
+        rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink, "parquet").awaitTermination()
+        return spark.read.parquet(sink).count()
+
+    assert stream(arriving, before) == 33
+    shutil.rmtree(next(Path(arriving.removeprefix("file:")).glob("p=5")))
+    write(spark, "SELECT id, 9 AS p FROM range(100, 105)", arriving)
+    repaired(spark, pair)
+    ok(incremental.clone_append(spark, pair.src("e"), pair.dst("e")))
+    seen = resume.continue_on_clone(spark, pair.dst("e"), before, after)
+    assert seen == resume.seen_files(spark, before).select("path").distinct().filter("path NOT LIKE '%p=5%'").count()
+    clone = describe(spark, pair.dst("e"))["location"]
+    assert stream(clone, after) == 38 and stream(clone, after) == 38
+    for checkpoint, name in ((before, pair.dst("e")), (pair.area("none"), pair.dst("e")), (before, pair.dst("nosuch"))):
+        with pytest.raises(ValueError):
+            resume.continue_on_clone(spark, name, checkpoint, after if checkpoint == before and name.name == "e" else pair.area("c"))
+
+
 @pytest.mark.parametrize("clauses", ["USING parquet", "USING parquet PARTITIONED BY (p)", "USING orc", "USING csv"])
 def test_new_columns_arrive_without_a_rebuild(spark, pair, clauses):
     src, dst = pair.src("w"), pair.dst("w")
