@@ -22,8 +22,6 @@ _NAMED = r"(?<=[\p{L}\p{N},;] [\p{Ps}\p{Pi}\"'`]{0,3})(?=\p{Lu}\p{Ll})"
 _CAPITALISED = r"^⟨?\p{Lu}\p{Ll}"
 #: Readings of a text: no names, those that don't begin a sentence, all capitalised words.
 PLAIN, INNER, EVERY = READINGS = ("plain", "inner", "every")
-#: Up to this many different words of a benchmark, texts without a run of them are put aside first.
-VOCABULARY = 50_000
 _TOKEN = r"⟨?\p{L}[\p{L}\p{M}\p{N}]*|\p{N}+(?:[.,:/]\p{N}+)*"
 
 
@@ -89,7 +87,7 @@ def _windows(frame: DataFrame, length: int, *keep: str) -> DataFrame:
     window = lambda start: F.struct(
         start.alias("at"),
         F.array(*_slice(template, start, length)).alias("words"),
-        F.xxhash64(*_slice(template, start, length)).alias("hash"),
+        F.xxhash64(*[F.xxhash64(w) for w in _slice(template, start, length)]).alias("hash"),
         _slots(tokens, template, start, length).alias("slots"),
     )
     return frame.select(*keep, F.inline(F.transform(_starts(F.size("template"), length), window)))
@@ -120,47 +118,26 @@ def _item_readings(canonical: DataFrame) -> DataFrame:
     return rows.filter(wanted & (F.size("template") > 0)).drop(PLAIN)
 
 
-def _hashes(template: Column, length: int) -> Column:
-    """Hashes of all windows of a template."""
-    at = _starts(F.size(template), length)
-    return F.transform(at, lambda start: F.xxhash64(*_slice(template, start, length)))
+def _hashed_words(canonical: DataFrame, *keep: str) -> DataFrame:
+    """Each reading as the hashes of its words, so that a word is hashed once for all windows that hold it."""
+    words = lambda r: F.transform(r, lambda w: F.xxhash64(w)).alias(r)
+    return canonical.select(*keep, *[words(r) for r in READINGS])
+
+
+def _hashes(words: Column, length: int) -> Column:
+    """Hashes of all windows of a reading."""
+    at = _starts(F.size(words), length)
+    return F.transform(at, lambda start: F.xxhash64(*_slice(words, start, length)))
 
 
 def _all_hashes(length: int) -> Column:
     """Distinct hashes of the windows of all readings of a document."""
     none = F.array().cast("array<bigint>")
-    plain = _hashes(F.col(PLAIN), length)
+    plain, inner, every = (F.col(r) for r in READINGS)
     # A reading that is the same as a plainer one has the same windows.
-    others = [F.when(F.col(r) != F.col(PLAIN), _hashes(F.col(r), length)).otherwise(none) for r in (INNER, EVERY)]
-    return F.array_distinct(F.concat(plain, *others))
-
-
-def _with_known_words(documents: DataFrame, items: DataFrame, length: int) -> DataFrame:
-    """The documents with ``length`` words in a row that a window of the items may have.
-
-    In whatever reading, a word of a document is in a window only as itself, or as a number, name or unit. All
-    words that may be one of these count if the items have any. Others can't match, so that no
-    leak is lost; where the benchmark has too many words to hold them, all documents stay.
-    """
-    words = items.select(F.explode("template").alias("word")).distinct()
-    held = [r["word"] for r in words.limit(VOCABULARY + 1).collect()]
-    if len(held) > VOCABULARY:
-        return documents
-    # The names' marks and white space change no word, so that the plain text will do.
-    token = F.regexp_extract_all(text_of(), F.lit(_TOKEN), F.lit(0))
-    plain = {*held, *(UNITS if _UNIT in held else ())}
-
-    def known(t: Column) -> Column:
-        if _NAME in held:
-            named = F.when(t.rlike(r"^(?:⟨|\p{Lu}\p{Ll})"), "y")
-        else:
-            named = F.when(F.lit(False), "y")
-        if _NUMBER in held:
-            named = named.when(t.rlike(r"^\p{N}"), "y")
-        return named.when(F.lower(F.ltrim(t, F.lit("⟨"))).isin(*plain), "y").otherwise("n")
-
-    runs = F.array_join(F.transform(token, known), "")
-    return documents.filter(runs.contains("y" * length))
+    named = F.when(inner != plain, _hashes(inner, length)).otherwise(none)
+    all_named = F.when((every != plain) & (every != inner), _hashes(every, length)).otherwise(none)
+    return F.array_distinct(F.concat(_hashes(plain, length), named, all_named))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) -> DataFrame:
@@ -204,9 +181,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
         "benchmark_windows",
     )
 
-    # First only words, then only hashes: which documents have a window in common with the benchmark at all?
-    docs = saved(_with_known_words(docs, items, lengths[0]), "documents_with_words")
-    canonical = _canonical(docs, "k1", "k2")
+    # First only hashes: which documents have a window in common with the benchmark at all?
+    canonical = _hashed_words(_canonical(docs, "k1", "k2"), "k1", "k2")
     hashes = narrow(known.select("hash").distinct())
     hits = None
     for n in lengths:
