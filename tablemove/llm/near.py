@@ -35,7 +35,6 @@ SKETCH = 16
 SLOTS = 1 << 16
 #: Up to this many sketches are broadcast.
 BROADCAST_SKETCHES = 150_000
-_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -182,19 +181,18 @@ def _counted(similarity: Similarity):
 
 
 def _rarest(similarity: Similarity, often: np.ndarray):
-    """The rarest shingles of each text, inside its bucket: as many as a close text has to have one of."""
+    """The rarest shingles of each text, as buckets: as many as a close text has to have one of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, buckets = [], [np.empty(0, np.uint64)]
-            within = batch.column("bucket").to_numpy().view(np.uint64)
             texts = similarity.features(batch.column("text").to_pylist())
-            for bucket, node, features in zip(within, batch.column("id").to_pylist(), texts, strict=True):
+            for node, features in zip(batch.column("id").to_pylist(), texts, strict=True):
                 distinct = np.unique(features)
                 order = np.lexsort((distinct, often[_slots(distinct)]))
                 first = distinct[order[: similarity.needed(distinct.size)]]
                 ids += [node] * first.size
-                buckets.append((first ^ bucket) * _ODD)
+                buckets.append(first)
             columns = [pa.array(np.concatenate(buckets).view(np.int64)), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "id"])
 
@@ -310,12 +308,13 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
         rest = members.join(narrow(apart.filter(F.col("n") <= CROWDED)), "bucket", "left_semi").select("bucket", "id")
         crowded = apart.filter(F.col("n") > CROWDED)
         if not crowded.isEmpty():
-            inside = members.join(narrow(crowded), "bucket", "left_semi").select("bucket", "id").join(known, "id")
+            ids = members.join(narrow(crowded), "bucket", "left_semi").select("id").distinct()
+            inside = known.select("id", "text").join(narrow(saved(ids, "crowded_ids")), "id", "left_semi")
             counts = in_arrow(inside.select("text"), _counted(similarity), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
             often = np.zeros(SLOTS, np.int64)
             for row in counts.collect():  # at most SLOTS rows
                 often[row["slot"]] = row["n"]
-            dealt = in_arrow(inside.select("bucket", "id", "text"), _rarest(similarity, often), "bucket long, id binary")
+            dealt = in_arrow(inside, _rarest(similarity, often), "bucket long, id binary")
             smaller = _shared(dealt, "shingle_members")
             first = first.unionByName(_pivoted(smaller, known, classes, similarity))
             classes = components(first)
