@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import query, read
@@ -230,6 +233,14 @@ _SYNCED = {
 }
 
 
+def _content(key: str) -> Column:
+    """The sum of a product of keys as a BIGINT, modulo 2 ** 64 if it is larger."""
+    factors = [F.col(c).cast("decimal(19,0)") for c in key.split(" * ")]
+    total = F.sum(reduce(lambda a, b: a * b, factors))
+    half, whole = F.lit(Decimal(1 << 63)), F.lit(Decimal(1 << 64))
+    return (F.pmod(total + half, whole) - half).cast("bigint")
+
+
 @query(
     " UNION ALL ".join(
         f"SELECT run, '{t}' AS name, CASE WHEN run = 1 THEN 'CREATE' "
@@ -239,7 +250,10 @@ _SYNCED = {
     )
 )
 def sync_external_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch run four times: created, in sync, one table at another place, in sync."""
+    """A batch run four times: created, in sync, one table at another place, in sync.
+
+    ``content`` is the exact sum of a key; one that a BIGINT can't hold goes on from the other end, modulo 2 ** 64.
+    """
     here = Estate(spark, sf_dir, *_SYNCED)
     runs = []
     for run in range(1, 5):
@@ -255,7 +269,7 @@ def sync_external_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     actions = spark.createDataFrame(runs, "run bigint, name string, action string")
     counts = None
     for t, key in _SYNCED.items():
-        counted = here.read(here.target(t)).agg(F.count("*").alias("n_rows"), F.expr(f"sum({key})").alias("content"))
+        counted = here.read(here.target(t)).agg(F.count("*").alias("n_rows"), _content(key).alias("content"))
         counted = counted.withColumn("name", F.lit(t))
         counts = counted if counts is None else counts.unionByName(counted)
     return actions.join(counts, "name").select("run", "name", "action", "n_rows", "content")

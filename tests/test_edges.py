@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from registry import lifecycle
 from tablemove.functions.viewtext import rewrite
 from tablemove.operators import convert, copy, external, validate
 from tablemove.operators.outcome import SUCCESS
@@ -113,3 +114,24 @@ def test_rolled_back_copy_keeps_partitions(spark, pair):
     ok(copy.ctas(spark, source, pair.dst("t"), select=["id", "9 AS p"], partition_by=["p"]))
     assert {r["p"] for r in pair.read(pair.dst("t")).select("p").distinct().collect()} == {9}
     assert describe(spark, pair.dst("t"))["partition_cols"] == ["p"]
+
+
+def test_sums_beyond_a_bigint(spark, tmp_path):
+    """The contents of synced tables whose sum no BIGINT holds; NULL keys are left out."""
+    big = 3_000_000_000
+    tables = {
+        "customer": ("c_custkey bigint", [(1 << 62,), (1 << 62,), (None,)]),
+        "nation": ("n_nationkey int", [(1,), (2,)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(big, big), (big, big), (7, None)]),
+        "part": ("p_partkey bigint, p_size int", [(-big, 2_000_000_000), (-big, 2_000_000_000)]),
+        "region": ("r_regionkey int", [(None,)]),
+        "supplier": ("s_suppkey bigint, s_nationkey int", [(5, 3)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = lifecycle.sync_external_batch(spark, str(tmp_path))
+    assert dict(found.dtypes)["content"] == "bigint"
+    wrapped = lambda n: (n + (1 << 63)) % (1 << 64) - (1 << 63)
+    sums = {"customer": 1 << 63, "nation": 3, "orders": 2 * big * big, "part": -4_000_000_000 * big, "supplier": 15}
+    expected = {name: wrapped(n) for name, n in sums.items()} | {"region": None}
+    assert {(r["name"], r["content"]) for r in found.collect()} == set(expected.items())
