@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry import lifecycle
+from tablemove.functions.names import table_sql
 from tablemove.functions.viewtext import rewrite
 from tablemove.operators import convert, copy, external, validate
 from tablemove.operators.outcome import SUCCESS
@@ -135,3 +136,29 @@ def test_sums_beyond_a_bigint(spark, tmp_path):
     sums = {"customer": 1 << 63, "nation": 3, "orders": 2 * big * big, "part": -4_000_000_000 * big, "supplier": 15}
     expected = {name: wrapped(n) for name, n in sums.items()} | {"region": None}
     assert {(r["name"], r["content"]) for r in found.collect()} == set(expected.items())
+
+
+def test_rows_of_one_flag_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A flag with most rows doesn't meet in one task that sorts them and writes one file."""
+    lines = spark.range(40_000).selectExpr(
+        "id * 7919 AS l_orderkey", "1 AS l_linenumber", "CAST(xxhash64(id) % 1000 AS DOUBLE) AS l_quantity",
+        "CASE WHEN id % 100 = 0 THEN 'N' WHEN id % 100 = 1 THEN 'R' ELSE 'A' END AS l_returnflag",
+    )
+    lines.repartition(6).write.parquet(f"{tmp_path}/lineitem.parquet")
+    files, clone_append = [], incremental.clone_append
+
+    def spied(session, source, *rest, **named):
+        files.append([r[0] for r in session.table(table_sql(session, source)).select("_metadata.file_path").distinct().collect()])
+        return clone_append(session, source, *rest, **named)
+
+    monkeypatch.setattr(incremental, "clone_append", spied)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        found = lifecycle.clone_incremental_rewrite(spark, str(tmp_path))
+        counted = {r["l_returnflag"]: (r["n"], r["touched"]) for r in found.groupBy("l_returnflag", "touched").agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert counted == {"A": (39_200, False), "N": (400, True)}
+    assert sum("l_returnflag=A" in f for f in files[0]) > 1
