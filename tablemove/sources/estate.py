@@ -10,7 +10,7 @@ from tablemove.functions.names import ObjectName, schema_sql, table_sql
 from tablemove.operators.outcome import COPY, Outcome, attempt
 from tablemove.operators.views import create_view
 from tablemove.plans.report import run_batch
-from tablemove.sources.formats import check_writable, lossless_options
+from tablemove.sources.formats import COMPACT_OPTIONS, check_writable, lossless_options
 from tablemove.sources.inventory import list_objects
 
 
@@ -21,13 +21,14 @@ def copy_table(
     fmt: str = "parquet",
     location: str | None = None,
 ) -> Outcome:
-    """Overwrite a managed table, or an external one with ``location``."""
+    """Overwrite a managed table, or an external one with ``location``; text formats are compressed."""
     target = ObjectName.parse(target)
 
     def work(outcome: Outcome) -> None:
         frame = source if isinstance(source, DataFrame) else spark.table(table_sql(spark, source))
         check_writable(spark, fmt, frame.schema)
-        writer = frame.write.format(fmt).mode("overwrite").options(**lossless_options(fmt, frame.schema))
+        options = {**lossless_options(fmt, frame.schema), **COMPACT_OPTIONS.get(fmt.lower(), {})}
+        writer = frame.write.format(fmt).mode("overwrite").options(**options)
         if location:
             writer = writer.option("path", location)
         writer.saveAsTable(table_sql(spark, target))

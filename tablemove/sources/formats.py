@@ -37,6 +37,10 @@ LOSSLESS_OPTIONS = {
     },
 }
 
+#: Options by which a text format takes a fraction of the space. Such a file is read by one task, so it ends after
+#: so many rows.
+COMPACT_OPTIONS = {fmt: {"compression": "gzip", "maxRecordsPerFile": "2000000"} for fmt in ("csv", "json")}
+
 
 def is_available(spark: SparkSession, fmt: str) -> bool:
     """True when the session has a data source of that name."""

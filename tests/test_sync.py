@@ -480,3 +480,15 @@ def test_seeding(spark, pair):
     assert spark.table(table_sql(spark, pair.dst("v"))).count() == 30
     estate.drop_schemas(spark, "dst", [pair.schema])
     assert spark.read.csv(f"{location}/a").count() == 30
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_seeded_texts_take_less_space_than_their_rows(spark, pair, fmt):
+    body = "SELECT id, repeat('a \"line\"\\n', 20) AS text, CAST(NULL AS STRING) AS none FROM range(20000)"
+    source, location = pair.make(pair.src("t"), body), pair.area("seed")
+    ok(estate.copy_table(spark, source, pair.dst("t"), fmt, location))
+    files = list(Path(location.removeprefix("file:")).glob("part-*"))
+    assert 0 < sum(f.stat().st_size for f in files) < 20_000 * 40
+    assert assert_equal(spark, source, pair.dst("t")) == (20_000, 20_000)
+    spark.sql(f"INSERT INTO {pair.sql(pair.dst('t'))} SELECT * FROM {pair.sql(source)}")
+    assert pair.read(pair.dst("t")).distinct().count() == 20_000 and pair.read(pair.dst("t")).count() == 40_000
