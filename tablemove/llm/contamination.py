@@ -36,10 +36,11 @@ class Match:
     least_words: int = 13
 
 
-def tokens_of(text: Column) -> Column:
-    """Words and numbers of a text; names that don't begin a sentence carry a mark."""
+def tokens_of(text: Column, marked: bool = True) -> Column:
+    """Words and numbers of a text; names that don't begin a sentence carry a mark, unless nobody asks for it."""
     spaced = F.regexp_replace(text, _SPACE, " ")
-    return F.regexp_extract_all(F.regexp_replace(spaced, _NAMED, "⟨"), F.lit(_TOKEN), F.lit(0))
+    named = F.regexp_replace(spaced, _NAMED, "⟨") if marked else spaced
+    return F.regexp_extract_all(named, F.lit(_TOKEN), F.lit(0))
 
 
 def template_of(tokens: Column) -> Column:
@@ -57,7 +58,7 @@ def _named(tokens: Column, plain: Column, every: bool) -> Column:
     """A template with the marked, or all capitalised, words as placeholders too."""
 
     def canonical(token: Column, word: Column) -> Column:
-        is_name = (token != word) & token.rlike(_CAPITALISED) if every else token.startswith("⟨")
+        is_name = token.rlike(_CAPITALISED) if every else token.startswith("⟨")
         return F.when(is_name, _NAME).otherwise(word)
 
     return F.zip_with(tokens, plain, canonical)
@@ -81,8 +82,8 @@ def _slots(tokens: Column, template: Column, start: Column, length: int) -> Colu
     return F.transform(F.filter(pairs, lambda p: p["kind"].isin(_NAME, _NUMBER, _UNIT)), lambda p: F.lower(F.ltrim(p["value"], F.lit("⟨"))))
 
 
-def _windows(frame: DataFrame, length: int, *keep: str) -> DataFrame:
-    """Rows of ``keep, at, words, hash, slots`` for each window of a frame with tokens and template."""
+def _windows(frame: DataFrame, length: int, *keep: str, starts: Column | None = None) -> DataFrame:
+    """Rows of ``keep, at, words, hash, slots`` for each window, or those at ``starts``, of a frame with tokens and template."""
     tokens, template = F.col("tokens"), F.col("template")
     window = lambda start: F.struct(
         start.alias("at"),
@@ -90,19 +91,20 @@ def _windows(frame: DataFrame, length: int, *keep: str) -> DataFrame:
         F.xxhash64(*[F.xxhash64(w) for w in _slice(template, start, length)]).alias("hash"),
         _slots(tokens, template, start, length).alias("slots"),
     )
-    return frame.select(*keep, F.inline(F.transform(_starts(F.size("template"), length), window)))
+    at = _starts(F.size("template"), length) if starts is None else starts
+    return frame.select(*keep, F.inline(F.transform(at, window)))
 
 
-def _canonical(frame: DataFrame, *keep: str) -> DataFrame:
-    """``keep, tokens`` and a template for each reading."""
-    tokens = frame.select(*keep, tokens_of(text_of()).alias("tokens"))
+def _canonical(frame: DataFrame, *keep: str, readings: tuple[str, ...] = READINGS) -> DataFrame:
+    """``keep, tokens`` and a template for each reading; the plain one is always there."""
+    tokens = frame.select(*keep, tokens_of(text_of(), INNER in readings).alias("tokens"))
     plain = tokens.withColumn(PLAIN, template_of(F.col("tokens")))
-    return plain.select("*", *[_named(F.col("tokens"), F.col(PLAIN), r == EVERY).alias(r) for r in (INNER, EVERY)])
+    return plain.select("*", *[_named(F.col("tokens"), F.col(PLAIN), r == EVERY).alias(r) for r in readings if r != PLAIN])
 
 
-def _readings(canonical: DataFrame, *keep: str) -> DataFrame:
+def _readings(canonical: DataFrame, *keep: str, readings: tuple[str, ...] = READINGS) -> DataFrame:
     """``keep, tokens, reading, template``, a row for each reading."""
-    each = F.array(*[F.struct(F.lit(r).alias("reading"), F.col(r).alias("template")) for r in READINGS])
+    each = F.array(*[F.struct(F.lit(r).alias("reading"), F.col(r).alias("template")) for r in readings])
     return canonical.select(*keep, "tokens", F.inline(each))
 
 
@@ -118,26 +120,41 @@ def _item_readings(canonical: DataFrame) -> DataFrame:
     return rows.filter(wanted & (F.size("template") > 0)).drop(PLAIN)
 
 
-def _hashed_words(canonical: DataFrame, *keep: str) -> DataFrame:
+def _hashed_words(frame: DataFrame, readings: tuple[str, ...], *keep: str) -> DataFrame:
     """Each reading as the hashes of its words, so that a word is hashed once for all windows that hold it."""
-    words = lambda r: F.transform(r, lambda w: F.xxhash64(w)).alias(r)
-    return canonical.select(*keep, *[words(r) for r in READINGS])
+    return frame.select(*keep, *[F.transform(r, lambda w: F.xxhash64(w)).alias(r) for r in readings])
 
 
-def _hashes(words: Column, length: int) -> Column:
-    """Hashes of all windows of a reading."""
-    at = _starts(F.size(words), length)
-    return F.transform(at, lambda start: F.xxhash64(*_slice(words, start, length)))
+def _window_hashes(frame: DataFrame, words: str, length: int, found: str) -> DataFrame:
+    """Adds ``found``: the hashes of all windows of the hashed words.
 
+    The hash of a window is that of its halves, and so on, so that it takes few steps for a window of many words. Each step is
+    a projection of its own, as it uses the one before twice.
+    """
+
+    def joined(one: str, two: str, width: int) -> Column:
+        behind = F.slice(two, width + 1, F.size(two))
+        return F.zip_with(one, behind, lambda x, y: F.xxhash64(x, y))
+
+    frame, width = frame.withColumn(found, F.col(words)), 1
+    for bit in bin(length)[3:]:
+        frame, width = frame.withColumn(found, joined(found, found, width)), 2 * width
+        if bit == "1":
+            frame, width = frame.withColumn(found, joined(found, words, width)), width + 1
+    # The last ones reach beyond the end.
+    return frame.withColumn(found, F.slice(found, 1, F.greatest(F.size(words) - (length - 1), F.lit(0))))
 
-def _all_hashes(length: int) -> Column:
-    """Distinct hashes of the windows of all readings of a document."""
-    none = F.array().cast("array<bigint>")
-    plain, inner, every = (F.col(r) for r in READINGS)
-    # A reading that is the same as a plainer one has the same windows.
-    named = F.when(inner != plain, _hashes(inner, length)).otherwise(none)
-    all_named = F.when((every != plain) & (every != inner), _hashes(every, length)).otherwise(none)
-    return F.array_distinct(F.concat(_hashes(plain, length), named, all_named))
+
+def _hits(hashed: DataFrame, hashes: DataFrame, readings: tuple[str, ...], length: int) -> DataFrame:
+    """``k1, k2, reading, length, at``: windows of documents whose hash is one of the benchmark's, in any reading."""
+    names = [f"{r}_windows" for r in readings]
+    for reading, name in zip(readings, names, strict=True):
+        hashed = _window_hashes(hashed, reading, length, name)
+    rows = hashed.select("k1", "k2", F.size(names[0]).alias("n"), F.posexplode(F.concat(*names)).alias("pos", "hash"))
+    # All readings of a document have as many windows.
+    rows = rows.join(hashes, "hash", "left_semi")
+    reading = F.element_at(F.array(*[F.lit(r) for r in readings]), F.floor(F.col("pos") / F.col("n")).cast("int") + 1)
+    return rows.select("k1", "k2", reading.alias("reading"), F.lit(length).alias("length"), (F.col("pos") % F.col("n") + 1).alias("at"))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) -> DataFrame:
@@ -181,22 +198,29 @@ def leaks(documents: DataFrame, benchmark: DataFrame, match: Match = Match()) ->
         "benchmark_windows",
     )
 
-    # First only hashes: which documents have a window in common with the benchmark at all?
-    canonical = _hashed_words(_canonical(docs, "k1", "k2"), "k1", "k2")
-    hashes = narrow(known.select("hash").distinct())
+    # Readings in which the benchmark has no item can't be found.
+    present = {r["reading"] for r in known.select("reading").distinct().collect()}
+    readings = tuple(r for r in READINGS if r in present or r == PLAIN)
+
+    # First only hashes: which windows of documents are windows of the benchmark at all?
+    hashed = _hashed_words(_canonical(docs, "k1", "k2", readings=readings), readings, "k1", "k2")
     hits = None
     for n in lengths:
-        own = canonical.select("k1", "k2", F.explode(_all_hashes(n)).alias("hash"))
-        own = own.join(hashes, "hash", "left_semi").select("k1", "k2")
-        hits = own if hits is None else hits.union(own)
-    touched = saved(hits.distinct(), "touched_documents")
-
-    # Then the windows of those documents, with their words and values.
+        theirs = _hashed_words(items.filter(F.col("length") == n), ("template",))
+        theirs = _window_hashes(theirs, "template", n, "hash").select(F.explode("hash").alias("hash")).distinct()
+        own = _hits(hashed, narrow(saved(theirs, "benchmark_hashes")), readings, n)
+        hits = own if hits is None else hits.unionByName(own)
+    hits = hits.groupBy("k1", "k2", "reading", "length").agg(F.collect_set("at").alias("starts"))
+    hits = saved(hits, "touched_windows")
+    touched = saved(hits.select("k1", "k2").distinct(), "touched_documents")
+
+    # Then these windows with their words and values.
     keys = ("doc_id", "k1", "k2")
-    chosen = _readings(_canonical(docs.join(touched, ["k1", "k2"], "left_semi"), *keys), *keys)
+    chosen = _canonical(docs.join(touched, ["k1", "k2"], "left_semi"), *keys, readings=readings)
+    chosen = _readings(chosen, *keys, readings=readings).join(hits, ["k1", "k2", "reading"])
     found = None
     for n in lengths:
-        own = _windows(chosen, n, *keys, "reading")
+        own = _windows(chosen.filter(F.col("length") == n), n, *keys, "reading", starts=F.col("starts"))
         own = own.join(known.filter(F.col("length") == n), ["reading", "hash"]).filter(F.col("words") == F.col("item_window"))
         found = own if found is None else found.unionByName(own)
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))

@@ -5,6 +5,7 @@ import random
 import regex
 from helpers import documents, prose
 
+from tablemove.llm import contamination
 from tablemove.llm.contamination import UNITS, decontaminate, leaks
 
 ITEM = (
@@ -149,3 +150,28 @@ def test_main_path_is_native(spark):
     docs, items = sample(spark)
     plan = leaks(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_equal_windows_have_equal_hashes(spark):
+    """Windows of every length by halves: as many as there are, equal for equal words only."""
+    texts = ["", "a", "a b a b a b a b a b a b", "b a b c d e f g h a b c d e f g h i j", "c d e f g h a b c d"]
+    frame = spark.createDataFrame([(i, t.split()) for i, t in enumerate(texts)], "id int, template array<string>")
+    for length in range(1, 10):
+        hashed = contamination._hashed_words(frame, ("template",), "id")
+        rows = contamination._window_hashes(hashed, "template", length, "found").select("id", "found").collect()
+        of_hash, of_window = {}, {}
+        for row in rows:
+            words = texts[row["id"]].split()
+            windows = [tuple(words[i : i + length]) for i in range(len(words) - length + 1)]
+            assert len(windows) == len(row["found"])
+            for window, found in zip(windows, row["found"], strict=True):
+                assert of_hash.setdefault(found, window) == window and of_window.setdefault(window, found) == found
+
+
+def test_tokens_without_marks_are_the_same_names(spark):
+    """Where no item has names inside sentences, texts are read without marks, and all else is the same."""
+    texts = ["Then Lisa, (Tom) and “Ann” met 5 Min ago; ⟨Bob said 7 Km, 𝐀𝐚 too. É Éa ab Cd eF", None, ""]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    marked = {r["id"]: (r["plain"], r["every"]) for r in contamination._canonical(frame, "id").collect()}
+    bare = {r["id"]: (r["plain"], r["every"]) for r in contamination._canonical(frame, "id", readings=("plain", "every")).collect()}
+    assert marked == bare
