@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from tablemove.llm.common import document_key, in_arrow, narrow, saved, scratch, text_of
 from tablemove.llm.documents_near import MEMO, mixed
@@ -21,6 +21,11 @@ from tablemove.llm.numbering import numbered
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Characters that are hashed at a time.
 _CHUNK = 1 << 18
+#: Characters whose signatures are made at a time, so that their hashes stay in a core's cache.
+_SIGNED = 1 << 17
+#: Bits of a band's key that hold the size of a line; larger sizes count as the largest.
+_SIZE_BITS = 20
+_SIZES = (1 << _SIZE_BITS) - 1
 _KINDS = {"long": LongType(), "binary": BinaryType(), "string": StringType()}
 
 
@@ -60,7 +65,8 @@ def _rolled(texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
     count = points.size - chars + 1
     total = np.zeros(count, np.uint64)
     for i in range(chars):
-        total = (total + points[i : i + count]) * _ODD
+        total += points[i : i + count]
+        total *= _ODD
     inside = np.ones(points.size, bool)
     for i in range(1, chars):
         inside[ends - i] = False
@@ -68,94 +74,148 @@ def _rolled(texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
     return mixed(total[inside[:count]]), np.cumsum(numbers) - numbers
 
 
-def line_bands(texts: list[str], fuzzy: Fuzzy) -> np.ndarray:
-    """MinHash signatures, a row of band hashes for each line."""
+def line_bands(texts: list[str], fuzzy: Fuzzy) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct shingles each line has, and MinHash signatures: a row of band hashes for each line."""
     values, starts = _rolled(texts, fuzzy.chars)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     result = np.empty((len(texts), fuzzy.bands), np.int64)
-    number = 0
+    turned = np.empty_like(low)
+    seeds = iter(mixed(np.arange(1, fuzzy.bands * fuzzy.rows + 1, dtype=np.uint64)).tolist())
     for band in range(fuzzy.bands):
         total = np.full(len(texts), band + 1, np.uint64) * _ODD
         for _ in range(fuzzy.rows):
-            number += 1
-            seed = int(mixed(np.array([number], np.uint64))[0])
-            turned = (low ^ np.uint32(seed >> 32)) * np.uint32(seed & 0xFFFFFFFF | 1)
+            seed = next(seeds)
+            np.bitwise_xor(low, np.uint32(seed >> 32), out=turned)
+            np.multiply(turned, np.uint32(seed & 0xFFFFFFFF | 1), out=turned)
             total = mixed(total + _ODD) ^ np.minimum.reduceat(turned, starts).astype(np.uint64)
         result[:, band] = mixed(total).view(np.int64)
-    return result
+    return _distinct_sizes(values, starts), result
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distinct_sizes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Lines are fewer than 4,096, so that their number and 52 bits of a hash are sorted as one word."""
+    owner = np.repeat(np.arange(starts.size, dtype=np.uint64), np.diff(starts, append=values.size))
+    both = np.sort(owner << np.uint64(52) | values >> np.uint64(12))
+    return np.add.reduceat(np.diff(both, prepend=~both[:1]) != 0, starts, dtype=np.int64)
+
+
+def _keys(texts: list[str], fuzzy: Fuzzy) -> np.ndarray:
+    """A row of keys for each line: a band's hash, whose lowest bits are the size, so that they sort by both."""
+    sizes, bands = line_bands(texts, fuzzy)
+    return bands & ~np.int64(_SIZES) | np.minimum(sizes, _SIZES)[:, None]
+
+
+def _cut(fuzzy: Fuzzy):
     """The lines with a word of each text: where they are and 128 bits of them.
 
-    Lines are compared by their words with one space between them; ``line`` has this once for all
+    Lines are compared by their words with one space between them; ``line`` and ``keys`` are there once for all
     copies that a task meets, as far as it remembers them.
     """
-    seen: set[bytes] = set()
-    names = ["doc_id", "k1", "k2", "at", "id", "line"]
+    names = ["doc_id", "k1", "k2", "at", "id", "half", "line", "keys"]
+
+    def keyed(lines: list[bytes | None]) -> pa.Array:
+        made, part, size = [np.empty((0, fuzzy.bands), np.int64)], [], 0
+        for line in lines:
+            if line is None:
+                continue
+            part.append(line.decode())
+            size += len(part[-1])
+            if size > _SIGNED or len(part) == 1000:
+                made.append(_keys(part, fuzzy))
+                part, size = [], 0
+        if part:
+            made.append(_keys(part, fuzzy))
+        none = np.array([line is None for line in lines] + [False])
+        offsets = np.concatenate([[0], np.cumsum(~none[:-1]) * fuzzy.bands]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets, mask=none), pa.array(np.concatenate(made).ravel()))
 
     def made(rows: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch:
         of, at, ids, lines = zip(*rows, strict=True) if rows else ([], [], [], [])
-        keys = [batch.column(c).take(pa.array(of, pa.int64())) for c in names[:3]]
-        return pa.RecordBatch.from_arrays([*keys, pa.array(at, pa.int64()), pa.array(ids, pa.binary()), pa.array(lines, pa.string())], names)
+        of = pa.array(of, pa.int64())
+        halves = np.frombuffer(b"".join(ids), np.int64)[::2]
+        own = [pa.array(at, pa.int64()), pa.array(ids, pa.binary()), pa.array(halves), pa.array(lines, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in names[:3]], *own, keyed(lines)], names)
 
-    for batch in batches:
-        rows, size = [], 0
-        for of, value in enumerate(batch.column("text")):
-            for at, raw in enumerate(value.as_py().encode().split(b"\n")):
-                line = b" ".join(raw.split())
-                if not line:
-                    continue
-                node = xxhash.xxh3_128_digest(line)
-                if node in seen:
-                    rows.append((of, at, node, None))
-                    continue
-                if len(seen) >= MEMO:
-                    seen.clear()
-                seen.add(node)
-                rows.append((of, at, node, line.decode()))
-                size += len(line)
-                if size > 16 * _CHUNK:
-                    yield made(rows, batch)
-                    rows, size = [], 0
-        yield made(rows, batch)
-
-
-def occurrences(documents: DataFrame) -> DataFrame:
-    """``doc_id, k1, k2, at, id, line`` for every line with a word; ``at`` counts all lines from 0.
-
-    Of lines with one ``id`` at least one has its ``line``.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            rows, size = [], 0
+            for of, value in enumerate(batch.column("text")):
+                for at, raw in enumerate(value.as_py().encode().split(b"\n")):
+                    line = b" ".join(raw.split())
+                    if not line:
+                        continue
+                    node = xxhash.xxh3_128_digest(line)
+                    if node in seen:
+                        rows.append((of, at, node, None))
+                        continue
+                    if len(seen) >= MEMO:
+                        seen.clear()
+                    seen.add(node)
+                    rows.append((of, at, node, line))
+                    size += len(line)
+                    if size > 16 * _CHUNK:
+                        yield made(rows, batch)
+                        rows, size = [], 0
+            yield made(rows, batch)
+
+    return run
+
+
+def occurrences(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
+    """``doc_id, k1, k2, at, id, half, line, keys`` for every line with a word; ``at`` counts all lines from 0.
+
+    Of lines with one ``id`` at least one has its ``line`` and ``keys``. ``half`` is half of the ``id``.
     """
     keyed = documents.select("doc_id", *document_key("doc_id", "text"), text_of().alias("text"))
-    kinds = {"k1": "long", "k2": "long", "at": "long", "id": "binary", "line": "string"}
+    kinds = {"k1": "long", "k2": "long", "at": "long", "id": "binary", "half": "long", "line": "string"}
     own = documents.schema["doc_id"]
-    schema = StructType([own, *[StructField(n, _KINDS[k]) for n, k in kinds.items()]])
-    return in_arrow(keyed, _cut, schema)
+    fields = [own, *[StructField(n, _KINDS[k]) for n, k in kinds.items()], StructField("keys", ArrayType(LongType()))]
+    return in_arrow(keyed, _cut(fuzzy), StructType(fields))
+
 
+def _runs(percent: int):
+    """Rows come sorted by key: of a band's lines, those stay that have others near their size.
+
+    Sorted by size, neighbours whose sizes are further apart than close lines' can be part a band into runs, of which each
+    is a bucket of its own. A run that has begun is known by its last row, since rows of a run either are
+    passed on or all are of one line.
+    """
 
-def _bands(fuzzy: Fuzzy):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                part = whole.slice(at, 1000)
-                ids, texts, size = [], [], 0
-                for node, line in zip(part.column("id").to_pylist(), part.column("line"), strict=True):
-                    ids.append(node)
-                    texts.append(line.as_py())
-                    size += len(texts[-1])
-                    if size > _CHUNK:
-                        yield made(ids, texts)
-                        ids, texts, size = [], [], 0
-                yield made(ids, texts)
-
-    def made(ids: list[bytes], texts: list[str]) -> pa.RecordBatch:
-        bands = line_bands(texts, fuzzy).ravel() if texts else np.empty(0, np.int64)
-        nodes = [node for node in ids for _ in range(fuzzy.bands)]
-        return pa.RecordBatch.from_arrays([pa.array(bands), pa.array(nodes, pa.binary())], ["bucket", "id"])
+        last, begun, passed = None, 0, False
+        for batch in batches:
+            key, half = (batch.column(c).to_numpy() for c in ("key", "half"))
+            if not key.size:
+                continue
+            if last is not None:
+                key, half = np.append(last[0], key), np.append(last[1], half)
+            band, size = key >> _SIZE_BITS, key & _SIZES
+            new = (band[1:] != band[:-1]) | (100 * size[:-1] < percent * size[1:])
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            other = np.concatenate([[False], (half[1:] != half[:-1]) & ~new])
+            several = np.logical_or.reduceat(other, starts)
+            bucket = key[starts]
+            if last is not None:
+                several[0] |= passed
+                bucket[0] = begun
+            lengths = np.diff(starts, append=key.size)
+            stay = np.repeat(several, lengths)
+            if last is not None and passed:
+                stay[0] = False
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(bucket, lengths)[stay]), pa.array(half[stay])], ["bucket", "half"])
+            last, begun, passed = (key[-1], half[-1]), bucket[-1], bool(several[-1])
 
     return run
 
 
+def _buckets(cut: DataFrame, percent: int) -> DataFrame:
+    """``bucket, half``: lines that share a band and are near in size, with the halves of their ids."""
+    rows = cut.filter("line IS NOT NULL").select(F.explode("keys").alias("key"), "half")
+    rows = rows.repartition(F.shiftright("key", _SIZE_BITS)).sortWithinPartitions("key")
+    return in_arrow(rows, _runs(percent), "bucket long, half long")
+
+
 def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """``k1, k2, at``: the lines to remove from each document, by the key of its id and text.
 
@@ -164,17 +224,19 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     class, the occurrence with the smallest ``doc_id`` stays, then the smallest key and place.
     """
     with scratch(documents.sparkSession):
-        cut = saved(occurrences(documents), "lines")
-        written = cut.filter("line IS NOT NULL").select("id", "line")
-        bands = in_arrow(written, _bands(fuzzy), "bucket long, id binary")
+        cut = saved(occurrences(documents, fuzzy), "lines")
+        shared = saved(_buckets(cut, fuzzy.percent), "near_in_size")
+        wanted = narrow(saved(shared.select("half").distinct(), "near_halves"))
+        written = cut.filter("line IS NOT NULL").select("id", "half", "line").join(wanted, "half", "left_semi")
+        written = saved(written.groupBy("id", "half").agg(F.any_value("line").alias("text")), "near_lines")
+        bands = shared.join(narrow(written.select("id", "half")), "half").select("bucket", "id")
 
         def texts(ids: DataFrame) -> DataFrame:
-            found = written.join(narrow(ids), "id", "left_semi")
-            return found.groupBy("id").agg(F.any_value("line").alias("text"))
+            return written.select("id", "text").join(narrow(ids), "id", "left_semi")
 
         similarity = Similarity(partial(shingles, chars=fuzzy.chars), fuzzy.percent)
         classes = near_classes(bands, texts, similarity).withColumnRenamed("node", "id")
-        named = cut.drop("line").join(narrow(classes), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        named = cut.select("doc_id", "k1", "k2", "at", "id").join(narrow(classes), "id", "left").withColumn("root", F.coalesce("root", "id"))
         # Most lines are alone; how many there are is counted first.
         shared = named.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
         several = saved(named.drop("id").join(narrow(saved(shared, "shared_lines")), "root", "left_semi"), "shared_places")
@@ -189,16 +251,18 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
 def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, counts, removed = [], [], []
-        for text, gone, copy in zip(batch.column("text"), batch.column("gone"), batch.column("copy").to_pylist(), strict=True):
-            text, drop = text.as_py(), set(gone.as_py() or ())
-            lines = [] if text is None else text.split("\n")
-            worded = [i for i, line in enumerate(lines) if line.encode().split()]
+        given = batch.column("row").field("text").cast(pa.binary()).to_pylist()
+        for text, gone, copy in zip(given, batch.column("gone").to_pylist(), batch.column("copy").to_pylist(), strict=True):
+            drop = set(gone or ())
+            lines = [] if text is None else text.split(b"\n")
+            worded = [i for i, line in enumerate(lines) if line.strip()]
             if copy:
                 drop = set(worded)
             counts.append(len(worded))
             removed.append(len(drop))
-            texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
-        columns = [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            texts.append(b"\n".join([x for i, x in enumerate(lines) if i not in drop]) if drop else text)
+        made = pa.array(texts, pa.binary()).cast(pa.string())
+        columns = [batch.column("row"), made, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["row", "text", "n_lines", "n_removed"])
 
 
@@ -224,8 +288,8 @@ def deduplicated(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     so that one line of each class stays. Lines are those that line feeds separate.
     """
     gone = removals(documents, fuzzy).groupBy("k1", "k2").agg(F.collect_list("at").alias("gone"))
-    rows = documents.select(*document_key("doc_id", "text"), "text", F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
-    joined = _numbered_copies(rows).join(gone, ["k1", "k2"], "left").select("row", "text", "gone", "copy")
+    rows = documents.select(*document_key("doc_id", "text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    joined = _numbered_copies(rows).join(gone, ["k1", "k2"], "left").select("row", "gone", "copy")
     schema = StructType(
         [
             joined.schema["row"],

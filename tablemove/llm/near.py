@@ -1,7 +1,7 @@
 """From bands to classes: verified links inside buckets, and their components.
 
 Items are distinct texts with a 128-bit id. Each bucket first compares its members with
-its smallest one. Members of large buckets that still span several classes are dealt anew, by shingles:
+its smallest one, then with the smallest one that this left apart; neither is looked at again there. Members of large buckets that still span several classes are dealt anew, by shingles:
 of two texts that are close, the rarest shingles of each have one in common, as many of them as leave
 too few others. Each of these smaller buckets is compared with its smallest member again, and
 what small buckets of either kind leave apart is compared in blocks. So no two texts in a bucket with
@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ MEMBER_BLOCK, STRAGGLER_BLOCK = 200, 50
 CROWDED = 4000
 #: Shingle hashes that a task remembers.
 FEATURE_HASHES = 4_000_000
+#: Pairs whose shingles are made at a time.
+PAIRS = 100
 #: Words of 64 bits in the sketch of a text's shingles.
 SKETCH = 16
 #: Numbers by which shingles are ordered from rare to frequent; any order would do.
@@ -37,6 +40,12 @@ SLOTS = 1 << 16
 BROADCAST_SKETCHES = 150_000
 
 
+def _sorted_once(values: np.ndarray) -> np.ndarray:
+    """What ``np.unique`` gives, which takes several times as long for some hundred values."""
+    values = np.sort(values)
+    return values[np.flatnonzero(np.diff(values, prepend=~values[:1]))]
+
+
 @dataclass(frozen=True)
 class Similarity:
     """``features`` gives the hashes of the shingles of each of some texts; links need ``percent`` of Jaccard.
@@ -50,7 +59,7 @@ class Similarity:
     percent: int = 80
 
     def distinct(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.unique(f) for f in self.features(texts)]
+        return [_sorted_once(f) for f in self.features(texts)]
 
     def close(self, x: np.ndarray, y: np.ndarray) -> bool:
         small, large = sorted((x.size, y.size))
@@ -88,15 +97,20 @@ class _Known:
         self.held = 0
 
     def __call__(self, node: bytes, text: pa.Scalar) -> np.ndarray:
-        found = self.kept.get(node)
-        if found is None:
-            found = self.similarity.distinct([text.as_py()])[0]
-            self.held += found.size
-            if self.held > FEATURE_HASHES:
-                self.kept.clear()
-                self.held = found.size
-            self.kept[node] = found
-        return found
+        if node not in self.kept:
+            self.learn({node: text.as_py()})
+        return self.kept[node]
+
+    def learn(self, texts: dict[bytes, str]) -> None:
+        """Texts that are needed soon; shingles of many are made faster at a time."""
+        new = {node: text for node, text in texts.items() if node not in self.kept}
+        found = dict(zip(new, self.similarity.distinct(list(new.values())), strict=True))
+        held = sum(f.size for f in found.values())
+        self.held += held
+        if self.held > FEATURE_HASHES:
+            self.kept.clear()
+            self.held = held
+        self.kept |= found
 
 
 def _links(frame: DataFrame, run: Callable) -> DataFrame:
@@ -111,53 +125,104 @@ def _made(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 def _verify_pairs(similarity: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(similarity)
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b")), *(batch.column(c) for c in ("text_a", "text_b")), strict=True)
-            yield _made([(a, b) for a, b, x, y in rows if similarity.close(known(a, x), known(b, y))])
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS):
+                batch = whole.slice(at, PAIRS)
+                a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
+                known.learn(dict(zip(a + b, x + y, strict=True)))
+                rows = zip(a, b, *(batch.column(c) for c in ("text_a", "text_b")), strict=True)
+                yield _made([(i, j) for i, j, p, q in rows if similarity.close(known(i, p), known(j, q))])
 
     return run
 
 
-def _verify_blocks(similarity: Similarity):
-    """Rows come sorted by block; a block is small, and only one is held."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows come sorted by block; a block is small, and only one is held. With its sketches."""
+
+    def whole(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        block = pa.Table.from_batches(parts)
+        bits = np.concatenate([part.column("bits").flatten().to_numpy() for part in parts])
+        return block, bits.view(np.uint64).reshape(-1, SKETCH)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = batch.column("block").to_pylist()
+        starts = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)]
+        if held and held[0].column("block")[0].as_py() != names[0]:
+            yield whole(held)
+            held = []
+        for start, end in pairwise(starts):
+            if start:
+                yield whole(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield whole(held)
+
+
+def _partners(similarity: Similarity, block: pa.Table, bits: np.ndarray) -> list[tuple[int, int]]:
+    """Rows of stragglers and of members of other classes that may be close to them."""
+    straggler = block.column("straggler").to_numpy()
+    sizes, classes = block.column("n").to_numpy(), block.column("class").to_numpy()
+    member = np.flatnonzero(~straggler)
+    own, of = bits[member], classes[member]
+    found = []
+    for row in np.flatnonzero(straggler).tolist():
+        possible = similarity.possible(sizes[member], own, int(sizes[row]), bits[row]) & (of != classes[row])
+        found += [(row, other) for other in member[possible].tolist()]
+    return found
+
+
+def _possible_rows(similarity: Similarity):
+    """Those rows of blocks that have a partner."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["block", "id", "class", "straggler"]
+        for block, bits in _blocks(batches):
+            if pairs := _partners(similarity, block, bits):
+                rows = pa.array(sorted({row for pair in pairs for row in pair}))
+                yield from block.select(names).take(rows).combine_chunks().to_batches()
+
+    return run
 
-    def linked(rows: list[tuple], known: _Known) -> list[tuple[bytes, bytes]]:
+
+def _verify_blocks(similarity: Similarity):
+    def linked(block: pa.Table, partners: list[tuple[int, int]], known: _Known) -> list[tuple[bytes, bytes]]:
         # Of the links in a block, those that join what isn't joined yet tell as much as all.
-        parent = {row[2]: row[2] for row in rows}
+        nodes, classes = (block.column(c).to_pylist() for c in ("id", "class"))
+        parent = {c: c for c in classes}
 
         def root(c: bytes) -> bytes:
             while parent[c] != c:
                 parent[c] = c = parent[parent[c]]
             return c
 
-        pairs = []
-        members = [row for row in rows if not row[3]]
-        sizes = np.array([row[4] for row in members], np.int64)
-        bits = np.array([row[5] for row in members], np.int64).view(np.uint64).reshape(-1, SKETCH)
-        for _, node, of, is_straggler, size, own, text in rows:
-            if not is_straggler:
-                continue
-            for i in np.flatnonzero(similarity.possible(sizes, bits, size, np.array(own, np.int64).view(np.uint64))).tolist():
-                _, other, other_of, *_, other_text = members[i]
-                one, two = root(of), root(other_of)
-                if one != two and similarity.close(known(node, text), known(other, other_text)):
-                    parent[one] = two
-                    pairs.append((node, other))
+        pairs, text = [], block.column("text")
+        for i, j in partners:
+            one, two = root(classes[i]), root(classes[j])
+            if one != two and similarity.close(known(nodes[i], text[i]), known(nodes[j], text[j])):
+                parent[one] = two
+                pairs.append((nodes[i], nodes[j]))
         return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        known = _Known(similarity)
-        for batch in batches:
-            pairs: list[tuple[bytes, bytes]] = []
-            columns = [batch.column(c).to_pylist() for c in ("block", "id", "class", "straggler", "n", "bits")]
-            for row in zip(*columns, batch.column("text"), strict=True):
-                if held and held[0][0] != row[0]:
-                    pairs += linked(held, known)
-                    held = []
-                held.append(row)
-            yield _made(pairs)
-        yield _made(linked(held, known) if held else [])
+        known, held, texts = _Known(similarity), [], {}
+
+        def made() -> pa.RecordBatch:
+            known.learn(texts)
+            return _made([pair for block, partners in held for pair in linked(block, partners, known)])
+
+        for block, bits in _blocks(batches):
+            if partners := _partners(similarity, block, bits):
+                rows = pa.array(sorted({row for pair in partners for row in pair}))
+                texts |= zip(*(block.column(c).take(rows).to_pylist() for c in ("id", "text")), strict=True)
+                held.append((block, partners))
+            if len(texts) > 2 * PAIRS:
+                yield made()
+                held, texts = [], {}
+        yield made()
 
     return run
 
@@ -173,7 +238,7 @@ def _counted(similarity: Similarity):
         total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for features in similarity.features(batch.column("text").to_pylist()):
-                total += np.bincount(_slots(np.unique(features)), minlength=SLOTS)
+                total += np.bincount(_slots(_sorted_once(features)), minlength=SLOTS)
         slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], ["slot", "n"])
 
@@ -188,7 +253,7 @@ def _rarest(similarity: Similarity, often: np.ndarray):
             ids, buckets = [], [np.empty(0, np.uint64)]
             texts = similarity.features(batch.column("text").to_pylist())
             for node, features in zip(batch.column("id").to_pylist(), texts, strict=True):
-                distinct = np.unique(features)
+                distinct = _sorted_once(features)
                 order = np.lexsort((distinct, often[_slots(distinct)]))
                 first = distinct[order[: similarity.needed(distinct.size)]]
                 ids += [node] * first.size
@@ -219,19 +284,38 @@ def _pivoted(members: DataFrame, known: DataFrame, classes: DataFrame | None, si
             named = classes.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
             pairs = pairs.join(narrow(named), end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
         pairs = pairs.filter("root_a <> root_b").select("a", "b")
+    for end in "ab":
+        pairs = pairs.join(narrow(known.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"))), end)
+    near = 100 * F.least("n_a", "n_b") >= similarity.percent * F.greatest("n_a", "n_b")
+    pairs = saved(pairs.filter(near), "pairs_near_in_size")
+    inside = _inside(known, pairs, "a", "b")
     few = known.count() <= BROADCAST_SKETCHES
     for end in "ab":
-        sketches = known.select(F.col("id").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+        sketches = inside.select(F.col("id").alias(end), F.col("bits").alias(f"bits_{end}"))
         pairs = pairs.join(F.broadcast(sketches) if few else sketches, end)
     possible = saved(pairs.filter(similarity.possible_pair()).select("a", "b"), "possible_pairs")
-    sides = [known.select(F.col("id").alias(e), F.col("text").alias(f"text_{e}")) for e in "ab"]
+    inside = _inside(known, possible, "a", "b")
+    sides = [inside.select(F.col("id").alias(e), F.col("text").alias(f"text_{e}")) for e in "ab"]
     return saved(_links(possible.join(sides[0], "a").join(sides[1], "b"), _verify_pairs(similarity)), "links")
 
 
+def _inside(known: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """What is known of the ids in some columns of saved rows, so that no other texts are moved."""
+    ids = reduce(DataFrame.union, [rows.select(F.col(c).alias("id")) for c in columns]).distinct()
+    return known.join(narrow(saved(ids, "ids_inside")), "id", "left_semi")
+
+
 def _apart(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """``bucket, n`` of the buckets of more than two members that span classes."""
-    spans = _named(members, classes).groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"))
-    return saved(spans.filter("n > 2 AND classes > 1").select("bucket", "n"), "apart_buckets")
+    """``bucket, n, next`` of the buckets that span classes; ``next`` is the smallest member outside the class of ``low``.
+
+    ``members`` has no member that all others of its bucket were compared with. If the others are in one class, they
+    need no more comparing, and if two are apart, one of them is outside the class of ``low``.
+    """
+    low = classes.select(F.col("node").alias("low"), F.col("root").alias("low_root"))
+    named = _named(members, classes).join(narrow(low), "low", "left")
+    outside = F.when(F.col("class") != F.coalesce("low_root", "low"), F.col("id"))
+    spans = named.groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"), F.min(outside).alias("next"))
+    return saved(spans.filter("classes > 1").select("bucket", "n", "next"), "apart_buckets")
 
 
 def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -253,7 +337,7 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
             F.bit_xor("x1").alias("x1"),
             F.bit_xor("x2").alias("x2"),
         )
-        .filter("classes > 1 AND n > 2")
+        .filter("classes > 1")
         .groupBy("x1", "x2", "n", "most")
         .agg(F.min("bucket").alias("bucket"))
         .select(
@@ -277,14 +361,16 @@ def _sketched(similarity: Similarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, bits = [], [np.empty(0, np.int64)]
-            for features in similarity.features(batch.column("text").to_pylist()):
-                distinct = np.unique(features)
-                table = np.zeros(64 * SKETCH, bool)
-                table[(distinct % np.uint64(64 * SKETCH)).astype(np.int64)] = True
-                sizes.append(distinct.size)
+            texts = batch.column("text").to_pylist()
+            for at in range(0, len(texts), PAIRS):
+                distinct = similarity.distinct(texts[at : at + PAIRS])
+                own = np.array([d.size for d in distinct], np.int64)
+                table = np.zeros((own.size, 64 * SKETCH), bool)
+                table[np.repeat(np.arange(own.size), own), (np.concatenate(distinct) % np.uint64(64 * SKETCH)).astype(np.int64)] = True
+                sizes.append(own)
                 bits.append(np.packbits(table).view(np.int64))
             words = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bits)), SKETCH).cast(pa.list_(pa.int64()))
-            columns = [batch.column("id"), batch.column("text"), pa.array(sizes, pa.int64()), words]
+            columns = [batch.column("id"), batch.column("text"), pa.array(np.concatenate([[], *sizes]).astype(np.int64)), words]
             yield pa.RecordBatch.from_arrays(columns, ["id", "text", "n", "bits"])
 
     return run
@@ -304,11 +390,20 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
         first = _pivoted(members, known, None, similarity)
         classes = components(first)
 
-        apart = _apart(members, classes)
-        rest = members.join(narrow(apart.filter(F.col("n") <= CROWDED)), "bucket", "left_semi").select("bucket", "id")
+        # Who was compared with its whole bucket is left out of it. A second one is compared with all others.
+        others = members.filter("id <> low")
+        apart = _apart(others, classes)
+        again = others.drop("low").join(narrow(apart), "bucket").select("bucket", "id", F.col("next").alias("low"))
+        again = saved(again, "second_members")
+        first = first.unionByName(_pivoted(again, known, classes, similarity))
+        classes = components(first)
+
+        others = again.filter("id <> low")
+        apart = _apart(others, classes)
+        rest = others.join(narrow(apart.filter(F.col("n") <= CROWDED)), "bucket", "left_semi").select("bucket", "id")
         crowded = apart.filter(F.col("n") > CROWDED)
         if not crowded.isEmpty():
-            ids = members.join(narrow(crowded), "bucket", "left_semi").select("id").distinct()
+            ids = others.join(narrow(crowded), "bucket", "left_semi").select("id").distinct()
             inside = known.select("id", "text").join(narrow(saved(ids, "crowded_ids")), "id", "left_semi")
             counts = in_arrow(inside.select("text"), _counted(similarity), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
             often = np.zeros(SLOTS, np.int64)
@@ -318,9 +413,13 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
             smaller = _shared(dealt, "shingle_members")
             first = first.unionByName(_pivoted(smaller, known, classes, similarity))
             classes = components(first)
-            rest = rest.unionByName(smaller.select("bucket", "id"))
+            rest = rest.unionByName(smaller.filter("id <> low").select("bucket", "id"))
 
         blocks = saved(_unresolved(rest, classes), "blocks")
-        blocks = blocks.join(known, "id").repartition("block").sortWithinPartitions("block")
+        # Texts are moved only for rows that sketches leave a partner in their block.
+        schema = "block string, id binary, class binary, straggler boolean"
+        blocks = blocks.join(_inside(known.drop("text"), blocks, "id"), "id").repartition("block").sortWithinPartitions("block")
+        blocks = saved(in_arrow(blocks, _possible_rows(similarity), schema), "possible_rows")
+        blocks = blocks.join(_inside(known, blocks, "id"), "id").repartition("block").sortWithinPartitions("block")
         third = saved(_links(blocks, _verify_blocks(similarity)), "links")
         return saved(components(first.unionByName(third)), "classes", outlives=True)

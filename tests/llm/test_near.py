@@ -225,3 +225,40 @@ def test_lines(spark):
         expected.append((d, bare if (d, t) in met else kept(d, t)))
         met.add((d, t))
     assert got == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 100])
+def test_bands_are_parted_by_size(step):
+    """Lines of a band whose sizes are too far apart make no bucket, wherever batches end."""
+    band = lambda number, size: (number << 20) | size
+    rows = [
+        *[(band(-5, 100), 1), (band(-5, 124), 2), (band(-5, 200), 3)],
+        *[(band(1, 50), 4), (band(1, 70), 5), (band(1, 100), 6)],
+        *[(band(2, 80), 7), (band(2, 80), 7), (band(2, 100), 8), (band(2, 100), 8)],
+        *[(band(3, 10), 9), (band(3, 10), 9), (band(3, 10), 9)],
+        *[(band(4, 10), 10), (band(5, 10), 11), (band(6, 1), 12), (band(6, 2), 13), (band(6, 2), 14)],
+    ]
+    assert rows == sorted(rows)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + step], strict=True)], ["key", "half"]) for i in range(0, len(rows), step)]
+    got = set()
+    for made in lines._runs(80)(iter(batches)):
+        got |= set(zip(*(made.column(c).to_pylist() for c in ("bucket", "half")), strict=True))
+    expected = {
+        *[(band(-5, 100), 1), (band(-5, 100), 2)],
+        *[(band(2, 80), 7), (band(2, 80), 8), (band(6, 2), 13), (band(6, 2), 14)],
+    }
+    assert got == expected
+
+
+def test_sizes_of_lines():
+    texts = ["a" * 40, "abcdefgh", "ab", prose(5, 300), "abcabcabcabc"]
+    sizes, bands = lines.line_bands(texts, lines.Fuzzy())
+    assert sizes.tolist() == [len({t.ljust(7, "\0")[i : i + 7] for i in range(max(1, len(t) - 6))}) for t in texts]
+    assert bands.shape == (5, 10)
+
+
+def test_band_rows_are_few(spark):
+    """Lines of very different sizes that share all bands, as by a common shingle, give no candidate."""
+    keys = [[(7 << 20) | 4 * 3**i] * 10 for i in range(6)] + [[(8 << 20) | 50] * 10, [(8 << 20) | 60] * 10]
+    cut = spark.createDataFrame([(i, f"line {i}", k) for i, k in enumerate(keys)], "half long, line string, keys array<long>")
+    assert {tuple(r) for r in lines._buckets(cut, 80).collect()} == {((8 << 20) | 50, 6), ((8 << 20) | 50, 7)}
