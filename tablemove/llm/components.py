@@ -2,23 +2,64 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from tablemove.llm.common import in_arrow, saved
+
+#: Nodes whose edges a task holds at a time.
+FOREST_NODES = 500_000
+
+
+def _stars(kind: pa.DataType) -> Callable:
+    """For each node of the edges that a task holds, one edge to the smallest node that they lead to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+
+        def root(node):
+            while parent[node] != node:
+                parent[node] = node = parent[parent[node]]
+            return node
+
+        def made() -> pa.RecordBatch:
+            ends = [(node, least) for node in parent if (least := root(node)) != node]
+            columns = list(zip(*ends, strict=True)) or [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c in columns], ["a", "b"])
+
+        for batch in batches:
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                parent.setdefault(a, a)
+                parent.setdefault(b, b)
+                one, two = root(a), root(b)
+                parent[max(one, two)] = min(one, two)
+            if len(parent) > FOREST_NODES:
+                yield made()
+                parent.clear()
+        yield made()
 
-from tablemove.llm.common import saved
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for all nodes of the edges ``a, b``; the same root in each component.
 
-    In every round each node points at its smallest neighbour or itself, pointers are
+    Tasks first replace the edges that they hold by stars, so that few rounds are left. In every round each node points at its smallest neighbour or itself, pointers are
     followed once more, and edges are drawn anew between what their ends point at. That keeps
     connected nodes connected, and the edges that remain are fewer each time: long chains
     shrink by pointer jumping, stars in one or two rounds. Every round is a few joins on
     narrow rows, written to the shared folder; nothing is gathered anywhere.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = saved(both.filter("a <> b").distinct(), "edges")
+    own = edges.schema["a"].dataType
+    kind = pa.binary() if own.typeName() == "binary" else pa.int64()
+    edges = edges.filter("a <> b").select("a", "b").repartition("a")
+    edges = in_arrow(edges, _stars(kind), StructType([StructField("a", own), StructField("b", own)]))
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("edge"))
+    both = saved(both.select("edge.*").distinct(), "edges")
     label = None
     while not both.isEmpty():
         least = both.groupBy("a").agg(F.min("b").alias("b"))

@@ -24,10 +24,12 @@ from pyspark.sql import functions as F
 from tablemove.llm.common import in_arrow, narrow, saved, scratch
 from tablemove.llm.components import components
 
-#: Sizes of the two sides of a block, when a bucket is compared in blocks.
-MEMBER_BLOCK, STRAGGLER_BLOCK = 200, 50
-#: Buckets of more members are dealt anew by shingles; below, that would make more rows than blocks do.
+#: Buckets of more members are dealt anew by shingles; others are one block.
 CROWDED = 4000
+#: Sizes of the two sides of a block, when a bucket is compared in several.
+MEMBER_BLOCK, STRAGGLER_BLOCK = 2000, 500
+#: Shingle hashes of the texts of a block that a task compares at a time.
+PART_HASHES = 2_000_000
 #: Shingle hashes that a task remembers.
 FEATURE_HASHES = 4_000_000
 #: Pairs whose shingles are made at a time.
@@ -43,7 +45,9 @@ BROADCAST_SKETCHES = 150_000
 def _sorted_once(values: np.ndarray) -> np.ndarray:
     """What ``np.unique`` gives, which takes several times as long for some hundred values."""
     values = np.sort(values)
-    return values[np.flatnonzero(np.diff(values, prepend=~values[:1]))]
+    first = np.ones(values.size, bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
 
 
 @dataclass(frozen=True)
@@ -74,14 +78,15 @@ class Similarity:
         return (most > 0) & (100 * most >= self.percent * (sizes + size - most))
 
     def possible_pair(self) -> Column:
-        """The same for ``n_a, bits_a`` and ``n_b, bits_b``."""
+        """The same for ``n_a, bits_a`` and ``n_b, bits_b``, with what both may share named once, since filters compute it for each name."""
 
         def missing(x: str, y: str) -> Column:
-            words = [F.bit_count(F.get(x, F.lit(i)).bitwiseAND(F.bitwise_not(F.get(y, F.lit(i))))) for i in range(SKETCH)]
-            return reduce(lambda p, q: p + q, words)
+            words = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))
+            return F.aggregate(words, F.lit(0), lambda p, q: p + q)
 
         most = F.least(F.col("n_a") - missing("bits_a", "bits_b"), F.col("n_b") - missing("bits_b", "bits_a"))
-        return (most > 0) & (100 * most >= self.percent * (F.col("n_a") + F.col("n_b") - most))
+        both = F.col("n_a") + F.col("n_b")
+        return (both > 0) & ((100 + self.percent) * most >= self.percent * both)
 
     def needed(self, size: int) -> int:
         """Of how many shingles, in an order that all texts share, a close text has to have one among its own."""
@@ -162,49 +167,86 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.nd
         yield whole(held)
 
 
-def _partners(similarity: Similarity, block: pa.Table, bits: np.ndarray) -> list[tuple[int, int]]:
-    """Rows of stragglers and of members of other classes that may be close to them."""
-    straggler = block.column("straggler").to_numpy()
-    sizes, classes = block.column("n").to_numpy(), block.column("class").to_numpy()
-    member = np.flatnonzero(~straggler)
-    own, of = bits[member], classes[member]
-    found = []
+def _partners(similarity: Similarity, block: pa.Table, bits: np.ndarray) -> dict[int, np.ndarray]:
+    """For rows of stragglers, the rows of members of other classes that may be close to them; each pair once."""
+    straggler, member = (block.column(c).to_numpy() for c in ("straggler", "member"))
+    sizes, classes = block.column("n").to_numpy(), block.column("class").dictionary_encode().combine_chunks().indices.to_numpy()
+    found = {}
+    both = straggler & member
     for row in np.flatnonzero(straggler).tolist():
-        possible = similarity.possible(sizes[member], own, int(sizes[row]), bits[row]) & (of != classes[row])
-        found += [(row, other) for other in member[possible].tolist()]
+        others = member & (classes != classes[row])
+        others[:row] &= ~both[:row]
+        others = np.flatnonzero(others)
+        possible = others[similarity.possible(sizes[others], bits[others], int(sizes[row]), bits[row])]
+        if possible.size:
+            found[row] = possible
     return found
 
 
+def _rows_of(partners: dict[int, np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([list(partners), *partners.values()]))
+
+
+def _parts(partners: dict[int, np.ndarray], sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows of all pairs, if they have few shingles; else rows of some pairs at a time."""
+    rows = _rows_of(partners)
+    if sizes[rows].sum() <= PART_HASHES:
+        yield rows
+        return
+    part, held = set(), 0
+    for row, others in partners.items():
+        for other in others.tolist():
+            new = {row, other} - part
+            held += int(sizes[[*new]].sum()) if new else 0
+            if part and held > PART_HASHES:
+                yield np.array(sorted(part))
+                part, new = set(), {row, other}
+                held = int(sizes[[*new]].sum())
+            part |= new
+    yield np.array(sorted(part))
+
+
 def _possible_rows(similarity: Similarity):
-    """Those rows of blocks that have a partner."""
+    """Those rows of blocks that have a partner, in blocks whose shingles a task can hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["block", "id", "class", "straggler"]
+        names = ["id", "class", "straggler", "member"]
         for block, bits in _blocks(batches):
-            if pairs := _partners(similarity, block, bits):
-                rows = pa.array(sorted({row for pair in pairs for row in pair}))
-                yield from block.select(names).take(rows).combine_chunks().to_batches()
+            if partners := _partners(similarity, block, bits):
+                name = block.column("block")[0].as_py()
+                for i, rows in enumerate(_parts(partners, block.column("n").to_numpy())):
+                    part = block.select(names).take(pa.array(rows)).combine_chunks()
+                    yield from part.add_column(0, "block", pa.array([f"{name}:{i}"] * rows.size)).to_batches()
 
     return run
 
 
 def _verify_blocks(similarity: Similarity):
-    def linked(block: pa.Table, partners: list[tuple[int, int]], known: _Known) -> list[tuple[bytes, bytes]]:
+    def linked(block: pa.Table, partners: dict[int, np.ndarray], known: _Known) -> list[tuple[bytes, bytes]]:
         # Of the links in a block, those that join what isn't joined yet tell as much as all.
-        nodes, classes = (block.column(c).to_pylist() for c in ("id", "class"))
-        parent = {c: c for c in classes}
-
-        def root(c: bytes) -> bytes:
-            while parent[c] != c:
-                parent[c] = c = parent[parent[c]]
-            return c
-
-        pairs, text = [], block.column("text")
-        for i, j in partners:
-            one, two = root(classes[i]), root(classes[j])
-            if one != two and similarity.close(known(nodes[i], text[i]), known(nodes[j], text[j])):
-                parent[one] = two
-                pairs.append((nodes[i], nodes[j]))
+        nodes, text = block.column("id").to_pylist(), block.column("text")
+        label = block.column("class").dictionary_encode().combine_chunks().indices.to_numpy().copy()
+        rows = _rows_of(partners)
+        features = [known(nodes[i], text[i]) for i in rows.tolist()]
+        at = {row: i for i, row in enumerate(rows.tolist())}
+        sizes = np.array([f.size for f in features])
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        names, shingle = np.unique(np.concatenate(features), return_inverse=True)
+        mark, pairs = np.zeros(names.size, bool), []
+        for row, others in partners.items():
+            others = others[label[others] != label[row]]
+            if not others.size:
+                continue
+            own, place = at[row], np.searchsorted(rows, others)
+            mark[shingle[starts[own] : ends[own]]] = True
+            some = np.concatenate([shingle[starts[i] : ends[i]] for i in place.tolist()])
+            common = np.add.reduceat(mark[some], np.cumsum(sizes[place]) - sizes[place], dtype=np.int64)
+            mark[shingle[starts[own] : ends[own]]] = False
+            close = others[100 * common >= similarity.percent * (sizes[own] + sizes[place] - common)]
+            for other in close[np.unique(label[close], return_index=True)[1]].tolist():
+                label[label == label[other]] = label[row]
+                pairs.append((nodes[row], nodes[other]))
         return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +258,7 @@ def _verify_blocks(similarity: Similarity):
 
         for block, bits in _blocks(batches):
             if partners := _partners(similarity, block, bits):
-                rows = pa.array(sorted({row for pair in partners for row in pair}))
+                rows = pa.array(_rows_of(partners))
                 texts |= zip(*(block.column(c).take(rows).to_pylist() for c in ("id", "text")), strict=True)
                 held.append((block, partners))
             if len(texts) > 2 * PAIRS:
@@ -306,23 +348,21 @@ def _inside(known: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def _apart(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """``bucket, n, next`` of the buckets that span classes; ``next`` is the smallest member outside the class of ``low``.
+    """``bucket, n`` of the buckets that span classes.
 
-    ``members`` has no member that all others of its bucket were compared with. If the others are in one class, they
-    need no more comparing, and if two are apart, one of them is outside the class of ``low``.
+    ``members`` has no member that all others of its bucket were compared with; if the others are in one class, they
+    need no more comparing.
     """
-    low = classes.select(F.col("node").alias("low"), F.col("root").alias("low_root"))
-    named = _named(members, classes).join(narrow(low), "low", "left")
-    outside = F.when(F.col("class") != F.coalesce("low_root", "low"), F.col("id"))
-    spans = named.groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"), F.min(outside).alias("next"))
-    return saved(spans.filter("classes > 1").select("bucket", "n", "next"), "apart_buckets")
+    spans = _named(members, classes).groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("class").alias("classes"))
+    return saved(spans.filter("classes > 1").select("bucket", "n"), "apart_buckets")
 
 
 def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """``block, id, class, straggler``: for buckets that span classes, who is to be compared with whom.
+    """``block, id, class, straggler, member``: for buckets that span classes, who is to be compared with whom.
 
     Members outside a bucket's largest class are its stragglers; each of them meets
-    every member in one block, and blocks have a bounded size. Buckets of the same members count once.
+    every member in one block, and blocks have a bounded size: a bucket is one block, in which nobody is
+    repeated, unless it is crowded. Buckets of the same members count once.
     """
     named = _named(members, classes).select("bucket", "id", "class")
     groups = named.groupBy("bucket", "class").agg(
@@ -343,18 +383,23 @@ def _unresolved(members: DataFrame, classes: DataFrame) -> DataFrame:
         .select(
             "bucket",
             F.col("most.class").alias("largest"),
+            (F.col("n") <= CROWDED).alias("whole"),
             F.ceil(F.col("n") / MEMBER_BLOCK).alias("blocks"),
             F.ceil((F.col("n") - F.col("most.n")) / STRAGGLER_BLOCK).alias("straggler_blocks"),
         )
     )
     rows = named.join(narrow(saved(buckets, "block_buckets")), "bucket")
+    names = ["block", "id", "class", "straggler", "member"]
+    outside = F.col("class") != F.col("largest")
+    whole = rows.filter("whole").withColumn("block", F.col("bucket").cast("string"))
+    whole = whole.withColumn("straggler", outside).withColumn("member", F.lit(True)).select(names)
+    rows = rows.filter("NOT whole")
     part = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks))
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     as_member = rows.select("*", part("blocks").alias("m"), every("straggler_blocks").alias("s"), F.lit(False).alias("straggler"))
-    outside = rows.filter(F.col("class") != F.col("largest"))
-    as_straggler = outside.select("*", every("blocks").alias("m"), part("straggler_blocks").alias("s"), F.lit(True).alias("straggler"))
-    both = as_member.unionByName(as_straggler)
-    return both.select(F.concat_ws(":", "bucket", "m", "s").alias("block"), "id", "class", "straggler")
+    as_straggler = rows.filter(outside).select("*", every("blocks").alias("m"), part("straggler_blocks").alias("s"), F.lit(True).alias("straggler"))
+    both = as_member.unionByName(as_straggler).withColumn("member", ~F.col("straggler"))
+    return whole.unionByName(both.withColumn("block", F.concat_ws(":", "bucket", "m", "s")).select(names))
 
 
 def _sketched(similarity: Similarity):
@@ -363,10 +408,11 @@ def _sketched(similarity: Similarity):
             sizes, bits = [], [np.empty(0, np.int64)]
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), PAIRS):
-                distinct = similarity.distinct(texts[at : at + PAIRS])
-                own = np.array([d.size for d in distinct], np.int64)
+                found = similarity.features(texts[at : at + PAIRS])
+                own = np.array([_sorted_once(f).size for f in found], np.int64)
                 table = np.zeros((own.size, 64 * SKETCH), bool)
-                table[np.repeat(np.arange(own.size), own), (np.concatenate(distinct) % np.uint64(64 * SKETCH)).astype(np.int64)] = True
+                rows = np.repeat(np.arange(own.size), [f.size for f in found])
+                table[rows, (np.concatenate(found) % np.uint64(64 * SKETCH)).astype(np.int64)] = True
                 sizes.append(own)
                 bits.append(np.packbits(table).view(np.int64))
             words = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bits)), SKETCH).cast(pa.list_(pa.int64()))
@@ -390,16 +436,9 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
         first = _pivoted(members, known, None, similarity)
         classes = components(first)
 
-        # Who was compared with its whole bucket is left out of it. A second one is compared with all others.
+        # Who was compared with its whole bucket is left out of it.
         others = members.filter("id <> low")
         apart = _apart(others, classes)
-        again = others.drop("low").join(narrow(apart), "bucket").select("bucket", "id", F.col("next").alias("low"))
-        again = saved(again, "second_members")
-        first = first.unionByName(_pivoted(again, known, classes, similarity))
-        classes = components(first)
-
-        others = again.filter("id <> low")
-        apart = _apart(others, classes)
         rest = others.join(narrow(apart.filter(F.col("n") <= CROWDED)), "bucket", "left_semi").select("bucket", "id")
         crowded = apart.filter(F.col("n") > CROWDED)
         if not crowded.isEmpty():
@@ -417,7 +456,7 @@ def near_classes(bands: DataFrame, texts: Callable[[DataFrame], DataFrame], simi
 
         blocks = saved(_unresolved(rest, classes), "blocks")
         # Texts are moved only for rows that sketches leave a partner in their block.
-        schema = "block string, id binary, class binary, straggler boolean"
+        schema = "block string, id binary, class binary, straggler boolean, member boolean"
         blocks = blocks.join(_inside(known.drop("text"), blocks, "id"), "id").repartition("block").sortWithinPartitions("block")
         blocks = saved(in_arrow(blocks, _possible_rows(similarity), schema), "possible_rows")
         blocks = blocks.join(_inside(known, blocks, "id"), "id").repartition("block").sortWithinPartitions("block")
