@@ -1,12 +1,12 @@
 """From bands to classes: verified links inside buckets, and their components.
 
 Items are distinct texts with a 128-bit id. Each bucket first compares its members with
-its smallest one, then with the smallest one that this left apart; neither is looked at again there. Members of large buckets that still span several classes are dealt anew, by shingles:
-of two texts that are close, the rarest shingles of each have one in common, as many of them as leave
-too few others. Each of these smaller buckets is compared with its smallest member again, and
-what small buckets of either kind leave apart is compared in blocks. So no two texts in a bucket with
-enough in common end up in different classes, and no pairs are ever written but those to be compared
-with a smallest member, and those that are linked.
+its smallest one, which is not looked at again there. Members of large buckets that still span several classes are
+dealt anew, by shingles: of two texts that are close, the rarest shingles of each have one in common, as many of them as leave
+too few others. Each of these smaller buckets is compared with its smallest member again. What buckets of
+either kind leave apart is compared inside tasks, a bucket at a time, of which each member is one row; only buckets that are
+still large are cut in blocks. So no two texts in a bucket with enough in common end up in different classes, and no
+pairs are ever written but those to be compared with a smallest member, and those that are linked.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ class Similarity:
         return (most > 0) & (100 * most >= self.percent * (sizes + size - most))
 
     def possible_pair(self) -> Column:
-        """The same for ``n_a, bits_a`` and ``n_b, bits_b``, with what both may share named once, since filters compute it for each name."""
+        """The same for ``n_a, bits_a`` and ``n_b, bits_b``; what both may share is named once, as a filter computes it for each name."""
 
         def missing(x: str, y: str) -> Column:
             words = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q))))

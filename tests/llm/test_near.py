@@ -10,6 +10,7 @@ import xxhash
 from helpers import documents, edited, prose
 from pyspark.sql import functions as F
 
+from tablemove.llm import components as components_module
 from tablemove.llm import documents_near, lines, near
 from tablemove.llm.components import components
 from tablemove.llm.documents_near import duplicate_classes, keep_one, prob_minhash
@@ -262,3 +263,67 @@ def test_band_rows_are_few(spark):
     keys = [[(7 << 20) | 4 * 3**i] * 10 for i in range(6)] + [[(8 << 20) | 50] * 10, [(8 << 20) | 60] * 10]
     cut = spark.createDataFrame([(i, f"line {i}", k) for i, k in enumerate(keys)], "half long, line string, keys array<long>")
     assert {tuple(r) for r in lines._buckets(cut, 80).collect()} == {((8 << 20) | 50, 6), ((8 << 20) | 50, 7)}
+
+
+def test_bucket_of_many_classes_is_one_block(spark):
+    """The rows of a bucket that spans classes grow as its members do, whoever is apart in it."""
+    ids = [(bucket, b"%015d" % i) for bucket, n in ((1, 1500), (2, 700)) for i in range(n)]
+    members = spark.createDataFrame(ids, "bucket long, id binary")
+    classes = spark.createDataFrame([(b"%015d" % i, b"%015d" % 0) for i in range(300)], "node binary, root binary")
+    rows = near._unresolved(members, classes).collect()
+    assert len(rows) == 2200
+    assert all(r["member"] and r["straggler"] == (bytes(r["class"]) != b"%015d" % 0) for r in rows)
+
+
+def test_parts_hold_all_pairs(monkeypatch):
+    monkeypatch.setattr(near, "PART_HASHES", 40)
+    rng = random.Random(5)
+    sizes = np.array([rng.randint(1, 30) for _ in range(60)])
+    partners = {i: np.array(sorted(rng.sample(range(30, 60), rng.randint(1, 12)))) for i in range(30)}
+    parts = [set(part.tolist()) for part in near._parts(partners, sizes)]
+    assert all(len(part) == 2 or sizes[[*part]].sum() <= 40 for part in parts)
+    assert all(any({i, j} <= part for part in parts) for i, others in partners.items() for j in others.tolist())
+
+
+@pytest.mark.parametrize("held", [2_000_000, 60])
+@pytest.mark.parametrize("whole", [True, False])
+def test_blocks_link_what_is_close(monkeypatch, held, whole):
+    monkeypatch.setattr(near, "PART_HASHES", held)
+    rng = random.Random(7)
+    similarity = near.Similarity(lambda texts: [np.array([int(w) for w in t.split()], np.uint64) for t in texts])
+    base = [rng.sample(range(2**40), 30) for _ in range(4)]
+    texts = [" ".join(map(str, rng.choice(base)[: rng.randint(24, 30)] + rng.sample(range(2**40), rng.randint(0, 6)))) for _ in range(80)]
+    ids = [b"%03d" % i for i in range(80)]
+    made = next(near._sketched(similarity)(iter([pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts)], ["id", "text"])])))
+    own = {"block": pa.array(["1"] * 80), "class": pa.array(ids), "straggler": pa.array([i > 0 for i in range(80)])}
+    block = pa.Table.from_batches([made])
+    for name, column in (own | {"member": pa.array([True] * 80)}).items():
+        block = block.append_column(name, column)
+    if not whole:  # stragglers are there a second time
+        at = block.schema.get_field_index
+        member = block.set_column(at("straggler"), "straggler", pa.array([False] * 80))
+        block = pa.concat_tables([member, block.set_column(at("member"), "member", pa.array([False] * 80))])
+    kept = pa.Table.from_batches(list(near._possible_rows(similarity)(iter(block.combine_chunks().to_batches()))))
+    found = kept.select(["block", "id", "straggler", "member"]).to_pylist()
+    rows = [block.filter(pa.array([i == r["id"] and m == r["member"] for i, m in zip(block["id"].to_pylist(), block["member"].to_pylist(), strict=True)])) for r in found]
+    parts = pa.concat_tables([r.slice(0, 1).set_column(r.schema.get_field_index("block"), "block", pa.array([f["block"]])) for r, f in zip(rows, found, strict=True)])
+    links = [x for b in near._verify_blocks(similarity)(iter(parts.combine_chunks().to_batches())) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    linked = {frozenset(x) for x in links}
+    distinct = similarity.distinct(texts)
+    assert all(similarity.close(distinct[int(a)], distinct[int(b)]) for a, b in links)
+    got = classes_of(ids, lambda a, b: frozenset((a, b)) in linked)
+    assert got == classes_of(ids, lambda a, b: similarity.close(distinct[int(a)], distinct[int(b)]))
+
+
+@pytest.mark.parametrize("nodes", [10**6, 7])
+def test_tasks_turn_edges_into_stars(monkeypatch, nodes):
+    monkeypatch.setattr(components_module, "FOREST_NODES", nodes)
+    edges = [(i + 1, i) for i in range(50)] + [(i, i + 1) for i in range(100, 120)]
+    random.Random(1).shuffle(edges)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*edges[i : i + 5], strict=True)], ["a", "b"]) for i in range(0, len(edges), 5)]
+    made = [x for b in components_module._stars(pa.int64())(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert nodes == 7 or set(made) == {(i, 0) for i in range(1, 51)} | {(i, 100) for i in range(101, 121)}
+    linked = {frozenset(x) for x in made}
+    names = [*range(51), *range(100, 121)]
+    got = classes_of(names, lambda a, b: frozenset((a, b)) in linked)
+    assert got == [0] * 51 + [51] * 21
