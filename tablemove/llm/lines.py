@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from tablemove.llm.common import document_key, in_arrow, narrow, saved, scratch, text_of
 from tablemove.llm.documents_near import MEMO, mixed
@@ -19,14 +19,19 @@ from tablemove.llm.near import Similarity, near_classes
 from tablemove.llm.numbering import numbered
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_UNEVEN = (b"  ", b"\t", b"\r", b"\x0b", b"\x0c")
 #: Characters that are hashed at a time.
 _CHUNK = 1 << 18
 #: Characters whose signatures are made at a time, so that their hashes stay in a core's cache.
-_SIGNED = 1 << 17
+_SIGNED = 1 << 16
 #: Bits of a band's key that hold the size of a line; larger sizes count as the largest.
 _SIZE_BITS = 20
 _SIZES = (1 << _SIZE_BITS) - 1
-_KINDS = {"long": LongType(), "binary": BinaryType(), "string": StringType()}
+#: Lines whose bands are dealt together, and to how many parts.
+_DEALT_LINES, _BAND_PARTS = 1 << 16, 1024
+#: Rows of bands that a task sorts in memory; Spark sorts those of tasks that get more.
+TASK_BANDS = 1 << 22
+_KINDS = {"long": LongType(), "binary": BinaryType(), "string": StringType(), "boolean": BooleanType()}
 
 
 @dataclass(frozen=True)
@@ -63,10 +68,7 @@ def _rolled(texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(t) for t in padded], np.int64)
     ends = np.cumsum(sizes)
     count = points.size - chars + 1
-    total = np.zeros(count, np.uint64)
-    for i in range(chars):
-        total += points[i : i + count]
-        total *= _ODD
+    total = _windows(points, chars)
     inside = np.ones(points.size, bool)
     for i in range(1, chars):
         inside[ends - i] = False
@@ -74,6 +76,22 @@ def _rolled(texts: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
     return mixed(total[inside[:count]]), np.cumsum(numbers) - numbers
 
 
+def _windows(points: np.ndarray, chars: int) -> np.ndarray:
+    """Polynomials of all runs of some points, put together from those of half as many."""
+    done, total = 1, points
+    for bit in f"{chars:b}"[1:]:
+        total = total[:-done] * _power(done) + total[done:]
+        done *= 2
+        if bit == "1":
+            total = total[:-1] * _ODD + points[done : done + total.size - 1]
+            done += 1
+    return total * _ODD
+
+
+def _power(exponent: int) -> np.uint64:
+    return np.uint64(pow(int(_ODD), exponent, 1 << 64))
+
+
 def line_bands(texts: list[str], fuzzy: Fuzzy) -> tuple[np.ndarray, np.ndarray]:
     """How many distinct shingles each line has, and MinHash signatures: a row of band hashes for each line."""
     values, starts = _rolled(texts, fuzzy.chars)
@@ -94,9 +112,12 @@ def line_bands(texts: list[str], fuzzy: Fuzzy) -> tuple[np.ndarray, np.ndarray]:
 
 def _distinct_sizes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Lines are fewer than 4,096, so that their number and 52 bits of a hash are sorted as one word."""
-    owner = np.repeat(np.arange(starts.size, dtype=np.uint64), np.diff(starts, append=values.size))
-    both = np.sort(owner << np.uint64(52) | values >> np.uint64(12))
-    return np.add.reduceat(np.diff(both, prepend=~both[:1]) != 0, starts, dtype=np.int64)
+    both = np.repeat(np.arange(starts.size, dtype=np.uint64) << np.uint64(52), np.diff(starts, append=values.size))
+    both |= values >> np.uint64(12)
+    both.sort()
+    # A line's first shingle differs from the last one of the line before.
+    first = np.flatnonzero(both[1:] != both[:-1]) + 1
+    return np.diff(np.searchsorted(first, starts[1:]), prepend=-1, append=first.size)
 
 
 def _keys(texts: list[str], fuzzy: Fuzzy) -> np.ndarray:
@@ -109,9 +130,9 @@ def _cut(fuzzy: Fuzzy):
     """The lines with a word of each text: where they are and 128 bits of them.
 
     Lines are compared by their words with one space between them; ``line`` and ``keys`` are there once for all
-    copies that a task meets, as far as it remembers them.
+    copies that a task meets, as far as it remembers them. ``keys`` are the bytes of as many numbers as there are bands.
     """
-    names = ["doc_id", "k1", "k2", "at", "id", "half", "line", "keys"]
+    names = ["doc_id", "k1", "k2", "at", "first", "id", "half", "line", "keys"]
 
     def keyed(lines: list[bytes | None]) -> pa.Array:
         made, part, size = [np.empty((0, fuzzy.bands), np.int64)], [], 0
@@ -125,34 +146,40 @@ def _cut(fuzzy: Fuzzy):
                 part, size = [], 0
         if part:
             made.append(_keys(part, fuzzy))
-        none = np.array([line is None for line in lines] + [False])
-        offsets = np.concatenate([[0], np.cumsum(~none[:-1]) * fuzzy.bands]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets, mask=none), pa.array(np.concatenate(made).ravel()))
+        there = np.array([line is not None for line in lines], bool)
+        valid = pa.py_buffer(np.packbits(there, bitorder="little"))
+        return _packed(np.concatenate(made), np.concatenate([[0], np.cumsum(there) * fuzzy.bands]), valid)
 
     def made(rows: list[tuple], batch: pa.RecordBatch) -> pa.RecordBatch:
-        of, at, ids, lines = zip(*rows, strict=True) if rows else ([], [], [], [])
+        of, at, first, ids, lines = zip(*rows, strict=True) if rows else ([], [], [], [], [])
         of = pa.array(of, pa.int64())
         halves = np.frombuffer(b"".join(ids), np.int64)[::2]
-        own = [pa.array(at, pa.int64()), pa.array(ids, pa.binary()), pa.array(halves), pa.array(lines, pa.binary()).cast(pa.string())]
+        own = [pa.array(at, pa.int64()), pa.array(first, pa.bool_()), pa.array(ids, pa.binary()), pa.array(halves)]
+        own.append(pa.array(lines, pa.binary()).cast(pa.string()))
         return pa.RecordBatch.from_arrays([*[batch.column(c).take(of) for c in names[:3]], *own, keyed(lines)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             rows, size = [], 0
-            for of, value in enumerate(batch.column("text")):
-                for at, raw in enumerate(value.as_py().encode().split(b"\n")):
-                    line = b" ".join(raw.split())
+            for of, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
+                # In most texts the words of a line have one space between them.
+                even = not any(space in text for space in _UNEVEN)
+                first = True
+                for at, raw in enumerate(text.split(b"\n")):
+                    line = raw.strip(b" ") if even else b" ".join(raw.split())
                     if not line:
                         continue
                     node = xxhash.xxh3_128_digest(line)
                     if node in seen:
-                        rows.append((of, at, node, None))
+                        rows.append((of, at, first, node, None))
+                        first = False
                         continue
                     if len(seen) >= MEMO:
                         seen.clear()
                     seen.add(node)
-                    rows.append((of, at, node, line))
+                    rows.append((of, at, first, node, line))
+                    first = False
                     size += len(line)
                     if size > 16 * _CHUNK:
                         yield made(rows, batch)
@@ -163,15 +190,86 @@ def _cut(fuzzy: Fuzzy):
 
 
 def occurrences(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
-    """``doc_id, k1, k2, at, id, half, line, keys`` for every line with a word; ``at`` counts all lines from 0.
+    """``doc_id, k1, k2, at, first, id, half, line, keys`` for every line with a word; ``at`` counts all lines from 0.
 
-    Of lines with one ``id`` at least one has its ``line`` and ``keys``. ``half`` is half of the ``id``.
+    Of lines with one ``id`` at least one has its ``line`` and ``keys``. ``half`` is half of the ``id``; ``first``
+    marks one line of each row of ``documents``.
     """
     keyed = documents.select("doc_id", *document_key("doc_id", "text"), text_of().alias("text"))
-    kinds = {"k1": "long", "k2": "long", "at": "long", "id": "binary", "half": "long", "line": "string"}
+    kinds = {"k1": "long", "k2": "long", "at": "long", "first": "boolean", "id": "binary", "half": "long", "line": "string", "keys": "binary"}
     own = documents.schema["doc_id"]
-    fields = [own, *[StructField(n, _KINDS[k]) for n, k in kinds.items()], StructField("keys", ArrayType(LongType()))]
-    return in_arrow(keyed, _cut(fuzzy), StructType(fields))
+    return in_arrow(keyed, _cut(fuzzy), StructType([own, *[StructField(n, _KINDS[k]) for n, k in kinds.items()]]))
+
+
+def _packed(numbers: np.ndarray, bounds: np.ndarray, valid: pa.Buffer | None = None) -> pa.Array:
+    """The bytes of the numbers between each two bounds."""
+    buffers = [valid, pa.py_buffer((8 * bounds).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))]
+    return pa.Array.from_buffers(pa.binary(), bounds.size - 1, buffers)
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """The numbers of all rows of a column, of lists or of packed bytes."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy()
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64)
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of lines with their halves, those of a part in one row; a band is in one part."""
+
+    def made(keys: list[np.ndarray], halves: list[np.ndarray]) -> pa.RecordBatch:
+        key, half = np.concatenate(keys), np.concatenate(halves)
+        part = (key >> _SIZE_BITS & _BAND_PARTS - 1).astype(np.uint16)
+        order = np.argsort(part, kind="stable")
+        present, starts = np.unique(part[order], return_index=True)
+        bounds = np.append(starts, part.size)
+        columns = [pa.array(present.astype(np.int64)), _packed(key[order], bounds), _packed(half[order], bounds)]
+        return pa.RecordBatch.from_arrays(columns, ["part", "keys", "halves"])
+
+    keys, halves, held = [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = _unpacked(batch.column("keys"))
+        keys.append(key)
+        halves.append(np.repeat(batch.column("half").to_numpy(), key.size // batch.num_rows))
+        held += batch.num_rows
+        if held >= _DEALT_LINES:
+            yield made(keys, halves)
+            keys, halves, held = [], [], 0
+    if held:
+        yield made(keys, halves)
+
+
+def _sorted_runs(percent: int, most: int):
+    """What ``_runs`` makes of all rows of a task, each once; a task with more than ``most`` passes them on as they are."""
+    names = ["bucket", "half", "raw"]
+
+    def marked(bucket: np.ndarray, half: np.ndarray, raw: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(half), pa.array(np.full(half.size, raw))], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append((_unpacked(batch.column("keys")), _unpacked(batch.column("halves"))))
+            rows += held[-1][0].size
+            if rows > most:
+                yield from (marked(*part, raw=True) for part in held)
+                held = []
+        if not held or rows > most:
+            return
+        key, half = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        order = np.argsort(key)
+        for made in _runs(percent)(iter([pa.RecordBatch.from_arrays([pa.array(key[order]), pa.array(half[order])], ["key", "half"])])):
+            bucket, half = (made.column(c).to_numpy() for c in ("bucket", "half"))
+            order = np.lexsort((half, bucket))
+            bucket, half = bucket[order], half[order]
+            once = np.ones(half.size, bool)
+            once[1:] = (bucket[1:] != bucket[:-1]) | (half[1:] != half[:-1])
+            yield marked(bucket[once], half[once], raw=False)
+
+    return run
 
 
 def _runs(percent: int):
@@ -209,15 +307,47 @@ def _runs(percent: int):
     return run
 
 
-def _buckets(cut: DataFrame, percent: int) -> DataFrame:
-    """``bucket, half``: lines that share a band and are near in size, with the halves of their ids."""
-    rows = cut.filter("line IS NOT NULL").select(F.explode("keys").alias("key"), "half")
-    rows = rows.repartition(F.shiftright("key", _SIZE_BITS)).sortWithinPartitions("key")
-    return in_arrow(rows, _runs(percent), "bucket long, half long")
+def _buckets(cut: DataFrame, percent: int, most: int = TASK_BANDS) -> DataFrame:
+    """``bucket, half``: lines that share a band and are near in size, with the halves of their ids; saved.
+
+    Tasks sort their bands in memory. Those of a task that gets more than ``most`` rows, as when most lines share a
+    band, are sorted by Spark, which spills.
+    """
+    dealt = in_arrow(cut.filter("keys IS NOT NULL").select("keys", "half"), _dealt, "part long, keys binary, halves binary")
+    found = in_arrow(dealt.repartition("part").drop("part"), _sorted_runs(percent, most), "bucket long, half long, raw boolean")
+    found = saved(found, "near_in_size")
+    pairs, raw = found.filter("NOT raw").drop("raw"), found.filter("raw").select(F.col("bucket").alias("key"), "half")
+    if raw.isEmpty():
+        return pairs
+    rows = raw.repartition(F.shiftright("key", _SIZE_BITS)).sortWithinPartitions("key")
+    return saved(pairs.unionByName(in_arrow(rows, _runs(percent), "bucket long, half long")), "near_in_size")
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key: ``gone`` has the different places of each."""
+
+    def made(keys: list[tuple[int, int]], lists: list[list[int]]) -> pa.RecordBatch:
+        columns = [pa.array([key[i] for key in keys], pa.int64()) for i in range(2)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(lists, pa.list_(pa.int64()))], ["k1", "k2", "gone"])
+
+    keys, lists = [], []
+    for batch in batches:
+        for k1, k2, at in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "at")), strict=True):
+            if not keys or keys[-1] != (k1, k2):
+                keys.append((k1, k2))
+                lists.append([])
+            if not lists[-1] or lists[-1][-1] != at:
+                lists[-1].append(at)
+        if len(keys) > 1:
+            yield made(keys[:-1], lists[:-1])
+            keys, lists = keys[-1:], lists[-1:]
+    yield made(keys, lists)
+
 
+def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> tuple[DataFrame, DataFrame]:
+    """``k1, k2, gone``: places of the lines to remove from each document, by the key of its id and text.
 
-def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
-    """``k1, k2, at``: the lines to remove from each document, by the key of its id and text.
+    And ``k1, k2`` of the documents with lines that several rows repeat.
 
     Lines are in one class if they are equal but for white space, or linked by a chain of lines
     of which each two neighbours share ``percent`` of their distinct shingles. Of a
@@ -225,7 +355,7 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     """
     with scratch(documents.sparkSession):
         cut = saved(occurrences(documents, fuzzy), "lines")
-        shared = saved(_buckets(cut, fuzzy.percent), "near_in_size")
+        shared = _buckets(cut, fuzzy.percent)
         wanted = narrow(saved(shared.select("half").distinct(), "near_halves"))
         written = cut.filter("line IS NOT NULL").select("id", "half", "line").join(wanted, "half", "left_semi")
         written = saved(written.groupBy("id", "half").agg(F.any_value("line").alias("text")), "near_lines")
@@ -236,16 +366,21 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
 
         similarity = Similarity(partial(shingles, chars=fuzzy.chars), fuzzy.percent)
         classes = near_classes(bands, texts, similarity).withColumnRenamed("node", "id")
-        named = cut.select("doc_id", "k1", "k2", "at", "id").join(narrow(classes), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        # Most lines are alone; how many there are is counted first.
-        shared = named.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1").select("root")
-        several = saved(named.drop("id").join(narrow(saved(shared, "shared_lines")), "root", "left_semi"), "shared_places")
+        # Most lines are alone: in no class, and there once. Halves that two lines share make no difference.
+        again = cut.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half", F.lit(True).alias("again"))
+        named = cut.select("doc_id", "k1", "k2", "at", "id", "half").join(narrow(classes), "id", "left")
+        named = named.join(narrow(saved(again, "repeated_lines")), "half", "left").filter("root IS NOT NULL OR again")
+        several = named.select("doc_id", "k1", "k2", "at", F.coalesce("root", "id").alias("root"))
+        several = saved(several, "shared_places")
         order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "at").alias("place")
         keep = several.groupBy("root").agg(F.min(order).alias("keep"))
         keep = keep.select("root", F.col("keep.k1").alias("keep_1"), F.col("keep.k2").alias("keep_2"), F.col("keep.at").alias("keep_at"))
         kept = (F.col("k1") == F.col("keep_1")) & (F.col("k2") == F.col("keep_2")) & (F.col("at") == F.col("keep_at"))
-        gone = several.join(narrow(saved(keep, "kept_places")), "root").filter(~kept).select("k1", "k2", "at").distinct()
-        return saved(gone, "gone_lines", outlives=True)
+        gone = several.join(narrow(saved(keep, "kept_places")), "root").filter(~kept).select("k1", "k2", "at")
+        gone = gone.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "at")
+        gone = in_arrow(gone, _listed, "k1 long, k2 long, gone array<long>")
+        repeated = cut.filter("first").groupBy("k1", "k2").agg(F.count("*").alias("n")).filter("n > 1").select("k1", "k2")
+        return saved(gone, "gone_lines", outlives=True), saved(repeated, "repeated_documents", outlives=True)
 
 
 def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,11 +401,9 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["row", "text", "n_lines", "n_removed"])
 
 
-def _numbered_copies(rows: DataFrame) -> DataFrame:
-    """Adds ``copy``, which counts the rows with one key from 0; only rows that repeat a key are moved for it."""
+def _numbered_copies(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Adds ``copy``, which counts the rows with one of the repeated keys from 0; only those are moved for it."""
     keys = ["k1", "k2"]
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
-    repeated = saved(repeated, "repeated_documents")
     if repeated.isEmpty():
         return rows.withColumn("copy", F.lit(0).cast("long"))
     repeated = narrow(repeated)
@@ -287,9 +420,9 @@ def deduplicated(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> DataFrame:
     texts are left as they are. Of rows that agree in ``doc_id`` and text only one keeps lines with words,
     so that one line of each class stays. Lines are those that line feeds separate.
     """
-    gone = removals(documents, fuzzy).groupBy("k1", "k2").agg(F.collect_list("at").alias("gone"))
+    gone, repeated = removals(documents, fuzzy)
     rows = documents.select(*document_key("doc_id", "text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
-    joined = _numbered_copies(rows).join(gone, ["k1", "k2"], "left").select("row", "gone", "copy")
+    joined = _numbered_copies(rows, repeated).join(gone.hint("shuffle_hash"), ["k1", "k2"], "left").select("row", "gone", "copy")
     schema = StructType(
         [
             joined.schema["row"],

@@ -34,6 +34,10 @@ PART_HASHES = 2_000_000
 FEATURE_HASHES = 4_000_000
 #: Pairs whose shingles are made at a time.
 PAIRS = 100
+#: Pairs of rows of a block that are looked at together, if one row doesn't have more.
+ROW_PAIRS = 1 << 15
+#: Rows that a task passes on together.
+PASSED_ROWS = 2000
 #: Words of 64 bits in the sketch of a text's shingles.
 SKETCH = 16
 #: Numbers by which shingles are ordered from rare to frequent; any order would do.
@@ -50,6 +54,11 @@ def _sorted_once(values: np.ndarray) -> np.ndarray:
     return values[first]
 
 
+def _distinct(values: np.ndarray) -> int:
+    values = np.sort(values)
+    return np.count_nonzero(values[1:] != values[:-1]) + (values.size > 0)
+
+
 @dataclass(frozen=True)
 class Similarity:
     """``features`` gives the hashes of the shingles of each of some texts; links need ``percent`` of Jaccard.
@@ -69,12 +78,15 @@ class Similarity:
         small, large = sorted((x.size, y.size))
         if not small or 100 * small < self.percent * large:
             return False
-        common = np.intersect1d(x, y, assume_unique=True).size
+        both = np.concatenate([x, y])
+        both.sort()
+        common = np.count_nonzero(both[1:] == both[:-1])
         return 100 * common >= self.percent * (small + large - common)
 
-    def possible(self, sizes: np.ndarray, bits: np.ndarray, size: int, own: np.ndarray) -> np.ndarray:
-        """Which of some texts may be close to one, by sizes and sketches."""
-        most = np.minimum(sizes - np.bitwise_count(bits & ~own).sum(1), size - np.bitwise_count(own & ~bits).sum(1))
+    def possible(self, sizes: np.ndarray, bits: np.ndarray, size: np.ndarray | int, own: np.ndarray) -> np.ndarray:
+        """Which of some texts may be close to another one, or each to its own, by sizes and sketches."""
+        both = bits & own
+        most = np.minimum(sizes - np.bitwise_count(bits ^ both).sum(1), size - np.bitwise_count(own ^ both).sum(1))
         return (most > 0) & (100 * most >= self.percent * (sizes + size - most))
 
     def possible_pair(self) -> Column:
@@ -172,14 +184,19 @@ def _partners(similarity: Similarity, block: pa.Table, bits: np.ndarray) -> dict
     straggler, member = (block.column(c).to_numpy() for c in ("straggler", "member"))
     sizes, classes = block.column("n").to_numpy(), block.column("class").dictionary_encode().combine_chunks().indices.to_numpy()
     found = {}
-    both = straggler & member
-    for row in np.flatnonzero(straggler).tolist():
-        others = member & (classes != classes[row])
-        others[:row] &= ~both[:row]
-        others = np.flatnonzero(others)
-        possible = others[similarity.possible(sizes[others], bits[others], int(sizes[row]), bits[row])]
-        if possible.size:
-            found[row] = possible
+    both, rows, place = straggler & member, np.flatnonzero(straggler), np.arange(straggler.size)
+    step = max(1, ROW_PAIRS // place.size)
+    for part in (rows[at : at + step] for at in range(0, rows.size, step)):
+        others = member & (classes != classes[part, None])
+        others &= ~both | (place >= part[:, None])
+        # Close texts are near in size, which tells more cheaply than sketches.
+        others &= 100 * np.minimum(sizes, sizes[part, None]) >= similarity.percent * np.maximum(sizes, sizes[part, None])
+        row, other = np.nonzero(others)
+        row = part[row]
+        possible = similarity.possible(sizes[other], bits[other], sizes[row], bits[row])
+        row, other = row[possible], other[possible]
+        own, starts = np.unique(row, return_index=True)
+        found |= zip(own.tolist(), np.split(other, starts[1:]), strict=own.size > 0)
     return found
 
 
@@ -210,61 +227,76 @@ def _possible_rows(similarity: Similarity):
     """Those rows of blocks that have a partner, in blocks whose shingles a task can hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "class", "straggler", "member"]
+        names, held, size = ["id", "class", "straggler", "member"], [], 0
         for block, bits in _blocks(batches):
             if partners := _partners(similarity, block, bits):
                 name = block.column("block")[0].as_py()
                 for i, rows in enumerate(_parts(partners, block.column("n").to_numpy())):
-                    part = block.select(names).take(pa.array(rows)).combine_chunks()
-                    yield from part.add_column(0, "block", pa.array([f"{name}:{i}"] * rows.size)).to_batches()
+                    part = block.select(names).take(pa.array(rows))
+                    held.append(part.add_column(0, "block", pa.array([f"{name}:{i}"] * rows.size)))
+                    size += rows.size
+            if size > PASSED_ROWS:
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
 
     return run
 
 
 def _verify_blocks(similarity: Similarity):
-    def linked(block: pa.Table, partners: dict[int, np.ndarray], known: _Known) -> list[tuple[bytes, bytes]]:
+    def linked(held: list[tuple[pa.Table, dict[int, np.ndarray]]], known: _Known) -> list[tuple[bytes, bytes]]:
         # Of the links in a block, those that join what isn't joined yet tell as much as all.
-        nodes, text = block.column("id").to_pylist(), block.column("text")
-        label = block.column("class").dictionary_encode().combine_chunks().indices.to_numpy().copy()
-        rows = _rows_of(partners)
-        features = [known(nodes[i], text[i]) for i in rows.tolist()]
-        at = {row: i for i, row in enumerate(rows.tolist())}
-        sizes = np.array([f.size for f in features])
-        ends = np.cumsum(sizes)
-        starts = ends - sizes
-        names, shingle = np.unique(np.concatenate(features), return_inverse=True)
+        nodes = [block.column("id").to_pylist() for block, _ in held]
+        inside = [_rows_of(partners) for _, partners in held]
+        features = {own[i]: known(own[i], block.column("text")[i]) for own, (block, _), rows in zip(nodes, held, inside, strict=True) for i in rows.tolist()}
+        at = {node: i for i, node in enumerate(features)}
+        sizes = np.array([f.size for f in features.values()])
+        starts = np.cumsum(sizes) - sizes
+        # Shingles of all these texts by numbers from 0.
+        names, shingle = np.unique(np.concatenate(list(features.values())), return_inverse=True)
+        shingle = np.split(shingle, starts[1:])
         mark, pairs = np.zeros(names.size, bool), []
-        for row, others in partners.items():
-            others = others[label[others] != label[row]]
-            if not others.size:
-                continue
-            own, place = at[row], np.searchsorted(rows, others)
-            mark[shingle[starts[own] : ends[own]]] = True
-            some = np.concatenate([shingle[starts[i] : ends[i]] for i in place.tolist()])
-            common = np.add.reduceat(mark[some], np.cumsum(sizes[place]) - sizes[place], dtype=np.int64)
-            mark[shingle[starts[own] : ends[own]]] = False
-            close = others[100 * common >= similarity.percent * (sizes[own] + sizes[place] - common)]
-            for other in close[np.unique(label[close], return_index=True)[1]].tolist():
-                label[label == label[other]] = label[row]
-                pairs.append((nodes[row], nodes[other]))
+        for own_nodes, (block, partners), rows in zip(nodes, held, inside, strict=True):
+            label = block.column("class").dictionary_encode().combine_chunks().indices.to_numpy().copy()
+            text = np.zeros(block.num_rows, np.int64)
+            text[rows] = [at[own_nodes[i]] for i in rows.tolist()]
+            for row, others in partners.items():
+                others = others[label[others] != label[row]]
+                if not others.size:
+                    continue
+                own, place = text[row], text[others]
+                mark[shingle[own]] = True
+                some = mark[np.concatenate([shingle[i] for i in place.tolist()])]
+                common = np.add.reduceat(some, np.cumsum(sizes[place]) - sizes[place], dtype=np.int64)
+                mark[shingle[own]] = False
+                close = others[100 * common >= similarity.percent * (sizes[own] + sizes[place] - common)]
+                if not close.size:
+                    continue
+                for other in close[np.unique(label[close], return_index=True)[1]].tolist():
+                    label[label == label[other]] = label[row]
+                    pairs.append((own_nodes[row], own_nodes[other]))
         return pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, texts = _Known(similarity), [], {}
+        known, held, texts, hashes = _Known(similarity), [], {}, 0
 
         def made() -> pa.RecordBatch:
             known.learn(texts)
-            return _made([pair for block, partners in held for pair in linked(block, partners, known)])
+            return _made(linked(held, known))
 
         for block, bits in _blocks(batches):
             if partners := _partners(similarity, block, bits):
-                rows = pa.array(_rows_of(partners))
-                texts |= zip(*(block.column(c).take(rows).to_pylist() for c in ("id", "text")), strict=True)
+                rows = _rows_of(partners)
+                new = int(block.column("n").to_numpy()[rows].sum())
+                if held and (len(texts) > 2 * PAIRS or hashes + new > PART_HASHES):
+                    yield made()
+                    held, texts, hashes = [], {}, 0
+                texts |= zip(*(block.column(c).take(pa.array(rows)).to_pylist() for c in ("id", "text")), strict=True)
                 held.append((block, partners))
-            if len(texts) > 2 * PAIRS:
-                yield made()
-                held, texts = [], {}
-        yield made()
+                hashes += new
+        if held:
+            yield made()
 
     return run
 
@@ -409,10 +441,10 @@ def _sketched(similarity: Similarity):
             texts = batch.column("text").to_pylist()
             for at in range(0, len(texts), PAIRS):
                 found = similarity.features(texts[at : at + PAIRS])
-                own = np.array([_sorted_once(f).size for f in found], np.int64)
+                own = np.array([_distinct(f) for f in found], np.int64)
                 table = np.zeros((own.size, 64 * SKETCH), bool)
-                rows = np.repeat(np.arange(own.size), [f.size for f in found])
-                table[rows, (np.concatenate(found) % np.uint64(64 * SKETCH)).astype(np.int64)] = True
+                rows = np.repeat(np.arange(own.size) * 64 * SKETCH, [f.size for f in found])
+                table.ravel()[rows + (np.concatenate(found) % np.uint64(64 * SKETCH)).astype(np.int64)] = True
                 sizes.append(own)
                 bits.append(np.packbits(table).view(np.int64))
             words = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bits)), SKETCH).cast(pa.list_(pa.int64()))

@@ -265,6 +265,73 @@ def test_band_rows_are_few(spark):
     assert {tuple(r) for r in lines._buckets(cut, 80).collect()} == {((8 << 20) | 50, 6), ((8 << 20) | 50, 7)}
 
 
+def _line_batches(lines_of, step):
+    names = ["doc_id", "k1", "k2", "text"]
+    rows = [(i, i, -i, t) for i, t in enumerate(lines_of)]
+    return [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + step], strict=True)], names) for i in range(0, len(rows), step)]
+
+
+def test_bands_are_dealt_in_few_rows():
+    """Spark moves one row for the bands of many lines, not one for each, and none is lost."""
+    texts = ["\n".join(prose(20 * i + j, 9) for j in range(20)) for i in range(40)]
+    cut = pa.Table.from_batches(list(lines._cut(lines.Fuzzy())(iter(_line_batches(texts, 7)))))
+    assert cut.num_rows == 800 and sum(cut["first"].to_pylist()) == 40
+    dealt = pa.Table.from_batches(list(lines._dealt(iter(cut.select(["keys", "half"]).to_batches(max_chunksize=50)))))
+    assert dealt.num_rows <= lines._BAND_PARTS
+    got = [(k, h) for a, b in zip(dealt["keys"], dealt["halves"], strict=True) for k, h in zip(*(np.frombuffer(x.as_py(), np.int64).tolist() for x in (a, b)), strict=True)]
+    keys = [np.frombuffer(k, np.int64).tolist() for k in cut["keys"].to_pylist()]
+    assert sorted(got) == sorted((k, h) for own, h in zip(keys, cut["half"].to_pylist(), strict=True) for k in own)
+    part = [(p, k >> 20) for p, x in zip(dealt["part"].to_pylist(), dealt["keys"].to_pylist(), strict=True) for k in np.frombuffer(x, np.int64).tolist()]
+    assert len({band for _, band in part}) == len(set(part))
+
+
+@pytest.mark.parametrize("most", [lines.TASK_BANDS, 100, 1])
+def test_buckets_of_tasks_with_many_bands(spark, most):
+    """What tasks sort themselves and what they leave to Spark give the same buckets."""
+    rng = random.Random(3)
+    keys = [[(rng.choice([-9, 4, 5, 1 << 40]) << 20) | rng.choice([100, 110, 200, 230, 500]) for _ in range(10)] for _ in range(60)]
+    rows = [(i, f"line {i}", k) for i, k in enumerate(keys)] * 2 + [(99, "alone", [(77 << 20) | 100] * 10)]
+    cut = spark.createDataFrame(rows, "half long, line string, keys array<long>")
+    bands = {}
+    for half, _, own in rows:
+        for k in own:
+            bands.setdefault(k >> 20, set()).add((k & 0xFFFFF, half, k))
+    expected = set()
+    for members in bands.values():
+        run = []
+        for size, half, k in [*sorted(members), (1 << 30, -1, 0)]:
+            if run and 100 * run[-1][0] < 80 * size:
+                if len({h for _, h, _ in run}) > 1:
+                    expected |= {(run[0][2], h) for _, h, _ in run}
+                run = []
+            run.append((size, half, k))
+    assert {tuple(r) for r in lines._buckets(cut, 80, most).collect()} == expected
+
+
+@pytest.mark.parametrize("chars", range(1, 10))
+def test_hashes_of_runs(chars):
+    points = np.random.default_rng(1).integers(0, 1 << 20, 50, np.uint64)
+    odd = int(lines._ODD)
+    expected = [sum(int(p) * pow(odd, chars - i, 1 << 64) for i, p in enumerate(points[at : at + chars])) % (1 << 64) for at in range(51 - chars)]
+    assert lines._windows(points, chars).tolist() == expected
+
+
+def test_white_space_of_lines():
+    texts = ["a b\nc  d \n\n a b", " a b \n\u00a0\n \n", "a\tb\r\n\x0b\n\x0cc", "", "\x1ca"]
+    cut = pa.Table.from_batches(list(lines._cut(lines.Fuzzy())(iter(_line_batches(texts, 2))))).to_pylist()
+    expected = [(i, j, xxhash.xxh3_128_digest(b" ".join(s.split()))) for i, t in enumerate(texts) for j, s in enumerate(t.encode().split(b"\n")) if s.split()]
+    assert [(r["doc_id"], r["at"], r["id"]) for r in cut] == expected
+    assert [r["doc_id"] for r in cut if r["first"]] == [0, 1, 2, 4]
+
+
+@pytest.mark.parametrize("step", [1, 2, 9])
+def test_places_are_listed(step):
+    rows = [(1, 1, 0), (1, 1, 0), (1, 1, 4), (1, 2, 3), (2, 1, 3), (2, 1, 3), (2, 1, 5)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + step], strict=True)], ["k1", "k2", "at"]) for i in range(0, len(rows), step)]
+    made = [tuple(r.values()) for b in lines._listed(iter(batches)) for r in b.to_pylist()]
+    assert made == [(1, 1, [0, 4]), (1, 2, [3]), (2, 1, [3, 5])]
+
+
 def test_bucket_of_many_classes_is_one_block(spark):
     """The rows of a bucket that spans classes grow as its members do, whoever is apart in it."""
     ids = [(bucket, b"%015d" % i) for bucket, n in ((1, 1500), (2, 700)) for i in range(n)]
