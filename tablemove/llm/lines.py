@@ -211,7 +211,11 @@ def _unpacked(column: pa.Array) -> np.ndarray:
     """The numbers of all rows of a column, of lists or of packed bytes."""
     if pa.types.is_list(column.type):
         return column.flatten().to_numpy()
-    return np.frombuffer(b"".join(column.to_pylist()), np.int64)
+    if not len(column):
+        return np.empty(0, np.int64)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[[column.offset, column.offset + len(column)]]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[1]].view(np.int64)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,6 +362,8 @@ def removals(documents: DataFrame, fuzzy: Fuzzy = Fuzzy()) -> tuple[DataFrame, D
         shared = _buckets(cut, fuzzy.percent)
         wanted = narrow(saved(shared.select("half").distinct(), "near_halves"))
         written = cut.filter("line IS NOT NULL").select("id", "half", "line").join(wanted, "half", "left_semi")
+        # Tasks pass on few lines twice, so that there is little to merge before the shuffle.
+        written = written.repartition("id", "half")
         written = saved(written.groupBy("id", "half").agg(F.any_value("line").alias("text")), "near_lines")
         bands = shared.join(narrow(written.select("id", "half")), "half").select("bucket", "id")
 
